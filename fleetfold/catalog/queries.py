@@ -637,14 +637,14 @@ def _bronze_orders(spark, sf) -> str:
     path = scratch(spark, "bronze_orders")
     feed = _order_feed(spark, sf)
     quarter = F.date_trunc("quarter", F.try_to_timestamp("order_timestamp"))
-    files.write_bronze(feed.hint("rebalance", F.year(quarter), F.quarter(quarter)), path, quarter)
+    files.write_bronze(feed, path, quarter)
     return path
 
 
 def _bronze_pings(spark, sf) -> str:
     path = scratch(spark, "bronze_pings")
     day = F.to_date(F.try_to_timestamp("timestamp"))
-    files.write_bronze(_ping_feed(spark, sf).hint("rebalance", day), path, day)
+    files.write_bronze(_ping_feed(spark, sf), path, day)
     return path
 
 

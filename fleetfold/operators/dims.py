@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from fleetfold.functions.time import col, instant
 
@@ -33,14 +32,14 @@ UNKNOWN_KEY = -1
 
 
 def delivery_zones(spark: SparkSession) -> DataFrame:
-    schema = StructType.fromDDL("zone_key int, zone_name string, zone_type string, traffic_drag string")
-    rows = spark.createDataFrame(ZONES, schema)
+    rows = spark.createDataFrame(ZONES, "zone_key int, zone_name string, zone_type string, traffic_drag string")
     return rows.withColumn("traffic_drag", F.col("traffic_drag").cast("decimal(10,2)"))
 
 
 def order_statuses(spark: SparkSession) -> DataFrame:
-    schema = StructType.fromDDL("status_key int, status_name string, status_category string, is_final_status boolean")
-    return spark.createDataFrame(STATUSES, schema)
+    return spark.createDataFrame(
+        STATUSES, "status_key int, status_name string, status_category string, is_final_status boolean"
+    )
 
 
 def date_spine(bounds: DataFrame, first: Column | str, last: Column | str) -> DataFrame:

@@ -21,7 +21,7 @@ def daily_kpi(orders: DataFrame, as_of=None) -> DataFrame:
         F.count("order_id").alias("total_orders"),
         F.count("gross_revenue").alias("_priced"),
     )
-    average = F.when(F.col("_priced") > 0, F.round(F.col("_revenue").cast("double") / F.col("_priced"), 2))
+    average = F.when(F.col("_priced") > 0, F.round(F.col("_revenue") / F.col("_priced"), 2))
     return daily.select(
         "order_date",
         F.col("_revenue").cast(MONEY).alias("total_revenue"),

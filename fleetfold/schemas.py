@@ -5,8 +5,12 @@ from __future__ import annotations
 from pyspark.sql.types import StructType
 
 
-def _schema(ddl: str) -> StructType:
-    return StructType.fromDDL(ddl)
+def _schema(fields: str) -> StructType:
+    """``name type, ...`` to a schema, without needing a session."""
+    schema = StructType()
+    for field in fields.split(", "):
+        schema.add(*field.split(" "))
+    return schema
 
 
 # Fixed formats: field names and types of the two event feeds and the three dimension files.
@@ -17,24 +21,24 @@ ORDER_EVENT = _schema(
 TELEMETRY_EVENT = _schema(
     "event_type string, event_id string, status_key string, courier_id string, pizzeria_id string,"
     " timestamp string, lat double, lon double, speed double, realization_percent double,"
-    " zone_key int, is_outside_geofence boolean, is_delayed_delivery boolean, time_left_sec double,"
+    " zone_key integer, is_outside_geofence boolean, is_delayed_delivery boolean, time_left_sec double,"
     " distance_left_km double, total_distance double, order_id string, customer_id string,"
     " order_timestamp string, preparation_timestamp string, pickup_timestamp string,"
     " delivery_timestamp string, return_timestamp string"
 )
 COURIER_FILE = _schema(
-    "raw_id int, courier_id string, first_name string, last_name string, vehicle_type string,"
+    "raw_id integer, courier_id string, first_name string, last_name string, vehicle_type string,"
     " vehicle_info string, contract_type string, active_status string, ingested_at timestamp,"
     " source_system string, pizzeria_id string, accident_risk_factor decimal(10,4),"
     " fatigue_resistance decimal(10,2), vehicle_range_km decimal(10,2), vehicle_ownership string,"
     " equipment_set string, performance_level string"
 )
 CUSTOMER_FILE = _schema(
-    "raw_id int, customer_id string, full_name string, email string, address_raw string, lat double,"
+    "raw_id integer, customer_id string, full_name string, email string, address_raw string, lat double,"
     " lon double, segment_tag string, ingested_at timestamp, source_system string"
 )
 PIZZERIA_FILE = _schema(
-    "raw_id int, pizzeria_id string, pizzeria_name string, city string, address_raw string, lat double,"
+    "raw_id integer, pizzeria_id string, pizzeria_name string, city string, address_raw string, lat double,"
     " lon double, manager_info string, ingested_at timestamp"
 )
 

@@ -34,7 +34,7 @@ def stream_json(
 def write_bronze(df: DataFrame, path: str, ingest_date=None) -> None:
     """JSON lines below ``dt=yyyy-MM-dd``; without a date given, that of today."""
     dated = df.withColumn("dt", F.date_format(F.current_date() if ingest_date is None else ingest_date, "yyyy-MM-dd"))
-    dated.write.mode("append").partitionBy("dt").json(path)
+    dated.hint("rebalance", F.col("dt")).write.mode("append").partitionBy("dt").json(path)
 
 
 def read_partition(spark: SparkSession, path: str, column: str, first, last=None) -> DataFrame:
