@@ -12,14 +12,6 @@ from fleetfold.functions.time import micros
 from fleetfold.plans.joins import lookup
 from fleetfold.plans.ordered import with_position
 
-STATUS_BY_EVENT = {
-    "signup": "PREPARING",
-    "view": "IN_REALIZATION",
-    "click": "AT_CUSTOMER",
-    "purchase": "DELIVERED",
-    "error": "CRITICAL_FAILURE",
-}
-STATUS_BY_REST = ["IDLE", "PREPARING", "IN_REALIZATION", "AT_CUSTOMER", "DELIVERED", "RETURNING", "CRITICAL_FAILURE"]
 ISO = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"
 
 
@@ -35,39 +27,32 @@ def plus_seconds(ts: Column, seconds: Column) -> Column:
     return ts + F.make_dt_interval(secs=seconds.cast("decimal(18,6)"))
 
 
-def _pick(key: Column, values: list[str]) -> Column:
-    return F.element_at(F.array(*[F.lit(v) for v in values]), (key % len(values) + 1).cast("int"))
-
-
 def pings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as courier pings, in the names of the telemetry feed."""
-    e = table(spark, sf_dir, "events").withColumn("k", F.get_json_object("props", "$.k").cast("long"))
-    status = None
-    for event, name in STATUS_BY_EVENT.items():
-        status = (F if status is None else status).when(F.col("event_type") == event, name)
-    k, ts = F.col("k"), F.col("ts")
-    day = F.date_trunc("day", ts).cast("timestamp_ntz")
-    return e.select(
+    events = table(spark, sf_dir, "events").selectExpr("*", "CAST(get_json_object(props, '$.k') AS BIGINT) AS k")
+    day = "CAST(CAST(ts AS DATE) AS TIMESTAMP_NTZ)"
+    return events.selectExpr(
         "event_id",
-        F.col("user_id").alias("courier_id"),
-        F.concat_ws("-", F.col("user_id").cast("string"), F.date_format(ts, "yyyyMMdd")).alias("order_id"),
-        ts.alias("timestamp"),
-        status.alias("status_key"),
+        "user_id AS courier_id",
+        "concat_ws('-', user_id, replace(CAST(CAST(ts AS DATE) AS STRING), '-')) AS order_id",
+        "ts AS timestamp",
+        """CASE event_type WHEN 'signup' THEN 'PREPARING' WHEN 'view' THEN 'IN_REALIZATION' WHEN 'click' THEN 'AT_CUSTOMER'
+           WHEN 'purchase' THEN 'DELIVERED' WHEN 'error' THEN 'CRITICAL_FAILURE' END AS status_key""",
         "k",
-        F.when(k == 0, 0.0).otherwise(F.lit(52.2297) + (k - 50) * F.lit(0.002)).alias("lat"),
-        (F.lit(21.0122) + F.col("value") / 2000).alias("lon"),
-        F.col("value").alias("speed"),
-        F.col("value").alias("total_distance"),
-        (k >= 90).alias("is_outside_geofence"),
-        (F.lit(120.0) - k).alias("time_left_sec"),
-        ((100 - k) / 10).alias("distance_left_km"),
-        k.alias("customer_id"),
-        F.when(k % 17 != 0, k % 5 + 1).cast("int").alias("zone_key"),
-        day.alias("order_timestamp"),
-        plus_seconds(day, F.lit(30)).alias("preparation_timestamp"),
-        F.when(F.col("event_type") == "view", ts).alias("pickup_timestamp"),
-        F.when(F.col("event_type") == "purchase", ts).alias("delivery_timestamp"),
-        F.lit(None).cast("timestamp_ntz").alias("return_timestamp"),
+        "CASE WHEN k = 0 THEN 0D ELSE 52.2297D + (k - 50) * 0.002D END AS lat",
+        "21.0122D + value / 2000D AS lon",
+        "value AS speed",
+        "value AS total_distance",
+        "k >= 90 AS is_outside_geofence",
+        "120D - k AS time_left_sec",
+        "(100 - k) / 10D AS distance_left_km",
+        "k AS customer_id",
+        "CASE WHEN k % 17 <> 0 THEN CAST(k % 5 + 1 AS INT) END AS zone_key",
+        f"{day} AS order_timestamp",
+        f"{day} + INTERVAL 30 SECONDS AS preparation_timestamp",
+        "CASE WHEN event_type = 'view' THEN ts END AS pickup_timestamp",
+        "CASE WHEN event_type = 'purchase' THEN ts END AS delivery_timestamp",
+        "CAST(NULL AS TIMESTAMP_NTZ) AS return_timestamp",
     )
 
 
@@ -80,95 +65,99 @@ def pings_batched(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o, key, price = table(spark, sf_dir, "orders"), F.col("o_orderkey"), F.col("o_totalprice")
-    return o.select(
-        key.alias("order_id"),
-        F.col("o_custkey").alias("customer_id"),
-        plus_seconds(F.col("o_orderdate"), key % 86400).alias("order_timestamp"),
-        F.when(key % 97 == 0, -price).when(key % 89 == 0, None).otherwise(price).alias("gross_revenue"),
-        (key % 8 + 8).cast("double").alias("delivery_charge"),
-        F.lit(52.2297).alias("pizzeria_lat"),
-        F.lit(21.0122).alias("pizzeria_lon"),
-        F.col("o_orderstatus").alias("status"),
+    return table(spark, sf_dir, "orders").selectExpr(
+        "o_orderkey AS order_id",
+        "o_custkey AS customer_id",
+        "o_orderdate + make_dt_interval(0, 0, 0, o_orderkey % 86400) AS order_timestamp",
+        """CASE WHEN o_orderkey % 97 = 0 THEN -o_totalprice WHEN o_orderkey % 89 = 0 THEN NULL ELSE o_totalprice END
+           AS gross_revenue""",
+        "CAST(o_orderkey % 8 + 8 AS DOUBLE) AS delivery_charge",
+        "52.2297D AS pizzeria_lat",
+        "21.0122D AS pizzeria_lon",
+        "o_orderstatus AS status",
     )
 
 
 def deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
-    key = F.col("order_id")
-    o = orders(spark, sf_dir).select("order_id", "customer_id", F.col("order_timestamp").alias("order_ts"))
-    prep = plus_seconds(F.col("order_ts"), key % 31 + 15)
-    return (
-        o.withColumn("prep_ts", prep)
-        .withColumn("pickup_ts", F.when(key % 11 != 0, plus_seconds(prep, key % 20)))
-        .withColumn("delivery_ts", F.when(key % 13 != 0, plus_seconds(F.col("order_ts"), key * 37 % 200 + 60)))
-        .withColumn("courier_id", key % 150)
-        .withColumn("total_distance", (key % 100) / 10)
-        .withColumn("total_time", F.when(key % 13 != 0, (key * 37 % 200 + 60).cast("double")))
-        .withColumn("status", _pick(key, STATUS_BY_REST))
-        .withColumn("zone_key", F.when(key % 17 != 0, key % 5 + 1).cast("int"))
-        .withColumn("outside_geofence", key % 9 == 0)
-        .withColumn("ping_ts", plus_seconds(F.col("order_ts"), key * 53 % 300))
-        .withColumn("km_to_target", (key * 31 % 100) / 10)
+    def after(seconds: str) -> str:
+        return f"order_timestamp + make_dt_interval(0, 0, 0, {seconds})"
+
+    return orders(spark, sf_dir).selectExpr(
+        "order_id",
+        "customer_id",
+        "order_timestamp AS order_ts",
+        f"{after('order_id % 31 + 15')} AS prep_ts",
+        f"CASE WHEN order_id % 11 <> 0 THEN {after('order_id % 31 + 15 + order_id % 20')} END AS pickup_ts",
+        f"CASE WHEN order_id % 13 <> 0 THEN {after('order_id * 37 % 200 + 60')} END AS delivery_ts",
+        "order_id % 150 AS courier_id",
+        "(order_id % 100) / 10D AS total_distance",
+        "CASE WHEN order_id % 13 <> 0 THEN CAST(order_id * 37 % 200 + 60 AS DOUBLE) END AS total_time",
+        """element_at(array('IDLE', 'PREPARING', 'IN_REALIZATION', 'AT_CUSTOMER', 'DELIVERED', 'RETURNING',
+           'CRITICAL_FAILURE'), CAST(order_id % 7 + 1 AS INT)) AS status""",
+        "CASE WHEN order_id % 17 <> 0 THEN CAST(order_id % 5 + 1 AS INT) END AS zone_key",
+        "order_id % 9 = 0 AS outside_geofence",
+        f"{after('order_id * 53 % 300')} AS ping_ts",
+        "(order_id * 31 % 100) / 10D AS km_to_target",
     )
 
 
 def couriers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Suppliers as the courier file, plus their key and code."""
-    s, key = table(spark, sf_dir, "supplier"), F.col("s_suppkey")
-    code = F.concat(F.lit("C-N"), F.col("s_nationkey").cast("string"), F.lit("-"), key.cast("string"))
-    return s.select(
-        key.alias("courier_no"),
-        key.cast("int").alias("raw_id"),
-        code.alias("courier_id"),
-        F.split_part("s_name", F.lit("#"), F.lit(1)).alias("first_name"),
-        F.split_part("s_name", F.lit("#"), F.lit(2)).alias("last_name"),
-        _pick(key, ["bike", "car", "scooter"]).alias("vehicle_type"),
-        F.concat(F.lit("M"), F.col("s_nationkey").cast("string")).alias("vehicle_info"),
-        _pick(key, ["B2B", "Full-time", "Part-time", "Seasonal"]).alias("contract_type"),
-        F.lit("active").alias("active_status"),
-        ntz("2024-01-01 10:00:00").alias("ingested_at"),
-        F.lit("HR_System").alias("source_system"),
-        F.concat(F.lit("PIZ-N"), F.col("s_nationkey").cast("string"), F.lit("-001")).alias("pizzeria_id"),
-        ((key % 10) / 100).cast("decimal(10,4)").alias("accident_risk_factor"),
-        ((key % 7) / 10).cast("decimal(10,2)").alias("fatigue_resistance"),
-        (key % 8 + 2).cast("decimal(10,2)").alias("vehicle_range_km"),
-        _pick(key, ["Private", "Company"]).alias("vehicle_ownership"),
-        _pick(key, ["Standard", "Pro"]).alias("equipment_set"),
-        _pick(key, ["High", "Medium", "Low"]).alias("performance_level"),
+
+    def pick(*values: str) -> str:
+        return f"element_at(array{values}, CAST(s_suppkey % {len(values)} + 1 AS INT))"
+
+    return table(spark, sf_dir, "supplier").selectExpr(
+        "s_suppkey AS courier_no",
+        "CAST(s_suppkey AS INT) AS raw_id",
+        "concat('C-N', s_nationkey, '-', s_suppkey) AS courier_id",
+        "split_part(s_name, '#', 1) AS first_name",
+        "split_part(s_name, '#', 2) AS last_name",
+        f"{pick('bike', 'car', 'scooter')} AS vehicle_type",
+        "concat('M', s_nationkey) AS vehicle_info",
+        f"{pick('B2B', 'Full-time', 'Part-time', 'Seasonal')} AS contract_type",
+        "'active' AS active_status",
+        "TIMESTAMP_NTZ '2024-01-01 10:00:00' AS ingested_at",
+        "'HR_System' AS source_system",
+        "concat('PIZ-N', s_nationkey, '-001') AS pizzeria_id",
+        "CAST((s_suppkey % 10) / 100 AS DECIMAL(10,4)) AS accident_risk_factor",
+        "CAST((s_suppkey % 7) / 10 AS DECIMAL(10,2)) AS fatigue_resistance",
+        "CAST(s_suppkey % 8 + 2 AS DECIMAL(10,2)) AS vehicle_range_km",
+        f"{pick('Private', 'Company')} AS vehicle_ownership",
+        f"{pick('Standard', 'Pro')} AS equipment_set",
+        f"{pick('High', 'Medium', 'Low')} AS performance_level",
     )
 
 
 def bases(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Nations as the base file. Some couriers' codes point to a base that is not there."""
-    n, key = table(spark, sf_dir, "nation").where("n_nationkey < 20"), F.col("n_nationkey").cast("long")
-    return n.select(
-        key.alias("base_no"),
-        key.cast("int").alias("raw_id"),
-        F.concat(F.lit("PIZ-N"), key.cast("string"), F.lit("-001")).alias("pizzeria_id"),
-        F.col("n_name").alias("pizzeria_name"),
-        F.lit("Warsaw").alias("city"),
-        F.concat(F.lit("ul. "), F.col("n_name")).alias("address_raw"),
-        (F.lit(52.13) + (key % 5) * F.lit(0.05)).alias("lat"),
-        (F.lit(20.95) + F.floor(key / 5) * F.lit(0.08)).alias("lon"),
-        F.concat(F.lit("Manager "), F.col("n_name")).alias("manager_info"),
-        ntz("2024-01-01 10:00:00").alias("ingested_at"),
+    return table(spark, sf_dir, "nation").where("n_nationkey < 20").selectExpr(
+        "CAST(n_nationkey AS BIGINT) AS base_no",
+        "n_nationkey AS raw_id",
+        "concat('PIZ-N', n_nationkey, '-001') AS pizzeria_id",
+        "n_name AS pizzeria_name",
+        "'Warsaw' AS city",
+        "concat('ul. ', n_name) AS address_raw",
+        "52.13D + (n_nationkey % 5) * 0.05D AS lat",
+        "20.95D + (n_nationkey div 5) * 0.08D AS lon",
+        "concat('Manager ', n_name) AS manager_info",
+        "TIMESTAMP_NTZ '2024-01-01 10:00:00' AS ingested_at",
     )
 
 
 def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customers as the customer file."""
-    c, key = table(spark, sf_dir, "customer"), F.col("c_custkey")
-    return c.select(
-        key.cast("int").alias("raw_id"),
-        key.alias("customer_id"),
-        F.col("c_name").alias("full_name"),
-        F.concat(F.col("c_name"), F.lit("@example.com")).alias("email"),
-        F.lit("ul. Krucza").alias("address_raw"),
-        (F.lit(52.13) + (key % 200) * F.lit(0.001)).alias("lat"),
-        (F.lit(20.95) + (key * 7 % 320) * F.lit(0.001)).alias("lon"),
-        F.col("c_mktsegment").alias("segment_tag"),
-        ntz("2024-01-01 10:00:00").alias("ingested_at"),
-        F.lit("App").alias("source_system"),
+    return table(spark, sf_dir, "customer").selectExpr(
+        "CAST(c_custkey AS INT) AS raw_id",
+        "c_custkey AS customer_id",
+        "c_name AS full_name",
+        "concat(c_name, '@example.com') AS email",
+        "'ul. Krucza' AS address_raw",
+        "52.13D + (c_custkey % 200) * 0.001D AS lat",
+        "20.95D + (c_custkey * 7 % 320) * 0.001D AS lon",
+        "c_mktsegment AS segment_tag",
+        "TIMESTAMP_NTZ '2024-01-01 10:00:00' AS ingested_at",
+        "'App' AS source_system",
     )
 
 

@@ -8,22 +8,26 @@ from pyspark.sql import functions as F
 from fleetfold.functions.time import col, instant
 
 # Delivery zones and order statuses.
-ZONES = [
-    (1, "Zone 1", "Ultra-Urban (Center)", "0.85"),
-    (2, "Zone 2", "Urban", "0.60"),
-    (3, "Zone 3", "Residential", "0.35"),
-    (4, "Zone 4", "Suburban", "0.15"),
-    (5, "Zone 5", "Rural/Outskirts", "0.05"),
-]
-STATUSES = [
-    (1, "IDLE", "Inactive", False),
-    (2, "PREPARING", "In Progress", False),
-    (3, "IN_REALIZATION", "In Progress", False),
-    (4, "AT_CUSTOMER", "In Progress", False),
-    (5, "DELIVERED", "Completed", True),
-    (6, "RETURNING", "Inactive", False),
-    (7, "CRITICAL_FAILURE", "Terminated", True),
-]
+ZONES = """
+VALUES
+  (1, 'Zone 1', 'Ultra-Urban (Center)', 0.85),
+  (2, 'Zone 2', 'Urban', 0.60),
+  (3, 'Zone 3', 'Residential', 0.35),
+  (4, 'Zone 4', 'Suburban', 0.15),
+  (5, 'Zone 5', 'Rural/Outskirts', 0.05)
+  AS zones(zone_key, zone_name, zone_type, traffic_drag)
+"""
+STATUSES = """
+VALUES
+  (1, 'IDLE', 'Inactive', false),
+  (2, 'PREPARING', 'In Progress', false),
+  (3, 'IN_REALIZATION', 'In Progress', false),
+  (4, 'AT_CUSTOMER', 'In Progress', false),
+  (5, 'DELIVERED', 'Completed', true),
+  (6, 'RETURNING', 'Inactive', false),
+  (7, 'CRITICAL_FAILURE', 'Terminated', true)
+  AS statuses(status_key, status_name, status_category, is_final_status)
+"""
 SEASON_BY_MONTH = {
     12: "Winter", 1: "Winter", 2: "Winter", 3: "Spring", 4: "Spring", 5: "Spring",
     6: "Summer", 7: "Summer", 8: "Summer", 9: "Autumn", 10: "Autumn", 11: "Autumn",
@@ -32,14 +36,12 @@ UNKNOWN_KEY = -1
 
 
 def delivery_zones(spark: SparkSession) -> DataFrame:
-    rows = spark.createDataFrame(ZONES, "zone_key int, zone_name string, zone_type string, traffic_drag string")
-    return rows.withColumn("traffic_drag", F.col("traffic_drag").cast("decimal(10,2)"))
+    zones = spark.sql(f"SELECT * FROM {ZONES}")
+    return zones.withColumn("traffic_drag", F.col("traffic_drag").cast("decimal(10,2)"))
 
 
 def order_statuses(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(
-        STATUSES, "status_key int, status_name string, status_category string, is_final_status boolean"
-    )
+    return spark.sql(f"SELECT * FROM {STATUSES}")
 
 
 def date_spine(bounds: DataFrame, first: Column | str, last: Column | str) -> DataFrame:

@@ -14,7 +14,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fleetfold.functions.time import instant
-from fleetfold.plans.ordered import with_position
+from fleetfold.plans.ordered import MAX_GROUP_ROWS, with_position
+from fleetfold.session import pin
 
 
 def latest_per_key(df: DataFrame, keys: list[str], order: list[str], first: bool = False) -> DataFrame:
@@ -55,9 +56,11 @@ def changed_rows(target: DataFrame, staged: DataFrame, key: str, tracked: list[s
     return both.where(differs("t", "s", tracked)).select("s.*")
 
 
-def surrogate_keys(rows: DataFrame, natural_key: str, name: str, after: int = 0) -> DataFrame:
+def surrogate_keys(
+    rows: DataFrame, natural_key: str, name: str, after: int = 0, max_group_rows: int = MAX_GROUP_ROWS
+) -> DataFrame:
     """Dense numbers ``after + 1 ...`` in the order of the natural key."""
-    numbered = with_position(rows, [natural_key], "_position")
+    numbered = with_position(rows, [natural_key], "_position", max_group_rows)
     return numbered.withColumn(name, F.col("_position") + F.lit(after).cast("long")).drop("_position")
 
 
@@ -87,7 +90,9 @@ def scd1_merge(target: DataFrame, staged: DataFrame, key: str, surrogate: str |
 
 
 def _number_new(merged: DataFrame, key: str, surrogate: str, after: int) -> DataFrame:
-    new = surrogate_keys(merged.where(F.col(surrogate).isNull()).drop(surrogate), key, surrogate, after)
+    """Numbers for the rows that have none; these are written once, as they are read more than once."""
+    new = pin(merged.where(F.col(surrogate).isNull()).drop(surrogate), "new_members")
+    new = surrogate_keys(new, key, surrogate, after)
     return merged.where(F.col(surrogate).isNotNull()).unionByName(new.select(*merged.columns))
 
 

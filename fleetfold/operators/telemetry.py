@@ -36,7 +36,8 @@ def latest_per_order(pings: DataFrame, ts: str = "timestamp", tie: str = "event_
 
 def allowed_transitions(spark: SparkSession) -> DataFrame:
     pairs = REGULAR_CHANGES + [(s, FAILURE) for s in MAY_FAIL] + [(s, s) for s in MAY_REPEAT]
-    return spark.createDataFrame(pairs, "from_status string, to_status string")
+    rows = ", ".join(f"('{a}', '{b}')" for a, b in pairs)
+    return spark.sql(f"SELECT * FROM VALUES {rows} AS allowed(from_status, to_status)")
 
 
 def status_transitions(

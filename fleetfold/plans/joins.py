@@ -36,10 +36,11 @@ def salted(
 ) -> DataFrame:
     """Equi-join in which a hot key of ``facts`` meets one copy of its lookup row per salt.
 
-    ``spread_by`` names columns that tell the rows of one key apart. Only hot keys are copied.
+    ``spread_by`` names columns that tell the rows of one key apart. Only hot keys are copied; rows
+    without a key are spread too, as they match nothing.
     """
     hot = F.broadcast(hot_keys(facts, key, share).withColumn("_hot", F.lit(True)))
-    salt: Column = F.when(F.col("_hot"), F.pmod(F.xxhash64(*spread_by), F.lit(salts)).cast("int")).otherwise(0)
+    salt: Column = F.when(F.col("_hot") | F.col(key).isNull(), F.pmod(F.xxhash64(*spread_by), F.lit(salts)).cast("int")).otherwise(0)
     copies = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
     left = facts.join(hot, key, "left").withColumn("_salt", salt).drop("_hot")
     right = side.join(hot, key, "left").withColumn("_salt", F.explode(copies)).drop("_hot")

@@ -9,6 +9,8 @@ number of ranges, hence safe to broadcast.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -18,20 +20,27 @@ RANGE = "_range"
 MAX_GROUP_ROWS = 2_000_000
 
 
-def largest_group(df: DataFrame, keys: list[str]) -> int:
-    return df.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
-
-
-def _one_task_per_group(df: DataFrame, keys: list[str], max_group_rows: int) -> bool:
-    return bool(keys) and largest_group(df, keys) <= max_group_rows
+def group_sizes(df: DataFrame, keys: list[str]) -> tuple[int, int]:
+    """Rows of the largest group, and of all. Without keys the whole table is one group."""
+    sizes = df.groupBy(*keys).count().agg(F.max("count"), F.sum("count")).first()
+    return sizes[0] or 0, sizes[1] or 0
 
 
-def _cut(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+def _cut(df: DataFrame, keys: list[str], order: list[str], ranges: int) -> DataFrame:
     """Even ranges of (keys, order). Pinned, since range bounds are sampled and must not move."""
-    ranged = df.repartitionByRange(*keys, *order).withColumn(RANGE, F.spark_partition_id())
+    ranged = df.repartitionByRange(ranges, *keys, *order).withColumn(RANGE, F.spark_partition_id())
     return pin(ranged, "ranges")
 
 
+def _cut_if_needed(df: DataFrame, keys: list[str], order: list[str], max_group_rows: int) -> DataFrame | None:
+    """None if every group fits one task, else the rows in ranges of about the permitted size."""
+    largest, total = group_sizes(df, keys)
+    if max_group_rows > 0 and largest <= max_group_rows:
+        return None
+    at_least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return _cut(df, keys, order, max(at_least, math.ceil(total / max(max_group_rows, 1_000_000))))
+
+
 def with_previous(
     df: DataFrame,
     keys: list[str],
@@ -45,10 +54,10 @@ def with_previous(
     ``order`` must be unique within a key.
     """
     row = F.struct(*columns)
-    if _one_task_per_group(df, keys, max_group_rows):
+    cut = _cut_if_needed(df, keys, order, max_group_rows)
+    if cut is None:
         before = df.withColumn("_before", F.lag(row).over(Window.partitionBy(*keys).orderBy(*order)))
     else:
-        cut = _cut(df, keys, order)
         key = F.struct(*keys) if keys else F.struct(F.lit(0))
         # The last row of each range, seen from the next range that has rows.
         tails = cut.groupBy(RANGE).agg(
@@ -81,7 +90,7 @@ def with_running(
 ) -> DataFrame:
     """Add running aggregates up to and including each row: ``{name: ("sum" | "max", column)}``.
 
-    Without keys the order spans the whole table, still in parallel. ``order`` must be unique
+    Without keys the order spans the whole table, which is then the group that is measured. ``order`` must be unique
     within a key; sums should be over integers or decimals, so that their order does not matter.
     """
 
@@ -89,11 +98,11 @@ def with_running(
         return getattr(F, kind)(column).over(window)
 
     so_far = (Window.unboundedPreceding, Window.currentRow)
-    if _one_task_per_group(df, keys, max_group_rows):
+    cut = _cut_if_needed(df, keys, order, max_group_rows)
+    if cut is None:
         window = Window.partitionBy(*keys).orderBy(*order).rowsBetween(*so_far)
         return df.select("*", *[over(kind, c, window).alias(name) for name, (kind, c) in measures.items()])
 
-    cut = _cut(df, keys, order)
     totals = cut.groupBy(RANGE, *keys).agg(*[getattr(F, kind)(c).alias(name) for name, (kind, c) in measures.items()])
     earlier = Window.partitionBy(*keys).orderBy(RANGE).rowsBetween(Window.unboundedPreceding, -1)
     # A key reaches back over a range's start in at most one case per range: its first key.
@@ -116,7 +125,9 @@ def with_running(
     return joined.select(*df.columns, *merged)
 
 
-def with_position(df: DataFrame, order: list[str], name: str = "position") -> DataFrame:
+def with_position(
+    df: DataFrame, order: list[str], name: str = "position", max_group_rows: int = MAX_GROUP_ROWS
+) -> DataFrame:
     """Dense row number 1..n over the whole table in the given unique order."""
-    numbered = with_running(df.withColumn("_one", F.lit(1).cast("long")), [], order, {name: ("sum", "_one")})
-    return numbered.drop("_one")
+    ones = df.withColumn("_one", F.lit(1).cast("long"))
+    return with_running(ones, [], order, {name: ("sum", "_one")}, max_group_rows).drop("_one")

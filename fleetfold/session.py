@@ -37,6 +37,8 @@ def build_session(app: str = "fleetfold", cores: int | str = "*", **conf: str) -
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", partitions)
         .config("spark.driver.memory", "8g")
+        # Call sites in error messages cost several calls into the JVM per column expression.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     for name, value in {**SETTINGS, **conf}.items():
         builder = builder.config(name, value)
