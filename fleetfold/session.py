@@ -53,11 +53,12 @@ def _local_base() -> str:
 
 
 def shared_base(spark: SparkSession) -> str:
-    """The folder all executors can reach: ``spark.checkpoint.dir`` of the session.
+    """The folder all executors can reach: ``spark.checkpoint.dir`` of the session, or the
+    checkpoint folder its context was given.
 
-    Only a local session may do without it; it then gets one private folder per process.
+    Only a local session may do without; it then gets one private folder per process.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if base:
         return base.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
