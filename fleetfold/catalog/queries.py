@@ -360,8 +360,8 @@ def scd2_asof_join(spark, sf):
     p = views.pings(spark, sf).select("event_id", F.col("courier_id").alias("courier_no"), "timestamp")
     coded = lookup(p, codes, "courier_no")
     history = _courier_history(spark, sf)
-    return star.as_of_join(coded, history.withColumnRenamed("courier_id", "code"), "code", "timestamp", ["vehicle", "valid_from"]) \
-        .select("event_id", "code", "vehicle", "valid_from")
+    joined = star.as_of_join(coded, history.withColumnRenamed("courier_id", "code"), "code", "timestamp", ["vehicle", "valid_from"])
+    return joined.select("event_id", "code", "vehicle", "valid_from")
 
 
 @query
@@ -780,6 +780,7 @@ def live_orders_stream(spark, sf):
 @query
 def order_perf_stream(spark, sf):
     bronze, d = _bronze_pings(spark, sf), _keyed_dims(spark, sf)
+    d = {name: pin(dim, "dimension") for name, dim in d.items()}
     source = files.stream_json(spark, bronze, schemas.TELEMETRY_EVENT, _quarter_of_files(spark, bronze))
     facts = live.performance_table(spark, scratch(spark, "order_performance"))
     customers = d["customer"].withColumn("customer_id", F.col("customer_id").cast("string"))

@@ -29,7 +29,7 @@ def plus_seconds(ts: Column, seconds: Column) -> Column:
 
 def pings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as courier pings, in the names of the telemetry feed."""
-    events = table(spark, sf_dir, "events").selectExpr("*", "CAST(get_json_object(props, '$.k') AS BIGINT) AS k")
+    events = table(spark, sf_dir, "events").selectExpr("*", r"""CAST(regexp_extract(props, '"k": *([0-9]+)', 1) AS BIGINT) AS k""")
     day = "CAST(CAST(ts AS DATE) AS TIMESTAMP_NTZ)"
     return events.selectExpr(
         "event_id",

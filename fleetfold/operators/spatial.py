@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fleetfold.functions.geo import EARTH_RADIUS_KM, grid_cell, haversine_km, zone_of
@@ -89,13 +89,10 @@ def _keep_possible(pairs: DataFrame, size: float) -> DataFrame:
     than m + 2r from the centre loses to that site everywhere in the cell (triangle inequality).
     """
     reach = haversine_km(_centre("_cx", size), _centre("_cy", size), "_lat", "_lon")
-    best = F.min("_reach").over(Window.partitionBy("_cx", "_cy"))
-    return (
-        pairs.withColumn("_reach", reach)
-        .withColumn("_best", best)
-        .where(F.col("_reach") <= F.col("_best") + F.lit(2 * _cell_radius_km(size)))
-        .drop("_reach", "_best")
-    )
+    reached = pairs.withColumn("_reach", reach)
+    best = reached.groupBy("_cx", "_cy").agg(F.min("_reach").alias("_best"))
+    near = F.col("_reach") <= F.col("_best") + F.lit(2 * _cell_radius_km(size))
+    return reached.join(best, ["_cx", "_cy"]).where(near).drop("_reach", "_best")
 
 
 def nearest_base(

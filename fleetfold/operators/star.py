@@ -11,6 +11,7 @@ from fleetfold.functions.delivery import (
 from fleetfold.functions.time import seconds_between
 from fleetfold.operators.dims import UNKNOWN_KEY
 from fleetfold.plans.joins import lookup
+from fleetfold.plans.ordered import MAX_GROUP_ROWS, group_sizes, with_running
 
 
 def _key_of(dim: DataFrame, natural: str, surrogate: str, as_name: str | None = None) -> DataFrame:
@@ -54,19 +55,43 @@ def fact_keys(
     )
 
 
+MAX_VERSIONS_PER_KEY = 1_000
+
+
 def as_of_join(
-    facts: DataFrame, versions: DataFrame, key: str, at: str, columns: list[str], how: str = "left"
+    facts: DataFrame,
+    versions: DataFrame,
+    key: str,
+    at: str,
+    columns: list[str],
+    max_versions: int = MAX_VERSIONS_PER_KEY,
+    max_group_rows: int = MAX_GROUP_ROWS,
 ) -> DataFrame:
-    """Facts with the dimension version valid at their time, in half-open intervals.
+    """Facts with the dimension version valid at their time, in half-open intervals; null if none is.
 
-    An equi-join on the key with the interval as residual condition, so a fact meets only the
-    versions of its own key.
+    While no key has many versions this is an equi-join on the key with the interval as residual
+    condition. Otherwise facts and versions are put in one order of time per key and each fact
+    takes the last version before it, so that the work stays linear whatever the key.
     """
-    v = versions.select(
-        F.col(key).alias("_key"), F.col("valid_from").alias("_from"), F.col("valid_to").alias("_to"), *columns
+    largest, _ = group_sizes(versions, [key])
+    if largest <= max_versions:
+        v = versions.select(
+            F.col(key).alias("_key"), F.col("valid_from").alias("_from"), F.col("valid_to").alias("_to"), *columns
+        )
+        valid = (F.col(at) >= F.col("_from")) & (F.col("_to").isNull() | (F.col(at) < F.col("_to")))
+        return lookup(facts, v, (F.col(key) == F.col("_key")) & valid).drop("_key", "_from", "_to")
+
+    fact, version = F.struct(*facts.columns), F.struct("valid_from", "valid_to", *columns)
+    marks = versions.where(F.col(key).isNotNull()).select(
+        F.col(key).alias("_key"), F.col("valid_from").alias("_at"), F.lit(0).alias("_kind"), version.alias("_version")
     )
-    valid = (F.col(at) >= F.col("_from")) & (F.col("_to").isNull() | (F.col(at) < F.col("_to")))
-    return lookup(facts, v, (F.col(key) == F.col("_key")) & valid, how).drop("_key", "_from", "_to")
+    rows = facts.select(F.col(key).alias("_key"), F.col(at).alias("_at"), F.lit(1).alias("_kind"), fact.alias("_fact"))
+    merged = marks.unionByName(rows, allowMissingColumns=True)
+    ordered = with_running(merged, ["_key"], ["_at", "_kind"], {"_last": ("max", "_version")}, max_group_rows)
+    to = F.col("_last.valid_to")
+    valid = to.isNull() | (F.col("_at") < to)
+    found = [F.when(valid, F.col(f"_last.{c}")).alias(c) for c in columns]
+    return ordered.where("_kind = 1").select("_fact.*", *found)
 
 
 def courier_with_base(couriers: DataFrame, bases: DataFrame, on: str = "pizzeria_id") -> DataFrame:

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,7 +12,7 @@ from fleetfold.operators import dims
 from fleetfold.operators.clean import enforce_types
 from fleetfold.operators.kpi import daily_kpi
 from fleetfold.operators.merge import COURIER_TRACKED, scd1_merge, scd2_merge
-from fleetfold.sources.files import read_csv, read_partition
+from fleetfold.sources.files import path_exists, read_csv, read_partition
 from fleetfold.sources.tables import VersionedTable, compact, replace_partitions
 from fleetfold.streaming.ingest import silver_orders, silver_telemetry
 
@@ -91,14 +90,21 @@ def run_daily(spark: SparkSession, lake: str, process_date: str, as_of=None, max
     for name, df in silver_dimensions(spark, bronze, as_of).items():
         df.write.mode("overwrite").parquet(f"{silver}/dimension/{name}")
         staged[name] = spark.read.parquet(f"{silver}/dimension/{name}")
-    drains: list[Callable] = [
-        lambda: silver_orders(spark, f"{bronze}/orders", f"{silver}/orders", f"{state}/orders", max_files, None, as_of),
-        lambda: silver_telemetry(spark, f"{bronze}/telemetry", f"{silver}/telemetry", f"{state}/telemetry", max_files, None, as_of),
-    ]
-    for drain in drains:
-        drain().awaitTermination()
+    for name, drain in (("orders", silver_orders), ("telemetry", silver_telemetry)):
+        if path_exists(spark, f"{bronze}/{name}"):
+            drain(spark, f"{bronze}/{name}", f"{silver}/{name}", f"{state}/{name}", max_files, as_of=as_of).awaitTermination()
     load_gold_dimensions(spark, gold, staged, as_of)
-    day = read_partition(spark, f"{silver}/orders", "order_date", process_date)
-    replace_partitions(daily_kpi(day, as_of), f"{gold}/daily_sales_fact", "order_date")
+    daily_figures(spark, lake, process_date, as_of)
+    compact_silver(spark, lake)
+
+
+def daily_figures(spark: SparkSession, lake: str, process_date: str, as_of=None) -> None:
+    """Key figures of one date, replacing what was stored for it; no orders, no change."""
+    day = read_partition(spark, f"{lake}/silver/orders", "order_date", process_date)
+    replace_partitions(daily_kpi(day, as_of), f"{lake}/gold/daily_sales_fact", "order_date")
+
+
+def compact_silver(spark: SparkSession, lake: str) -> None:
     for name, by in (("orders", "order_date"), ("telemetry", "event_date")):
-        compact(spark, f"{silver}/{name}", VersionedTable(spark, f"{silver}/{name}_compacted", by))
+        if path_exists(spark, f"{lake}/silver/{name}"):
+            compact(spark, f"{lake}/silver/{name}", VersionedTable(spark, f"{lake}/silver/{name}_compacted", by))

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from fleetfold.session import pin
 
-RANGE = "_range"
+RANGE = "__range"
 MAX_GROUP_ROWS = 2_000_000
 
 
@@ -56,25 +56,25 @@ def with_previous(
     row = F.struct(*columns)
     cut = _cut_if_needed(df, keys, order, max_group_rows)
     if cut is None:
-        before = df.withColumn("_before", F.lag(row).over(Window.partitionBy(*keys).orderBy(*order)))
+        before = df.withColumn("__before", F.lag(row).over(Window.partitionBy(*keys).orderBy(*order)))
     else:
         key = F.struct(*keys) if keys else F.struct(F.lit(0))
         # The last row of each range, seen from the next range that has rows.
         tails = cut.groupBy(RANGE).agg(
             F.max(F.struct(key.alias("key"), F.struct(*order).alias("at"), row.alias("row"))).alias("tail")
         )
-        carried = tails.select(RANGE, F.lag("tail").over(Window.orderBy(RANGE)).alias("_carried"))
+        carried = tails.select(RANGE, F.lag("tail").over(Window.orderBy(RANGE)).alias("__carried"))
         inside = F.lag(row).over(Window.partitionBy(RANGE, *keys).orderBy(*order))
         before = (
-            cut.withColumn("_inside", inside)
+            cut.withColumn("__inside", inside)
             .join(F.broadcast(carried), RANGE, "left")
             .withColumn(
-                "_before",
-                F.coalesce("_inside", F.when(F.col("_carried.key").eqNullSafe(key), F.col("_carried.row"))),
+                "__before",
+                F.coalesce("__inside", F.when(F.col("__carried.key").eqNullSafe(key), F.col("__carried.row"))),
             )
-            .drop("_inside", "_carried", RANGE)
+            .drop("__inside", "__carried", RANGE)
         )
-    added = [F.col(f"_before.{c}").alias(prefix + c) for c in columns]
+    added = [F.col(f"__before.{c}").alias(prefix + c) for c in columns]
     return before.select(*df.columns, *added)
 
 
@@ -108,18 +108,18 @@ def with_running(
     # A key reaches back over a range's start in at most one case per range: its first key.
     carried = totals.select(
         RANGE,
-        (F.struct(*keys) if keys else F.struct(F.lit(0))).alias("_key"),
-        F.count(F.lit(1)).over(earlier).alias("_earlier"),
-        *[over(kind, name, earlier).alias(f"_{name}") for name, (kind, _) in measures.items()],
-    ).where("_earlier > 0")
+        (F.struct(*keys) if keys else F.struct(F.lit(0))).alias("__key"),
+        F.count(F.lit(1)).over(earlier).alias("__earlier"),
+        *[over(kind, name, earlier).alias(f"__{name}") for name, (kind, _) in measures.items()],
+    ).where("__earlier > 0")
     inside = Window.partitionBy(RANGE, *keys).orderBy(*order).rowsBetween(*so_far)
     key = F.struct(*keys) if keys else F.struct(F.lit(0))
     joined = cut.select("*", *[over(kind, c, inside).alias(name) for name, (kind, c) in measures.items()]).join(
         F.broadcast(carried), RANGE, "left"
     )
-    reaches = F.col("_key").eqNullSafe(key)
+    reaches = F.col("__key").eqNullSafe(key)
     merged = [
-        _MERGE[kind](F.col(name), F.when(reaches, F.col(f"_{name}"))).alias(name)
+        _MERGE[kind](F.col(name), F.when(reaches, F.col(f"__{name}"))).alias(name)
         for name, (kind, _) in measures.items()
     ]
     return joined.select(*df.columns, *merged)
@@ -129,5 +129,5 @@ def with_position(
     df: DataFrame, order: list[str], name: str = "position", max_group_rows: int = MAX_GROUP_ROWS
 ) -> DataFrame:
     """Dense row number 1..n over the whole table in the given unique order."""
-    ones = df.withColumn("_one", F.lit(1).cast("long"))
-    return with_running(ones, [], order, {name: ("sum", "_one")}, max_group_rows).drop("_one")
+    ones = df.withColumn("__one", F.lit(1).cast("long"))
+    return with_running(ones, [], order, {name: ("sum", "__one")}, max_group_rows).drop("__one")

@@ -2,11 +2,28 @@
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(folder)
+
+
+def wait_for_path(spark: SparkSession, path: str, poll_seconds: float = 5.0, timeout_seconds: float | None = None) -> bool:
+    """Wait until a feed's folder appears; false when the time is up."""
+    start = time.monotonic()
+    while not path_exists(spark, path):
+        if timeout_seconds is not None and time.monotonic() - start >= timeout_seconds:
+            return False
+        time.sleep(poll_seconds)
+    return True
+
+
 def read_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """Header CSV with declared types; a value that does not fit its type becomes null."""
     return spark.read.schema(schema).option("header", True).option("mode", "PERMISSIVE").csv(path)

@@ -113,9 +113,12 @@ class BatchTable:
         """The batch is part of the folded base, so that its replay must change nothing."""
         return self._live()[0] >= batch_id
 
-    def put(self, rows: DataFrame, batch_id: int) -> None:
-        if not self.contains(batch_id):
-            rows.write.mode("overwrite").parquet(f"{self.root}/batch_id={batch_id}")
+    def put(self, rows: DataFrame, batch_id: int) -> bool:
+        """Write a batch, or nothing if it is in the base already; tells whether it was written."""
+        if self.contains(batch_id):
+            return False
+        rows.write.mode("overwrite").parquet(f"{self.root}/batch_id={batch_id}")
+        return True
 
     def read(self, upto: int | None = None) -> DataFrame | None:
         """Current rows, one per key; ``upto`` leaves later batches out."""

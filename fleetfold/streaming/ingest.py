@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from fleetfold.operators.clean import clean_orders, clean_telemetry
@@ -14,10 +15,11 @@ FILES_PER_DRAIN = 10_000
 
 
 def drain_to_parquet(rows: DataFrame, path: str, checkpoint: str, by: str | None = None) -> StreamingQuery:
-    """Append what is there now, then stop. Rows of one partition meet in one task before the write,
-    so a task does not open a file in every partition."""
+    """Append what is there now, then stop. Rows of one partition are gathered before the write, so
+    that a task does not open a file in every partition; a partition that holds most of a
+    micro-batch is split again by adaptive execution."""
     if by is not None:
-        rows = rows.repartition(by)
+        rows = rows.hint("rebalance", F.col(by))
     writer = rows.writeStream.outputMode("append").format("parquet").option("path", path)
     writer = writer.option("checkpointLocation", checkpoint).option("maxRecordsPerFile", MAX_ROWS_PER_FILE)
     if by is not None:

@@ -6,32 +6,42 @@ overwrites its own directory. The batch is read once per run.
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from fleetfold.functions.time import micros
 from fleetfold.operators.clean import live_fleet_project, live_orders_project, order_perf_project
 from fleetfold.operators.merge import ORDER_PERFORMANCE, Policies, fold_state, insert_absent, latest_per_key, merge_states, read_state
 from fleetfold.operators.star import fact_keys
 from fleetfold.sources.tables import BatchTable, within_retention
 
 FLEET_ORDER = ["updated_at", "event_id"]
+LOG = logging.getLogger("fleetfold.live")
+PerBatch = Callable[[DataFrame, int], None]
 
 
-def start(stream: DataFrame, per_batch: Callable[[DataFrame, int], None], checkpoint: str, every: str | None) -> StreamingQuery:
+def start(stream: DataFrame, per_batch: PerBatch, checkpoint: str, every: str | None) -> StreamingQuery:
     """``every`` sets a periodic trigger; without it the query drains what is there and stops."""
     writer = stream.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if every is None else writer.trigger(processingTime=every)
     return writer.start()
 
 
-def counted(rows: DataFrame, name: str) -> tuple[DataFrame, Observation]:
-    """Count the rows while they are written, without a second pass."""
+def counted(rows: DataFrame, name: str, **more: Column) -> tuple[DataFrame, Observation]:
+    """Count the rows, and whatever else, while they are written, without a second pass."""
     seen = Observation(name)
-    return rows.observe(seen, F.count(F.lit(1)).alias("rows")), seen
+    return rows.observe(seen, F.count(F.lit(1)).alias("rows"), *[c.alias(n) for n, c in more.items()]), seen
+
+
+def put_and_log(table: BatchTable, rows: DataFrame, batch_id: int, what: str) -> None:
+    rows, seen = counted(rows, f"{what}-{batch_id}")
+    if table.put(rows, batch_id):
+        LOG.info("batch %d: %d %s", batch_id, seen.get["rows"], what)
 
 
 # Live fleet: newest ping per courier.
@@ -46,7 +56,7 @@ def live_fleet(
 ) -> StreamingQuery:
     def per_batch(batch: DataFrame, batch_id: int) -> None:
         newest = latest_per_key(live_fleet_project(batch), ["courier_id"], FLEET_ORDER)
-        table.put(newest, batch_id)
+        put_and_log(table, newest, batch_id, "couriers")
         if batch_id and batch_id % fold_every == 0:
             table.fold(batch_id)
 
@@ -74,7 +84,8 @@ def live_orders(
 ) -> StreamingQuery:
     def per_batch(batch: DataFrame, batch_id: int) -> None:
         if not table.contains(batch_id):
-            table.put(append_orders(table.read(batch_id - 1), live_orders_project(batch, as_of)), batch_id)
+            new = append_orders(table.read(batch_id - 1), live_orders_project(batch, as_of))
+            put_and_log(table, new, batch_id, "new orders")
         if batch_id and batch_id % fold_every == 0:
             table.fold(batch_id, None if keep_hours is None else within_retention("order_timestamp", as_of, keep_hours))
 
@@ -101,8 +112,10 @@ def order_performance(
     policies: Policies = ORDER_PERFORMANCE, as_of=None, fold_every: int = 50, keep_hours: int | None = 24,
 ) -> StreamingQuery:
     def per_batch(batch: DataFrame, batch_id: int) -> None:
+        batch, seen = counted(batch, f"pings-{batch_id}", without_order=F.count_if(F.col("order_id").isNull()))
         facts = fact_keys(order_perf_project(batch), dims.courier, dims.customer, dims.status, dims.pizzeria)
-        table.put(fold_state(facts, policies), batch_id)
+        if table.put(fold_state(facts, policies), batch_id):
+            LOG.info("batch %d: %d pings, %d without order", batch_id, seen.get["rows"], seen.get["without_order"])
         if batch_id and batch_id % fold_every == 0:
             keep = None if keep_hours is None else within_retention(F.col("first.order_timestamp"), as_of, keep_hours)
             table.fold(batch_id, keep)
@@ -115,6 +128,31 @@ def read_performance(table: BatchTable, policies: Policies = ORDER_PERFORMANCE)
     return None if state is None else read_state(state, policies)
 
 
+# Events that come too late for the live view are set aside for the batch layer.
+
+
+def split_late(on_time: PerBatch, seen: BatchTable, late: BatchTable, ts: Column, minutes: int = 10) -> PerBatch:
+    """Wrap a batch function so that it gets the events a watermark would let through.
+
+    ``seen`` keeps the greatest event time of each batch, one row per batch; ``late`` takes the
+    rest. The rule is that of ``late_data_split``, so a batch that is taken again is split alike.
+    """
+
+    def per_batch(batch: DataFrame, batch_id: int) -> None:
+        seen.put(batch.agg(F.max(micros(ts)).alias("seen_us")), batch_id)
+        earlier = seen.read(batch_id - 2)
+        greatest = None if earlier is None else earlier.agg(F.max("seen_us")).first()[0]
+        if greatest is None:
+            late.put(batch.where(F.lit(False)), batch_id)
+            return on_time(batch, batch_id)
+        watermark = (greatest // 1000 - minutes * 60_000) * 1000
+        is_late = F.coalesce(micros(ts) <= F.lit(watermark), F.lit(False))
+        late.put(batch.where(is_late), batch_id)
+        return on_time(batch.where(~is_late), batch_id)
+
+    return per_batch
+
+
 # Copies within ten minutes of event time.
 
 

@@ -166,6 +166,25 @@ def test_late_twin_drops_what_the_watermark_drops(spark, path):
     assert {r.event_id for r in spark.read.parquet(out).collect()} == {r.event_id for r in twin.where("NOT is_late").collect()}
 
 
+def test_split_stream_sets_late_events_aside(spark, path):
+    minutes = [[0, 5], [30, 2], [21, 19, 40], [12, 29, 31, 50], [39, 40, 41, 20]]
+    feed, rows = Feed(path("bronze"), schemas.TELEMETRY_EVENT), []
+    for batch, ms in enumerate(minutes, start=1):
+        events = [ping("A", f"o{batch}-{i}", m * 60, "IDLE") for i, m in enumerate(ms)]
+        feed.add(*events)
+        rows += [(batch, e["event_id"], e["timestamp"]) for e in events]
+    kept, late = BatchTable(spark, path("kept")), BatchTable(spark, path("late"))
+    split = live.split_late(
+        lambda df, n: kept.put(df, n), BatchTable(spark, path("seen")), late, F.try_to_timestamp("timestamp")
+    )
+    live.start(feed.stream(spark), split, path("cp"), None).awaitTermination()
+    df = spark.createDataFrame(rows, "batch int, event_id string, t string").withColumn("ts", F.try_to_timestamp("t"))
+    twin = telemetry.late_data_split(df, "batch", "ts")
+    expected = {r.event_id for r in twin.where("is_late").collect()}
+    assert expected and {r.event_id for r in late.read().collect()} == expected
+    assert {r.event_id for r in kept.read().collect()} == {r[1] for r in rows} - expected
+
+
 def test_rows_are_counted_while_they_are_written(spark, path):
     rows, seen = live.counted(spark.range(7), "written")
     rows.write.parquet(path())

@@ -118,12 +118,16 @@ def test_calendar(spark):
 
 def test_point_in_time_lookup_is_half_open(spark):
     versions = spark.createDataFrame(
-        [("a", "bike", 0, 10), ("a", "car", 10, None)], "k string, v string, f long, t long"
+        [("a", "bike", 0, 10), ("a", "car", 10, None), ("c", "gone", 0, 5), (None, "none", 0, None)], "k string, v string, f long, t long"
     ).select("k", "v", F.timestamp_seconds("f").alias("valid_from"), F.timestamp_seconds("t").alias("valid_to"))
-    facts = spark.createDataFrame([("a", 0), ("a", 9), ("a", 10), ("a", 99), ("a", -1), ("b", 5)], "k string, s long")
+    facts = spark.createDataFrame([("a", 0), ("a", 9), ("a", 10), ("a", 99), ("a", -1), ("b", 5), ("c", 4), ("c", 5), (None, 3)], "k string, s long")
     facts = facts.withColumn("at", F.timestamp_seconds("s"))
-    got = {(r.k, r.s): r.v for r in star.as_of_join(facts, versions, "k", "at", ["v"]).collect()}
-    assert got == {("a", 0): "bike", ("a", 9): "bike", ("a", 10): "car", ("a", 99): "car", ("a", -1): None, ("b", 5): None}
+    ways = [{}, {"max_versions": 0}, {"max_versions": 0, "max_group_rows": 0}]
+    results = [{(r.k, r.s): r.v for r in star.as_of_join(facts, versions, "k", "at", ["v"], **w).collect()} for w in ways]
+    got = results[0]
+    assert results[1] == got and results[2] == got
+    assert got == {("a", 0): "bike", ("a", 9): "bike", ("a", 10): "car", ("a", 99): "car", ("a", -1): None,
+                   ("b", 5): None, ("c", 4): "gone", ("c", 5): None, (None, 3): None}
 
 
 def test_exact_percentile_of_lag(spark):
