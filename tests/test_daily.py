@@ -69,3 +69,37 @@ def test_one_failing_dimension_does_not_hide(spark, path):
     with pytest.raises(RuntimeError, match="dim_courier"):
         daily.load_gold_dimensions(spark, gold, staged)
     assert VersionedTable(spark, f"{gold}/dim_delivery_zone").read().count() == 5
+
+
+def test_jobs_by_name_and_reports_in_sql(spark, path):
+    from fleetfold.__main__ import main
+    from fleetfold.plans.warehouse import register_gold, with_unknown_member
+
+    lake = path("lake")
+    write_csv(f"{lake}/bronze/couriers", schemas.COURIER_FILE, COURIER)
+    write_csv(f"{lake}/bronze/customers", schemas.CUSTOMER_FILE, CUSTOMER)
+    write_csv(f"{lake}/bronze/pizzerias", schemas.PIZZERIA_FILE, BASE)
+    Feed(f"{lake}/bronze/orders", schemas.ORDER_EVENT).add(order("a"), order("b", 5))
+    telemetry = Feed(f"{lake}/bronze/telemetry", schemas.TELEMETRY_EVENT).add(ping("C-WAW-01", "a", 4, "PREPARING"))
+    telemetry.add(ping("C-WAW-01", "a", 130, "DELIVERED"), ping("nobody", "b", 7, "AT_CUSTOMER"))
+    for job in ("gold-dimensions", "silver-orders", "silver-telemetry"):
+        main([job, "--lake", lake], spark)
+    for job in ("live-fleet", "live-orders", "order-performance"):
+        main([job, "--lake", lake, "--once"], spark)
+    main(["daily-kpi", "--lake", lake, "--process-date", "2026-01-06"], spark)
+    main(["daily-kpi", "--lake", lake, "--process-date", "1999-01-01"], spark)  # no orders: no change
+    main(["compact", "--lake", lake], spark)
+    with pytest.raises(SystemExit):
+        main(["daily", "--lake", lake], spark)
+
+    names = register_gold(spark, f"{lake}/gold", "2026-01-06 11:00:00")
+    assert {"v_order_360", "daily_sales_fact", "live_fleet_status", "dim_date"} <= set(names)
+    rows = spark.sql("SELECT * FROM v_order_360 ORDER BY order_id").collect()
+    a, b = rows
+    assert (a.courier_name, a.pizzeria_name, a.customer_name, a.zone_name) == ("Ann Lee", "Central", "Bob Ray", "Zone 2")
+    assert (a.raw_status, a.simple_order_status, a.realization_percent, a.delayed_delivery) == ("DELIVERED", "COMPLETED", 100.0, True)
+    assert str(a.gross_revenue) == "50.00" and a.average_speed_kmh == 360.0
+    assert (b.courier_name, b.raw_status, b.realization_percent) == (None, "AT_CUSTOMER", 99.0)
+    assert spark.sql("SELECT total_orders FROM daily_sales_fact").collect()[0][0] == 2
+    couriers = with_unknown_member(spark.table("dim_courier"), "courier_key")
+    assert sorted(r.courier_key for r in couriers.collect()) == [-1, 1]
