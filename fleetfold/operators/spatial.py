@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from fleetfold.functions.geo import EARTH_RADIUS_KM, grid_cell, haversine_km, zone_of
 from fleetfold.functions.time import col
+from fleetfold.session import pin
 
 # Fixed value: half the side of the search box, in degrees.
 SEARCH_RADIUS_DEG = 0.025
@@ -89,7 +90,7 @@ def _keep_possible(pairs: DataFrame, size: float) -> DataFrame:
     than m + 2r from the centre loses to that site everywhere in the cell (triangle inequality).
     """
     reach = haversine_km(_centre("_cx", size), _centre("_cy", size), "_lat", "_lon")
-    reached = pairs.withColumn("_reach", reach)
+    reached = pin(pairs.withColumn("_reach", reach), "reach")
     best = reached.groupBy("_cx", "_cy").agg(F.min("_reach").alias("_best"))
     near = F.col("_reach") <= F.col("_best") + F.lit(2 * _cell_radius_km(size))
     return reached.join(best, ["_cx", "_cy"]).where(near).drop("_reach", "_best")
