@@ -252,9 +252,6 @@ def oracles() -> dict[str, str]:
         LEFT JOIN dc ON dc.courier_id = c.courier_id LEFT JOIN bases b ON b.base_no = f.pizzeria_key - 500
         LEFT JOIN custs k ON k.customer_id = f.customer_key - 1 LEFT JOIN zones z ON z.zone_key = f.zone_no
         LEFT JOIN (SELECT * FROM ords WHERE gross_revenue >= 0) o ON o.order_id = f.order_id""", *star)
-    q["salted_lookup"] = with_views(
-        """SELECT d.courier_id, d.order_id, c.vehicle_type FROM deliveries d
-        LEFT JOIN couriers c ON c.courier_no = d.courier_id""", "deliveries", "couriers")
 
     q["insert_absent"] = with_views(
         f"""WITH {SNAPSHOTS} SELECT courier_id, courier_no, vehicle_type FROM snap2 s

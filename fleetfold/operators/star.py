@@ -40,8 +40,8 @@ def fact_keys(
     """
     statuses = _key_of(dim_status.withColumnRenamed("status_key", "_status_key"), "status_name", "_status_key", "status_key")
     keyed = base_by_courier_code(rows, dim_pizzeria)
-    keyed = lookup(keyed, _key_of(dim_courier, "courier_id", "courier_key"), "courier_id")
-    keyed = lookup(keyed, _key_of(dim_customer, "customer_id", "customer_key"), "customer_id")
+    keyed = lookup(keyed, _key_of(dim_courier, "courier_id", "courier_key"), "courier_id", spread_by=["order_id"])
+    keyed = lookup(keyed, _key_of(dim_customer, "customer_id", "customer_key"), "customer_id", spread_by=["order_id"])
     keyed = lookup(keyed, F.broadcast(statuses), "status_key")
     own = [c for c in rows.columns if c not in ("courier_id", "customer_id", "status_key", "zone_key")]
     return keyed.select(

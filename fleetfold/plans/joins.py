@@ -2,8 +2,8 @@
 
 Neither side is hinted: Catalyst broadcasts the lookup side only while its measured size stays
 below ``spark.sql.autoBroadcastJoinThreshold`` and otherwise sorts and merges, where adaptive
-execution splits partitions that a hot key has filled. ``salted`` is the way for a session without
-that splitting: it spreads each hot key over several partitions by itself.
+execution splits partitions that a hot key has filled. In a session without that splitting hot
+keys are spread by a salt instead.
 """
 
 from __future__ import annotations
@@ -14,7 +14,17 @@ from pyspark.sql import functions as F
 HOT_SHARE = 0.01  # fewer than 1 / HOT_SHARE keys can hold more than this share: a bounded table
 
 
-def lookup(facts: DataFrame, side: DataFrame, on, how: str = "left") -> DataFrame:
+def _splits_hot_partitions(df: DataFrame) -> bool:
+    conf = df.sparkSession.conf
+    names = ("spark.sql.adaptive.enabled", "spark.sql.adaptive.skewJoin.enabled")
+    return all(conf.get(n, "true").lower() == "true" for n in names)
+
+
+def lookup(facts: DataFrame, side: DataFrame, on, how: str = "left", spread_by: list[str] | None = None) -> DataFrame:
+    """Equi-join to a side with at most one row per key. ``spread_by`` names columns of ``facts``
+    that tell the rows of one key apart, should they have to be spread."""
+    if spread_by and not _splits_hot_partitions(facts):
+        return salted(facts, side, on, spread_by, how)
     return facts.join(side, on, how)
 
 

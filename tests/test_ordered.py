@@ -69,3 +69,16 @@ def test_salted_join_equals_plain_join(spark, skewed, how):
     plain = skewed.join(side, "k", how).select("k", "t", "id", "v", "w")
     salted = joins.salted(skewed, side, "k", ["id"], how, salts=5).select("k", "t", "id", "v", "w")
     assert as_set(salted) == as_set(plain)
+
+
+def test_lookup_spreads_hot_keys_itself_without_adaptive_splitting(spark, skewed):
+    side = spark.createDataFrame([("hot", 1)] + [(f"k{i}", i) for i in range(700)], "k string, w int")
+    plain = joins.lookup(skewed, side, "k", spread_by=["id"])
+    assert "_salt" not in plain._jdf.queryExecution().toString()
+    spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "false")
+    try:
+        spread = joins.lookup(skewed, side, "k", spread_by=["id"])
+        assert "_salt" in spread._jdf.queryExecution().toString()
+        assert as_set(spread.select(*plain.columns)) == as_set(plain)
+    finally:
+        spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
