@@ -697,9 +697,9 @@ def compact_partitions(spark, sf):
     path = scratch(spark, "orders_small_files")
     cleaned = clean.clean_orders(views.orders(spark, sf), now()).withColumn("order_month", _month("order_timestamp"))
     cleaned.repartition(4, "order_id").write.partitionBy("order_month").parquet(path)
-    compacted = tables.VersionedTable(spark, f"{path}_compacted", "order_month")
-    tables.compact(spark, path, compacted)
-    return compacted.read().groupBy("order_month").agg(
+    tables.compact(spark, path, f"{path}_compacted", "order_month")
+    compacted = spark.read.parquet(f"{path}_compacted")
+    return compacted.groupBy("order_month").agg(
         F.count(F.lit(1)).alias("orders"), F.sum(F.col("gross_revenue").cast(kpi.MONEY)).alias("revenue")
     )
 

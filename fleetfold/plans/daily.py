@@ -107,4 +107,4 @@ def daily_figures(spark: SparkSession, lake: str, process_date: str, as_of=None)
 def compact_silver(spark: SparkSession, lake: str) -> None:
     for name, by in (("orders", "order_date"), ("telemetry", "event_date")):
         if path_exists(spark, f"{lake}/silver/{name}"):
-            compact(spark, f"{lake}/silver/{name}", VersionedTable(spark, f"{lake}/silver/{name}_compacted", by))
+            compact(spark, f"{lake}/silver/{name}", f"{lake}/silver/{name}_compacted", by)

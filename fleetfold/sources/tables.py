@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,6 +19,7 @@ from fleetfold.functions.time import instant
 # Rows per file, and how long live tables keep an order.
 MAX_ROWS_PER_FILE = 100_000
 RETENTION_HOURS = 24
+NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
 
 
 def completed(spark: SparkSession, root: str, prefix: str) -> dict[int, str]:
@@ -47,17 +49,17 @@ def write_partitioned(df: DataFrame, path: str, by: str, mode: str = "append", m
     even.write.mode(mode).partitionBy(by).option("maxRecordsPerFile", max_rows).parquet(path)
 
 
-def replace_partitions(df: DataFrame, path: str, by: str) -> None:
+def replace_partitions(df: DataFrame, path: str, by: str, max_rows: int = MAX_ROWS_PER_FILE) -> None:
     """Replace exactly the partitions that ``df`` has rows for; running it twice changes nothing."""
-    even = df.hint("rebalance", F.col(by))
-    even.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(by).parquet(path)
+    writer = df.hint("rebalance", F.col(by)).write.mode("overwrite").partitionBy(by)
+    writer.option("partitionOverwriteMode", "dynamic").option("maxRecordsPerFile", max_rows).parquet(path)
 
 
 class VersionedTable:
-    """A table as directories ``v=<n>``; readers see the newest completed one."""
+    """A table as directories ``v=<n>``; readers see the newest completed one. The last few stay."""
 
-    def __init__(self, spark: SparkSession, root: str, by: str | None = None):
-        self.spark, self.root, self.by = spark, root, by
+    def __init__(self, spark: SparkSession, root: str, keep: int = 3):
+        self.spark, self.root, self.keep = spark, root, keep
 
     def versions(self) -> dict[int, str]:
         return completed(self.spark, self.root, "v")
@@ -67,22 +69,54 @@ class VersionedTable:
         return self.spark.read.parquet(versions[max(versions)]) if versions else None
 
     def write(self, df: DataFrame, max_rows: int = MAX_ROWS_PER_FILE) -> int:
-        number = max(self.versions(), default=0) + 1
-        path = f"{self.root}/v={number}"
-        if self.by is None:
-            df.write.mode("overwrite").option("maxRecordsPerFile", max_rows).parquet(path)
-        else:
-            write_partitioned(df, path, self.by, "overwrite", max_rows)
+        versions = self.versions()
+        number = max(versions, default=0) + 1
+        df.write.mode("overwrite").option("maxRecordsPerFile", max_rows).parquet(f"{self.root}/v={number}")
+        for old, path in versions.items():
+            if old <= number - self.keep:
+                drop_directory(self.spark, path)
         return number
 
 
-def compact(spark: SparkSession, source: str, target: VersionedTable, max_rows: int = MAX_ROWS_PER_FILE) -> int:
-    """Rewrite a partitioned table of many small files as a new version with few files.
+def _file_times(spark: SparkSession, root: str, by: str) -> dict[str, list[int]]:
+    """Modification times of the data files in each partition directory, from the file listing."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    folder = hadoop.Path(root)
+    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(folder):
+        return {}
+    parts = [p.getPath() for p in fs.listStatus(folder) if p.getPath().getName().startswith(f"{by}=")]
+    listed = {p.getName(): [f for f in fs.listStatus(p) if not f.getPath().getName().startswith(("_", "."))] for p in parts}
+    return {name: [f.getModificationTime() for f in files] for name, files in listed.items() if files}
+
+
+def stale_partitions(spark: SparkSession, source: str, target: str, by: str) -> list[str]:
+    """Partitions of the source that got files since they were last compacted."""
+    compacted = _file_times(spark, target, by)
+    return [
+        name
+        for name, times in sorted(_file_times(spark, source, by).items())
+        if name not in compacted or max(times) >= min(compacted[name])
+    ]
+
+
+def compact(spark: SparkSession, source: str, target: str, by: str, max_rows: int = MAX_ROWS_PER_FILE) -> list[str]:
+    """Rewrite the partitions that have changed as few files in ``target``; returns their names.
 
-    The source is never overwritten while it is read, and a stream may go on writing to it.
+    The source is never overwritten: it is read through the log of the stream that writes it, so
+    files of an unfinished batch do not count, and the stream may go on. Partitions without new
+    files are neither read nor written.
     """
-    rows = spark.read.option("basePath", source).parquet(f"{source}/{target.by}=*")
-    return target.write(rows, max_rows)
+    stale = stale_partitions(spark, source, target, by)
+    if not stale:
+        return []
+    values = [name.split("=", 1)[1] for name in stale]
+    named = [unquote(v) for v in values if v != NO_VALUE]
+    wanted = F.col(by).cast("string").isin(*named)
+    if NO_VALUE in values:
+        wanted = F.coalesce(wanted, F.lit(True))
+    replace_partitions(spark.read.parquet(source).where(wanted), target, by, max_rows)
+    return stale
 
 
 def within_retention(ts: Column | str, as_of=None, hours: int = RETENTION_HOURS) -> Column:

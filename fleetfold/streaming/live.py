@@ -67,11 +67,18 @@ def live_fleet(
 
 
 def append_orders(log: DataFrame | None, batch: DataFrame) -> DataFrame:
-    """Rows of the batch whose order the log does not have, each order once."""
+    """Rows of the batch whose order the log does not have, each order once.
+
+    The log is first reduced to the orders of the batch: as the batch is small, that is a scan of
+    one column without a shuffle of the log.
+    """
     once = latest_per_key(
         batch.where("order_id is not null"), ["order_id"], ["order_timestamp", "ingestion_timestamp"], first=True
     )
-    return once if log is None else insert_absent(log, once, "order_id")
+    if log is None:
+        return once
+    known = log.select("order_id").join(batch.select("order_id"), "order_id", "left_semi")
+    return insert_absent(known, once, "order_id")
 
 
 def orders_table(spark: SparkSession, root: str) -> BatchTable:

@@ -46,7 +46,7 @@ def test_daily_run_twice(spark, path):
     assert [(str(r.order_date), str(r.total_revenue), r.total_orders) for r in figures] == [("2026-01-06", "120.00", 2)]
     for name, rows in {"dim_courier": 2, "dim_pizzeria": 1, "dim_customer": 1, "dim_delivery_zone": 5, "dim_order_status": 7, "dim_date": 1095}.items():
         assert VersionedTable(spark, f"{lake}/gold/{name}").read().count() == rows, name
-    assert VersionedTable(spark, f"{lake}/silver/telemetry_compacted").read().count() == 1
+    assert spark.read.parquet(f"{lake}/silver/telemetry_compacted").count() == 1
 
     # The next run: a courier changes vehicle, another order arrives; the day's figures are replaced.
     write_csv(f"{lake}/bronze/couriers", schemas.COURIER_FILE, {**COURIER, "vehicle_type": "car"}, {**COURIER, "courier_id": "C-WAW-02"})
@@ -60,7 +60,7 @@ def test_daily_run_twice(spark, path):
         ("C-WAW-01", "car - Road", True, 3),
         ("C-WAW-02", "bike - Road", True, 2),
     ]
-    assert VersionedTable(spark, f"{lake}/silver/orders_compacted").read().count() == 3
+    assert spark.read.parquet(f"{lake}/silver/orders_compacted").count() == 3
 
 
 def test_one_failing_dimension_does_not_hide(spark, path):

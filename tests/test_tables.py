@@ -82,20 +82,35 @@ def test_replacing_partitions_touches_no_others(spark, path):
 
 
 def test_compaction_keeps_the_rows_and_bounds_the_files(spark, path):
-    where = path()
-    df = spark.range(5000).select((F.col("id") % 3).alias("p"), "id", F.lit("x").alias("v"))
-    df.repartition(8).write.partitionBy("p").parquet(where)
-    target = tables.VersionedTable(spark, path("compacted"), "p")
-    tables.compact(spark, where, target, max_rows=1000)
-    before, after = spark.read.parquet(where), target.read()
+    source, target = path("source"), path("compacted")
+    df = spark.range(5000).select(F.when(F.col("id") % 3 > 0, F.col("id") % 3).alias("p"), "id", F.lit("x").alias("v"))
+    df.repartition(8).write.partitionBy("p").parquet(source)
+    assert tables.compact(spark, source, target, "p", max_rows=1000) == ["p=1", "p=2", "p=__HIVE_DEFAULT_PARTITION__"]
+    before, after = spark.read.parquet(source), spark.read.parquet(target)
     assert len(before.inputFiles()) == 24
     assert len(after.inputFiles()) == 6  # 1667 rows a partition, 1000 a file
     assert after.select(*before.columns).exceptAll(before).count() == before.exceptAll(after.select(*before.columns)).count() == 0
     biggest = after.groupBy(F.input_file_name()).count().agg(F.max("count")).first()[0]
     assert biggest <= 1000
-    # The source may go on growing and be compacted again.
-    tables.compact(spark, where, target)
-    assert len(target.read().inputFiles()) == 3 and target.read().count() == 5000
+
+
+def test_compaction_rewrites_changed_partitions_only(spark, path):
+    source, target = path("source"), path("compacted")
+    assert tables.compact(spark, source, target, "p") == []  # nothing there yet
+    df = spark.range(100).select(F.concat(F.lit("a b/"), F.col("id") % 3).alias("p"), "id")
+    df.repartition(4).write.partitionBy("p").parquet(source)
+    assert len(tables.compact(spark, source, target, "p")) == 3
+    assert tables.compact(spark, source, target, "p") == []
+    df.where("p = 'a b/1'").write.mode("append").partitionBy("p").parquet(source)
+    assert len(tables.compact(spark, source, target, "p")) == 1
+    assert rows_of(spark.read.parquet(target)) == rows_of(spark.read.parquet(source).select("id", "p"))
+
+
+def test_versions_that_are_long_gone_are_dropped(spark, path):
+    table = tables.VersionedTable(spark, path(), keep=2)
+    for n in range(4):
+        table.write(spark.range(n))
+    assert list(table.versions()) == [3, 4] and table.read().count() == 3
 
 
 def test_retention_keeps_unknown_ages(spark):
