@@ -216,16 +216,23 @@ def speed_normalise(spark, sf):
 
 
 def _keyed_dims(spark, sf) -> dict[str, DataFrame]:
-    """Dimensions with surrogate keys that are known in advance."""
-    c = views.couriers(spark, sf)
-    numbers = c.select("courier_id", (F.col("courier_no") + 1000).alias("courier_key"))
-    p = views.bases(spark, sf)
-    places = p.select("pizzeria_id", (F.col("base_no") + 500).alias("pizzeria_key"))
-    customers = views.customers(spark, sf)
+    """Dimensions with surrogate keys that are known in advance, read off the natural keys."""
+
+    def keyed(dim: DataFrame, name: str, number: str) -> DataFrame:
+        return dim.withColumn(name, F.expr(number))
+
     return {
-        "courier": dims.shape_couriers(c, now()).join(numbers, "courier_id"),
-        "pizzeria": dims.shape_pizzerias(p).join(places, "pizzeria_id"),
-        "customer": dims.shape_customers(customers).withColumn("customer_key", F.col("customer_id") + 1),
+        "courier": keyed(
+            dims.shape_couriers(views.couriers(spark, sf), now()),
+            "courier_key",
+            "CAST(split_part(courier_id, '-', 3) AS BIGINT) + 1000",
+        ),
+        "pizzeria": keyed(
+            dims.shape_pizzerias(views.bases(spark, sf)),
+            "pizzeria_key",
+            "CAST(regexp_extract(pizzeria_id, 'N([0-9]+)', 1) AS BIGINT) + 500",
+        ),
+        "customer": keyed(dims.shape_customers(views.customers(spark, sf)), "customer_key", "customer_id + 1"),
         "status": dims.order_statuses(spark),
         "zone": dims.delivery_zones(spark),
     }

@@ -66,9 +66,20 @@ def shared_base(spark: SparkSession) -> str:
     return _local_base()
 
 
+@functools.cache
+def _run_folder(spark: SparkSession, base: str) -> str:
+    """One folder per application below the shared one; the file system drops it when the driver ends."""
+    folder = f"{base}/fleetfold/{spark.sparkContext.applicationId}-{uuid.uuid4().hex}"
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.mkdirs(path)
+    fs.deleteOnExit(path)
+    return folder
+
+
 def scratch(spark: SparkSession, name: str) -> str:
-    """A fresh path below the shared folder."""
-    return f"{shared_base(spark)}/fleetfold/{name}-{uuid.uuid4().hex}"
+    """A fresh path for an intermediate table, readable by all executors until the driver ends."""
+    return f"{_run_folder(spark, shared_base(spark))}/{name}-{uuid.uuid4().hex}"
 
 
 def pin(df: DataFrame, name: str) -> DataFrame:

@@ -9,17 +9,16 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable
-from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fleetfold.functions.time import instant
+from fleetfold.sources.files import path_exists
 
 # Rows per file, and how long live tables keep an order.
 MAX_ROWS_PER_FILE = 100_000
 RETENTION_HOURS = 24
-NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
 
 
 def completed(spark: SparkSession, root: str, prefix: str) -> dict[int, str]:
@@ -78,44 +77,37 @@ class VersionedTable:
         return number
 
 
-def _file_times(spark: SparkSession, root: str, by: str) -> dict[str, list[int]]:
-    """Modification times of the data files in each partition directory, from the file listing."""
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
-    folder = hadoop.Path(root)
-    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(folder):
-        return {}
-    parts = [p.getPath() for p in fs.listStatus(folder) if p.getPath().getName().startswith(f"{by}=")]
-    listed = {p.getName(): [f for f in fs.listStatus(p) if not f.getPath().getName().startswith(("_", "."))] for p in parts}
-    return {name: [f.getModificationTime() for f in files] for name, files in listed.items() if files}
+def _file_times(spark: SparkSession, root: str, by: str) -> DataFrame:
+    """When the data files of each partition were written, from the listing alone."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(root)
+    times = F.col("modificationTime")
+    return files.groupBy(by).agg(F.min(times).alias("oldest"), F.max(times).alias("newest"))
 
 
-def stale_partitions(spark: SparkSession, source: str, target: str, by: str) -> list[str]:
-    """Partitions of the source that got files since they were last compacted."""
-    compacted = _file_times(spark, target, by)
-    return [
-        name
-        for name, times in sorted(_file_times(spark, source, by).items())
-        if name not in compacted or max(times) >= min(compacted[name])
-    ]
+def stale_partitions(spark: SparkSession, source: str, target: str, by: str) -> DataFrame:
+    """Partition values of the source that got files since they were last compacted."""
+    written = _file_times(spark, source, by)
+    if not path_exists(spark, target):
+        return written.select(by)
+    compacted = _file_times(spark, target, by).select(F.col(by).alias("_by"), F.col("oldest").alias("_since"))
+    both = written.join(compacted, written[by].eqNullSafe(F.col("_by")), "left")
+    return both.where("_since IS NULL OR newest >= _since").select(by)
 
 
-def compact(spark: SparkSession, source: str, target: str, by: str, max_rows: int = MAX_ROWS_PER_FILE) -> list[str]:
-    """Rewrite the partitions that have changed as few files in ``target``; returns their names.
+def compact(spark: SparkSession, source: str, target: str, by: str, max_rows: int = MAX_ROWS_PER_FILE) -> list:
+    """Rewrite the partitions that have changed as few files in ``target``; returns their values.
 
     The source is never overwritten: it is read through the log of the stream that writes it, so
     files of an unfinished batch do not count, and the stream may go on. Partitions without new
     files are neither read nor written.
     """
-    stale = stale_partitions(spark, source, target, by)
-    if not stale:
+    if not path_exists(spark, source):
         return []
-    values = [name.split("=", 1)[1] for name in stale]
-    named = [unquote(v) for v in values if v != NO_VALUE]
-    wanted = F.col(by).cast("string").isin(*named)
-    if NO_VALUE in values:
-        wanted = F.coalesce(wanted, F.lit(True))
-    replace_partitions(spark.read.parquet(source).where(wanted), target, by, max_rows)
+    stale = [row[0] for row in stale_partitions(spark, source, target, by).collect()]
+    if stale:
+        wanted = F.col(by).isin(*[v for v in stale if v is not None])
+        wanted = F.coalesce(wanted, F.lit(None in stale))
+        replace_partitions(spark.read.parquet(source).where(wanted), target, by, max_rows)
     return stale
 
 
