@@ -139,7 +139,7 @@ def dim_customer_shape(spark, sf):
 
 @query
 def gold_dims_load(spark, sf):
-    """Rows per gold dimension after the first load and after loading the same again."""
+    """Rows per gold dimension, unknown member included, after the first load and after the same again."""
     o = views.orders(spark, sf)
     bounds = o.agg(F.min("order_timestamp").alias("first"), F.max("order_timestamp").alias("last"))
     staged = {

@@ -156,3 +156,11 @@ def shape_customers(raw: DataFrame) -> DataFrame:
         F.lit("00-001").alias("postal_code"),
         _stable_share("customer_id", 2).alias("dropoff_difficulty_score"),
     )
+
+
+def with_unknown_member(dim: DataFrame, key: str) -> DataFrame:
+    """A dimension with the member that unresolved facts refer to; all but its key is null."""
+    unknown = dim.sparkSession.range(1).select(
+        *[F.lit(UNKNOWN_KEY if f.name == key else None).cast(f.dataType).alias(f.name) for f in dim.schema.fields]
+    )
+    return dim.unionByName(unknown)

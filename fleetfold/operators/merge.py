@@ -65,7 +65,8 @@ def surrogate_keys(
 
 
 def highest(df: DataFrame, column: str) -> int:
-    return df.agg(F.max(column)).first()[0] or 0
+    """Highest key in use; the unknown member's negative key does not count."""
+    return max(df.agg(F.max(column)).first()[0] or 0, 0)
 
 
 def scd1_merge(target: DataFrame, staged: DataFrame, key: str, surrogate: str | None = None) -> DataFrame:

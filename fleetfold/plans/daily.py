@@ -19,20 +19,24 @@ from fleetfold.streaming.ingest import silver_orders, silver_telemetry
 
 @dataclass(frozen=True)
 class DimensionSpec:
-    """How one dimension is loaded. ``tracked`` makes it type 2, else it is type 1."""
+    """How one dimension is loaded. ``tracked`` makes it type 2, else it is type 1.
+
+    ``referred_by`` is the column facts refer to; it gets a member for facts that resolve to none.
+    """
 
     name: str
     key: str
     surrogate: str | None = None
     tracked: tuple[str, ...] | None = None
+    referred_by: str | None = None
 
 
 GOLD_DIMENSIONS = (
-    DimensionSpec("dim_courier", "courier_id", "courier_key", tuple(COURIER_TRACKED)),
-    DimensionSpec("dim_pizzeria", "pizzeria_id", "pizzeria_key"),
-    DimensionSpec("dim_customer", "customer_id", "customer_key"),
-    DimensionSpec("dim_delivery_zone", "zone_key"),
-    DimensionSpec("dim_order_status", "status_key"),
+    DimensionSpec("dim_courier", "courier_id", "courier_key", tuple(COURIER_TRACKED), "courier_key"),
+    DimensionSpec("dim_pizzeria", "pizzeria_id", "pizzeria_key", referred_by="pizzeria_key"),
+    DimensionSpec("dim_customer", "customer_id", "customer_key", referred_by="customer_key"),
+    DimensionSpec("dim_delivery_zone", "zone_key", referred_by="zone_key"),
+    DimensionSpec("dim_order_status", "status_key", referred_by="status_key"),
     DimensionSpec("dim_date", "date_key"),
 )
 
@@ -46,6 +50,8 @@ def load_dimension(spec: DimensionSpec, table: VersionedTable, staged: DataFrame
         target = typed.where(F.lit(False))
         if spec.surrogate is not None:
             target = target.withColumn(spec.surrogate, F.lit(None).cast("long"))
+        if spec.referred_by is not None:
+            target = dims.with_unknown_member(target, spec.referred_by)
     if spec.tracked is not None:
         merged = scd2_merge(target, typed, spec.key, list(spec.tracked), as_of, spec.surrogate)
     else:

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from fleetfold.operators.clean import enforce_types
 from fleetfold.operators.merge import ORDER_PERFORMANCE, read_state
@@ -34,14 +33,6 @@ def gold_tables(spark: SparkSession, gold: str, as_of=None) -> dict[str, DataFra
     return tables
 
 
-def with_unknown_member(dim: DataFrame, surrogate: str) -> DataFrame:
-    """A dimension with the member that unresolved facts point to, all else null."""
-    unknown = dim.sparkSession.range(1).select(
-        *[F.lit(-1 if f.name == surrogate else None).cast(f.dataType).alias(f.name) for f in dim.schema.fields]
-    )
-    return dim.unionByName(unknown)
-
-
 def register_gold(spark: SparkSession, gold: str, as_of=None) -> list[str]:
     """Temporary views over the gold tables as they are now."""
     tables = gold_tables(spark, gold, as_of)

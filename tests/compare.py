@@ -39,7 +39,7 @@ def plain(value):
 def differences(spark: SparkSession, con, query, sql: str, sf_dir: str) -> list[str]:
     got = query(spark, sf_dir)
     table = got.toArrow()
-    expected = con.execute(sql).to_arrow_table()
+    expected = con.sql(sql).to_arrow_table()
     names = sorted(got.columns)
     if names != sorted(expected.column_names):
         return [f"columns {sorted(set(names) ^ set(expected.column_names))}"]

@@ -6,7 +6,7 @@ import pytest
 from test_streams import Feed, order, ping
 
 from fleetfold import schemas
-from fleetfold.operators import dims
+from fleetfold.operators import dims, star
 from fleetfold.plans import daily
 from fleetfold.sources.tables import VersionedTable
 
@@ -44,7 +44,7 @@ def test_daily_run_twice(spark, path):
 
     figures = spark.read.parquet(f"{lake}/gold/daily_sales_fact").collect()
     assert [(str(r.order_date), str(r.total_revenue), r.total_orders) for r in figures] == [("2026-01-06", "120.00", 2)]
-    for name, rows in {"dim_courier": 2, "dim_pizzeria": 1, "dim_customer": 1, "dim_delivery_zone": 5, "dim_order_status": 7, "dim_date": 1095}.items():
+    for name, rows in {"dim_courier": 3, "dim_pizzeria": 2, "dim_customer": 2, "dim_delivery_zone": 6, "dim_order_status": 8, "dim_date": 1095}.items():
         assert VersionedTable(spark, f"{lake}/gold/{name}").read().count() == rows, name
     assert spark.read.parquet(f"{lake}/silver/telemetry_compacted").count() == 1
 
@@ -54,7 +54,7 @@ def test_daily_run_twice(spark, path):
     daily.run_daily(spark, lake, "2026-01-06", "2026-01-08 00:00:00")
     figures = spark.read.parquet(f"{lake}/gold/daily_sales_fact").collect()
     assert [(str(r.total_revenue), r.total_orders) for r in figures] == [("150.00", 3)]
-    couriers = VersionedTable(spark, f"{lake}/gold/dim_courier").read().collect()
+    couriers = VersionedTable(spark, f"{lake}/gold/dim_courier").read().where("courier_key > 0").collect()
     assert sorted((r.courier_id, r.vehicle, r.is_current, r.courier_key) for r in couriers) == [
         ("C-WAW-01", "bike - Road", False, 1),
         ("C-WAW-01", "car - Road", True, 3),
@@ -68,12 +68,12 @@ def test_one_failing_dimension_does_not_hide(spark, path):
     staged = {"dim_courier": spark.range(1), "dim_delivery_zone": dims.delivery_zones(spark)}
     with pytest.raises(RuntimeError, match="dim_courier"):
         daily.load_gold_dimensions(spark, gold, staged)
-    assert VersionedTable(spark, f"{gold}/dim_delivery_zone").read().count() == 5
+    assert VersionedTable(spark, f"{gold}/dim_delivery_zone").read().count() == 6
 
 
 def test_jobs_by_name_and_reports_in_sql(spark, path):
     from fleetfold.__main__ import main
-    from fleetfold.plans.warehouse import register_gold, with_unknown_member
+    from fleetfold.plans.warehouse import register_gold
 
     lake = path("lake")
     write_csv(f"{lake}/bronze/couriers", schemas.COURIER_FILE, COURIER)
@@ -101,5 +101,7 @@ def test_jobs_by_name_and_reports_in_sql(spark, path):
     assert str(a.gross_revenue) == "50.00" and a.average_speed_kmh == 360.0
     assert (b.courier_name, b.raw_status, b.realization_percent) == (None, "AT_CUSTOMER", 99.0)
     assert spark.sql("SELECT total_orders FROM daily_sales_fact").collect()[0][0] == 2
-    couriers = with_unknown_member(spark.table("dim_courier"), "courier_key")
-    assert sorted(r.courier_key for r in couriers.collect()) == [-1, 1]
+    # Every key of a fact has its member, the unknown one included.
+    for dim, key in (("dim_courier", "courier_key"), ("dim_order_status", "status_key"), ("dim_delivery_zone", "zone_key")):
+        assert star.orphans(spark.table("fact_order_performance"), spark.table(dim), key, key).count() == 0
+    assert sorted(r.courier_key for r in spark.table("dim_courier").collect()) == [-1, 1]
