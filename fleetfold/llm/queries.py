@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from fleetfold.llm import bpe, decontam, langid, linededup, simhash
+from fleetfold.llm import bpe, decontam, fingerprints, langid, linededup, simhash, tokenfiles
 
 QUERIES = {
     "op1_line_dedup": linededup.op1_line_dedup,
     "op2_bpe": bpe.op2_bpe,
+    "op3_fingerprints": fingerprints.op3_fingerprints,
     "op4_simhash": simhash.op4_simhash,
+    "op5_token_files": tokenfiles.op5_token_files,
     "op8_language_id": langid.op8_language_id,
     "op10_decontamination": decontam.op10_decontamination,
 }
