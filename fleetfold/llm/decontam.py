@@ -26,7 +26,8 @@ from fleetfold.session import pin
 
 WINDOW = 13
 SHINGLE = 3
-MOST_SENT_ROWS = 1_000_000  # rows of the benchmark side or of candidates that are sent to every task
+MOST_SENT_ROWS = 1_000_000  # window shingles that are sent to every task
+MOST_SENT_PLACES = 500_000  # candidate places (some 200 bytes each) that are sent to every task
 # Fixed value: the contract's words, as the characters between them.
 _BETWEEN = "[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
 
@@ -99,8 +100,9 @@ def contamination(
     if candidates is None:
         joined = docs.withColumn("__places", F.lit(None).cast(empty))
     else:
-        side, few = pinned_small(candidates.withColumnsRenamed({"key": "__key", "places": "__places"}), "candidates", MOST_SENT_ROWS // 20)
-        side = F.broadcast(side) if few else side
+        side = pin(candidates.withColumnsRenamed({"key": "__key", "places": "__places"}), "candidates")
+        n_places = side.agg(F.sum(F.size("__places"))).first()[0] or 0
+        side = F.broadcast(side) if n_places <= MOST_SENT_PLACES else side
         key = row_key(F.col(id_column), F.col(text))
         joined = docs.join(side, key.eqNullSafe(F.col("__key")), "left")
     joined = joined.withColumn("__words", words)

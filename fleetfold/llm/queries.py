@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from fleetfold.llm import bpe, decontam, fingerprints, langid, linededup, simhash, tokenfiles
+from fleetfold.llm import bpe, decontam, fingerprints, langid, linededup, simhash, tokenfiles, toxicity
 
 QUERIES = {
     "op1_line_dedup": linededup.op1_line_dedup,
@@ -11,6 +11,7 @@ QUERIES = {
     "op4_simhash": simhash.op4_simhash,
     "op5_token_files": tokenfiles.op5_token_files,
     "op8_language_id": langid.op8_language_id,
+    "op9_toxicity": toxicity.op9_toxicity,
     "op10_decontamination": decontam.op10_decontamination,
 }
 
