@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from fleetfold.llm import bpe, decontam, fingerprints, langid, linededup, simhash, tokenfiles, toxicity
+from fleetfold.llm import bpe, decontam, fingerprints, langid, linededup, pii, simhash, spans, tokenfiles, toxicity
 
 QUERIES = {
     "op1_line_dedup": linededup.op1_line_dedup,
@@ -10,6 +10,8 @@ QUERIES = {
     "op3_fingerprints": fingerprints.op3_fingerprints,
     "op4_simhash": simhash.op4_simhash,
     "op5_token_files": tokenfiles.op5_token_files,
+    "op6_pii": pii.op6_pii,
+    "op7_substring_dedup": spans.op7_substring_dedup,
     "op8_language_id": langid.op8_language_id,
     "op9_toxicity": toxicity.op9_toxicity,
     "op10_decontamination": decontam.op10_decontamination,
