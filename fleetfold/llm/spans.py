@@ -1,7 +1,8 @@
 """Repeated passages by runs of consecutive sentences.
 
 A text is cut behind sentence ends, line ends and the stops within sentences, so that a passage pasted into the
-middle of a sentence still shares its later parts. From each part on, the shortest run of at least
+middle of a sentence still shares its later parts. A long stretch without a stop is cut behind words picked by
+their checksum, so equal stretches are cut alike wherever they begin. From each part on, the shortest run of at least
 ``MIN_PARTS`` consecutive parts with ``MIN_WORDS`` words is hashed (128 bits, without case and blanks). Runs
 that occur more than once anywhere are joined with their places; the first place by id and position
 stays, the parts that any other place covers go. Every stretch of parts with enough words is covered by such
@@ -19,6 +20,7 @@ other columns are kept unread.
 from __future__ import annotations
 
 import re
+import zlib
 from collections.abc import Iterator
 
 import pandas as pd
@@ -29,14 +31,30 @@ from fleetfold.llm.common import table
 from fleetfold.session import pin
 
 MIN_PARTS = 2
-MIN_WORDS = 16
+MIN_WORDS = 20
+LONG_PART = 12  # words from which a part is cut further,
+ONE_IN = 8  # behind one word in so many
 # Cut behind stops and line ends, with the blanks that follow; the parts add up to the text.
 _PART = re.compile(r"[^.!?;:,\n]*[.!?;:,\n][.!?;:,\s]*|[^.!?;:,\n]+")
+_WORD = re.compile(r"\s*\S+\s*|\s+")
 _RUN = "doc_id long, hash long, run binary, start int, end int"
 
 
 def parts_of(text: str) -> list[str]:
-    return _PART.findall(text)
+    out = []
+    for part in _PART.findall(text):
+        if part.count(" ") < LONG_PART:
+            out.append(part)
+            continue
+        begin = at = 0
+        for word in _WORD.findall(part):
+            at += len(word)
+            if zlib.crc32(word.strip().encode()) % ONE_IN == 0:
+                out.append(part[begin:at])
+                begin = at
+        if begin < len(part):
+            out.append(part[begin:])
+    return out
 
 
 def runs_of(text: str, min_parts: int = MIN_PARTS, min_words: int = MIN_WORDS) -> list[tuple[bytes, int, int]]:
