@@ -21,14 +21,14 @@ EDGE_ROWS = [
     (1, None, "en", "a", None),
     (2, "", "en", None, 0),
     (3, " \n\t ", "de", "a", 4),
-    (4, "Same text, twice over, in two rows that repeat each other word by word and id by id.", "en", "a", 5),
-    (4, "Same text, twice over, in two rows that repeat each other word by word and id by id.", "en", "a", 5),
+    (4, "Same text, twice over, in two rows that repeat each other word by word and id by id, to the end of it.", "en", "a", 5),
+    (4, "Same text, twice over, in two rows that repeat each other word by word and id by id, to the end of it.", "en", "a", 5),
     (4, "Another text under an id that is taken.", "en", "a", 5),
     (5, LONG, "en", "b", len(LONG)),
     (6, UNSPLIT, None, "b", len(UNSPLIT)),
     (7, "1234 5678 !!! ...", None, "b", 17),
     (8, "tail <|endoftext|>  <|endoftext|>\u0000 � 😀 é", "xx", "b", 1),
-    (9, "Same text, twice over, in two rows that repeat each other word by word and id by id.", "fr", "c", 5),
+    (9, "Same text, twice over, in two rows that repeat each other word by word and id by id, to the end of it.", "fr", "c", 5),
 ]
 
 
