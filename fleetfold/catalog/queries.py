@@ -700,13 +700,17 @@ def replace_partition(spark, sf):
 
 @query
 def compact_partitions(spark, sf):
-    """Rows and revenue per month of a table of many small files, after its compaction."""
+    """Rows and revenue per month of a table of many small files that was compacted, added to, compacted again,
+    and added to once more."""
     path = scratch(spark, "orders_small_files")
     cleaned = clean.clean_orders(views.orders(spark, sf), now()).withColumn("order_month", _month("order_timestamp"))
-    cleaned.repartition(4, "order_id").write.partitionBy("order_month").parquet(path)
-    tables.compact(spark, path, f"{path}_compacted", "order_month")
-    compacted = spark.read.parquet(f"{path}_compacted")
-    return compacted.groupBy("order_month").agg(
+    table = tables.CompactedTable(spark, path, f"{path}_compacted", "order_month")
+    for part in reversed(range(3)):
+        some = cleaned.where(F.pmod(F.hash("order_id"), F.lit(3)) == part)
+        some.repartition(4, "order_id").write.mode("append").partitionBy("order_month").parquet(path)
+        if part:
+            table.compact()
+    return table.read().groupBy("order_month").agg(
         F.count(F.lit(1)).alias("orders"), F.sum(F.col("gross_revenue").cast(kpi.MONEY)).alias("revenue")
     )
 

@@ -12,8 +12,8 @@ from fleetfold.operators import dims
 from fleetfold.operators.clean import enforce_types
 from fleetfold.operators.kpi import daily_kpi
 from fleetfold.operators.merge import COURIER_TRACKED, scd1_merge, scd2_merge
-from fleetfold.sources.files import path_exists, read_csv, read_partition
-from fleetfold.sources.tables import VersionedTable, compact, replace_partitions
+from fleetfold.sources.files import path_exists, read_csv
+from fleetfold.sources.tables import MAX_ROWS_PER_FILE, CompactedTable, VersionedTable, replace_partitions
 from fleetfold.streaming.ingest import silver_orders, silver_telemetry
 
 
@@ -104,12 +104,23 @@ def run_daily(spark: SparkSession, lake: str, process_date: str, as_of=None, max
     compact_silver(spark, lake)
 
 
+SILVER_PARTITIONS = {"orders": "order_date", "telemetry": "event_date"}
+
+
+def silver_table(spark: SparkSession, lake: str, name: str) -> CompactedTable:
+    path = f"{lake}/silver/{name}"
+    return CompactedTable(spark, path, f"{path}_compacted", SILVER_PARTITIONS[name])
+
+
 def daily_figures(spark: SparkSession, lake: str, process_date: str, as_of=None) -> None:
-    """Key figures of one date, replacing what was stored for it; no orders, no change."""
-    day = read_partition(spark, f"{lake}/silver/orders", "order_date", process_date)
+    """Key figures of one date, replacing what was stored for it; no orders, no change.
+
+    Compacted files are read where there are any, and small files only where they are not compacted yet.
+    """
+    day = silver_table(spark, lake, "orders").read().where(F.col("order_date") == F.lit(process_date).cast("date"))
     replace_partitions(daily_kpi(day, as_of), f"{lake}/gold/daily_sales_fact", "order_date")
 
 
-def compact_silver(spark: SparkSession, lake: str) -> None:
-    for name, by in (("orders", "order_date"), ("telemetry", "event_date")):
-        compact(spark, f"{lake}/silver/{name}", f"{lake}/silver/{name}_compacted", by)
+def compact_silver(spark: SparkSession, lake: str, max_rows: int = MAX_ROWS_PER_FILE) -> None:
+    for name in SILVER_PARTITIONS:
+        silver_table(spark, lake, name).compact(max_rows)

@@ -9,16 +9,19 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fleetfold.functions.time import instant
+from fleetfold.session import pin
 from fleetfold.sources.files import path_exists
 
 # Rows per file, and how long live tables keep an order.
 MAX_ROWS_PER_FILE = 100_000
 RETENTION_HOURS = 24
+MAX_NAMED_FILES = 10_000  # files that a read names one by one
 
 
 def completed(spark: SparkSession, root: str, prefix: str) -> dict[int, str]:
@@ -77,38 +80,76 @@ class VersionedTable:
         return number
 
 
-def _file_times(spark: SparkSession, root: str, by: str) -> DataFrame:
-    """When the data files of each partition were written, from the listing alone."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(root)
-    times = F.col("modificationTime")
-    return files.groupBy(by).agg(F.min(times).alias("oldest"), F.max(times).alias("newest"))
+def _files_of(df: DataFrame) -> DataFrame:
+    """The data files that a table scan takes in, found by a scan without columns."""
+    return df.select(F.col("_metadata.file_path").alias("_file")).distinct()
 
 
-def stale_partitions(spark: SparkSession, source: str, target: str, by: str) -> DataFrame:
-    """Partition values of the source that got files since they were last compacted."""
-    written = _file_times(spark, source, by)
-    if not path_exists(spark, target):
-        return written.select(by)
-    compacted = _file_times(spark, target, by).select(F.col(by).alias("_by"), F.col("oldest").alias("_since"))
-    both = written.join(compacted, written[by].eqNullSafe(F.col("_by")), "left")
-    return both.where("_since IS NULL OR newest >= _since").select(by)
+class CompactedTable:
+    """A partitioned Parquet table of many small files, and the same rows in few large ones.
 
-
-def compact(spark: SparkSession, source: str, target: str, by: str, max_rows: int = MAX_ROWS_PER_FILE) -> list:
-    """Rewrite the partitions that have changed as few files in ``target``; returns their values.
-
-    The source is never overwritten: it is read through the log of the stream that writes it, so
-    files of an unfinished batch do not count, and the stream may go on. Partitions without new
-    files are neither read nor written.
+    Each run of ``compact`` takes the source files that no run has covered yet, writes their rows below
+    ``data/run=<n>`` and then the list of these files below ``files/run=<n>``. A run counts once its list is
+    complete, so every source file is covered by exactly one run, whenever it was written and whatever
+    its time says. No clock is compared, and a run that dies is done again. The source itself is read through the
+    log of the stream that writes it and is never overwritten, so the stream may go on.
     """
-    if not path_exists(spark, source):
-        return []
-    stale = [row[0] for row in stale_partitions(spark, source, target, by).collect()]
-    if stale:
-        wanted = F.col(by).isin(*[v for v in stale if v is not None])
-        wanted = F.coalesce(wanted, F.lit(None in stale))
-        replace_partitions(spark.read.parquet(source).where(wanted), target, by, max_rows)
-    return stale
+
+    def __init__(self, spark: SparkSession, source: str, target: str, by: str):
+        self.spark, self.source, self.target, self.by = spark, source, target, by
+
+    def _runs(self) -> dict[int, str]:
+        return completed(self.spark, f"{self.target}/files", "run")
+
+    def covered(self) -> DataFrame | None:
+        """Source files that completed runs have taken."""
+        runs = self._runs()
+        return self.spark.read.schema("_file string").parquet(*runs.values()) if runs else None
+
+    def uncovered(self) -> DataFrame:
+        files, covered = _files_of(self.spark.read.parquet(self.source)), self.covered()
+        return files if covered is None else files.join(covered, "_file", "left_anti")
+
+    def compact(self, max_rows: int = MAX_ROWS_PER_FILE) -> int:
+        """Take in all files that are not covered yet; returns their number."""
+        if not path_exists(self.spark, self.source):
+            return 0
+        new = pin(self.uncovered(), "new-files")
+        count = new.count()
+        if count:
+            run = f"run={max(self._runs(), default=0) + 1}"
+            rows = self._rows_of(new)
+            write_partitioned(rows, f"{self.target}/data/{run}", self.by, "overwrite", max_rows)
+            new.write.mode("overwrite").parquet(f"{self.target}/files/{run}")
+        return count
+
+    def _rows_of(self, files: DataFrame) -> DataFrame:
+        """Source rows of the given files. A few files are opened by name, many are found by a join."""
+        rows = self.spark.read.parquet(self.source)
+        names = [r[0] for r in files.limit(MAX_NAMED_FILES + 1).collect()]
+        # A name that is escaped in the listing would have to be unescaped to open it.
+        if len(names) <= MAX_NAMED_FILES and not any("%" in name for name in names):
+            return self.spark.read.schema(rows.schema).option("basePath", self.source).parquet(*names)
+        named = rows.withColumn("_file", F.col("_metadata.file_path"))
+        return named.join(files, "_file", "left_semi").drop("_file")
+
+    def read(self) -> DataFrame:
+        """All rows once: the compacted ones, and those of files that are not covered yet."""
+        runs = self._runs()
+        source = self.spark.read.parquet(self.source)
+        if not runs:
+            return source
+        paths = [f"{self.target}/data/run={n}" for n in runs]
+        kept = [self.spark.read.schema(source.schema).parquet(path) for path in paths]
+        new = pin(self.uncovered(), "new-files")
+        if not new.isEmpty():
+            kept.append(self._rows_of(new))
+        return reduce(DataFrame.unionByName, kept)
+
+
+def compact(spark: SparkSession, source: str, target: str, by: str, max_rows: int = MAX_ROWS_PER_FILE) -> int:
+    """Compact what has come since the last time; returns the number of files taken in."""
+    return CompactedTable(spark, source, target, by).compact(max_rows)
 
 
 def within_retention(ts: Column | str, as_of=None, hours: int = RETENTION_HOURS) -> Column:

@@ -81,30 +81,65 @@ def test_replacing_partitions_touches_no_others(spark, path):
     assert got == [("a", 9, "y"), ("b", 1, "x")]
 
 
+def _same_rows(a, b):
+    b = b.select(*a.columns)
+    return a.exceptAll(b).count() == b.exceptAll(a).count() == 0
+
+
 def test_compaction_keeps_the_rows_and_bounds_the_files(spark, path):
     source, target = path("source"), path("compacted")
     df = spark.range(5000).select(F.when(F.col("id") % 3 > 0, F.col("id") % 3).alias("p"), "id", F.lit("x").alias("v"))
     df.repartition(8).write.partitionBy("p").parquet(source)
-    assert tables.compact(spark, source, target, "p", max_rows=1000) is not None
-    assert sorted(map(str, tables.compact(spark, source, target, "p"))) == []
-    before, after = spark.read.parquet(source), spark.read.parquet(target)
+    assert tables.compact(spark, source, target, "p", max_rows=1000) == 24
+    assert tables.compact(spark, source, target, "p") == 0
+    before, after = spark.read.parquet(source), tables.CompactedTable(spark, source, target, "p").read()
     assert len(before.inputFiles()) == 24
     assert len(after.inputFiles()) == 6  # 1667 rows a partition, 1000 a file
-    assert after.select(*before.columns).exceptAll(before).count() == before.exceptAll(after.select(*before.columns)).count() == 0
+    assert _same_rows(before, after)
     biggest = after.groupBy(F.input_file_name()).count().agg(F.max("count")).first()[0]
     assert biggest <= 1000
 
 
-def test_compaction_rewrites_changed_partitions_only(spark, path):
+def test_compaction_takes_files_of_any_age_once(spark, path):
+    source, target = path("source"), path("compacted")
+    assert tables.compact(spark, source, target, "p") == 0  # nothing there yet
+    spark.range(9).select((F.col("id") % 3).alias("p"), "id").coalesce(1).write.partitionBy("p").parquet(source)
+    assert tables.compact(spark, source, target, "p") == 3
+    known = {f for f in spark.read.parquet(source).inputFiles()}
+    spark.range(9, 12).select(F.lit(1).cast("long").alias("p"), "id").coalesce(1).write.mode("append").partitionBy("p").parquet(source)
+    for file in set(spark.read.parquet(source).inputFiles()) - known:
+        os.utime(file.removeprefix("file:").replace("///", "/"), (1, 1))  # older than anything
+    table = tables.CompactedTable(spark, source, target, "p")
+    assert _same_rows(spark.read.parquet(source), table.read())  # not yet compacted, but read
+    assert table.compact() == 1
+    assert table.compact() == 0
+    assert _same_rows(spark.read.parquet(source), table.read())
+
+
+def test_compaction_while_the_source_grows(spark, path):
+    source, target = path("source"), path("compacted")
+    spark.range(6).select((F.col("id") % 2).alias("p"), "id").write.partitionBy("p").parquet(source)
+
+    class Grows(tables.CompactedTable):
+        def _rows_of(self, files):
+            self.spark.range(100, 103).select(F.lit(0).cast("long").alias("p"), "id").write.mode("append").partitionBy("p").parquet(source)
+            return super()._rows_of(files)
+
+    Grows(spark, source, target, "p").compact()
+    table = tables.CompactedTable(spark, source, target, "p")
+    assert _same_rows(spark.read.parquet(source), table.read())
+    assert table.compact() > 0
+    assert _same_rows(spark.read.parquet(source), table.read())
+
+
+def test_compaction_that_died_is_done_again(spark, path):
     source, target = path("source"), path("compacted")
-    assert tables.compact(spark, source, target, "p") == []  # nothing there yet
-    df = spark.range(100).select(F.concat(F.lit("a b/"), F.col("id") % 3).alias("p"), "id")
-    df.repartition(4).write.partitionBy("p").parquet(source)
-    assert len(tables.compact(spark, source, target, "p")) == 3
-    assert tables.compact(spark, source, target, "p") == []
-    df.where("p = 'a b/1'").write.mode("append").partitionBy("p").parquet(source)
-    assert len(tables.compact(spark, source, target, "p")) == 1
-    assert rows_of(spark.read.parquet(target)) == rows_of(spark.read.parquet(source).select("id", "p"))
+    spark.range(6).select((F.col("id") % 2).alias("p"), "id").write.partitionBy("p").parquet(source)
+    spark.range(3).write.parquet(f"{target}/data/run=1")  # rows without the list of their files
+    table = tables.CompactedTable(spark, source, target, "p")
+    assert _same_rows(spark.read.parquet(source), table.read())
+    assert table.compact() > 0
+    assert _same_rows(spark.read.parquet(source), table.read())
 
 
 def test_versions_that_are_long_gone_are_dropped(spark, path):
