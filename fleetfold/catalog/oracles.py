@@ -1,8 +1,4 @@
-"""The queries of ``queries.py`` in SQL for DuckDB, written independently of the operators.
-
-Queries without an entry: ``dedup_watermark_stream``, whose result depends on how the stream is cut
-into micro-batches.
-"""
+"""The queries of ``queries.py`` in SQL for DuckDB, written independently of the operators."""
 
 from __future__ import annotations
 
@@ -65,25 +61,33 @@ FACTS = """facts AS (
   LEFT JOIN custs k ON k.customer_id = d.customer_id LEFT JOIN statuses s ON s.status_name = d.status)"""
 
 SNAPSHOTS = """snap1 AS (SELECT * FROM couriers WHERE courier_no % 10 <> 9),
-snap2 AS (SELECT * REPLACE (CASE WHEN courier_no % 7 = 0 THEN 'ebike' ELSE vehicle_type END AS vehicle_type) FROM couriers),
-snap3 AS (SELECT * REPLACE (CASE WHEN courier_no % 14 = 0 THEN 'van' ELSE vehicle_type END AS vehicle_type)
+snap2 AS (SELECT * REPLACE (CASE WHEN courier_no % 7 = 0 THEN 'ebike' ELSE vehicle_type END AS vehicle_type,
+  CASE WHEN courier_no % 11 = 0 THEN 'Fixed-term' ELSE contract_type END AS contract_type) FROM couriers),
+snap3 AS (SELECT * REPLACE (CASE WHEN courier_no % 14 = 0 THEN 'van' ELSE vehicle_type END AS vehicle_type,
+  CASE WHEN courier_no % 13 = 0 THEN 'on leave' ELSE active_status END AS active_status,
+  CASE WHEN courier_no % 17 <> 0 THEN performance_level END AS performance_level,
+  CASE WHEN courier_no % 19 = 0 THEN 'Cargo' ELSE equipment_set END AS equipment_set)
   FROM snap2 WHERE courier_no % 25 <> 3)"""
 
 
 def _shaped(snapshot: str) -> str:
     return f"""SELECT courier_id, vehicle_type, concat_ws(' ', first_name, last_name) AS courier_name,
-  concat_ws(' - ', vehicle_type, vehicle_info) AS vehicle, accident_risk_factor, vehicle_range_km FROM {snapshot}"""
+  concat_ws(' - ', vehicle_type, vehicle_info) AS vehicle, vehicle_ownership, equipment_set, performance_level,
+  active_status AS employment_status, contract_type, accident_risk_factor, fatigue_resistance, vehicle_range_km
+FROM {snapshot}"""
 
 
 def _history() -> str:
     """Three loads by the rule: close what changed, open what is new or changed, number after the highest."""
-    cols = "courier_id, vehicle_type, courier_name, vehicle, accident_risk_factor, vehicle_range_km"
+    tracked = (
+        "courier_name, vehicle, vehicle_ownership, equipment_set, performance_level, employment_status, contract_type, "
+        "accident_risk_factor, fatigue_resistance, vehicle_range_km"
+    )
+    cols = f"courier_id, vehicle_type, {tracked}"
     parts = [f"""h1 AS (SELECT {cols}, TIMESTAMP '2024-01-01' AS valid_from, CAST(NULL AS TIMESTAMP) AS valid_to,
   true AS is_current, row_number() OVER (ORDER BY courier_id) AS courier_key FROM ({_shaped('snap1')}))"""]
     for n, day in ((2, "2024-01-11"), (3, "2024-01-21")):
-        differs = " OR ".join(
-            f"h.{c} IS DISTINCT FROM s.{c}" for c in ("courier_name", "vehicle", "accident_risk_factor", "vehicle_range_km")
-        )
+        differs = " OR ".join(f"h.{c} IS DISTINCT FROM s.{c}" for c in tracked.split(", "))
         h_cols = ", ".join(f"h.{c}" for c in cols.split(", "))
         parts.append(f"""s{n} AS ({_shaped(f'snap{n}')}),
 c{n} AS (SELECT {h_cols}, h.valid_from,
@@ -130,8 +134,10 @@ ALLOWED = """allowed(a, b) AS (VALUES ('IDLE', 'PREPARING'), ('PREPARING', 'IN_R
   ('IDLE', 'IDLE'), ('PREPARING', 'PREPARING'), ('IN_REALIZATION', 'IN_REALIZATION'), ('AT_CUSTOMER', 'AT_CUSTOMER'),
   ('RETURNING', 'RETURNING'))"""
 
+SPANS = """spans AS (SELECT *, dense_rank() OVER (ORDER BY arrival_us // 432000000000) - 1 AS span FROM pings_batched)"""
+
 PINGS_WITH_BASE = """based AS (SELECT p.*, b.base_no, b.lat AS base_lat, b.lon AS base_lon
-  FROM pings p LEFT JOIN bases b ON b.base_no = p.courier_id % 20)"""
+  FROM pings p LEFT JOIN bases b ON b.base_no = p.courier_id % 25)"""
 HOPS = f"""hops AS (SELECT *, coalesce(CAST(round({km('plat', 'plon', 'lat', 'lon')}, 6) AS DECIMAL(18,6)), 0) AS hop
   FROM (SELECT *, lag(lat) OVER w AS plat, lag(lon) OVER w AS plon FROM pings WHERE {POSITION}
         WINDOW w AS (PARTITION BY courier_id, order_id ORDER BY "timestamp", event_id)))"""
@@ -192,7 +198,7 @@ def oracles() -> dict[str, str]:
         "dim_customer": "SELECT count(*) + 1 FROM custs",
         "dim_delivery_zone": "SELECT count(*) + 1 FROM zones",
         "dim_order_status": "SELECT count(*) + 1 FROM statuses",
-        "dim_date": "SELECT count(*) FROM spine",
+        "dim_date": "SELECT count(*) + 1 FROM spine",
     }
     q["gold_dims_load"] = with_views(
         f"WITH {ZONES}, {STATUSES}, {spine}, c AS ("
@@ -251,7 +257,7 @@ def oracles() -> dict[str, str]:
         FROM facts f LEFT JOIN couriers c ON c.courier_no = f.courier_key - 1000
         LEFT JOIN dc ON dc.courier_id = c.courier_id LEFT JOIN bases b ON b.base_no = f.pizzeria_key - 500
         LEFT JOIN custs k ON k.customer_id = f.customer_key - 1 LEFT JOIN zones z ON z.zone_key = f.zone_no
-        LEFT JOIN (SELECT * FROM ords WHERE gross_revenue >= 0) o ON o.order_id = f.order_id""", *star)
+        LEFT JOIN ords o ON o.order_id = f.order_id""", *star)
 
     q["insert_absent"] = with_views(
         f"""WITH {SNAPSHOTS} SELECT courier_id, courier_no, vehicle_type FROM snap2 s
@@ -261,15 +267,13 @@ def oracles() -> dict[str, str]:
         "couriers")
     q["changed_rows"] = with_views(
         f"""WITH {SNAPSHOTS} SELECT s.courier_id, s.vehicle_type FROM snap2 s JOIN snap1 t USING (courier_id)
-        WHERE s.vehicle_type IS DISTINCT FROM t.vehicle_type OR s.first_name IS DISTINCT FROM t.first_name""", "couriers")
+        WHERE s.vehicle_type IS DISTINCT FROM t.vehicle_type OR s.contract_type IS DISTINCT FROM t.contract_type""", "couriers")
     q["scd1_merge"] = with_views(
         """SELECT customer_id, CASE WHEN customer_id % 5 <> 1 AND customer_id % 4 = 0 THEN full_name || ' II'
           ELSE full_name END AS full_name, segment_tag,
           CASE WHEN customer_id % 10 <> 9 THEN 'n' || customer_id END AS note
         FROM custs WHERE customer_id % 10 <> 9 OR customer_id % 5 <> 1""", "custs")
-    history = f"""WITH {HISTORY} SELECT courier_id, vehicle_type, courier_name, vehicle,
-        CAST(accident_risk_factor AS DOUBLE) AS accident_risk_factor, CAST(vehicle_range_km AS DOUBLE) AS vehicle_range_km,
-        CAST(valid_from AS TIMESTAMP) AS valid_from, valid_to, is_current, courier_key FROM h3"""
+    history = f"""WITH {HISTORY} SELECT * REPLACE (CAST(valid_from AS TIMESTAMP) AS valid_from) FROM h3"""
     q["scd2_merge"] = with_views(history, "couriers")
     q["scd2_idempotent"] = q["scd2_merge"]
     q["scd2_asof_join"] = with_views(
@@ -317,8 +321,13 @@ def oracles() -> dict[str, str]:
         FROM (SELECT "timestamp", (arrival_us - epoch_us("timestamp")) // 1000000 AS lag FROM pings_batched)
         GROUP BY ALL""", "pings_batched")
     q["batch_metrics"] = with_views(
-        "SELECT batch, count(*) AS pings, count(DISTINCT courier_id) AS couriers FROM pings_batched GROUP BY batch",
+        f"WITH {SPANS} SELECT span AS batch, count(*) AS pings, count(DISTINCT courier_id) AS couriers FROM spans GROUP BY span",
         "pings_batched")
+    q["late_events_stream"] = with_views(
+        f"""WITH {SPANS}, m AS (SELECT span, max(epoch_us("timestamp")) AS seen FROM spans GROUP BY span),
+        w AS (SELECT span, max(seen) OVER (ORDER BY span RANGE BETWEEN UNBOUNDED PRECEDING AND 2 PRECEDING) AS seen FROM m)
+        SELECT event_id, "timestamp" FROM spans JOIN w USING (span)
+        WHERE epoch_us("timestamp") <= (w.seen // 1000 - 600000) * 1000""", "pings_batched")
     q["demand_by_hour"] = with_views(
         """SELECT hour, orders, factor AS demand_factor, round(orders / factor, 4) AS normalised_orders
         FROM (SELECT hour(order_timestamp) AS hour, count(*) AS orders, CASE WHEN hour(order_timestamp) < 10 THEN 0.3e0
@@ -337,6 +346,8 @@ def oracles() -> dict[str, str]:
           ORDER BY "timestamp", event_id) AS before FROM pings)
         WHERE before IS NULL OR epoch_us("timestamp") - epoch_us(before) >= 600000000""", "pings")
 
+    q["dedup_watermark_stream"] = q["dedup_window"]
+
     to_base = km("lat", "lon", "base_lat", "base_lon")
     q["haversine"] = with_views(
         f"WITH {PINGS_WITH_BASE} SELECT event_id, base_no, round({to_base}, 6) AS distance_km FROM based", "pings", "bases")
@@ -405,6 +416,8 @@ def oracles() -> dict[str, str]:
         f"""WITH cleaned AS ({CLEAN_ORDERS}), k AS ({KPI})
         SELECT * REPLACE (CASE WHEN {month} = max({month}) OVER () THEN total_revenue * 2 ELSE total_revenue END
           AS total_revenue), {month} AS order_month FROM k""", "ords")
+    q["partition_glob"] = with_views(
+        f"WITH cleaned AS ({CLEAN_ORDERS}) SELECT {month} AS order_month, count(*) AS orders FROM cleaned GROUP BY ALL", "ords")
     q["compact_partitions"] = with_views(
         f"""WITH cleaned AS ({CLEAN_ORDERS}) SELECT {month} AS order_month, count(*) AS orders,
         CAST(sum(CAST(gross_revenue AS {MONEY})) AS DOUBLE) AS revenue FROM cleaned GROUP BY ALL""", "ords")
@@ -427,7 +440,8 @@ def oracles() -> dict[str, str]:
     q["live_fleet_stream"] = with_views(
         f"WITH {CODED} {LATEST_OF_FLEET.format(id='courier_id', event='event_id', source='coded')} "
         + newest.format(k="courier_id"), "pings", "couriers")
-    q["live_orders_stream"] = with_views(log.format(ids=text_ids, at=NOW), "ords")
+    q["live_orders_stream"] = with_views(
+        log.format(ids=text_ids, at=NOW) + " WHERE order_timestamp >= TIMESTAMP '1995-06-17 12:00:00' - INTERVAL 24 HOUR", "ords")
     by = 'ORDER BY "timestamp", event_id'
     q["order_perf_stream"] = with_views(
         f"""WITH {STATUSES}, {CODED}, keyed AS (SELECT p.*, coalesce(p.courier_no + 1000, -1) AS courier_key,
@@ -447,5 +461,6 @@ def oracles() -> dict[str, str]:
           {', '.join(f'last({c} {by}) FILTER (WHERE {c} IS NOT NULL) AS {c}'
                      for c in ('preparation_timestamp', 'pickup_timestamp', 'delivery_timestamp'))},
           max(total_distance) AS total_distance, max(total_time) AS total_time, max("timestamp") AS last_event_at
-        FROM keyed GROUP BY order_id""", "pings", "couriers", "bases", "custs")
+        FROM keyed GROUP BY order_id
+        HAVING first(order_timestamp {by}) >= TIMESTAMP '2024-01-16 00:00:00' - INTERVAL 24 HOUR""", "pings", "couriers", "bases", "custs")
     return q

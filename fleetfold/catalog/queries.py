@@ -17,6 +17,7 @@ from fleetfold.catalog import views
 from fleetfold.catalog.views import ISO, ntz, table
 from fleetfold.functions import delivery as rules
 from fleetfold.functions.geo import haversine_km
+from fleetfold.functions.time import parse
 from fleetfold.operators import clean, dims, kpi, merge, spatial, star, telemetry
 from fleetfold.plans.daily import GOLD_DIMENSIONS, load_gold_dimensions
 from fleetfold.plans.joins import lookup
@@ -283,7 +284,7 @@ def courier_base_join(spark, sf):
 @query
 def order_360(spark, sf):
     d = _keyed_dims(spark, sf)
-    log = clean.live_orders_project(views.orders(spark, sf).where("gross_revenue >= 0"), now())
+    log = clean.live_orders_project(views.orders(spark, sf), now())
     log = clean.enforce_types(log, {"gross_revenue": kpi.MONEY, "delivery_charge": "decimal(10,2)"})
     at = views.plus_seconds(F.col("order_timestamp"), F.lit(100))
     return star.order_360(
@@ -308,9 +309,8 @@ def surrogate_keys(spark, sf):
 
 @query
 def changed_rows(spark, sf):
-    (_, first), (_, second), _ = views.courier_snapshots(spark, sf)
-    tracked = ["first_name", "vehicle_type", "vehicle_info", "accident_risk_factor"]
-    return merge.changed_rows(first, second, "courier_id", tracked).select("courier_id", "vehicle_type")
+    first, second = (dims.shape_couriers(rows, now()) for _, rows in views.courier_snapshots(spark, sf)[:2])
+    return merge.changed_rows(first, second, "courier_id", merge.COURIER_TRACKED).select("courier_id", "vehicle_type")
 
 
 @query
@@ -322,9 +322,6 @@ def scd1_merge(spark, sf):
     return merge.scd1_merge(target, staged, "customer_id")
 
 
-SCD2_TRACKED = ["courier_name", "vehicle", "accident_risk_factor", "vehicle_range_km"]
-
-
 def _courier_history(spark, sf, repeat_last: bool = False) -> DataFrame:
     loads = views.courier_snapshots(spark, sf)
     if repeat_last:
@@ -332,13 +329,13 @@ def _courier_history(spark, sf, repeat_last: bool = False) -> DataFrame:
     versions = tables.VersionedTable(spark, scratch(spark, "courier_history"))
     for at, snapshot in loads:
         staged = dims.shape_couriers(snapshot, ntz(at)).select(
-            "courier_id", "vehicle_type", *SCD2_TRACKED,
+            "courier_id", "vehicle_type", *merge.COURIER_TRACKED,
             *[F.col(c).cast("timestamp_ntz").alias(c) for c in ("valid_from", "valid_to")], "is_current",
         )
         target = versions.read()
         if target is None:
             target = staged.where(F.lit(False)).withColumn("courier_key", F.lit(None).cast("long"))
-        versions.write(merge.scd2_merge(target, staged, "courier_id", SCD2_TRACKED, ntz(at), "courier_key"))
+        versions.write(merge.scd2_merge(target, staged, "courier_id", merge.COURIER_TRACKED, ntz(at), "courier_key"))
     return versions.read()
 
 
@@ -467,14 +464,6 @@ def ingestion_lag(spark, sf):
     return kpi.ingestion_lag(p, hour, "timestamp", F.col("arrival_us"))
 
 
-@query
-def batch_metrics(spark, sf):
-    """Rows of each batch, and couriers left after the newest ping of each is taken."""
-    p = views.pings_batched(spark, sf)
-    per_courier = p.groupBy("batch", "courier_id").agg(F.count(F.lit(1)).alias("n"))
-    return per_courier.groupBy("batch").agg(F.sum("n").alias("pings"), F.count(F.lit(1)).alias("couriers"))
-
-
 @query
 def demand_by_hour(spark, sf):
     return kpi.demand_by_hour(views.orders(spark, sf), "order_timestamp")
@@ -506,7 +495,7 @@ def dedup_window(spark, sf):
 
 def _pings_with_base(spark, sf) -> DataFrame:
     b = views.bases(spark, sf).select("base_no", F.col("lat").alias("base_lat"), F.col("lon").alias("base_lon"))
-    p = views.pings(spark, sf).withColumn("base_no", F.col("courier_id") % 20)
+    p = views.pings(spark, sf).withColumn("base_no", F.col("courier_id") % 25)
     return lookup(p, b, "base_no")
 
 
@@ -647,9 +636,10 @@ def _bronze_pings(spark, sf) -> str:
     return path
 
 
-def _quarter_of_files(spark, path: str) -> int:
-    """Files per micro-batch that make the feed arrive in four."""
-    return math.ceil(len(spark.read.schema("event_type string").json(path).inputFiles()) / 4)
+def _files_per_batch(spark, path: str) -> int:
+    """Files per micro-batch that make the feed arrive in about four."""
+    files_in_feed = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.json").load(path)
+    return math.ceil(files_in_feed.select("path").count() / 4)
 
 
 @query
@@ -717,16 +707,25 @@ def compact_partitions(spark, sf):
 
 @query
 def live_orders_append(spark, sf):
-    """The log after the finished orders, and then all orders, were appended."""
+    """The log after the finished orders, and then all orders twice, were appended."""
     o = views.orders(spark, sf)
     first = clean.live_orders_project(o.where("status = 'F'"), now())
     second = clean.live_orders_project(o, ntz("2024-02-01 00:10:00"))
-    log = tables.BatchTable(spark, scratch(spark, "orders_log"))
+    log = live.orders_table(spark, scratch(spark, "orders_log"), "year")
     for n, batch in enumerate([first, second, second]):
-        log.put(live.append_orders(log.read(n - 1), batch), n)
+        log.put(live.first_of_each_order(batch), n)
     return log.read()
 
 
+@query
+def partition_glob(spark, sf):
+    """All months of a table, found by pattern in a folder that holds other things too."""
+    path = _monthly_orders(spark, sf)
+    views.orders(spark, sf).write.parquet(f"{path}/_notes")
+    found = files.read_partitions_by_glob(spark, path, "order_month")
+    return found.groupBy("order_month").agg(F.count(F.lit(1)).alias("orders"))
+
+
 # Streams: the feeds as JSON files, drained in several micro-batches, the target read back.
 
 
@@ -734,7 +733,7 @@ def live_orders_append(spark, sf):
 def stream_json_ingest(spark, sf):
     bronze, out = _bronze_orders(spark, sf), scratch(spark, "ingested")
     source = files.stream_json(
-        spark, bronze, schemas.ORDER_EVENT, _quarter_of_files(spark, bronze), archive_to=scratch(spark, "archive")
+        spark, bronze, schemas.ORDER_EVENT, _files_per_batch(spark, bronze), archive_to=scratch(spark, "archive")
     )
     ingest.drain_to_parquet(source, out, scratch(spark, "checkpoint")).awaitTermination()
     return spark.read.schema(schemas.ORDER_EVENT).parquet(out)
@@ -744,7 +743,7 @@ def stream_json_ingest(spark, sf):
 def silver_orders_stream(spark, sf):
     bronze, out = _bronze_orders(spark, sf), scratch(spark, "silver_orders")
     ingest.silver_orders(
-        spark, bronze, out, scratch(spark, "checkpoint"), _quarter_of_files(spark, bronze), as_of=now(),
+        spark, bronze, out, scratch(spark, "checkpoint"), _files_per_batch(spark, bronze), as_of=now(),
         by="order_month", derive=lambda df: df.withColumn("order_month", _month("order_timestamp")),
     ).awaitTermination()
     return spark.read.parquet(out)
@@ -754,7 +753,7 @@ def silver_orders_stream(spark, sf):
 def silver_telemetry_stream(spark, sf):
     bronze, out = _bronze_pings(spark, sf), scratch(spark, "silver_pings")
     ingest.silver_telemetry(
-        spark, bronze, out, scratch(spark, "checkpoint"), _quarter_of_files(spark, bronze), as_of=now()
+        spark, bronze, out, scratch(spark, "checkpoint"), _files_per_batch(spark, bronze), as_of=now()
     ).awaitTermination()
     cols = ["event_id", "courier_id", "order_id", "timestamp", "event_date", "lat", "lon", "speed", "delivery_timestamp"]
     return spark.read.parquet(out).select(*cols)
@@ -763,42 +762,92 @@ def silver_telemetry_stream(spark, sf):
 @query
 def live_fleet_stream(spark, sf):
     bronze = _bronze_pings(spark, sf)
-    source = files.stream_json(spark, bronze, schemas.TELEMETRY_EVENT, _quarter_of_files(spark, bronze))
+    source = files.stream_json(spark, bronze, schemas.TELEMETRY_EVENT, _files_per_batch(spark, bronze))
     fleet = live.fleet_table(spark, scratch(spark, "live_fleet"))
     live.live_fleet(source, fleet, scratch(spark, "checkpoint"), every=None, fold_every=2).awaitTermination()
     return fleet.read()
 
 
+# Some of the orders are older than a day at these times, some are not.
+ORDERS_AS_OF, FACTS_AS_OF = "1995-06-17 12:00:00", "2024-01-16 00:00:00"
+
+
 @query
 def live_orders_stream(spark, sf):
     bronze = _bronze_orders(spark, sf)
-    source = files.stream_json(spark, bronze, schemas.ORDER_EVENT, _quarter_of_files(spark, bronze))
-    log = live.orders_table(spark, scratch(spark, "live_orders"))
-    live.live_orders(
-        source, log, scratch(spark, "checkpoint"), every=None, as_of=now(), fold_every=2, keep_hours=None
-    ).awaitTermination()
-    return log.read()
+    source = files.stream_json(spark, bronze, schemas.ORDER_EVENT, _files_per_batch(spark, bronze))
+    log = live.orders_table(spark, scratch(spark, "live_orders"), "quarter")
+    as_of = ntz(ORDERS_AS_OF)
+    live.live_orders(source, log, scratch(spark, "checkpoint"), every=None, as_of=as_of, fold_every=2).awaitTermination()
+    return live.read_orders(log, as_of).withColumn("ingestion_timestamp", now())
 
 
 @query
 def order_perf_stream(spark, sf):
     bronze, d = _bronze_pings(spark, sf), _keyed_dims(spark, sf)
     d = {name: pin(dim, "dimension") for name, dim in d.items()}
-    source = files.stream_json(spark, bronze, schemas.TELEMETRY_EVENT, _quarter_of_files(spark, bronze))
+    source = files.stream_json(spark, bronze, schemas.TELEMETRY_EVENT, _files_per_batch(spark, bronze))
     facts = live.performance_table(spark, scratch(spark, "order_performance"))
     customers = d["customer"].withColumn("customer_id", F.col("customer_id").cast("string"))
     side = live.Dimensions(d["courier"], customers, d["status"], d["pizzeria"])
+    as_of = ntz(FACTS_AS_OF)
     live.order_performance(
-        source, facts, side, scratch(spark, "checkpoint"), every=None, fold_every=2, keep_hours=None
+        source, facts, side, scratch(spark, "checkpoint"), every=None, as_of=as_of, fold_every=2
     ).awaitTermination()
-    return live.read_performance(facts).drop("return_timestamp")
+    return live.read_performance(facts, as_of=as_of, keep_hours=24).drop("return_timestamp")
+
+
+def _feed_in_order(spark, rows: DataFrame, part: Column, parts: list) -> str:
+    """A ping feed that arrives part after part, two files each, so that a micro-batch of two files is one part."""
+    path = scratch(spark, "feed_in_order")
+    rows = pin(rows.withColumn("_part", part), "feed")
+    for value in parts:
+        rows.where(F.col("_part") == value).select(*schemas.TELEMETRY_EVENT.names).repartition(2, "event_id").write.mode("append").json(path)
+    return path
 
 
 @query
 def dedup_watermark_stream(spark, sf):
-    bronze, out = _bronze_pings(spark, sf), scratch(spark, "deduplicated")
-    source = files.stream_json(spark, bronze, schemas.TELEMETRY_EVENT, _quarter_of_files(spark, bronze))
-    typed = source.withColumn("timestamp", F.try_to_timestamp("timestamp"))
-    kept = live.drop_copies(typed, "order_id", "timestamp").select("event_id", "order_id", "timestamp")
-    ingest.drain_to_parquet(kept, out, scratch(spark, "checkpoint")).awaitTermination()
-    return spark.read.parquet(out)
+    """The feed in order of event time, cut at three dates, without events within ten minutes of the last of their order."""
+    day = F.dayofmonth(F.to_date(F.try_to_timestamp("timestamp")))
+    path = _feed_in_order(spark, _ping_feed(spark, sf), F.floor((day - 1) / 8), [0, 1, 2, 3])
+    source = files.stream_json(spark, path, schemas.TELEMETRY_EVENT, 2)
+    typed = source.select("event_id", "order_id", F.try_to_timestamp("timestamp").alias("timestamp"))
+    last = live.last_seen_table(spark, scratch(spark, "last_seen"), "order_id", "timestamp", "event_id")
+    out = tables.BatchTable(spark, scratch(spark, "spaced"))
+    live.spaced_events(
+        typed, last, out, scratch(spark, "checkpoint"), "order_id", "timestamp", "event_id", fold_every=2
+    ).awaitTermination()
+    return out.read().withColumn("event_id", F.col("event_id").cast("long"))
+
+
+def _fleet_by_arrival(spark, sf, **more) -> DataFrame:
+    """The live fleet over pings that arrive in spans of five days; the span numbers are those of the micro-batches."""
+    arrivals = views.pings_batched(spark, sf).select(F.lpad(F.col("event_id").cast("string"), 19, "0").alias("event_id"), "arrival_us")
+    feed = lookup(_ping_feed(spark, sf), arrivals, "event_id")
+    span = F.floor(F.col("arrival_us") / FIVE_DAYS_US)
+    spans = sorted(r[0] for r in feed.select(span.alias("span")).distinct().collect())
+    path = _feed_in_order(spark, feed, span, spans)
+    source = files.stream_json(spark, path, schemas.TELEMETRY_EVENT, 2)
+    fleet = live.fleet_table(spark, scratch(spark, "live_fleet"))
+    live.live_fleet(source, fleet, scratch(spark, "checkpoint"), every=None, fold_every=2, **more).awaitTermination()
+    return fleet
+
+
+FIVE_DAYS_US = 432_000_000_000
+
+
+@query
+def late_events_stream(spark, sf):
+    """Events that the live fleet sets aside."""
+    late = live.LateEvents(spark, scratch(spark, "late_events"), parse("timestamp"))
+    _fleet_by_arrival(spark, sf, late=late)
+    return late.late.read().select(F.col("event_id").cast("long").alias("event_id"), F.try_to_timestamp("timestamp").alias("timestamp"))
+
+
+@query
+def batch_metrics(spark, sf):
+    """Pings of each micro-batch, and couriers left after the newest ping of each is taken, counted while they are written."""
+    metrics = live.metrics_table(spark, scratch(spark, "metrics"))
+    _fleet_by_arrival(spark, sf, metrics=metrics)
+    return metrics.read().select("batch", F.col("rows_read").alias("pings"), F.col("rows_written").alias("couriers"))

@@ -102,15 +102,16 @@ def deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def couriers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Suppliers as the courier file, plus their key and code."""
+    """Suppliers as the courier file, plus their key and code. Some codes point to a base that is not there."""
 
     def pick(*values: str) -> str:
         return f"element_at(array{values}, CAST(s_suppkey % {len(values)} + 1 AS INT))"
 
+    base = "(s_nationkey + CASE WHEN s_suppkey % 8 = 0 THEN 50 ELSE 0 END)"
     return table(spark, sf_dir, "supplier").selectExpr(
         "s_suppkey AS courier_no",
         "CAST(s_suppkey AS INT) AS raw_id",
-        "concat('C-N', s_nationkey, '-', s_suppkey) AS courier_id",
+        f"concat('C-N', {base}, '-', s_suppkey) AS courier_id",
         "split_part(s_name, '#', 1) AS first_name",
         "split_part(s_name, '#', 2) AS last_name",
         f"{pick('bike', 'car', 'scooter')} AS vehicle_type",
@@ -119,7 +120,7 @@ def couriers(spark: SparkSession, sf_dir: str) -> DataFrame:
         "'active' AS active_status",
         "TIMESTAMP_NTZ '2024-01-01 10:00:00' AS ingested_at",
         "'HR_System' AS source_system",
-        "concat('PIZ-N', s_nationkey, '-001') AS pizzeria_id",
+        f"concat('PIZ-N', {base}, '-001') AS pizzeria_id",
         "CAST((s_suppkey % 10) / 100 AS DECIMAL(10,4)) AS accident_risk_factor",
         "CAST((s_suppkey % 7) / 10 AS DECIMAL(10,2)) AS fatigue_resistance",
         "CAST(s_suppkey % 8 + 2 AS DECIMAL(10,2)) AS vehicle_range_km",
@@ -130,8 +131,8 @@ def couriers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def bases(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Nations as the base file. Some couriers' codes point to a base that is not there."""
-    return table(spark, sf_dir, "nation").where("n_nationkey < 20").selectExpr(
+    """Nations as the base file."""
+    return table(spark, sf_dir, "nation").selectExpr(
         "CAST(n_nationkey AS BIGINT) AS base_no",
         "n_nationkey AS raw_id",
         "concat('PIZ-N', n_nationkey, '-001') AS pizzeria_id",
@@ -163,10 +164,15 @@ def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def courier_snapshots(spark: SparkSession, sf_dir: str) -> list[tuple[str, DataFrame]]:
     """Three states of the couriers with their load times, to build a history from: at first some
-    are not hired yet; then vehicles change; then some change again and some are absent."""
+    are not hired yet; then vehicles and contracts change; then other attributes, and some are absent."""
     c, key = couriers(spark, sf_dir), F.col("courier_no")
-    second = c.withColumn("vehicle_type", F.when(key % 7 == 0, "ebike").otherwise(F.col("vehicle_type")))
-    third = second.withColumn("vehicle_type", F.when(key % 14 == 0, "van").otherwise(F.col("vehicle_type")))
+
+    def changed(df: DataFrame, name: str, step: int, value: str | None) -> DataFrame:
+        return df.withColumn(name, F.when(key % step == 0, F.lit(value)).otherwise(F.col(name)))
+
+    second = changed(changed(c, "vehicle_type", 7, "ebike"), "contract_type", 11, "Fixed-term")
+    third = changed(changed(second, "vehicle_type", 14, "van"), "active_status", 13, "on leave")
+    third = changed(changed(third, "performance_level", 17, None), "equipment_set", 19, "Cargo")
     return [
         ("2024-01-01 00:00:00", c.where(key % 10 != 9)),
         ("2024-01-11 00:00:00", second),
@@ -212,12 +218,12 @@ SELECT order_id, customer_id, order_timestamp AS order_ts,
   order_timestamp + to_seconds(order_id * 53 % 300) AS ping_ts, (order_id * 31 % 100) / 10e0 AS km_to_target
 FROM ords""",
     "couriers": """
-SELECT s_suppkey AS courier_no, s_suppkey AS raw_id, 'C-N' || s_nationkey || '-' || s_suppkey AS courier_id,
+SELECT s_suppkey AS courier_no, s_suppkey AS raw_id, 'C-N' || (s_nationkey + CASE WHEN s_suppkey % 8 = 0 THEN 50 ELSE 0 END) || '-' || s_suppkey AS courier_id,
   split_part(s_name, '#', 1) AS first_name, split_part(s_name, '#', 2) AS last_name,
   ['bike', 'car', 'scooter'][s_suppkey % 3 + 1] AS vehicle_type, 'M' || s_nationkey AS vehicle_info,
   ['B2B', 'Full-time', 'Part-time', 'Seasonal'][s_suppkey % 4 + 1] AS contract_type, 'active' AS active_status,
   TIMESTAMP '2024-01-01 10:00:00' AS ingested_at, 'HR_System' AS source_system,
-  'PIZ-N' || s_nationkey || '-001' AS pizzeria_id, CAST((s_suppkey % 10) / 100e0 AS DOUBLE) AS accident_risk_factor,
+  'PIZ-N' || (s_nationkey + CASE WHEN s_suppkey % 8 = 0 THEN 50 ELSE 0 END) || '-001' AS pizzeria_id, CAST((s_suppkey % 10) / 100e0 AS DOUBLE) AS accident_risk_factor,
   CAST((s_suppkey % 7) / 10e0 AS DOUBLE) AS fatigue_resistance,
   CAST(s_suppkey % 8 + 2 AS DOUBLE) AS vehicle_range_km,
   ['Private', 'Company'][s_suppkey % 2 + 1] AS vehicle_ownership,
@@ -229,7 +235,7 @@ SELECT CAST(n_nationkey AS BIGINT) AS base_no, n_nationkey AS raw_id, 'PIZ-N' ||
   n_name AS pizzeria_name, 'Warsaw' AS city, 'ul. ' || n_name AS address_raw,
   52.13e0 + (n_nationkey % 5) * 0.05e0 AS lat, 20.95e0 + (n_nationkey // 5) * 0.08e0 AS lon,
   'Manager ' || n_name AS manager_info, TIMESTAMP '2024-01-01 10:00:00' AS ingested_at
-FROM nation WHERE n_nationkey < 20""",
+FROM nation""",
     "custs": """
 SELECT c_custkey AS customer_id, c_name AS full_name, c_mktsegment AS segment_tag,
   52.13e0 + (c_custkey % 200) * 0.001e0 AS lat, 20.95e0 + (c_custkey * 7 % 320) * 0.001e0 AS lon,

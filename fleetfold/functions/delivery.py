@@ -24,6 +24,10 @@ ROUTE_PROGRESS_CAP = 95.0
 DEMAND_BY_FIRST_HOUR = {0: 0.30, 10: 0.98, 23: 0.50}
 
 
+# Progress in percent of delivered orders, at the door, and in the kitchen.
+DONE_PERCENT, AT_DOOR_PERCENT, PREPARING_PERCENT = 100.0, 99.0, 10.0
+
+
 def _by_value(column: Column, mapping: dict, other) -> Column:
     out = None
     for value, result in mapping.items():
@@ -45,10 +49,10 @@ def progress_percent(status, pickup_ts, as_of=None, sla_seconds: float = SLA_SEC
     status = col(status)
     on_route = F.round(seconds_between(pickup_ts, instant(as_of)) / F.lit(float(sla_seconds)) * 100, 2)
     return (
-        F.when(is_finished(status), 100.0)
-        .when(status == "AT_CUSTOMER", 99.0)
+        F.when(is_finished(status), DONE_PERCENT)
+        .when(status == "AT_CUSTOMER", AT_DOOR_PERCENT)
         .when((status == "IN_REALIZATION") & col(pickup_ts).isNotNull(), F.least(F.lit(ROUTE_PROGRESS_CAP), on_route))
-        .when(status == "PREPARING", 10.0)
+        .when(status == "PREPARING", PREPARING_PERCENT)
         .otherwise(0.0)
     )
 
@@ -97,10 +101,10 @@ def distance_left_km(status, km_to_target, trip_km) -> Column:
 def realization_percent(status, left_km, trip_km) -> Column:
     """Share of the trip done, within [0, 99] on route; 99 at the door, 100 once delivered."""
     status, trip = col(status), col(trip_km)
-    done = F.when(trip > 0, F.least(F.lit(99.0), F.greatest(F.lit(0.0), (1 - col(left_km) / trip) * 100))).otherwise(0.0)
+    done = F.when(trip > 0, F.least(F.lit(AT_DOOR_PERCENT), F.greatest(F.lit(0.0), (1 - col(left_km) / trip) * 100))).otherwise(0.0)
     return F.round(
-        F.when(is_finished(status), 100.0)
-        .when(status == "AT_CUSTOMER", 99.0)
+        F.when(is_finished(status), DONE_PERCENT)
+        .when(status == "AT_CUSTOMER", AT_DOOR_PERCENT)
         .when(status == "IN_REALIZATION", done)
         .otherwise(0.0),
         2,

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import add
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -25,8 +28,7 @@ def haversine_km(lat1, lon1, lat2, lon2) -> Column:
 def zone_of(distance_km: Column | str, bounds=ZONE_BOUNDS_KM) -> Column:
     """1 for the innermost ring, len(bounds) + 1 beyond the last bound; null stays null."""
     distance = col(distance_km)
-    reached = sum((distance >= F.lit(b)).cast("int") for b in bounds[1:]) + (distance >= F.lit(bounds[0])).cast("int")
-    return reached + 1
+    return reduce(add, [(distance >= F.lit(bound)).cast("int") for bound in bounds]) + 1
 
 
 def step_towards(lat, lon, to_lat, to_lon, step_km) -> tuple[Column, Column]:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -17,6 +19,11 @@ def instant(as_of: Column | str | None) -> Column:
     return F.lit(as_of).cast("timestamp") if isinstance(as_of, str) else as_of
 
 
+def fixed_instant(as_of: Column | str | None) -> Column:
+    """As ``instant``, but now is taken once, on the driver: a load that runs several jobs needs one clock."""
+    return F.lit(dt.datetime.now(dt.timezone.utc)).cast("timestamp") if as_of is None else instant(as_of)
+
+
 def micros(ts: Column | str) -> Column:
     return F.unix_micros(col(ts).cast("timestamp"))
 

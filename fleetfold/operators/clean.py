@@ -35,10 +35,19 @@ def has_position(lat="lat", lon="lon") -> Column:
     return (col(lat) != 0) & (col(lon) != 0)
 
 
+MONEY = "decimal(18,2)"
+
+
+def has_revenue() -> Column:
+    """Revenue is known, not negative, and an amount: no NaN, and not beyond what the key figures hold."""
+    revenue = F.col("gross_revenue")
+    return F.coalesce((revenue >= 0) & revenue.try_cast(MONEY).isNotNull(), F.lit(False))
+
+
 def clean_orders(df: DataFrame, as_of=None) -> DataFrame:
-    """Typed orders with their date and load time; negative and unknown revenue is left out."""
+    """Typed orders with their date and load time; negative, unknown and impossible revenue is left out."""
     return (
-        df.where(F.col("gross_revenue") >= 0)
+        df.where(has_revenue())
         .withColumn("order_timestamp", _as_time(df, "order_timestamp"))
         .withColumn("order_date", F.to_date("order_timestamp"))
         .withColumn("ingestion_timestamp", instant(as_of))

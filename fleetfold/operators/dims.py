@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetfold.functions.time import col, instant
+from fleetfold.functions.time import col, fixed_instant
 
 # Delivery zones and order statuses.
 ZONES = """
@@ -100,7 +100,7 @@ def shape_couriers(raw: DataFrame, as_of=None) -> DataFrame:
             "courier_name": F.concat_ws(" ", "first_name", "last_name"),
             "vehicle": F.concat_ws(" - ", "vehicle_type", "vehicle_info"),
             "employment_status": F.col("active_status"),
-            "insurance_expiry_date": F.date_add(F.to_date(instant(as_of)), 365),
+            "insurance_expiry_date": F.date_add(F.to_date(fixed_instant(as_of)), 365),
             "accident_risk_factor": F.col("accident_risk_factor").cast("decimal(10,4)"),
             "fatigue_resistance": F.col("fatigue_resistance").cast("decimal(10,2)"),
             "vehicle_range_km": F.col("vehicle_range_km").cast("decimal(10,2)"),

@@ -7,19 +7,17 @@ from pyspark.sql import functions as F
 
 from fleetfold.functions.delivery import SLA_SECONDS, demand_factor, efficiency_class
 from fleetfold.functions.time import instant, micros, seconds_between
+from fleetfold.operators.clean import MONEY
 from fleetfold.plans.joins import lookup
 
-MONEY = "decimal(18,2)"
-
-
 def daily_kpi(orders: DataFrame, as_of=None) -> DataFrame:
     """Revenue, fees, order count and average order value per date, in exact decimals."""
-    revenue, fee = F.col("gross_revenue").cast(MONEY), F.col("delivery_charge").cast(MONEY)
+    revenue, fee = F.col("gross_revenue").try_cast(MONEY), F.col("delivery_charge").try_cast(MONEY)
     daily = orders.groupBy("order_date").agg(
         F.sum(revenue).alias("_revenue"),
         F.sum(fee).alias("_fees"),
         F.count("order_id").alias("total_orders"),
-        F.count("gross_revenue").alias("_priced"),
+        F.count(revenue).alias("_priced"),
     )
     average = F.when(F.col("_priced") > 0, F.round(F.col("_revenue") / F.col("_priced"), 2))
     return daily.select(

@@ -13,7 +13,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fleetfold.functions.time import instant
+from fleetfold.functions.time import fixed_instant
 from fleetfold.plans.ordered import MAX_GROUP_ROWS, with_position
 from fleetfold.session import pin
 
@@ -91,9 +91,9 @@ def scd1_merge(target: DataFrame, staged: DataFrame, key: str, surrogate: str |
 
 
 def _number_new(merged: DataFrame, key: str, surrogate: str, after: int) -> DataFrame:
-    """Numbers for the rows that have none; these are written once, as they are read more than once."""
-    new = pin(merged.where(F.col(surrogate).isNull()).drop(surrogate), "new_members")
-    new = surrogate_keys(new, key, surrogate, after)
+    """Numbers for the rows that have none. The merge is written once, so the join behind it runs once."""
+    merged = pin(merged, "merged")
+    new = surrogate_keys(merged.where(F.col(surrogate).isNull()).drop(surrogate), key, surrogate, after)
     return merged.where(F.col(surrogate).isNotNull()).unionByName(new.select(*merged.columns))
 
 
@@ -116,9 +116,10 @@ def scd2_merge(
 
     Staged values are cast to the target's types before they are compared, so 0.02 stays equal to
     0.02. Keys that are not staged stay open. A key staged twice counts once. The current slice
-    and the staged rows meet in a single join; closed history is passed through unjoined.
+    and the staged rows meet in a single join; closed history is passed through unjoined. The clock
+    is taken once per load, so a closed version ends exactly when its successor begins.
     """
-    now = instant(as_of)
+    now = fixed_instant(as_of)
     versioning = ("valid_from", "valid_to", "is_current", surrogate)
     carried = [c for c in target.columns if c not in versioning and c in staged.columns]
     typed = staged.select(*[F.col(c).cast(target.schema[c].dataType).alias(c) for c in carried])

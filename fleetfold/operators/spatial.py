@@ -93,49 +93,57 @@ def _keep_possible(pairs: DataFrame, size: float) -> DataFrame:
     reached = pin(pairs.withColumn("_reach", reach), "reach")
     best = reached.groupBy("_cx", "_cy").agg(F.min("_reach").alias("_best"))
     near = F.col("_reach") <= F.col("_best") + F.lit(2 * _cell_radius_km(size))
-    return reached.join(best, ["_cx", "_cy"]).where(near).drop("_reach", "_best")
+    return pin(reached.join(best, ["_cx", "_cy"]).where(near).drop("_reach", "_best"), "possible")
 
 
-def nearest_base(
-    points: DataFrame,
-    bases: DataFrame,
-    base_id: str,
-    digits: int = 6,
-    world_cell: int = 10,
-    finer_cells: tuple[float, ...] = (1.0, 0.1),
+WORLD_CELL, FINER_CELLS = 10, (1.0, 0.1, 0.01, 0.001)
+FEW_PER_CELL = 3  # sites per cell at which refining ends
+
+
+def candidates_per_spot(
+    spots: DataFrame, sites: DataFrame, finer_cells: tuple[float, ...] = FINER_CELLS, few: float = FEW_PER_CELL
 ) -> DataFrame:
-    """Points with the id and distance of their nearest base; equal rounded distance: lowest id.
+    """Positions (``lat``, ``lon``) with the sites (``_lat``, ``_lon``, ``_id``) that may be their nearest.
 
-    Candidate bases are narrowed from coarse to fine cells, each step an equi-join on the parent
-    cell, and only the last few meet the points. The search runs once per position, so a position
-    that a third of all points share costs one search. Each finer size must divide the one above.
+    Only cells with positions in them are looked at. The first ones are at most 703, the cells of 10 degrees.
+    Each step splits the cells of the last and drops sites by the triangle inequality, until a cell has few sites
+    left or cells are as small as they get. Each finer size must divide the one above.
     """
-    sites = bases.groupBy(F.col("lat").alias("_lat"), F.col("lon").alias("_lon")).agg(F.min(base_id).alias("_id"))
-    spots = points.where("lat is not null and lon is not null").select("lat", "lon").distinct()
-
-    # The coarse cells cover the world: 648 of 10 degrees, however many points there are.
-    rows, cols = 180 // world_cell, 360 // world_cell
-    cells = (
-        sites.withColumn("_cx", F.explode(F.sequence(F.lit(-rows // 2), F.lit(rows // 2))))
-        .withColumn("_cy", F.explode(F.sequence(F.lit(-cols // 2), F.lit(cols // 2))))
-    )
-    size, candidates = float(world_cell), _keep_possible(cells, float(world_cell))
+
+    def occupied(size: float) -> DataFrame:
+        return spots.select(grid_cell("lat", size).alias("_cx"), grid_cell("lon", size).alias("_cy")).distinct()
+
+    size = float(WORLD_CELL)
+    cells = F.array(*[F.struct(F.lit(r["_cx"]).alias("_cx"), F.lit(r["_cy"]).alias("_cy")) for r in occupied(size).collect()])
+    pairs = sites.withColumn("_cell", F.explode(cells.cast("array<struct<_cx:bigint,_cy:bigint>>"))).select("_cell.*", "_lat", "_lon", "_id")
+    candidates = _keep_possible(pairs, size)
     for finer in finer_cells:
-        occupied = spots.select(grid_cell("lat", finer).alias("_fx"), grid_cell("lon", finer).alias("_fy")).distinct()
         ratio = round(size / finer)
-        parents = occupied.select(
-            "_fx", "_fy", F.floor(F.col("_fx") / ratio).alias("_cx"), F.floor(F.col("_fy") / ratio).alias("_cy")
-        )
-        narrowed = parents.join(candidates, ["_cx", "_cy"]).select(
+        split = pin(occupied(finer), "cells").select(
+            F.col("_cx").alias("_fx"), F.col("_cy").alias("_fy"),
+            F.floor(F.col("_cx") / ratio).alias("_cx"), F.floor(F.col("_cy") / ratio).alias("_cy"),
+        )
+        narrowed = split.join(candidates, ["_cx", "_cy"]).select(
             F.col("_fx").alias("_cx"), F.col("_fy").alias("_cy"), "_lat", "_lon", "_id"
         )
         size, candidates = finer, _keep_possible(narrowed, finer)
+        if candidates.count() <= few * split.count():
+            break
+    celled = spots.withColumn("_cx", grid_cell("lat", size)).withColumn("_cy", grid_cell("lon", size))
+    return celled.join(candidates, ["_cx", "_cy"]).drop("_cx", "_cy")
+
+
+def nearest_base(points: DataFrame, bases: DataFrame, base_id: str, digits: int = 6) -> DataFrame:
+    """Points with the id and distance of their nearest base; equal rounded distance: lowest id.
 
+    The search runs once per position, so a position that a third of all points share costs one search, and bases on
+    one spot count once.
+    """
+    sites = bases.groupBy(F.col("lat").alias("_lat"), F.col("lon").alias("_lon")).agg(F.min(base_id).alias("_id"))
+    spots = pin(points.where("lat is not null and lon is not null").select("lat", "lon").distinct(), "spots")
     distance = F.round(haversine_km("lat", "lon", "_lat", "_lon"), digits)
     found = (
-        spots.withColumn("_cx", grid_cell("lat", size))
-        .withColumn("_cy", grid_cell("lon", size))
-        .join(candidates, ["_cx", "_cy"])
+        candidates_per_spot(spots, sites)
         .groupBy("lat", "lon")
         .agg(F.min(F.struct(distance.alias("km"), F.col("_id").alias("id"))).alias("_near"))
         .select("lat", "lon", F.col("_near.id").alias(base_id), F.col("_near.km").alias("distance_km"))

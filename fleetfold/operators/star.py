@@ -27,7 +27,8 @@ def _known(name: str) -> Column:
 def base_by_courier_code(rows: DataFrame, dim_pizzeria: DataFrame, courier_code: str = "courier_id") -> DataFrame:
     """Add the key of the base that the courier's code points to, null where there is none."""
     bases = _key_of(dim_pizzeria, "pizzeria_id", "pizzeria_key", "_base_code")
-    return lookup(rows.withColumn("_base_code", base_code_of(courier_code)), bases, "_base_code").drop("_base_code")
+    coded = rows.withColumn("_base_code", base_code_of(courier_code))
+    return lookup(coded, bases, "_base_code", spread_by=[courier_code]).drop("_base_code")
 
 
 def fact_keys(
@@ -55,7 +56,7 @@ def fact_keys(
     )
 
 
-MAX_VERSIONS_PER_KEY = 1_000
+MAX_VERSIONS_PER_KEY = 200
 
 
 def as_of_join(
@@ -67,31 +68,45 @@ def as_of_join(
     max_versions: int = MAX_VERSIONS_PER_KEY,
     max_group_rows: int = MAX_GROUP_ROWS,
 ) -> DataFrame:
-    """Facts with the dimension version valid at their time, in half-open intervals; null if none is.
+    """Each fact once, with the dimension version valid at its time; null if none is.
 
-    While no key has many versions this is an equi-join on the key with the interval as residual
-    condition. Otherwise facts and versions are put in one order of time per key and each fact
-    takes the last version before it, so that the work stays linear whatever the key.
+    One rule whatever the size: of the versions that began at or before the time the one that began last
+    decides (of those that began together an open one, then the one that ends last), and it counts if the
+    time lies before its end. So of overlapping versions a fact meets one.
+
+    While no key has many versions they are gathered per key and looked up as one row. Otherwise facts and
+    versions are put in one order of time per key and each fact takes the last version before it, so that the
+    work stays linear whatever the key.
     """
-    largest, _ = group_sizes(versions, [key])
+    version = F.struct(
+        F.col("valid_from").alias("begin"), F.col("valid_to").isNull().alias("open"), F.col("valid_to").alias("end"), *columns
+    )
+    dated = versions.where(F.col(key).isNotNull() & F.col("valid_from").isNotNull())
+
+    def picked(last: str, time: Column) -> list[Column]:
+        valid = F.col(f"{last}.open") | (time < F.col(f"{last}.end"))
+        return [F.when(valid, F.col(f"{last}.{c}")).alias(c) for c in columns]
+
+    largest, _ = group_sizes(dated, [key])
     if largest <= max_versions:
-        v = versions.select(
-            F.col(key).alias("_key"), F.col("valid_from").alias("_from"), F.col("valid_to").alias("_to"), *columns
-        )
-        valid = (F.col(at) >= F.col("_from")) & (F.col("_to").isNull() | (F.col(at) < F.col("_to")))
-        return lookup(facts, v, (F.col(key) == F.col("_key")) & valid).drop("_key", "_from", "_to")
-
-    fact, version = F.struct(*facts.columns), F.struct("valid_from", "valid_to", *columns)
-    marks = versions.where(F.col(key).isNotNull()).select(
-        F.col(key).alias("_key"), F.col("valid_from").alias("_at"), F.lit(0).alias("_kind"), version.alias("_version")
+        per_key = dated.groupBy(F.col(key).alias("_key")).agg(F.collect_list(version).alias("_versions"))
+        joined = lookup(facts, per_key, F.col(key) == F.col("_key"))
+        last = F.array_max(F.filter("_versions", lambda v: v["begin"] <= F.col(at)))
+        return joined.withColumn("_last", last).select(*facts.columns, *picked("_last", F.col(at)))
+
+    marks = dated.select(
+        F.col(key).alias("_key"), F.col("valid_from").alias("_at"), F.lit(0).alias("_kind"), F.xxhash64(version).alias("_tie"),
+        version.alias("_version"),
+    )
+    fact = F.struct(*facts.columns)
+    rows = facts.select(
+        F.col(key).alias("_key"), F.col(at).alias("_at"), F.lit(1).alias("_kind"), F.xxhash64(fact).alias("_tie"), fact.alias("_fact")
     )
-    rows = facts.select(F.col(key).alias("_key"), F.col(at).alias("_at"), F.lit(1).alias("_kind"), fact.alias("_fact"))
     merged = marks.unionByName(rows, allowMissingColumns=True)
-    ordered = with_running(merged, ["_key"], ["_at", "_kind"], {"_last": ("max", "_version")}, max_group_rows)
-    to = F.col("_last.valid_to")
-    valid = to.isNull() | (F.col("_at") < to)
-    found = [F.when(valid, F.col(f"_last.{c}")).alias(c) for c in columns]
-    return ordered.where("_kind = 1").select("_fact.*", *found)
+    # Rows that agree in all four are repeated facts or versions, for which a maximum needs no order.
+    ordered = with_running(merged, ["_key"], ["_at", "_kind", "_tie"], {"_last": ("max", "_version")}, max_group_rows)
+    known = F.when(F.col("_key").isNotNull() & F.col("_at").isNotNull(), F.col("_last"))
+    return ordered.where("_kind = 1").withColumn("_last", known).select("_fact.*", *picked("_last", F.col("_at")))
 
 
 def courier_with_base(couriers: DataFrame, bases: DataFrame, on: str = "pizzeria_id") -> DataFrame:
@@ -114,9 +129,9 @@ def order_360(
     """One row per order with everything a report needs, dimensions resolved and metrics derived."""
     money = live_orders.select("order_id", "gross_revenue", "delivery_charge")
     wide = lookup(fact, money, "order_id")
-    wide = lookup(wide, dim_courier.select("courier_key", "courier_name", "vehicle"), "courier_key")
-    wide = lookup(wide, dim_pizzeria.select("pizzeria_key", "pizzeria_name"), "pizzeria_key")
-    wide = lookup(wide, dim_customer.select("customer_key", "customer_name"), "customer_key")
+    wide = lookup(wide, dim_courier.select("courier_key", "courier_name", "vehicle"), "courier_key", spread_by=["order_id"])
+    wide = lookup(wide, dim_pizzeria.select("pizzeria_key", "pizzeria_name"), "pizzeria_key", spread_by=["order_id"])
+    wide = lookup(wide, dim_customer.select("customer_key", "customer_name"), "customer_key", spread_by=["order_id"])
     wide = lookup(wide, F.broadcast(dim_status.select("status_key", "status_name")), "status_key")
     wide = lookup(wide, F.broadcast(dim_zone.select("zone_key", "zone_name")), "zone_key")
     nothing = F.lit(0).cast("decimal(10,2)")

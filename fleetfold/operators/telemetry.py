@@ -9,7 +9,7 @@ from fleetfold.functions.geo import haversine_km, step_towards
 from fleetfold.functions.time import micros
 from fleetfold.operators.merge import latest_per_key
 from fleetfold.plans.joins import lookup
-from fleetfold.plans.ordered import MAX_GROUP_ROWS, with_previous, with_running
+from fleetfold.plans.ordered import MAX_GROUP_ROWS, Ordered, with_previous, with_running
 
 # Status changes of a regular trip, and statuses that may be reported repeatedly.
 REGULAR_CHANGES = [
@@ -69,12 +69,12 @@ def trip_odometer(
     addition. With ``status`` only hops that end in a moving status count.
     """
     trip = ["courier_id", "order_id"]
-    steps = with_previous(pings, trip, [ts, tie], ["lat", "lon"], "prev_", max_group_rows)
+    steps = Ordered(pings, trip, [ts, tie], max_group_rows).previous(["lat", "lon"])
     hop = F.coalesce(F.round(haversine_km("prev_lat", "prev_lon", "lat", "lon"), 6), F.lit(0.0)).cast("decimal(18,6)")
     if status is not None:
         hop = F.when(F.col(status).isin(*MOVING), hop).otherwise(F.lit(0).cast("decimal(18,6)"))
-    hops = steps.withColumn("hop_km", hop).drop("prev_lat", "prev_lon")
-    return with_running(hops, trip, [ts, tie], {"odometer_km": ("sum", "hop_km")}, max_group_rows)
+    hops = steps.map(lambda df: df.withColumn("hop_km", hop).drop("prev_lat", "prev_lon"))
+    return hops.running({"odometer_km": ("sum", "hop_km")}).result()
 
 
 def trip_totals(pings: DataFrame, ts: str, tie: str = "event_id", max_group_rows: int = MAX_GROUP_ROWS) -> DataFrame:

@@ -12,8 +12,10 @@ from fleetfold.operators import dims
 from fleetfold.operators.clean import enforce_types
 from fleetfold.operators.kpi import daily_kpi
 from fleetfold.operators.merge import COURIER_TRACKED, scd1_merge, scd2_merge
-from fleetfold.sources.files import path_exists, read_csv
+from fleetfold.session import scratch_scope
+from fleetfold.sources.files import read_csv
 from fleetfold.sources.tables import MAX_ROWS_PER_FILE, CompactedTable, VersionedTable, replace_partitions
+from fleetfold.storage import path_exists
 from fleetfold.streaming.ingest import silver_orders, silver_telemetry
 
 
@@ -37,7 +39,7 @@ GOLD_DIMENSIONS = (
     DimensionSpec("dim_customer", "customer_id", "customer_key", referred_by="customer_key"),
     DimensionSpec("dim_delivery_zone", "zone_key", referred_by="zone_key"),
     DimensionSpec("dim_order_status", "status_key", referred_by="status_key"),
-    DimensionSpec("dim_date", "date_key"),
+    DimensionSpec("dim_date", "date_key", referred_by="date_key"),
 )
 
 
@@ -77,31 +79,54 @@ def load_gold_dimensions(
     return written
 
 
-def silver_dimensions(spark: SparkSession, bronze: str, as_of=None) -> dict[str, DataFrame]:
+CALENDAR = ("2025-01-01", "2027-12-31")
+
+
+def calendar_dates(spark: SparkSession, lake: str, calendar: tuple[str, str] = CALENDAR) -> DataFrame:
+    """The dates of ``calendar``, and on to those of the earliest and latest order so far, found in the partition names."""
+    first, last = (F.lit(d).cast("date") for d in calendar)
+    path = f"{lake}/silver/orders"
+    if not path_exists(spark, path):
+        return dims.date_range(spark, *calendar)
+    orders = spark.read.parquet(path).agg(F.min("order_date").alias("first"), F.max("order_date").alias("last"))
+    return dims.date_spine(orders, F.least(first, "first"), F.greatest(last, "last"))
+
+
+def silver_dimensions(spark: SparkSession, lake: str, as_of=None, calendar: tuple[str, str] = CALENDAR) -> dict[str, DataFrame]:
     """The six dimensions from the three dimension files and the literal tables."""
+    bronze = f"{lake}/bronze"
     return {
         "dim_courier": dims.shape_couriers(read_csv(spark, f"{bronze}/couriers", schemas.COURIER_FILE), as_of),
         "dim_pizzeria": dims.shape_pizzerias(read_csv(spark, f"{bronze}/pizzerias", schemas.PIZZERIA_FILE)),
         "dim_customer": dims.shape_customers(read_csv(spark, f"{bronze}/customers", schemas.CUSTOMER_FILE)),
         "dim_delivery_zone": dims.delivery_zones(spark),
         "dim_order_status": dims.order_statuses(spark),
-        "dim_date": dims.date_attributes(dims.date_range(spark)),
+        "dim_date": dims.date_attributes(calendar_dates(spark, lake, calendar)),
     }
 
 
-def run_daily(spark: SparkSession, lake: str, process_date: str, as_of=None, max_files: int = 10_000) -> None:
-    """One day's batch work below ``lake``: bronze -> silver -> gold, compaction last."""
+def run_daily(
+    spark: SparkSession, lake: str, process_date: str, as_of=None, max_files: int = 10_000,
+    max_rows: int = MAX_ROWS_PER_FILE, calendar: tuple[str, str] = CALENDAR,
+) -> None:
+    """One day's batch work below ``lake``: bronze -> silver -> gold, compaction last.
+
+    What the steps pin in the shared folder is dropped at the end of the run.
+    """
     bronze, silver, gold, state = (f"{lake}/{part}" for part in ("bronze", "silver", "gold", "checkpoints"))
-    staged = {}
-    for name, df in silver_dimensions(spark, bronze, as_of).items():
-        df.write.mode("overwrite").parquet(f"{silver}/dimension/{name}")
-        staged[name] = spark.read.parquet(f"{silver}/dimension/{name}")
-    for name, drain in (("orders", silver_orders), ("telemetry", silver_telemetry)):
-        if path_exists(spark, f"{bronze}/{name}"):
-            drain(spark, f"{bronze}/{name}", f"{silver}/{name}", f"{state}/{name}", max_files, as_of=as_of).awaitTermination()
-    load_gold_dimensions(spark, gold, staged, as_of)
-    daily_figures(spark, lake, process_date, as_of)
-    compact_silver(spark, lake)
+    with scratch_scope(spark):
+        for name, drain in (("orders", silver_orders), ("telemetry", silver_telemetry)):
+            if path_exists(spark, f"{bronze}/{name}"):
+                drain(
+                    spark, f"{bronze}/{name}", f"{silver}/{name}", f"{state}/{name}", max_files, as_of=as_of, max_rows=max_rows
+                ).awaitTermination()
+        staged = {}
+        for name, df in silver_dimensions(spark, lake, as_of, calendar).items():
+            df.write.mode("overwrite").parquet(f"{silver}/dimension/{name}")
+            staged[name] = spark.read.parquet(f"{silver}/dimension/{name}")
+        load_gold_dimensions(spark, gold, staged, as_of)
+        daily_figures(spark, lake, process_date, as_of)
+        compact_silver(spark, lake, max_rows)
 
 
 SILVER_PARTITIONS = {"orders": "order_date", "telemetry": "event_date"}

@@ -9,8 +9,8 @@ from fleetfold.operators.merge import ORDER_PERFORMANCE, read_state
 from fleetfold.operators.star import order_360
 from fleetfold.plans.daily import GOLD_DIMENSIONS
 from fleetfold.schemas import GOLD_TYPES
-from fleetfold.sources.files import path_exists
 from fleetfold.sources.tables import VersionedTable
+from fleetfold.storage import path_exists
 from fleetfold.streaming.live import fleet_table, orders_table, performance_table
 
 

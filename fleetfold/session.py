@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+import contextlib
 import functools
 import os
 import tempfile
+import threading
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
+from fleetfold.storage import drop_directory, make_directory
+
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -37,6 +42,7 @@ def build_session(app: str = "fleetfold", cores: int | str = "*", **conf: str) -
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", partitions)
         .config("spark.driver.memory", "8g")
+        .config("spark.checkpoint.dir", _local_base())
         # Call sites in error messages cost several calls into the JVM per column expression.
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
@@ -56,7 +62,8 @@ def shared_base(spark: SparkSession) -> str:
     """The folder all executors can reach: ``spark.checkpoint.dir`` of the session, or the
     checkpoint folder its context was given.
 
-    Only a local session may do without; it then gets one private folder per process.
+    Where neither is set a local session, whose executors are the driver, gets one private folder per process and
+    keeps it in the setting; a cluster has to name one.
     """
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if base:
@@ -70,16 +77,31 @@ def shared_base(spark: SparkSession) -> str:
 def _run_folder(spark: SparkSession, base: str) -> str:
     """One folder per application below the shared one; the file system drops it when the driver ends."""
     folder = f"{base}/fleetfold/{spark.sparkContext.applicationId}-{uuid.uuid4().hex}"
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
-    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    fs.mkdirs(path)
-    fs.deleteOnExit(path)
+    make_directory(spark, folder, until_exit=True)
     return folder
 
 
+_SCOPES = threading.local()
+
+
+@contextlib.contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[str]:
+    """Drop everything this thread pins inside the block at its end. What is computed from it must be written by then."""
+    held = getattr(_SCOPES, "folders", [])
+    folder = f"{_run_folder(spark, shared_base(spark))}/scope-{uuid.uuid4().hex}"
+    _SCOPES.folders = [*held, folder]
+    try:
+        yield folder
+    finally:
+        _SCOPES.folders = held
+        drop_directory(spark, folder)
+
+
 def scratch(spark: SparkSession, name: str) -> str:
-    """A fresh path for an intermediate table, readable by all executors until the driver ends."""
-    return f"{_run_folder(spark, shared_base(spark))}/{name}-{uuid.uuid4().hex}"
+    """A fresh path for an intermediate table, readable by all executors until the scope or the driver ends."""
+    scopes = getattr(_SCOPES, "folders", [])
+    folder = scopes[-1] if scopes else _run_folder(spark, shared_base(spark))
+    return f"{folder}/{name}-{uuid.uuid4().hex}"
 
 
 def pin(df: DataFrame, name: str) -> DataFrame:

@@ -8,10 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-
-def path_exists(spark: SparkSession, path: str) -> bool:
-    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(folder)
+from fleetfold.storage import path_exists
 
 
 def wait_for_path(spark: SparkSession, path: str, poll_seconds: float = 5.0, timeout_seconds: float | None = None) -> bool:

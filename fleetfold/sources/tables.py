@@ -16,34 +16,31 @@ from pyspark.sql import functions as F
 
 from fleetfold.functions.time import instant
 from fleetfold.session import pin
-from fleetfold.sources.files import path_exists
+from fleetfold.storage import drop_directory, folders, hadoop_setting, path_exists
 
 # Rows per file, and how long live tables keep an order.
 MAX_ROWS_PER_FILE = 100_000
 RETENTION_HOURS = 24
+FAN_IN = 8  # folds of one level that make one of the next
 MAX_NAMED_FILES = 10_000  # files that a read names one by one
 
 
+def require_markers(spark: SparkSession) -> None:
+    """Without Spark's success markers nothing here would ever count as complete."""
+    if hadoop_setting(spark, "mapreduce.fileoutputcommitter.marksuccessfuljobs", "true").lower() == "false":
+        raise RuntimeError("these tables need mapreduce.fileoutputcommitter.marksuccessfuljobs to be true")
+
+
 def completed(spark: SparkSession, root: str, prefix: str) -> dict[int, str]:
     """Completed directories ``<prefix>=<n>`` below ``root`` by number."""
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
-    folder = hadoop.Path(root)
-    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(folder):
-        return {}
     found = {}
-    for status in fs.listStatus(folder):
-        match = re.fullmatch(rf"{prefix}=(\d+)", status.getPath().getName())
-        if match and fs.exists(hadoop.Path(status.getPath(), "_SUCCESS")):
-            found[int(match.group(1))] = status.getPath().toString()
+    for name, path in folders(spark, root).items():
+        match = re.fullmatch(rf"{prefix}=(\d+)", name)
+        if match and path_exists(spark, f"{path}/_SUCCESS"):
+            found[int(match.group(1))] = path
     return dict(sorted(found.items()))
 
 
-def drop_directory(spark: SparkSession, path: str) -> None:
-    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
-
-
 def write_partitioned(df: DataFrame, path: str, by: str, mode: str = "append", max_rows: int = MAX_ROWS_PER_FILE) -> None:
     """Write by partition column. The rebalance gathers a partition's rows in few tasks but lets
     adaptive execution split a partition that holds most of the data."""
@@ -61,6 +58,7 @@ class VersionedTable:
     """A table as directories ``v=<n>``; readers see the newest completed one. The last few stay."""
 
     def __init__(self, spark: SparkSession, root: str, keep: int = 3):
+        require_markers(spark)
         self.spark, self.root, self.keep = spark, root, keep
 
     def versions(self) -> dict[int, str]:
@@ -96,6 +94,7 @@ class CompactedTable:
     """
 
     def __init__(self, spark: SparkSession, source: str, target: str, by: str):
+        require_markers(spark)
         self.spark, self.source, self.target, self.by = spark, source, target, by
 
     def _runs(self) -> dict[int, str]:
@@ -163,56 +162,99 @@ class BatchTable:
 
     Each micro-batch writes its own directory ``batch_id=<n>``, so its cost grows with the batch
     and not with the table, and a replay overwrites what it wrote. ``combine`` merges the rows of
-    one key; as it is associative, now and then all batches up to n are folded into ``base=<n>``.
+    one key; as it is associative, batches can be folded: ``fold`` merges the loose batches into one directory
+    ``fold=<level>.<first>-<last>`` of level 1, and ``FAN_IN`` folds of a level into one of the next. So a row is rewritten
+    once per level, and the levels grow as the logarithm of the number of batches.
+
+    With ``at``, a timestamp expression, directories are partitioned by its ``period`` (a day, unless a feed spans
+    very many); retention then drops whole folders and rewrites nothing.
     """
 
-    def __init__(self, spark: SparkSession, root: str, combine: Callable[[DataFrame], DataFrame] = lambda df: df):
-        self.spark, self.root, self.combine = spark, root, combine
+    def __init__(
+        self, spark: SparkSession, root: str, combine: Callable[[DataFrame], DataFrame] = lambda df: df,
+        at: Column | None = None, period: str = "day", fan_in: int = FAN_IN,
+    ):
+        require_markers(spark)
+        self.spark, self.root, self.combine, self.fan_in = spark, root, combine, fan_in
+        self.at, self.period = at, period
+
+    def _folds(self) -> list[tuple[int, int, int, str]]:
+        """Completed folds as (level, first, last, path)."""
+        out = []
+        for name, path in folders(self.spark, self.root).items():
+            match = re.fullmatch(r"fold=(\d+)\.(\d+)-(\d+)", name)
+            if match and path_exists(self.spark, f"{path}/_SUCCESS"):
+                out.append((*map(int, match.groups()), path))
+        return sorted(out)
+
+    def _live(self) -> tuple[list[tuple[int, int, int, str]], dict[int, str], list[str]]:
+        """Folds and loose batches that count, and the paths that a higher fold has replaced."""
+        folds = self._folds()
+
+        def inside(level: int, first: int, last: int) -> bool:
+            return any(high > level and a <= first and last <= b for high, a, b, _ in folds)
 
-    def _live(self, upto: int | None = None) -> tuple[int, list[str]]:
-        bases = completed(self.spark, self.root, "base")
-        base = max(bases, default=-1)
         batches = completed(self.spark, self.root, "batch_id")
-        newer = [p for n, p in batches.items() if n > base and (upto is None or n <= upto)]
-        return base, ([bases[base]] if bases else []) + newer
+        kept = [f for f in folds if not inside(*f[:3])]
+        loose = {n: path for n, path in batches.items() if not inside(0, n, n)}
+        replaced = [f[3] for f in folds if inside(*f[:3])] + [p for n, p in batches.items() if n not in loose]
+        return kept, loose, replaced
 
     def contains(self, batch_id: int) -> bool:
-        """The batch is part of the folded base, so that its replay must change nothing."""
-        return self._live()[0] >= batch_id
+        """The batch is part of a fold, so that its replay must change nothing."""
+        return any(first <= batch_id <= last for _, first, last, _ in self._folds())
+
+    def _write(self, rows: DataFrame, name: str) -> None:
+        if not path_exists(self.spark, f"{self.root}/schema/_SUCCESS"):
+            # Kept apart, as a directory may have no file left. Not derived from ``rows``, which may be observed.
+            self.spark.createDataFrame([], rows.schema).write.mode("overwrite").parquet(f"{self.root}/schema")
+        if self.at is None:
+            rows.write.mode("overwrite").parquet(f"{self.root}/{name}")
+        else:
+            dated = rows.withColumn("_from", F.to_date(F.date_trunc(self.period, self.at)))
+            write_partitioned(dated, f"{self.root}/{name}", "_from", "overwrite")
+
+    def _read(self, paths: list[str]) -> DataFrame:
+        schema = self.spark.read.parquet(f"{self.root}/schema").schema
+        if self.at is None:
+            return self.spark.read.schema(schema).parquet(*paths)
+        return reduce(DataFrame.unionByName, [self.spark.read.schema(schema).parquet(p).select(*schema.names) for p in paths])
 
     def put(self, rows: DataFrame, batch_id: int) -> bool:
-        """Write a batch, or nothing if it is in the base already; tells whether it was written."""
+        """Write a batch, or nothing if it is folded already; tells whether it was written."""
         if self.contains(batch_id):
             return False
-        rows.write.mode("overwrite").parquet(f"{self.root}/batch_id={batch_id}")
+        self._write(rows, f"batch_id={batch_id}")
         return True
 
     def read(self, upto: int | None = None) -> DataFrame | None:
         """Current rows, one per key; ``upto`` leaves later batches out."""
-        _, paths = self._live(upto)
-        if not paths:
-            return None
-        schema = self.spark.read.parquet(paths[0]).schema
-        return self.combine(self.spark.read.schema(schema).parquet(*paths))
-
-    def fold(self, batch_id: int, keep: Column | None = None) -> None:
-        """Fold everything up to ``batch_id`` into a new base, leaving out what ``keep`` rejects."""
-        rows = self.read(batch_id)
-        if rows is None or self.contains(batch_id):
-            return
-        rows = rows if keep is None else rows.where(keep)
-        rows.write.mode("overwrite").parquet(f"{self.root}/base={batch_id}")
-        self._drop_superseded()
-
-    def _drop_superseded(self) -> None:
-        """Remove what lies before the last base but one, so that running readers can finish."""
-        bases = completed(self.spark, self.root, "base")
-        if len(bases) < 2:
-            return
-        older = sorted(bases)[-2]
-        for n, path in completed(self.spark, self.root, "batch_id").items():
-            if n <= older:
-                drop_directory(self.spark, path)
-        for n, path in bases.items():
-            if n < older:
-                drop_directory(self.spark, path)
+        folds, loose, _ = self._live()
+        paths = [f[3] for f in folds] + [p for n, p in loose.items() if upto is None or n <= upto]
+        return self.combine(self._read(paths)) if paths else None
+
+    def fold(self, batch_id: int) -> None:
+        """Fold the loose batches up to ``batch_id``, and then folds of one level wherever there are enough."""
+        folds, loose, replaced = self._live()
+        due = {n: path for n, path in loose.items() if n <= batch_id}
+        if due:
+            self._write(self.combine(self._read(list(due.values()))), f"fold=1.{min(due)}-{max(batch_id, *due)}")
+        level = 1
+        while len(same := [f for f in self._live()[0] if f[0] == level]) >= self.fan_in:
+            rows = self.combine(self._read([f[3] for f in same]))
+            self._write(rows, f"fold={level + 1}.{min(f[1] for f in same)}-{max(f[2] for f in same)}")
+            level += 1
+        for path in replaced:  # by earlier folds, so that running readers could finish
+            drop_directory(self.spark, path)
+
+    def drop_before(self, cutoff: Column) -> int:
+        """Drop the folders of periods that lie wholly before ``cutoff``; returns their number. Undated rows stay."""
+        first_kept = self.spark.range(1).select(F.date_format(F.date_trunc(self.period, cutoff), "yyyy-MM-dd")).first()[0]
+        dropped = 0
+        for root in [f[3] for f in self._folds()] + list(completed(self.spark, self.root, "batch_id").values()):
+            for name, path in folders(self.spark, root).items():
+                match = re.fullmatch(r"_from=(\d{4}-\d{2}-\d{2})", name)
+                if match and match.group(1) < first_kept:
+                    drop_directory(self.spark, path)
+                    dropped += 1
+        return dropped

@@ -1,7 +1,8 @@
 """The live tables: each micro-batch goes through the batch operators into a ``BatchTable``.
 
 A failing batch raises, so the checkpoint does not advance over lost rows; a replayed batch
-overwrites its own directory. The batch is read once per run.
+overwrites its own directory. Each batch is scanned once for what it writes; splitting off late events takes
+one scan more for the greatest event time.
 """
 
 from __future__ import annotations
@@ -14,10 +15,12 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from fleetfold.functions.time import micros
+from fleetfold.functions.time import instant, micros
 from fleetfold.operators.clean import live_fleet_project, live_orders_project, order_perf_project
-from fleetfold.operators.merge import ORDER_PERFORMANCE, Policies, fold_state, insert_absent, latest_per_key, merge_states, read_state
+from fleetfold.operators.merge import ORDER_PERFORMANCE, Policies, fold_state, latest_per_key, merge_states, read_state
 from fleetfold.operators.star import fact_keys
+from fleetfold.operators.telemetry import dedup_window
+from fleetfold.session import scratch_scope
 from fleetfold.sources.tables import BatchTable, within_retention
 
 FLEET_ORDER = ["updated_at", "event_id"]
@@ -26,8 +29,16 @@ PerBatch = Callable[[DataFrame, int], None]
 
 
 def start(stream: DataFrame, per_batch: PerBatch, checkpoint: str, every: str | None) -> StreamingQuery:
-    """``every`` sets a periodic trigger; without it the query drains what is there and stops."""
-    writer = stream.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint)
+    """``every`` sets a periodic trigger; without it the query drains what is there and stops.
+
+    What a batch pins on its way is dropped with the batch.
+    """
+
+    def in_scope(batch: DataFrame, batch_id: int) -> None:
+        with scratch_scope(batch.sparkSession):
+            per_batch(batch, batch_id)
+
+    writer = stream.writeStream.foreachBatch(in_scope).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if every is None else writer.trigger(processingTime=every)
     return writer.start()
 
@@ -38,10 +49,19 @@ def counted(rows: DataFrame, name: str, **more: Column) -> tuple[DataFrame, Obse
     return rows.observe(seen, F.count(F.lit(1)).alias("rows"), *[c.alias(n) for n, c in more.items()]), seen
 
 
-def put_and_log(table: BatchTable, rows: DataFrame, batch_id: int, what: str) -> None:
-    rows, seen = counted(rows, f"{what}-{batch_id}")
+def metrics_table(spark: SparkSession, root: str) -> BatchTable:
+    return BatchTable(spark, root)
+
+
+def put_counted(table: BatchTable, batch_id: int, read: Observation, rows: DataFrame, what: str, metrics: BatchTable | None) -> None:
+    """Write a batch; log, and keep if asked to, how many rows it brought and how many were written."""
+    rows, written = counted(rows, f"{what}-written-{batch_id}")
     if table.put(rows, batch_id):
-        LOG.info("batch %d: %d %s", batch_id, seen.get["rows"], what)
+        n_read, n_written = read.get["rows"], written.get["rows"]
+        LOG.info("batch %d: %d rows, %d %s", batch_id, n_read, n_written, what)
+        if metrics is not None:
+            line = table.spark.createDataFrame([(batch_id, n_read, n_written)], "batch long, rows_read long, rows_written long")
+            metrics.put(line, batch_id)
 
 
 # Live fleet: newest ping per courier.
@@ -52,37 +72,32 @@ def fleet_table(spark: SparkSession, root: str) -> BatchTable:
 
 
 def live_fleet(
-    pings: DataFrame, table: BatchTable, checkpoint: str, every: str | None = "1 second", fold_every: int = 20
-) -> StreamingQuery:
+    pings: DataFrame, table: BatchTable, checkpoint: str, every: str | None = "1 second", fold_every: int = 20,
+    late: LateEvents | None = None, metrics: BatchTable | None = None,
+) -> StreamingQuery:
+    """With ``late``, events that come too late for the live view are set aside for the batch layer."""
+
     def per_batch(batch: DataFrame, batch_id: int) -> None:
+        batch, read = counted(batch, f"pings-{batch_id}")
         newest = latest_per_key(live_fleet_project(batch), ["courier_id"], FLEET_ORDER)
-        put_and_log(table, newest, batch_id, "couriers")
+        put_counted(table, batch_id, read, newest, "couriers", metrics)
         if batch_id and batch_id % fold_every == 0:
             table.fold(batch_id)
 
-    return start(pings, per_batch, checkpoint, every)
-
+    return start(pings, per_batch if late is None else late.split(per_batch), checkpoint, every)
 
-# Live orders: an append log that takes each order once and forgets it after a day.
 
+# Live orders: a log that has each order once and forgets it after a day.
 
-def append_orders(log: DataFrame | None, batch: DataFrame) -> DataFrame:
-    """Rows of the batch whose order the log does not have, each order once.
 
-    The log is first reduced to the orders of the batch: as the batch is small, that is a scan of
-    one column without a shuffle of the log.
-    """
-    once = latest_per_key(
-        batch.where("order_id is not null"), ["order_id"], ["order_timestamp", "ingestion_timestamp"], first=True
-    )
-    if log is None:
-        return once
-    known = log.select("order_id").join(batch.select("order_id"), "order_id", "left_semi")
-    return insert_absent(known, once, "order_id")
+def first_of_each_order(orders: DataFrame) -> DataFrame:
+    known = orders.where("order_id is not null")
+    return latest_per_key(known, ["order_id"], ["order_timestamp", "ingestion_timestamp"], first=True)
 
 
-def orders_table(spark: SparkSession, root: str) -> BatchTable:
-    return BatchTable(spark, root)
+def orders_table(spark: SparkSession, root: str, period: str = "day") -> BatchTable:
+    """Copies of an order in several batches become one when read, so no batch has to look at the log."""
+    return BatchTable(spark, root, first_of_each_order, F.col("order_timestamp"), period)
 
 
 def live_orders(
@@ -90,15 +105,27 @@ def live_orders(
     as_of=None, fold_every: int = 20, keep_hours: int | None = 24,
 ) -> StreamingQuery:
     def per_batch(batch: DataFrame, batch_id: int) -> None:
-        if not table.contains(batch_id):
-            new = append_orders(table.read(batch_id - 1), live_orders_project(batch, as_of))
-            put_and_log(table, new, batch_id, "new orders")
+        batch, read = counted(batch, f"orders-{batch_id}")
+        put_counted(table, batch_id, read, first_of_each_order(live_orders_project(batch, as_of)), "orders", None)
         if batch_id and batch_id % fold_every == 0:
-            table.fold(batch_id, None if keep_hours is None else within_retention("order_timestamp", as_of, keep_hours))
+            table.fold(batch_id)
+            forget(table, as_of, keep_hours)
 
     return start(orders, per_batch, checkpoint, every)
 
 
+def forget(table: BatchTable, as_of, keep_hours: int | None) -> None:
+    """Drop the date folders that lie wholly outside the retention window."""
+    if keep_hours is not None:
+        table.drop_before(instant(as_of) - F.expr(f"INTERVAL {int(keep_hours)} HOURS"))
+
+
+def read_orders(table: BatchTable, as_of=None, keep_hours: int | None = 24) -> DataFrame | None:
+    """The log without what is older than the window, to the second whatever has been dropped so far."""
+    rows = table.read()
+    return rows if rows is None or keep_hours is None else rows.where(within_retention("order_timestamp", as_of, keep_hours))
+
+
 # Order performance: one fact per order, merged column by column.
 
 
@@ -111,7 +138,7 @@ class Dimensions:
 
 
 def performance_table(spark: SparkSession, root: str, policies: Policies = ORDER_PERFORMANCE) -> BatchTable:
-    return BatchTable(spark, root, lambda df: merge_states(df, policies))
+    return BatchTable(spark, root, lambda df: merge_states(df, policies), F.col("first.order_timestamp"))
 
 
 def order_performance(
@@ -124,40 +151,56 @@ def order_performance(
         if table.put(fold_state(facts, policies), batch_id):
             LOG.info("batch %d: %d pings, %d without order", batch_id, seen.get["rows"], seen.get["without_order"])
         if batch_id and batch_id % fold_every == 0:
-            keep = None if keep_hours is None else within_retention(F.col("first.order_timestamp"), as_of, keep_hours)
-            table.fold(batch_id, keep)
+            table.fold(batch_id)
+            forget(table, as_of, keep_hours)
 
     return start(pings, per_batch, checkpoint, every)
 
 
-def read_performance(table: BatchTable, policies: Policies = ORDER_PERFORMANCE) -> DataFrame | None:
+def read_performance(
+    table: BatchTable, policies: Policies = ORDER_PERFORMANCE, as_of=None, keep_hours: int | None = None
+) -> DataFrame | None:
+    """Facts as plain columns; with ``keep_hours`` only those of orders within the window."""
     state = table.read()
-    return None if state is None else read_state(state, policies)
+    if state is None:
+        return None
+    rows = read_state(state, policies)
+    return rows if keep_hours is None else rows.where(within_retention("order_timestamp", as_of, keep_hours))
 
 
 # Events that come too late for the live view are set aside for the batch layer.
 
 
-def split_late(on_time: PerBatch, seen: BatchTable, late: BatchTable, ts: Column, minutes: int = 10) -> PerBatch:
-    """Wrap a batch function so that it gets the events a watermark would let through.
+class LateEvents:
+    """Splits each batch as a watermark would: what it lets through goes on, the rest is kept in ``late``.
 
-    ``seen`` keeps the greatest event time of each batch, one row per batch; ``late`` takes the
-    rest. The rule is that of ``late_data_split``, so a batch that is taken again is split alike.
+    ``seen`` keeps the greatest event time of each batch. The rule is that of ``late_data_split``, so a batch that
+    is taken again is split alike.
     """
 
-    def per_batch(batch: DataFrame, batch_id: int) -> None:
-        seen.put(batch.agg(F.max(micros(ts)).alias("seen_us")), batch_id)
-        earlier = seen.read(batch_id - 2)
-        greatest = None if earlier is None else earlier.agg(F.max("seen_us")).first()[0]
-        if greatest is None:
-            late.put(batch.where(F.lit(False)), batch_id)
-            return on_time(batch, batch_id)
-        watermark = (greatest // 1000 - minutes * 60_000) * 1000
-        is_late = F.coalesce(micros(ts) <= F.lit(watermark), F.lit(False))
-        late.put(batch.where(is_late), batch_id)
-        return on_time(batch.where(~is_late), batch_id)
+    def __init__(self, spark: SparkSession, root: str, ts: Column, minutes: int = 10):
+        self.seen = BatchTable(spark, f"{root}/seen", lambda df: df.agg(F.max("seen_us").alias("seen_us")))
+        self.late = BatchTable(spark, f"{root}/late")
+        self.ts, self.minutes = ts, minutes
+
+    def split(self, on_time: PerBatch, fold_every: int = 20) -> PerBatch:
+        """Wrap a batch function so that it gets the events in time."""
 
-    return per_batch
+        def per_batch(batch: DataFrame, batch_id: int) -> None:
+            self.seen.put(batch.agg(F.max(micros(self.ts)).alias("seen_us")), batch_id)
+            earlier = self.seen.read(batch_id - 2)
+            greatest = None if earlier is None else earlier.agg(F.max("seen_us")).first()[0]
+            if greatest is None:
+                self.late.put(batch.where(F.lit(False)), batch_id)
+                return on_time(batch, batch_id)
+            watermark = (greatest // 1000 - self.minutes * 60_000) * 1000
+            is_late = F.coalesce(micros(self.ts) <= F.lit(watermark), F.lit(False))
+            self.late.put(batch.where(is_late), batch_id)
+            on_time(batch.where(~is_late), batch_id)
+            if batch_id % fold_every == 0:
+                self.seen.fold(batch_id - 3)  # a batch that is taken again looks at those before the last but one
+
+        return per_batch
 
 
 # Copies within ten minutes of event time.
@@ -166,3 +209,38 @@ def split_late(on_time: PerBatch, seen: BatchTable, late: BatchTable, ts: Column
 def drop_copies(events: DataFrame, key: str, ts: str, minutes: int = 10) -> DataFrame:
     """First event per key within the watermark; state is Spark's own and leaves with the watermark."""
     return events.withWatermark(ts, f"{minutes} minutes").dropDuplicatesWithinWatermark([key])
+
+
+def last_seen_table(spark: SparkSession, root: str, key: str, ts: str, tie: str) -> BatchTable:
+    return BatchTable(spark, root, lambda df: latest_per_key(df, [key], [ts, tie]), F.col(ts))
+
+
+def spaced_events(
+    events: DataFrame, last_seen: BatchTable, out: BatchTable, checkpoint: str, key: str, ts: str, tie: str,
+    minutes: int = 10, every: str | None = None, fold_every: int = 20,
+) -> StreamingQuery:
+    """Keep an event unless the previous one of its key is less than ``minutes`` before it, kept or not.
+
+    The state is the last event per key, a fold. For a feed in order of event time the result is that of ``dedup_window``,
+    however the feed is cut into batches. State older than the newest event by a day and the window is dropped.
+    """
+
+    def per_batch(batch: DataFrame, batch_id: int) -> None:
+        if last_seen.contains(batch_id):
+            return
+        before = last_seen.read(batch_id - 1)
+        both = batch.withColumn("_old", F.lit(False))
+        if before is not None:
+            here = batch.select(F.col(key).alias("_key")).distinct()
+            old = before.join(here, F.col(key).eqNullSafe(F.col("_key")), "left_semi").withColumn("_old", F.lit(True))
+            both = both.unionByName(old, allowMissingColumns=True)
+        kept = dedup_window(both, key, ts, tie, minutes).where(~F.col("_old")).drop("_old")
+        out.put(kept, batch_id)
+        last_seen.put(latest_per_key(batch.select(key, ts, tie), [key], [ts, tie]), batch_id)
+        if batch_id and batch_id % fold_every == 0:
+            newest = batch.agg(F.max(ts)).first()[0]
+            last_seen.fold(batch_id)
+            if newest is not None:
+                last_seen.drop_before(F.lit(newest) - F.expr(f"INTERVAL {int(minutes)} MINUTES"))
+
+    return start(events, per_batch, checkpoint, every)

@@ -172,3 +172,19 @@ def test_late_event_does_not_replace_newer_state(spark):
 def test_differs_on_no_columns_is_false(spark):
     df = spark.range(1).select(F.struct(F.lit(1).alias("a")).alias("l"), F.struct(F.lit(2).alias("a")).alias("r"))
     assert df.where(merge.differs("l", "r", [])).count() == 0
+
+
+def test_versions_meet_exactly_with_the_default_clock(spark):
+    def load(target, rows):
+        return merge.scd2_merge(target, staged(spark, rows), "id", ["name", "rate"], None, "key")
+
+    empty = staged(spark, []).withColumns(
+        {"valid_from": F.lit(None).cast("timestamp"), "valid_to": F.lit(None).cast("timestamp"), "is_current": F.lit(True), "key": F.lit(None).cast("long")}
+    )
+    from fleetfold.session import pin
+
+    first = pin(load(empty, [(k, "x", 1.0) for k in "abcdef"]), "first")
+    second = pin(load(first, [(k, "y", 1.0) for k in "abcdef"]), "second")
+    for key in "abcdef":
+        old, new = sorted(second.where(F.col("id") == key).collect(), key=lambda r: r.valid_from)
+        assert old.valid_to == new.valid_from and not old.is_current and new.is_current and new.valid_to is None

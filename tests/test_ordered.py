@@ -56,7 +56,7 @@ def test_positions_are_dense(skewed):
 
 
 def test_the_cut_is_even_though_one_key_is_hot(skewed):
-    cut = ordered._cut(skewed, ["k"], ["t", "id"], 8)
+    cut = ordered.Ordered(skewed, ["k"], ["t", "id"], 0).df
     sizes = [r["count"] for r in cut.groupBy(ordered.RANGE).count().collect()]
     assert len(sizes) > 4 and max(sizes) < 6000 / 3
 

@@ -151,3 +151,13 @@ def test_guarded_speed_demand_and_efficiency(spark):
     assert [r[0] for r in df.select(rules.efficiency_class("v", "d")).collect()] == [c[2] for c in cases]
     codes = spark.createDataFrame([("C-WAW-01",), ("odd",), (None,)], "c string").select(rules.base_code_of("c"))
     assert [r[0] for r in codes.collect()] == ["PIZ-WAW-001", "PIZ--001", None]
+
+
+def test_few_pairs_meet_where_points_and_sites_are_dense(spark):
+    points = spark.range(4000).select((52.0 + (F.col("id") % 200) * 0.001).alias("lat"), (21.0 + F.floor(F.col("id") / 200) * 0.01).alias("lon"))
+    sites = spark.range(100).select(
+        (52.0 + (F.col("id") % 10) * 0.02).alias("_lat"), (21.0 + F.floor(F.col("id") / 10) * 0.02).alias("_lon"), F.col("id").alias("_id")
+    )
+    pairs = spatial.candidates_per_spot(points, sites)
+    assert pairs.select("lat", "lon").distinct().count() == 4000
+    assert pairs.count() < 0.06 * 4000 * 100

@@ -89,8 +89,12 @@ def test_orders_log_takes_each_order_once_and_forgets_old_ones(spark, path):
     live.live_orders(
         feed.stream(spark), table, path("cp"), every=None, as_of="2026-01-07 10:00:04", fold_every=2
     ).awaitTermination()
-    # The fold of batch 2 drops what is older than a day by then: order a, at 10:00:00.
-    assert sorted((r.order_id, r.delivery_charge) for r in table.read().collect()) == [("b", 8.0), ("c", 8.0)]
+    # Order a, at 10:00:00, is older than a day by then; its date folder is not, and stays.
+    kept = live.read_orders(table, "2026-01-07 10:00:04")
+    assert sorted((r.order_id, r.delivery_charge) for r in kept.collect()) == [("b", 8.0), ("c", 8.0)]
+    assert sorted(r.order_id for r in table.read().collect()) == ["a", "b", "c"]
+    live.forget(table, "2026-01-08 10:00:04", 24)
+    assert table.read().count() == 0
 
 
 def dimensions(spark):
@@ -173,11 +177,10 @@ def test_split_stream_sets_late_events_aside(spark, path):
         events = [ping("A", f"o{batch}-{i}", m * 60, "IDLE") for i, m in enumerate(ms)]
         feed.add(*events)
         rows += [(batch, e["event_id"], e["timestamp"]) for e in events]
-    kept, late = BatchTable(spark, path("kept")), BatchTable(spark, path("late"))
-    split = live.split_late(
-        lambda df, n: kept.put(df, n), BatchTable(spark, path("seen")), late, F.try_to_timestamp("timestamp")
-    )
+    kept, late = BatchTable(spark, path("kept")), live.LateEvents(spark, path("late"), F.try_to_timestamp("timestamp"))
+    split = late.split(lambda df, n: kept.put(df, n), fold_every=2)
     live.start(feed.stream(spark), split, path("cp"), None).awaitTermination()
+    late = late.late
     df = spark.createDataFrame(rows, "batch int, event_id string, t string").withColumn("ts", F.try_to_timestamp("t"))
     twin = telemetry.late_data_split(df, "batch", "ts")
     expected = {r.event_id for r in twin.where("is_late").collect()}
@@ -189,3 +192,37 @@ def test_rows_are_counted_while_they_are_written(spark, path):
     rows, seen = live.counted(spark.range(7), "written")
     rows.write.parquet(path())
     assert seen.get == {"rows": 7}
+
+
+def test_spaced_events_whatever_the_batches(spark, path):
+    minutes = [0, 4, 9, 21, 22, 33, 40, 41, 52]
+    events = [ping("A", "o" if m % 2 else "p", m * 60, "IDLE") for m in minutes] + [ping("A", None, 60 * 55, "IDLE")]
+    rows = [(e["event_id"], e["order_id"], e["timestamp"]) for e in events]
+    df = spark.createDataFrame(rows, "event_id string, order_id string, t string").withColumn("ts", F.try_to_timestamp("t"))
+    expected = {r.event_id for r in telemetry.dedup_window(df, "order_id", "ts", "event_id").collect()}
+    assert 0 < len(expected) < len(events)
+    for size in (1, 4, 10):
+        feed = Feed(path("bronze"), schemas.TELEMETRY_EVENT)
+        for k in range(0, len(events), size):
+            feed.add(*events[k : k + size])
+        stream = feed.stream(spark).select("event_id", "order_id", F.try_to_timestamp("timestamp").alias("ts"))
+        last, out = live.last_seen_table(spark, path("last"), "order_id", "ts", "event_id"), BatchTable(spark, path("out"))
+        live.spaced_events(stream, last, out, path("cp"), "order_id", "ts", "event_id", fold_every=3).awaitTermination()
+        assert {r.event_id for r in out.read().collect()} == expected, size
+
+
+def test_a_batch_of_orders_is_scanned_once_and_looks_at_no_log(spark, path):
+    feed = Feed(path("bronze"), schemas.ORDER_EVENT).add(order("a"), order("b")).add(order("b", 9), order("c"))
+    plans = []
+
+    class Watched(BatchTable):
+        def _write(self, rows, name):
+            plans.append(rows._jdf.queryExecution().executedPlan().toString())
+            super()._write(rows, name)
+
+    plain = live.orders_table(spark, path("log"))
+    table = Watched(spark, plain.root, plain.combine, plain.at)
+    live.live_orders(feed.stream(spark), table, path("cp"), every=None, keep_hours=None).awaitTermination()
+    assert len(plans) == 2 and all(p.count("FileScan") + p.count("BatchScan") + p.count("Scan ExistingRDD") <= 1 for p in plans)
+    assert all("parquet" not in p.lower() for p in plans)
+    assert {r.order_id: r.order_timestamp.second for r in table.read().collect()} == {"a": 0, "b": 0, "c": 0}

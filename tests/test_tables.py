@@ -49,10 +49,10 @@ def test_batch_table_replay_and_fold(spark, path):
     assert table.contains(2) and not table.contains(3)
     assert rows_of(table.read()) == expected
     table.put(frame(spark, [("a", 4, "newest")]), 4)
-    table.fold(4, keep=F.col("k") != "b")
-    assert rows_of(table.read()) == [("a", 4, "newest"), ("c", 1, "x"), ("d", 1, "x")]
-    assert sorted(tables.completed(spark, table.root, "base")) == [2, 4]
-    assert sorted(tables.completed(spark, table.root, "batch_id")) == [3, 4]
+    table.fold(4)
+    assert rows_of(table.read()) == [("a", 4, "newest"), *expected[1:]]
+    assert [f[:3] for f in table._folds()] == [(1, 0, 2), (1, 3, 4)]
+    assert sorted(tables.completed(spark, table.root, "batch_id")) == [3, 4]  # those of the fold before are gone
 
 
 def test_unfinished_fold_is_ignored(spark, path):
@@ -60,7 +60,7 @@ def test_unfinished_fold_is_ignored(spark, path):
     table.put(frame(spark, [("a", 1, "x")]), 0)
     table.put(frame(spark, [("a", 2, "y")]), 1)
     table.fold(1)
-    os.remove(f"{table.root}/base=1/_SUCCESS")
+    os.remove(f"{table.root}/fold=1.0-1/_SUCCESS")
     assert rows_of(table.read()) == [("a", 2, "y")]
 
 
@@ -204,3 +204,50 @@ def test_shared_folder_comes_from_the_session(spark):
     with pytest.raises(RuntimeError):
         shared_base(FakeSession(None, "yarn"))
     assert shared_base(FakeSession(None, "local[2]")) == shared_base(FakeSession(None, "local[4]"))
+
+
+def test_folds_rewrite_a_row_once_per_level(spark, path):
+    written = []
+
+    class Counting(tables.BatchTable):
+        def _write(self, rows, name):
+            super()._write(rows, name)
+            written.append((name, self.spark.read.parquet(f"{self.root}/{name}").count()))
+
+    table = Counting(spark, path("t"), lambda df: latest_per_key(df, ["k"], ["t"]), fan_in=3)
+    for n in range(18):
+        table.put(frame(spark, [(f"k{n}", n, "v"), ("all", n, "v")]), n)
+        if n % 2:
+            table.fold(n)
+    assert {r.k: r.t for r in table.read().collect()} == {**{f"k{n}": n for n in range(18)}, "all": 17}
+    per_level = {level: sum(c for name, c in written if name.startswith(f"fold={level}.")) for level in (1, 2, 3)}
+    assert per_level[1] <= 2 * 18 and per_level[2] <= 2 * 18 and per_level[3] <= 2 * 18
+    assert not table.put(frame(spark, [("late", 99, "v")]), 5)  # a replay of a folded batch changes nothing
+    assert table.read().count() == 19
+
+
+def test_retention_drops_folders_and_rewrites_nothing(spark, path):
+    table = tables.BatchTable(spark, path("t"), at=F.col("ts"))
+    rows = spark.range(10).select("id", F.timestamp_seconds(F.col("id") * 86_400).alias("ts"))
+    table.put(rows.unionByName(spark.range(10, 11).select("id", F.lit(None).cast("timestamp").alias("ts"))), 0)
+    assert table.drop_before(F.lit("1970-01-08 12:00:00").cast("timestamp")) == 7
+    assert sorted(r.id for r in table.read().collect()) == [7, 8, 9, 10]
+
+
+def test_tables_need_the_success_marker(spark, path):
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    conf.set("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false")
+    try:
+        with pytest.raises(RuntimeError, match="marksuccessfuljobs"):
+            tables.VersionedTable(spark, path("v"))
+    finally:
+        conf.unset("mapreduce.fileoutputcommitter.marksuccessfuljobs")
+
+
+def test_pinned_copies_leave_with_their_scope(spark):
+    from fleetfold.session import pin, scratch_scope
+    from fleetfold.storage import path_exists
+
+    with scratch_scope(spark) as folder:
+        assert pin(spark.range(3), "x").count() == 3 and path_exists(spark, folder)
+    assert not path_exists(spark, folder)

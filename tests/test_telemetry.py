@@ -149,3 +149,35 @@ def test_constraint_checks(spark):
     dim = spark.createDataFrame([("a",), ("b",), (None,)], "k string")
     assert [tuple(r) for r in star.duplicate_keys(facts, ["id"]).collect()] == [(1, 2)]
     assert [r.id for r in star.orphans(facts, dim, "k", "k").collect()] == [3]
+
+
+def test_point_in_time_lookup_meets_one_of_overlapping_versions(spark):
+    rows = [("a", "old", 0, 20), ("a", "new", 10, None), ("b", "x", 0, 10), ("b", "y", 10, 20), ("c", "p", 0, 5), ("c", "q", 0, None), ("d", "r", 5, 8), ("d", "s", 0, 99)]
+    versions = spark.createDataFrame(rows, "k string, v string, f long, t long").select(
+        "k", "v", F.timestamp_seconds("f").alias("valid_from"), F.timestamp_seconds("t").alias("valid_to")
+    )
+    facts = spark.createDataFrame([(k, s) for k in "abcd" for s in (0, 4, 9, 10, 15, 20, 30)] * 2, "k string, s long")
+    facts = facts.withColumn("at", F.timestamp_seconds("s"))
+    ways = [{}, {"max_versions": 0}, {"max_versions": 0, "max_group_rows": 0}]
+    results = [sorted((r.k, r.s, r.v or "") for r in star.as_of_join(facts, versions, "k", "at", ["v"], **w).collect()) for w in ways]
+    assert len(results[0]) == 56 and results[0] == results[1] == results[2]
+    got = {(k, s): v for k, s, v in results[0]}
+    assert [got["a", s] for s in (9, 10, 15, 30)] == ["old", "new", "new", "new"]
+    assert [got["b", s] for s in (9, 10, 20)] == ["x", "y", ""] and got["c", 4] == "q"
+    assert [got["d", s] for s in (4, 9)] == ["s", ""]  # r began last, so it decides
+
+
+def test_odometer_cuts_its_rows_once(spark, monkeypatch):
+    from fleetfold.plans import ordered
+
+    pinned = []
+    real = ordered.pin
+    monkeypatch.setattr(ordered, "pin", lambda df, name: pinned.append(name) or real(df, name))
+    pings = spark.range(300).select(
+        (F.col("id") % 3).alias("courier_id"), F.lit("o").alias("order_id"), "id", F.timestamp_seconds("id").alias("ts"),
+        (F.col("id") / 100).alias("lat"), F.lit(21.0).alias("lon"),
+    ).withColumnRenamed("id", "event_id")
+    cut = telemetry.trip_odometer(pings, "ts", max_group_rows=0)
+    assert pinned == ["ranges"]
+    plain = telemetry.trip_odometer(pings, "ts")
+    assert sorted(map(tuple, cut.collect())) == sorted(map(tuple, plain.collect()))
