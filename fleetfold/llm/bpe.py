@@ -76,26 +76,26 @@ class ByteBpe:
             if section in self.special:
                 yield section, 0
                 continue
-            begin = at = 0
+            begin = end = 0
+            blanks: list[tuple[int, int]] = []  # pre-tokens of blanks right before ``end``
             for match in self.pattern.finditer(section):
                 start, end = match.span()
-                if end - start > half_chars * 2:
-                    if start > begin:
-                        yield section[begin:start], 0
-                    kind = 1
-                    for a, b in _halves(start, end, half_chars):
-                        yield section[a:b], kind
-                        kind = 2
-                    begin = at = end
-                    continue
+                long = end - start > half_chars * 2
                 # Cut before a blank that follows a non-blank: there any regex engine ends a pre-token.
                 clear = section[start] in " \n" and start > 0 and not section[start - 1].isspace()
-                if start > begin and (end - begin > leaf_chars and clear or end - begin > 4 * leaf_chars):
-                    yield section[begin:start], 0
-                    begin = start
-                at = end
-            if at > begin:
-                yield section[begin:at], 0
+                if long or start - begin > leaf_chars and clear or start - begin > 4 * leaf_chars:
+                    yield from _closed(section, begin, start, blanks)
+                    begin, blanks = start, []
+                if long:
+                    for n, (a, b) in enumerate(_halves(start, end, half_chars)):
+                        yield section[a:b], 2 if n else 1
+                    begin = end
+                elif match.group().isspace():
+                    blanks.append((start, end))
+                else:
+                    blanks = []
+            if end > begin:
+                yield section[begin:end], 0
 
     def join(self, left: list[int], right: list[int]) -> list[int]:
         """Ids of two neighbouring parts of one pre-token, from the ids of each."""
@@ -128,6 +128,15 @@ class ByteBpe:
         return out
 
 
+def _closed(section: str, begin: int, end: int, blanks: list[tuple[int, int]]) -> Iterator[tuple[str, int]]:
+    """Whole pre-tokens up to a cut. Blanks at its end are parted by what follows them, so they are named one by one."""
+    text_end = blanks[0][0] if blanks else end
+    if text_end > begin:
+        yield section[begin:text_end], 0
+    for a, b in blanks:
+        yield section[a:b], 1
+
+
 def _halves(start: int, end: int, most: int) -> Iterator[tuple[int, int]]:
     if end - start <= most:
         yield start, end
