@@ -42,7 +42,7 @@ MIN_EVIDENCE = 16.0  # texts times divergence (in nats) of their toxic share fro
 MAX_FEATURES = 50_000
 MOST_SENT_LABELS = 1_000_000
 STEMS = (4, 5, 6)  # lengths of the word beginnings that are features
-CACHED_WORDS = 400_000
+CACHED_WORDS = 150_000
 BEAM = 24
 RUN = 32  # single letters that one lattice spans
 
@@ -73,7 +73,7 @@ class LetterModel:
         found = self.known.get((context, letter))
         if found is None:
             found = self._cost(context, letter)
-            if len(self.known) > 500_000:
+            if len(self.known) > 150_000:
                 self.known.clear()
             self.known[context, letter] = found
         return found
