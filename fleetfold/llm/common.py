@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from fleetfold.session import pin, tune
 
-BATCH_ROWS = 2_000  # rows per Arrow batch: bounds what a Python worker holds at a time
+BATCH_ROWS = 500  # rows per Arrow batch: bounds what a Python worker, and the JVM beside it, hold at a time
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
