@@ -44,7 +44,8 @@ def on_time_rate(
 
 def courier_efficiency(deliveries: DataFrame, couriers: DataFrame, key: str, distance: str) -> DataFrame:
     """Deliveries with the efficiency class of their vehicle and distance."""
-    with_vehicle = lookup(deliveries, couriers.select(key, "vehicle_type"), key)
+    others = [c for c in deliveries.columns if c != key]
+    with_vehicle = lookup(deliveries, couriers.select(key, "vehicle_type"), key, spread_by=others)
     return with_vehicle.withColumn("efficiency_class", efficiency_class("vehicle_type", distance))
 
 

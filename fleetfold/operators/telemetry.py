@@ -145,7 +145,7 @@ def late_data_split(
         (F.col(batch) + 2).alias(batch),
         (F.floor(F.col("_upto") / 1000).cast("long") - F.lit(delay)).alias("_watermark_ms"),
     )
-    marked = lookup(events, watermark, batch)
+    marked = lookup(events, watermark, batch, spread_by=[ts])
     late = F.coalesce(micros(ts) <= F.col("_watermark_ms") * 1000, F.lit(False))
     return marked.withColumn("is_late", late).drop("_watermark_ms")
 
