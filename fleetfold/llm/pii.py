@@ -189,11 +189,11 @@ def disclosing_terms(docs: DataFrame, near: DataFrame, text: str = "text") -> Da
     terms = varied.select("term").distinct()
     every = docs.select(F.explode(F.array_distinct(F.split(F.lower(F.col(text)), r"[^\p{L}\p{N}]+"))).alias("term"))
     with_term = every.join(terms, "term").groupBy("term").agg(F.count(F.lit(1)).alias("n_term"))
-    total = docs.agg(F.count(F.lit(1)).alias("n"))
-    scored = together.join(entities, "entity").join(with_term, "term").crossJoin(F.broadcast(total))  # one row
+    total = F.lit(docs.count()).cast("double")
+    scored = together.join(entities, "entity").join(with_term, "term")
     # n_both may count fewer rows than n_term (repeated rows), never more.
-    information = F.log(F.col("n") / F.col("n_entity"))
-    mutual = F.log(F.col("n") * F.least("n_both", "n_term") / (F.col("n_entity") * F.col("n_term")))
+    information = F.log(total / F.col("n_entity"))
+    mutual = F.log(total * F.least("n_both", "n_term") / (F.col("n_entity") * F.col("n_term")))
     scored = scored.withColumn("disclosure", F.when(information > 0, mutual / information).otherwise(0.0))
     return scored.where(F.col("disclosure") >= GENERALISE).select("entity", "term", "disclosure")
 
