@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import math
 from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
@@ -30,7 +31,7 @@ from fleetfold.session import pin
 TABLES = 3
 PIECE = 64  # characters of a paragraph that one digest covers at most
 CELLS = 8  # cells per sub-table of the fingerprint itself
-RANGES = 1_024  # ranges of ids that are worked on apart
+LEAST_RANGES, MOST_RANGES = 1_024, 20_000  # ranges of ids that are worked on apart: four to a shuffle partition between these
 _SCHEMA = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
 
 
@@ -186,20 +187,28 @@ def fingerprints_of(texts: list[str]) -> list[str]:
     return [tables.text(k) for k in range(len(texts))]
 
 
-def _bucketed(docs: DataFrame, id_column: str, text: str, ranges: int) -> DataFrame:
+def _bucketed(docs: DataFrame, id_column: str, text: str, ranges: int | None) -> DataFrame:
     """Rows with the number of their id range; -1 without an id. Bounds are quantiles of the ids, one row on the driver."""
+    if ranges is None:
+        partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        ranges = min(max(LEAST_RANGES, 4 * partitions), MOST_RANGES)
     rows = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     shares = [k / ranges for k in range(1, ranges)]
     bounds = rows.agg(F.percentile_approx("doc_id", shares, 20 * ranges)).first()[0] or []
-    steps = F.lit(sorted(set(bounds))).cast("array<bigint>")
-    bucket = F.size(F.filter(steps, lambda b: b <= F.col("doc_id")))
+    bounds = sorted(set(bounds))
+    # Number of bounds at or below the id, looked up in two steps: among every ``wide``-th one, then between two of these.
+    wide = max(1, math.isqrt(len(bounds)))
+    coarse = F.lit(bounds[wide - 1 :: wide]).cast("array<bigint>")
+    fine = F.lit(bounds).cast("array<bigint>")
+    below = F.size(F.filter(coarse, lambda b: b <= F.col("doc_id"))) * wide
+    bucket = below + F.size(F.filter(F.slice(fine, below + 1, wide), lambda b: b <= F.col("doc_id")))
     return rows.select(F.when(F.col("doc_id").isNull(), -1).otherwise(bucket).alias("bucket"), "doc_id", "text")
 
 
 def _heads(rows: DataFrame) -> DataFrame:
     """The first row of each range in falling order, given to the range that comes before it in that order.
 
-    At most ``RANGES + 1`` ids are collected, and as many rows are copied.
+    One id per range is collected, and as many rows are copied.
     """
     firsts = {r.bucket: r.doc_id for r in rows.groupBy("bucket").agg(F.max("doc_id").alias("doc_id")).collect()}
     order = sorted(firsts, reverse=True)
@@ -213,7 +222,7 @@ def _heads(rows: DataFrame) -> DataFrame:
     return best.select("bucket", F.lit(False).alias("own"), "best.doc_id", "best.text")
 
 
-def with_next(docs: DataFrame, per_pairs, schema: str, id_column: str = "doc_id", text: str = "text", ranges: int = RANGES) -> DataFrame:
+def with_next(docs: DataFrame, per_pairs, schema: str, id_column: str = "doc_id", text: str = "text", ranges: int | None = None) -> DataFrame:
     """Apply ``per_pairs(rows, nexts)`` to texts and the texts that follow them in falling order of id.
 
     The rows are dealt once, by range of id; each range also gets the first row of the next, so no task sees
