@@ -18,6 +18,8 @@ from __future__ import annotations
 
 import functools
 import json
+import sys
+from array import array
 from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
@@ -31,28 +33,40 @@ END_ID = 1
 BLOCK_IDS = 1 << 16  # a block closes with the document that fills it
 SHARD_IDS = 1 << 22  # ids that one writing task should get
 MOST_SENT_ROWS = 1_000_000  # shards whose starts are sent to every task
-CACHED_WORDS, CACHED_PIECES = 600_000, 300_000
+CACHED_WORDS, CACHED_PIECES = 800_000, 400_000  # in each of two generations
 # The normaliser and the split pattern that allow words to be encoded one by one.
 _NORMALIZERS = ["NFC", "Replace", "Lowercase"]
 _SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+_STOPS = (".", ",", ";", ":", "!", "?")
 _BLOCK = "shard int, first long, doc_ids array<long>, lengths array<long>, n_ids long, control binary, data binary"
 
 
 class _Bounded(dict):
-    """A dict that computes what it lacks and starts afresh when full."""
+    """A dict that computes what it lacks. When full it starts afresh, but takes over what is asked for again."""
 
     def __init__(self, compute, most: int):
         super().__init__()
-        self.compute, self.most = compute, most
+        self.compute, self.most, self.before = compute, most, {}
 
     def __missing__(self, key):
-        value = self.compute(key)
+        value = self.before.get(key)
+        if value is None:
+            value = self.compute(key)
         if len(self) >= self.most:
+            self.before = dict(self)
             self.clear()
         self[key] = value
         return value
 
 
+def _is_latin(text: str) -> bool:
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return False
+    return True
+
+
 class WordEncoder:
     """Ids of a text by the tokenizers library, with the ids of each blank-separated word kept."""
 
@@ -70,9 +84,11 @@ class WordEncoder:
         pre = (spec["pre_tokenizer"] or {}).get("pretokenizers", [{}])
         self.by_word = steps == _NORMALIZERS and pre[0].get("pattern", {}).get("Regex") == _SPLIT
         self.specials = [t["content"] for t in spec["added_tokens"]]
+        self.signs = {s[0] for s in self.specials}  # a text without them has no special token
         self.by_word &= not any(t["lstrip"] or t["rstrip"] or " " in t["content"] for t in spec["added_tokens"])
         top = max([self.tokenizer.get_vocab_size(), END_ID + 1, *(t["id"] + 1 for t in spec["added_tokens"])])
         self.dtype = np.dtype("<u2") if top <= 1 << 16 else np.dtype("<u4")
+        self.code = "H" if self.dtype.itemsize == 2 else "I"
         self.model = self.tokenizer.model
         self.pattern = regex.compile(_SPLIT)
         printable = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or 174 <= b <= 255]
@@ -81,21 +97,28 @@ class WordEncoder:
         self.words = _Bounded(self._word, CACHED_WORDS)
         self.pieces = _Bounded(self._piece, CACHED_PIECES)
 
-    def _piece(self, piece: str) -> bytes:
-        import numpy as np
+    def _bytes(self, ids: list[int]) -> bytes:
+        out = array(self.code, ids)
+        if sys.byteorder == "big":
+            out.byteswap()
+        return out.tobytes()
 
+    def _piece(self, piece: str) -> bytes:
         named = piece if piece.isascii() else "".join(map(self.letter.__getitem__, piece.encode()))
-        return np.array([t.id for t in self.model.tokenize(named)], dtype=self.dtype).tobytes()
+        return self._bytes([t.id for t in self.model.tokenize(named)])
 
     def _whole(self, text: str) -> bytes:
-        import numpy as np
-
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype=self.dtype).tobytes()
+        return self._bytes(self.tokenizer.encode(text, add_special_tokens=False).ids)
 
     def _word(self, word: str) -> bytes:
         # Printable Latin-1 is lower-cased letter by letter and is its own normal form; the rest takes the long way.
-        if word.isprintable() and max(word, default="") < "Ā" and not any(s in word for s in self.specials):
-            return b"".join(map(self.pieces.__getitem__, self.pattern.findall(word.lower())))
+        if (word.isascii() or max(word) < "Ā") and word.isprintable() and not any(s in word for s in self.signs):
+            word = word.lower()
+            if word.isalpha():
+                return self.pieces[word]
+            if word[-1:] in _STOPS and word[:-1].isalpha():
+                return self.pieces[word[:-1]] + self.pieces[word[-1]]
+            return b"".join(map(self.pieces.__getitem__, self.pattern.findall(word)))
         return self._whole(word)
 
     def encode(self, text: str | None) -> bytes:
@@ -104,6 +127,8 @@ class WordEncoder:
             return b""
         if not self.by_word:
             return self._whole(text)
+        if not any(s in text for s in self.signs) and _is_latin(text):
+            text = text.lower()  # fewer words to know
         return b"".join(map(self.words.__getitem__, text.replace("\n", " ").split(" ")))
 
 
