@@ -5,8 +5,11 @@ letters, become a lattice: each sign may stand for the letters it resembles, a r
 one letter, a separator may be nothing or a word's end. A character language model and the costs of these
 channels pick the best path by Viterbi search over the last letters. Plain words have one path, themselves.
 
-The language model counts letter sequences of all words of the corpus: the vocabulary is counted by a
-shuffle, its sequences by another, and the most frequent ``MODEL_GRAMS`` of them go to the workers.
+The language model counts letter sequences of all words of the corpus: the vocabulary and the disguised strings
+are counted by a shuffle, the sequences by another, and all of them stay in a pinned table. Each distinct
+disguised string is decoded once: the strings are dealt into groups, the sequences that a group's lattices can
+form are joined with that table, and the group is decoded with these counts, which gives the same as all counts
+would. The restored strings are joined back to the texts that have them.
 
 Scoring: features are restored words and their beginnings. Features whose share of
 toxic texts is beyond chance get a log-odds weight, unless they always follow the same few words, as the
@@ -33,7 +36,7 @@ from fleetfold.llm.common import pinned_small, remainder, table
 from fleetfold.session import pin
 
 ORDER = 5  # letters per sequence of the language model
-MODEL_GRAMS = 400_000
+GROUP_LETTERS = 20_000  # letters of disguised strings that are decoded together
 MAX_LABELLED = 20_000
 MIN_CONTEXTS = 4  # different words before a feature in toxic texts,
 FREE_SHARE, FREE_CONTEXTS = 0.4, 100  # and at least this share of its uses, or this many
@@ -63,10 +66,10 @@ _FORGETS = 0.4  # factor for each letter of context that the model has to give u
 class LetterModel:
     """Log-probability of a letter after others, from counts of sequences; shorter contexts where longer ones are unknown."""
 
-    def __init__(self, counts: dict[str, int], order: int = ORDER):
+    def __init__(self, counts: dict[str, int], order: int = ORDER, total: int | None = None):
         self.order = order
         self.counts = counts
-        self.total = sum(n for g, n in counts.items() if len(g) == 1) or 1
+        self.total = total or sum(n for g, n in counts.items() if len(g) == 1) or 1
         self.known: dict[tuple[str, str], float] = {}
 
     def cost(self, context: str, letter: str) -> float:
@@ -88,6 +91,11 @@ class LetterModel:
         return lost - math.log((self.counts.get(letter, 0) + 0.5) / (self.total + 1000))
 
 
+def single_runs(lowered: str, tokens: list[str]) -> list[str]:
+    """Runs of single letters; texts without three such tokens are not searched."""
+    return _SINGLES.findall(lowered) if list(map(len, tokens)).count(1) > 2 else []
+
+
 def sequences(word: str, order: int = ORDER) -> Iterator[str]:
     """Letter sequences of a word between its start and end signs."""
     framed = "^" + word + "$"
@@ -96,12 +104,64 @@ def sequences(word: str, order: int = ORDER) -> Iterator[str]:
             yield framed[k : k + n]
 
 
-class Restorer:
+class Reader:
+    """Parts of a text: words that are read as they stand, and disguised strings."""
+
+    def __init__(self):
+        self.read: dict[str, tuple[str, ...] | str] = {}
+
+    def _reading(self, token: str) -> tuple[str, ...] | str:
+        word = token.lstrip(_EDGES_LEFT).rstrip(_EDGES_RIGHT)
+        if word.isalpha() and not _STRETCHED.search(word):
+            return (word,)
+        letters = sum(map(str.isalpha, word))
+        signs = sum(c in LEET for c in word)
+        if not letters or letters + signs < 3 or len(word) > 3 * RUN or ("@" in word and "." in word):
+            return tuple(re.findall(r"[^\W\d_]+", word))
+        return word
+
+    def reading(self, token: str) -> tuple[str, ...] | str:
+        """Words of a token, or the string that has to be decoded."""
+        found = self.read.get(token)
+        if found is None:
+            found = self._reading(token)
+            if len(self.read) >= CACHED_WORDS:
+                self.read.clear()
+            self.read[token] = found
+        return found
+
+    def spaced(self, run: str) -> list[str]:
+        """Strings to decode of a run of single letters, in stretches of ``RUN`` letters."""
+        letters = run.split()
+        if all(c == letters[0] for c in letters):
+            return []
+        return [" ".join(letters[k : k + RUN]) for k in range(0, len(letters), RUN)]
+
+    def parts(self, text: str | None) -> list[tuple[str, ...] | str]:
+        """Words or disguised string of each token in order; those of runs of single letters follow."""
+        if not text:
+            return []
+        lowered = text.lower()
+        tokens = lowered.split()
+        out = [self.reading(token) for token in tokens]
+        for run in single_runs(lowered, tokens):
+            out += self.spaced(run)
+        return out
+
+    def disguised(self, text: str | None) -> list[str]:
+        return list(dict.fromkeys(p for p in self.parts(text) if isinstance(p, str)))
+
+    def words_with(self, text: str | None, meant: dict[str, list[str]]) -> list[str]:
+        """Words in order, with what each disguised string stands for."""
+        return [w for part in self.parts(text) for w in (meant.get(part, ()) if isinstance(part, str) else part)]
+
+
+class Restorer(Reader):
     """Words of a text as they were meant."""
 
-    def __init__(self, counts: dict[str, int]):
-        self.model = LetterModel(counts)
-        self.words: dict[str, tuple[str, ...]] = {}
+    def __init__(self, counts: dict[str, int], total: int | None = None):
+        super().__init__()
+        self.model = LetterModel(counts, total=total)
 
     def _moves(self, text: str, k: int) -> list[tuple[str, float]]:
         """What the sign at ``k`` may stand for: letters, nothing, or ``$`` for a word's end; with channel costs."""
@@ -144,66 +204,51 @@ class Restorer:
         ends = [(cost + (0 if context == "^" else self.model.cost(context, "$")), made) for context, (cost, made) in paths.items()]
         return tuple(min(ends)[1].split()) if ends else ()
 
-    def _restore(self, token: str) -> tuple[str, ...]:
-        word = token.lstrip(_EDGES_LEFT).rstrip(_EDGES_RIGHT)
-        if word.isalpha() and not _STRETCHED.search(word):
-            return (word,)
-        letters = sum(map(str.isalpha, word))
-        signs = sum(c in LEET for c in word)
-        if not letters or letters + signs < 3 or len(word) > 3 * RUN or ("@" in word and "." in word):
-            return tuple(re.findall(r"[^\W\d_]+", word))
-        return self.decode(word)
-
-    def restore(self, token: str) -> tuple[str, ...]:
-        found = self.words.get(token)
-        if found is None:
-            found = self._restore(token)
-            if len(self.words) >= CACHED_WORDS:
-                self.words.clear()
-            self.words[token] = found
-        return found
-
-    def spaced(self, run: str) -> list[str]:
-        """Words of a run of single letters, in stretches of ``RUN`` letters."""
-        letters = run.split()
-        out: list[str] = []
-        for k in range(0, len(letters), RUN):
-            stretch = " ".join(letters[k : k + RUN])
-            key = "\n" + stretch  # no token has a line break
-            if key not in self.words:
-                self.words[key] = self.decode(stretch) if any(c != letters[0] for c in letters) else ()
-            out += self.words[key]
-        return out
-
-    def tokens(self, text: str | None) -> list[str]:
-        return text.lower().split() if text else []
+    def sequences_of(self, text: str) -> set[str]:
+        """Longest sequences that the lattice of a string can form: the model is asked for these and their ends only."""
+        keep = self.model.order - 1
+        states, out = {"^"}, {"^"}
+        for k in range(len(text)):
+            moves = {out for out, _ in self._moves(text, k)}
+            after = set()
+            for context in states:
+                for move in moves:
+                    if move == "" or (move == "$" and context == "^"):
+                        after.add(context)
+                        continue
+                    out.add(context + move)
+                    after.add("^" if move == "$" else (context + move)[-keep:])
+            states = after
+        return out | {context + "$" for context in states if context != "^"}
 
     def all_words(self, text: str | None) -> list[str]:
         """Restored words in order; words hidden in runs of single letters follow."""
-        if not text:
-            return []
-        lowered = text.lower()
-        out = [w for token in lowered.split() for w in self.restore(token)]
-        for run in _SINGLES.findall(lowered):
-            out += self.spaced(run)
-        return out
+        return [w for part in self.parts(text) for w in (self.decode(part) if isinstance(part, str) else part)]
 
 
 def _count_words(batches: Iterator) -> Iterator:
-    """Words of plain letters with their counts, summed per batch."""
+    """Words of plain letters with their counts, and disguised strings, summed per batch."""
     import pyarrow as pa
 
+    reader = Reader()
     for batch in batches:
         tokens: Counter = Counter()
+        words: Counter = Counter()
         for text in batch.column(0).to_pylist():
             if text:
-                tokens.update(text.lower().split())
-        words: Counter = Counter()
+                lowered = text.lower()
+                split = lowered.split()
+                tokens.update(split)
+                words.update((part, False) for run in single_runs(lowered, split) for part in reader.spaced(run))
         for token, n in tokens.items():
             word = token.strip(_EDGES_RIGHT)
             if word.isalpha() and len(word) <= RUN:
-                words[word] += n
-        yield pa.RecordBatch.from_arrays([pa.array(list(words), pa.string()), pa.array(list(words.values()), pa.int64())], names=["word", "n"])
+                words[word, True] += n
+            part = reader.reading(token)
+            if isinstance(part, str):
+                words[part, False] += n
+        columns = [pa.array([w for w, _ in words], pa.string()), pa.array([p for _, p in words], pa.bool_()), pa.array(list(words.values()), pa.int64())]
+        yield pa.RecordBatch.from_arrays(columns, names=["word", "plain", "n"])
 
 
 def _count_sequences(batches: Iterator) -> Iterator:
@@ -217,11 +262,80 @@ def _count_sequences(batches: Iterator) -> Iterator:
         yield pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())], names=["gram", "n"])
 
 
-def letter_counts(docs: DataFrame, text: str = "text", most: int = MODEL_GRAMS) -> dict[str, int]:
-    """Counts of letter sequences over the words of all texts: the ``most`` frequent ones."""
-    words = docs.select(F.col(text).alias("text")).mapInArrow(_count_words, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    grams = words.mapInArrow(_count_sequences, "gram string, n long").groupBy("gram").agg(F.sum("n").alias("n"))
-    return {r.gram: r.n for r in grams.orderBy(F.desc("n"), "gram").limit(most).collect()}
+def corpus_words(docs: DataFrame, text: str = "text") -> DataFrame:
+    """``word``, ``plain`` (else a disguised string) and ``n`` over all texts."""
+    words = docs.select(F.col(text).alias("text")).mapInArrow(_count_words, "word string, plain boolean, n long")
+    return pin(words.groupBy("word", "plain").agg(F.sum("n").alias("n")), "words")
+
+
+def letter_counts(words: DataFrame) -> DataFrame:
+    """``gram`` and ``n``: counts of all letter sequences over plain words."""
+    grams = words.where("plain").select("word", "n").mapInArrow(_count_sequences, "gram string, n long")
+    return pin(grams.groupBy("gram").agg(F.sum("n").alias("n")), "letter-counts")
+
+
+def _wanted_sequences(batches: Iterator) -> Iterator:
+    """Group and sequence, distinct per batch, for disguised strings."""
+    import pyarrow as pa
+
+    restorer = Restorer({})
+    for batch in batches:
+        longest: dict[int, set[str]] = {}
+        for part, group in zip(*(batch.column(k).to_pylist() for k in range(2))):
+            longest.setdefault(group, set()).update(restorer.sequences_of(part))
+        for group, some in longest.items():
+            ends = list({one[k:] for one in some for k in range(len(one))})
+            columns = [pa.array([group] * len(ends), pa.int64()), pa.array(ends, pa.string())]
+            yield pa.RecordBatch.from_arrays(columns, names=["group", "gram"])
+
+
+def _decoded(total: int):
+    """Restored words of the disguised strings of a group."""
+
+    def run(parts, counts):
+        import pyarrow as pa
+
+        restorer = Restorer(dict(zip(counts.column("gram").to_pylist(), counts.column("n").to_pylist())), total)
+        names = parts.column("part").to_pylist()
+        return pa.table({"part": pa.array(names, pa.string()), "words": pa.array([list(restorer.decode(p)) for p in names], pa.list_(pa.string()))})
+
+    return run
+
+
+def restored(docs: DataFrame, text: str = "text") -> DataFrame:
+    """``part`` and ``words``: every disguised string of the texts, and the words that it stands for."""
+    words = corpus_words(docs, text)
+    grams = letter_counts(words)
+    total = grams.where(F.length("gram") == 1).agg(F.sum("n")).first()[0] or 1
+    parts = words.where(~F.col("plain")).select(F.col("word").alias("part"))
+    letters = parts.agg(F.sum(F.length("part"))).first()[0] or 0
+    groups = -(-letters // GROUP_LETTERS) or 1
+    parts = parts.withColumn("group", F.pmod(F.xxhash64("part"), F.lit(groups)))
+    # Sorted by group within a task, so that a batch holds few groups and their common sequences meet.
+    dealt = pin(parts.repartition("group").sortWithinPartitions("group"), "disguised")
+    wanted = dealt.mapInArrow(_wanted_sequences, "group long, gram string").distinct()
+    counts = wanted.join(grams, "gram").select("group", "gram", "n")
+    both = dealt.groupBy("group").cogroup(counts.groupBy("group"))
+    return pin(both.applyInArrow(_decoded(total), "part string, words array<string>"), "restored")
+
+
+def _text_key(text: str) -> Column:
+    return F.struct(F.xxhash64(text).alias("hash"), F.length(text).alias("length"))
+
+
+def with_restored(rows: DataFrame, known: DataFrame) -> DataFrame:
+    """``rows`` (``text`` and others) with ``meant``: the disguised strings of each text and their words."""
+
+    @F.pandas_udf("array<string>")
+    def disguised(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        reader = Reader()
+        for texts in parts:
+            yield pd.Series([reader.disguised(t) for t in texts], dtype="object")
+
+    keyed = rows.withColumn("key", _text_key("text"))
+    held = keyed.select("key", F.explode(disguised("text")).alias("part")).distinct()
+    meant = held.join(known, "part").groupBy("key").agg(F.collect_list(F.struct("part", "words")).alias("meant"))
+    return pin(keyed.join(meant, "key", "left").select(*rows.columns, "meant"), "labelled-restored")
 
 
 def labelled_texts(docs: DataFrame, labels: DataFrame, most: int = MAX_LABELLED) -> DataFrame:
@@ -239,37 +353,37 @@ def features(word: str) -> list[str]:
     return [word, *(f"^{word[:n]}" for n in STEMS if len(word) > n)]
 
 
-def _feature_counts(counts: dict[str, int]):
-    """Number of texts per feature and label, summed per batch."""
+def _meant(pairs: list[dict] | None) -> dict[str, list[str]]:
+    return {p["part"]: p["words"] for p in (() if pairs is None else pairs)}
 
-    def run(batches: Iterator) -> Iterator:
-        import pyarrow as pa
 
-        restorer = Restorer(counts)
-        for batch in batches:
-            seen: tuple[Counter, Counter] = (Counter(), Counter())
-            for text, toxic in zip(*(batch.column(k).to_pylist() for k in range(2))):
-                words = set(restorer.all_words(text))
-                seen[toxic > 0].update({f for w in words for f in features(w)})
-            names = list({**seen[0], **seen[1]})
-            columns = [pa.array(names, pa.string()), *(pa.array([s[n] for n in names], pa.int64()) for s in seen)]
-            yield pa.RecordBatch.from_arrays(columns, names=["feature", "clean", "toxic"])
+def _feature_counts(batches: Iterator) -> Iterator:
+    """Number of texts per feature and label, summed per batch."""
+    import pyarrow as pa
 
-    return run
+    reader = Reader()
+    for batch in batches:
+        seen: tuple[Counter, Counter] = (Counter(), Counter())
+        for text, toxic, meant in zip(*(batch.column(k).to_pylist() for k in range(3))):
+            words = set(reader.words_with(text, _meant(meant)))
+            seen[toxic > 0].update({f for w in words for f in features(w)})
+        names = list({**seen[0], **seen[1]})
+        columns = [pa.array(names, pa.string()), *(pa.array([s[n] for n in names], pa.int64()) for s in seen)]
+        yield pa.RecordBatch.from_arrays(columns, names=["feature", "clean", "toxic"])
 
 
-def _feature_contexts(counts: dict[str, int], wanted: set[str]):
+def _feature_contexts(wanted: set[str]):
     """Feature, preceding word and number of texts with both, for wanted features in toxic texts."""
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        restorer = Restorer(counts)
+        reader = Reader()
         for batch in batches:
             pairs: Counter = Counter()
-            for text, toxic in zip(*(batch.column(k).to_pylist() for k in range(2))):
+            for text, toxic, meant in zip(*(batch.column(k).to_pylist() for k in range(3))):
                 if toxic > 0:
-                    words = restorer.all_words(text)
+                    words = reader.words_with(text, _meant(meant))
                     pairs.update({(f, b) for b, w in zip(["", *words], words) for f in features(w) if f in wanted})
             columns = list(zip(*pairs)) or [(), ()]
             columns = [*(pa.array(c, pa.string()) for c in columns), pa.array(list(pairs.values()), pa.int64())]
@@ -278,8 +392,8 @@ def _feature_contexts(counts: dict[str, int], wanted: set[str]):
     return run
 
 
-def fit(labelled: DataFrame, counts: dict[str, int]) -> tuple[float, dict[str, float]]:
-    """Prior log-odds and feature weights from ``text`` and ``toxic``."""
+def fit(labelled: DataFrame) -> tuple[float, dict[str, float]]:
+    """Prior log-odds and feature weights from ``text``, ``toxic`` and ``meant``."""
     totals = labelled.agg(
         F.count_if(F.col("toxic") > 0).alias("toxic"), F.count_if(F.col("toxic") <= 0).alias("clean")
     ).first()
@@ -288,7 +402,7 @@ def fit(labelled: DataFrame, counts: dict[str, int]) -> tuple[float, dict[str, f
     prior = max(-4.0, min(-0.5, prior))
     if not n_toxic or not n_clean:
         return prior, {}
-    seen = labelled.mapInArrow(_feature_counts(counts), "feature string, clean long, toxic long")
+    seen = labelled.mapInArrow(_feature_counts, "feature string, clean long, toxic long")
     seen = seen.groupBy("feature").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")).where(F.col("toxic") >= MIN_CONTEXTS)
     odds = F.log((F.col("toxic") + 0.5) / (n_toxic + 1)) - F.log((F.col("clean") + 0.5) / (n_clean + 1))
     n, base = F.col("toxic") + F.col("clean"), n_toxic / (n_toxic + n_clean)
@@ -298,22 +412,29 @@ def fit(labelled: DataFrame, counts: dict[str, int]) -> tuple[float, dict[str, f
     strong = seen.withColumn("weight", odds).where((F.col("weight") >= MIN_WEIGHT) & (evidence >= MIN_EVIDENCE))
     weights = {r.feature: r.weight for r in strong.orderBy(F.desc(F.col("weight") * F.col("toxic")), "feature").limit(MAX_FEATURES).collect()}
     # A word of a copied passage comes behind the same word again and again; a word in free use does not.
-    pairs = labelled.mapInArrow(_feature_contexts(counts, set(weights)), "feature string, before string, n long")
+    pairs = labelled.mapInArrow(_feature_contexts(set(weights)), "feature string, before string, n long")
     pairs = pairs.groupBy("feature", "before").agg(F.sum("n").alias("n"))
     varied = pairs.groupBy("feature").agg(F.count(F.lit(1)).alias("contexts"), F.sum("n").alias("uses"))
     free = F.col("contexts") >= F.greatest(F.lit(MIN_CONTEXTS), F.least(F.col("uses") * FREE_SHARE, F.lit(FREE_CONTEXTS)))
     kept = {r.feature for r in varied.where(free).select("feature").collect()}
     weights = {f: w for f, w in weights.items() if f in kept}
-    return _calibrated(labelled, counts, prior, weights), weights
+    return _calibrated(labelled, prior, weights), weights
 
 
-def _calibrated(labelled: DataFrame, counts: dict[str, int], prior: float, weights: dict[str, float]) -> float:
+def _calibrated(labelled: DataFrame, prior: float, weights: dict[str, float]) -> float:
     """The prior moved to where the fewest labelled texts fall on the wrong side of one half.
 
     Sums of weights are counted in steps, so a bounded table reaches the driver.
     """
     step = 0.25
-    bins = labelled.withColumn("bin", F.floor(_evidence(counts, 0.0, weights, F.col("text")) / step))
+
+    @F.pandas_udf("double")
+    def evidence(parts: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        scorer = Scorer(weights)
+        for texts, lists in parts:
+            yield pd.Series([scorer.evidence(t, _meant(m)) for t, m in zip(texts, lists)], dtype="float64")
+
+    bins = labelled.withColumn("bin", F.floor(evidence("text", "meant") / step))
     rows = bins.groupBy("bin").agg(F.count_if(F.col("toxic") > 0).alias("toxic"), F.count_if(F.col("toxic") <= 0).alias("clean")).collect()
     cuts = [k * step for k in range(2, int(8 / step))]
     wrong = {cut: sum(r.toxic if r.bin * step < cut else r.clean for r in rows) for cut in cuts}
@@ -322,59 +443,121 @@ def _calibrated(labelled: DataFrame, counts: dict[str, int], prior: float, weigh
 
 
 class Scorer:
-    def __init__(self, counts: dict[str, int], prior: float, weights: dict[str, float]):
-        self.restorer = Restorer(counts)
-        self.prior, self.weights = prior, weights
+    def __init__(self, weights: dict[str, float]):
+        self.reader = Reader()
+        self.weights = weights
         self.known: dict[str, tuple[tuple[str, float], ...]] = {}
 
-    def _word(self, word: str) -> tuple[tuple[str, float], ...]:
+    def word(self, word: str) -> tuple[tuple[str, float], ...]:
         """The heaviest feature of a word, if any."""
         best = max(((self.weights[f], f) for f in features(word) if f in self.weights), default=None)
         return ((best[1], best[0]),) if best else ()
 
-    def _token(self, token: str) -> tuple[tuple[str, float], ...]:
+    def _token(self, token: str) -> tuple[tuple[str, float], ...] | str:
         found = self.known.get(token)
         if found is None:
-            found = tuple(p for w in self.restorer.restore(token) for p in self._word(w))
+            part = self.reader.reading(token)
+            found = part if isinstance(part, str) else tuple(p for w in part for p in self.word(w))
             if len(self.known) >= CACHED_WORDS:
                 self.known.clear()
             self.known[token] = found
         return found
 
-    def evidence(self, text: str | None) -> float:
-        """Log-odds of a text."""
+    def hits(self, text: str | None) -> tuple[dict[str, float], list[str]]:
+        """Weighted features of the words that are read as they stand, and the disguised strings."""
         hits: dict[str, float] = {}
+        hidden: dict[str, None] = {}
         if text:
             lowered = text.lower()
-            for found in map(self._token, set(lowered.split())):
-                if found:
+            tokens = lowered.split()
+            for found in map(self._token, set(tokens)):
+                if isinstance(found, str):
+                    hidden[found] = None
+                elif found:
                     hits.update(found)
-            for run in _SINGLES.findall(lowered):
-                for word in self.restorer.spaced(run):
-                    hits.update(self._word(word))
-        return self.prior + sum(sorted(hits.values()))
+            for run in single_runs(lowered, tokens):
+                hidden.update(dict.fromkeys(self.reader.spaced(run)))
+        return hits, list(hidden)
+
+    def evidence(self, text: str | None, meant: dict[str, list[str]]) -> float:
+        """Log-odds of a text, without the prior's."""
+        hits, hidden = self.hits(text)
+        for part in hidden:
+            for word in meant.get(part, ()):
+                hits.update(self.word(word))
+        return sum(sorted(hits.values()))
+
+
+_HITS = "array<struct<feature:string,weight:double>>"
+
+
+def _hits_of(pairs) -> list[dict]:
+    return [{"feature": f, "weight": w} for f, w in pairs]
+
+
+def _telling(weights: dict[str, float]):
+    """Disguised strings that have weighted words, with the features of these."""
+
+    def run(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        scorer = Scorer(weights)
+        kind = pa.list_(pa.struct([("feature", pa.string()), ("weight", pa.float64())]))
+        for batch in batches:
+            rows = [(p, {f: n for w in words for f, n in scorer.word(w)}) for p, words in zip(*(batch.column(k).to_pylist() for k in range(2)))]
+            rows = [(p, _hits_of(found.items())) for p, found in rows if found]
+            yield pa.RecordBatch.from_arrays([pa.array([p for p, _ in rows], pa.string()), pa.array([h for _, h in rows], kind)], names=["part", "hits"])
+
+    return run
+
+
+def _trained(docs: DataFrame, labels: DataFrame) -> tuple[float, dict[str, float], DataFrame]:
+    """Prior, weights, and the disguised strings with weighted words."""
+    known = restored(docs)
+    prior, weights = fit(with_restored(labelled_texts(docs, labels), known))
+    return prior, weights, pin(known.mapInArrow(_telling(weights), f"part string, hits {_HITS}"), "telling")
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, text: Column) -> Column:
-    """Score from 0 to 1 of a text column; the language model is learnt from ``docs``, weights from its labelled rows."""
-    counts = letter_counts(docs)
-    prior, weights = fit(labelled_texts(docs, labels), counts)
-    return scores(counts, prior, weights, text)
+    """Score from 0 to 1 of a text column of ``docs``; the language model is learnt from ``docs``, weights from its labelled rows.
 
+    All disguised strings with weighted words go along; for large tables see ``scored``, which joins them.
+    """
+    prior, weights, telling = _trained(docs, labels)
+    meant = {r.part: [(h.feature, h.weight) for h in r.hits] for r in telling.collect()}
 
-def _evidence(counts: dict[str, int], prior: float, weights: dict[str, float], text: Column) -> Column:
     @F.pandas_udf("double")
     def evidence(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        scorer = Scorer(counts, prior, weights)
+        scorer = Scorer(weights)
         for texts in parts:
-            yield pd.Series([scorer.evidence(t) for t in texts], dtype="float64")
+            out = []
+            for hits, hidden in map(scorer.hits, texts):
+                for part in hidden:
+                    hits.update(meant.get(part, ()))
+                out.append(prior + sum(sorted(hits.values())))
+            yield pd.Series(out, dtype="float64")
 
-    return evidence(text)
+    return 1 / (1 + F.exp(-evidence(text)))
 
 
-def scores(counts: dict[str, int], prior: float, weights: dict[str, float], text: Column) -> Column:
-    """Logistic of the evidence."""
-    return 1 / (1 + F.exp(-_evidence(counts, prior, weights, text)))
+def scored(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """``doc_id`` and ``score`` of every row; texts are read in place, only their disguised strings are joined."""
+    prior, weights, telling = _trained(docs, labels)
+
+    @F.pandas_udf(f"hits {_HITS}, hidden array<string>")
+    def read(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        scorer = Scorer(weights)
+        for texts in parts:
+            rows = [scorer.hits(t) for t in texts]
+            yield pd.DataFrame({"hits": [_hits_of(h.items()) for h, _ in rows], "hidden": [h for _, h in rows]})
+
+    rows = pin(docs.select("doc_id", _text_key("text").alias("key"), read("text").alias("read")).select("doc_id", "key", "read.*"), "read")
+    hidden = rows.select("key", F.explode("hidden").alias("part")).join(telling, "part")
+    more = hidden.select("key", F.explode("hits").alias("hit")).groupBy("key").agg(F.collect_set("hit").alias("more"))
+    joined = rows.select("doc_id", "key", "hits").join(more, "key", "left")
+    hits = F.array_distinct(F.concat("hits", F.coalesce("more", F.array().cast(_HITS))))
+    evidence = F.aggregate(F.array_sort(F.transform(hits, lambda h: h["weight"])), F.lit(0.0), lambda a, w: a + w)
+    return joined.select("doc_id", (1 / (1 + F.exp(-(F.lit(prior) + evidence)))).alias("score"))
 
 
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -382,6 +565,5 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     labels = table(spark, sf_dir, "labels").select("doc_id", "toxic")
     labels = labels.where(F.col("doc_id").isNotNull() & (remainder(F.col("doc_id"), 5) != 0))
-    scored = docs.withColumn("score", toxicity(docs, labels, F.col("text")))
     held_out = remainder(F.col("doc_id"), 5) == 0
-    return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+    return scored(docs, labels).select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))

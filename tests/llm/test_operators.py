@@ -134,3 +134,27 @@ def test_a_passage_pasted_into_a_sentence_is_found():
         found += sum(b - a for a, b in cover) > 0.6 * len(passage)
     assert found >= 97
     assert "".join(spans.parts_of("a, b. c!? d\n\n e; f")) == "a, b. c!? d\n\n e; f"
+
+
+def test_letter_sequences_are_counted_without_a_limit(spark):
+    rng = random.Random(5)
+    often = " ".join("".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(12)) for _ in range(45_000))
+    docs = spark.createDataFrame([(often,), (often,), ("þiþlþ þ1þ1þ þ.1.þ.1.þ",), (None,), ("",)], "text string")
+    counts: dict = {}
+    for word in [*often.split() * 2, "þiþlþ"]:
+        for gram in toxicity.sequences(word):
+            counts[gram] = counts.get(gram, 0) + 1
+    assert len(counts) > 400_000
+    got = {r.part: tuple(r.words) for r in toxicity.restored(docs).collect()}
+    assert got["þ1þ1þ"] == got["þ.1.þ.1.þ"] == ("þiþlþ",)
+    table = {r.gram: r.n for r in toxicity.letter_counts(toxicity.corpus_words(docs)).collect()}
+    assert table == counts
+
+
+def test_group_counts_decode_like_all_counts(spark):
+    texts = ["the idiot said that it is worthless", "1d10t i d i o t 1.d-1_o*t w0rthl3ss!! stuuupid sai1 th3|it a+b-c|d", "wor-th-less id1ot5, t h a t i s"]
+    docs = spark.createDataFrame([(t,) for t in texts], "text string")
+    counts = {r.gram: r.n for r in toxicity.letter_counts(toxicity.corpus_words(docs)).collect()}
+    whole = toxicity.Restorer(counts)
+    got = {r.part: tuple(r.words) for r in toxicity.restored(docs).collect()}
+    assert got == {part: whole.decode(part) for t in texts for part in whole.disguised(t)} and len(got) > 8
