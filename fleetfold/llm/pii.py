@@ -1,16 +1,17 @@
 """Personal data by patterns, and terms that give it away by corpus statistics.
 
 Patterns find e-mail addresses, IPv4 addresses, payment cards and phone numbers. Each distinct value is a
-protected entity. Words within ``WINDOW`` characters of an entity are its context. Over the whole corpus
+protected entity. All words of a document with the entity are candidates. Over the distinct texts of the corpus
 
     information(entity)       = log(documents / documents with the entity)
     disclosure(entity, term)  = pointwise mutual information / information(entity)
 
-where the mutual information comes from the documents that have the term near the entity, those that have the
-term anywhere, and those that have the entity. It is 1 for a term that only occurs with the entity: reading the
+where the mutual information comes from the documents that have both, those that have the term, and those that
+have the entity. It is 1 for a term that only occurs with the entity: reading the
 term is as good as reading the entity. Terms at or above ``GENERALISE`` are spans of their own and are
-replaced by a class of words, at or above ``REMOVE`` they are taken out. A term needs ``MIN_CONTEXTS``
-different contexts with the entity, so that copies of one passage are no evidence.
+replaced by a class of words, at or above ``REMOVE`` they are taken out, wherever they stand, also in documents
+without the entity. A term needs ``MIN_CONTEXTS`` different contexts (``WINDOW`` characters on both sides) of the
+entity, so that copies of one passage are no evidence; equal texts count once.
 
 All steps are DataFrame expressions. Positions come from the pieces that a pattern cuts a text into, summed up
 blockwise, so many matches in one long text stay cheap. Quantifiers are possessive and look back to the start
@@ -151,65 +152,66 @@ def detect(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> Da
     return docs.select(F.col(id_column).alias("doc_id"), F.xxhash64(filled).alias("hash"), base_spans(filled).alias("spans"))
 
 
-def _terms_near(found: DataFrame) -> DataFrame:
-    """One row per word near an entity: doc key, ``entity``, ``term``, ``start``, ``end`` and ``context`` (hash of the words around)."""
-    span = found.where(F.size("spans") > 0).select("doc_id", "hash", F.explode("spans").alias("s"))
+def _entities(found: DataFrame) -> DataFrame:
+    """Distinct ``hash`` (of the text), ``entity`` and ``context`` (hash of the text around)."""
+    span = found.where(F.size("spans") > 0).select("hash", F.explode("spans").alias("s"))
     digits = F.regexp_replace("s.value", "[^0-9]", "")
     value = F.when(F.col("s.kind") == "email", F.lower("s.value")).otherwise(F.when(F.col("s.kind") == "ip", F.col("s.value")).otherwise(digits))
-    span = span.select(
-        "doc_id", "hash", "s.start", "s.end", "s.before", "s.behind",
-        F.concat("s.kind", F.lit(":"), value).alias("entity"),
-        F.xxhash64("s.before", "s.behind").alias("context"),
-    )
-
-    def words(part: str, first: Column) -> Column:
-        def build(match: Column, start: Column, before: Column, behind: Column) -> Column:
-            return F.struct(F.lower(match).alias("term"), (first + start).alias("start"), (first + start + F.length(match)).alias("end"))
-
-        return _cut(F.col(part), _WORD, build)
-
-    # A window that was cut may begin or end inside a word: that word is left out.
-    front = words("before", F.col("start") - F.length("before"))
-    front = F.when(F.length("before") == WINDOW, F.slice(front, 2, F.greatest(F.size(front) - 1, F.lit(0)))).otherwise(front)
-    back = words("behind", F.col("end"))
-    back = F.when(F.length("behind") == WINDOW, F.slice(back, 1, F.greatest(F.size(back) - 1, F.lit(0)))).otherwise(back)
-    return span.select("doc_id", "hash", "entity", "context", F.explode(F.concat(front, back)).alias("w")).select(
-        "doc_id", "hash", "entity", "context", "w.term", "w.start", "w.end"
-    )
+    return span.select(
+        "hash", F.concat("s.kind", F.lit(":"), value).alias("entity"), F.xxhash64("s.before", "s.behind").alias("context")
+    ).distinct()
+
+
+def _outside(spans: str) -> Callable[[Column], Column]:
+    return lambda w: ~F.exists(spans, lambda s: (s["start"] < w["end"]) & (w["start"] < s["end"]))
+
+
+def _words(texts: DataFrame, hashes: DataFrame) -> DataFrame:
+    """``hash`` and ``words`` (term, start, end) outside of spans, for the texts with these hashes, each once."""
 
+    def build(match: Column, start: Column, before: Column, behind: Column) -> Column:
+        return F.struct(F.lower(match).alias("term"), start.alias("start"), (start + F.length(match)).alias("end"))
 
-def disclosing_terms(docs: DataFrame, near: DataFrame, text: str = "text") -> DataFrame:
-    """``entity``, ``term`` and ``disclosure`` of pairs at or above ``GENERALISE``; counts cover all rows of ``docs``."""
-    pairs = near.select("entity", "term", "context").distinct()
-    varied = pairs.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("contexts")).where(F.col("contexts") >= MIN_CONTEXTS)
+    some = texts.join(hashes, "hash", "left_semi").dropDuplicates(["hash"]).withColumn("spans", base_spans(F.col("text")))
+    return some.select("hash", F.filter(_cut(F.col("text"), _WORD, build), _outside("spans")).alias("words"))
+
+
+def disclosing_terms(texts: DataFrame, entities: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``term`` and its greatest ``disclosure`` of an entity, at or above ``GENERALISE``; and ``hash`` and ``term`` of all places of candidates.
+
+    An entity with fewer contexts than a term needs has no terms, so its words are not paired with it.
+    """
+    enough = entities.groupBy("entity").agg(F.count_distinct("context").alias("contexts")).where(F.col("contexts") >= MIN_CONTEXTS)
+    kept = pin(entities.join(enough.select("entity"), "entity", "left_semi"), "entities")
+    words = _words(texts, kept.select("hash").distinct())
+    words = words.select("hash", F.explode(F.array_distinct(F.transform("words", lambda w: w["term"]))).alias("term"))
+    pairs = words.join(kept, "hash").groupBy("entity", "term")
+    varied = pairs.agg(F.count_distinct("context").alias("contexts"), F.count_distinct("hash").alias("n_both")).where(F.col("contexts") >= MIN_CONTEXTS)
     varied = pin(varied, "entity-terms")
-    wanted = near.join(varied.select("entity", "term"), ["entity", "term"], "left_semi")
-    together = wanted.select("entity", "term", "doc_id", "hash").distinct().groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_both"))
-    entities = near.select("entity", "doc_id", "hash").distinct().groupBy("entity").agg(F.count(F.lit(1)).alias("n_entity"))
-    terms = varied.select("term").distinct()
-    every = docs.select(F.explode(F.array_distinct(F.split(F.lower(F.col(text)), r"[^\p{L}\p{N}]+"))).alias("term"))
-    with_term = every.join(terms, "term").groupBy("term").agg(F.count(F.lit(1)).alias("n_term"))
-    total = F.lit(docs.count()).cast("double")
-    scored = together.join(entities, "entity").join(with_term, "term")
-    # n_both may count fewer rows than n_term (repeated rows), never more.
+    every = texts.select("hash", F.explode(F.array_distinct(F.split(F.lower(F.col("text")), r"[^\p{L}\p{N}]+"))).alias("term"))
+    places = pin(every.join(varied.select("term").distinct(), "term", "left_semi").distinct(), "term-places")
+    with_term = places.groupBy("term").agg(F.count(F.lit(1)).alias("n_term"))
+    counted = kept.groupBy("entity").agg(F.count_distinct("hash").alias("n_entity"))
+    total = F.lit(texts.select("hash").distinct().count()).cast("double")
+    scored = varied.join(counted, "entity").join(with_term, "term")
     information = F.log(total / F.col("n_entity"))
     mutual = F.log(total * F.least("n_both", "n_term") / (F.col("n_entity") * F.col("n_term")))
     scored = scored.withColumn("disclosure", F.when(information > 0, mutual / information).otherwise(0.0))
-    return scored.where(F.col("disclosure") >= GENERALISE).select("entity", "term", "disclosure")
+    return scored.where(F.col("disclosure") >= GENERALISE).groupBy("term").agg(F.max("disclosure").alias("disclosure")), places
 
 
 def find(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
     """``doc_id``, ``hash``, ``spans`` (base) and ``terms`` (start, kind_no, end, kind, disclosure) of every row."""
     found = pin(detect(docs, id_column, text), "spans")
-    near = pin(_terms_near(found), "terms-near")
-    giving = pin(disclosing_terms(docs, near, text), "disclosing-terms")
-    hits = near.join(giving, ["entity", "term"]).groupBy("doc_id", "hash", "start", "end").agg(F.max("disclosure").alias("disclosure"))
+    filled = F.coalesce(F.col(text), F.lit(""))
+    texts = docs.select(F.xxhash64(filled).alias("hash"), filled.alias("text"))
+    giving, places = disclosing_terms(texts, pin(_entities(found), "entity-contexts"))
+    giving = pin(giving, "disclosing-terms")
+    held = pin(places.join(giving, "term", "left_semi").select("hash").distinct(), "disclosing-texts")
+    hits = _words(texts, held).select("hash", F.explode("words").alias("w")).select("hash", "w.*").join(giving, "term")
     one = F.struct("start", F.lit(len(KINDS)).alias("kind_no"), "end", F.lit(TERM).alias("kind"), "disclosure")
-    hits = hits.groupBy("doc_id", "hash").agg(F.array_sort(F.collect_list(one)).alias("terms"))
-    hits = hits.withColumnsRenamed({"doc_id": "__id", "hash": "__hash"})
-    joined = found.join(hits, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("hash") == F.col("__hash")), "left").drop("__id", "__hash")
-    inside = lambda t: F.exists("spans", lambda s: (s["start"] < t["end"]) & (t["start"] < s["end"]))
-    return joined.withColumn("terms", F.filter("terms", lambda t: ~inside(t)))
+    hits = hits.groupBy("hash").agg(F.array_sort(F.collect_list(one)).alias("terms"))
+    return found.join(hits, "hash", "left").select(*found.columns, "terms")
 
 
 def sanitise(docs: DataFrame, found: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:

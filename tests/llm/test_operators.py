@@ -158,3 +158,17 @@ def test_group_counts_decode_like_all_counts(spark):
     whole = toxicity.Restorer(counts)
     got = {r.part: tuple(r.words) for r in toxicity.restored(docs).collect()}
     assert got == {part: whole.decode(part) for t in texts for part in whole.disguised(t)} and len(got) > 8
+
+
+def test_terms_are_taken_out_wherever_they_stand(spark):
+    names = ["quick", "brown", "lazy", "old", "young", "bright"]
+    far = " and so on it goes without an end" * 5
+    rows = [(k, f"Every {n} day number{k} write to zeb.q@mail.example.org or ask{far} Zebulon at the desk") for k, n in enumerate(names)]
+    rows += [(10, "Only Zebulon is named here, and Zebulon again")]
+    rows += [(100 + k, f"Every {n} thing {k} write to or ask at the desk{far} day number") for k, n in enumerate(names * 40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    texts = dict(rows)
+    found = pii.find(docs)
+    got = {r.doc_id: [texts[r.doc_id][t.start : t.end] for t in r.terms or []] for r in found.collect()}
+    assert got == {k: ["Zebulon"] if k < 10 else ["Zebulon"] * 2 if k == 10 else [] for k in texts}
+    assert {r.doc_id: r.text for r in pii.sanitise(docs, found).collect()}[10] == "Only  is named here, and  again"
