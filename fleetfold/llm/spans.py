@@ -2,7 +2,8 @@
 
 A text is cut behind sentence ends, line ends and the stops within sentences, so that a passage pasted into the
 middle of a sentence still shares its later parts. A long stretch without a stop is cut behind words picked by
-their checksum, so equal stretches are cut alike wherever they begin. From each part on, the shortest run of at least
+their checksum, so equal stretches are cut alike wherever they begin; in scripts without blanks it is cut behind
+characters, by the checksum of the last few, and ``UNSPACED`` characters count as a word. From each part on, the shortest run of at least
 ``MIN_PARTS`` consecutive parts with ``MIN_WORDS`` words is hashed (128 bits, without case and blanks). Runs
 that occur more than once anywhere are joined with their places; the first place by id and position
 stays, the parts that any other place covers go. Every stretch of parts with enough words is covered by such
@@ -34,22 +35,48 @@ MIN_PARTS = 2
 MIN_WORDS = 20
 LONG_PART = 12  # words from which a part is cut further,
 ONE_IN = 8  # behind one word in so many
+UNSPACED = 2  # characters of a script without blanks that count as a word
+GRAM = 3  # such characters whose checksum decides on a cut,
+ONE_CHARACTER_IN = 16  # behind one in so many
 # Cut behind stops and line ends, with the blanks that follow; the parts add up to the text.
-_PART = re.compile(r"[^.!?;:,\n]*[.!?;:,\n][.!?;:,\s]*|[^.!?;:,\n]+")
+_STOPS = ".!?;:,\n。｡！？；：，、､．…।॥؟؛،۔።፣።་།။၊។"
+_PART = re.compile(rf"[^{_STOPS}]*[{_STOPS}][{_STOPS}\s]*|[^{_STOPS}]+")
 _WORD = re.compile(r"\s*\S+\s*|\s+")
+# Thai, Lao, Tibetan, Myanmar, Khmer, kana, Han
+_UNSPACED = re.compile("[\u0e00-\u0fff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff]")
 _RUN = "doc_id long, hash long, run binary, start int, end int"
 
 
+def _size(words: list[str], unspaced: bool) -> int:
+    """Number of words; those of scripts without blanks by their characters."""
+    if not unspaced:
+        return len(words)
+    return sum(max(1, len(_UNSPACED.findall(w)) // UNSPACED) for w in words)
+
+
+def _cuts(word: str) -> Iterator[int]:
+    """Places to cut a stretch without blanks at."""
+    for k in range(GRAM, len(word) + 1):
+        gram = word[k - GRAM : k]
+        if _UNSPACED.match(gram[-1]) and zlib.crc32(gram.lower().encode("utf-8", "surrogatepass")) % ONE_CHARACTER_IN == 0:
+            yield k
+
+
 def parts_of(text: str) -> list[str]:
     out = []
+    unspaced = _UNSPACED.search(text) is not None
     for part in _PART.findall(text):
-        if part.count(" ") < LONG_PART:
+        if _size(part.split(), unspaced) < LONG_PART:
             out.append(part)
             continue
         begin = at = 0
         for word in _WORD.findall(part):
+            if unspaced:
+                for cut in _cuts(word):
+                    out.append(part[begin : at + cut])
+                    begin = at + cut
             at += len(word)
-            if zlib.crc32(word.strip().encode()) % ONE_IN == 0:
+            if begin < at and zlib.crc32(word.strip().encode()) % ONE_IN == 0:
                 out.append(part[begin:at])
                 begin = at
         if begin < len(part):
@@ -63,6 +90,8 @@ def runs_of(text: str, min_parts: int = MIN_PARTS, min_words: int = MIN_WORDS) -
 
     parts = parts_of(text)
     words = [p.lower().split() for p in parts]
+    unspaced = _UNSPACED.search(text) is not None
+    sizes = [_size(some, unspaced) for some in words]
     ends, at = [], 0
     for part in parts:
         at += len(part)
@@ -71,13 +100,13 @@ def runs_of(text: str, min_parts: int = MIN_PARTS, min_words: int = MIN_WORDS) -
     stop, held = 0, 0  # parts before ``stop`` are in the run, with ``held`` words
     for k in range(len(parts)):
         while stop < len(parts) and (stop - k < min_parts or held < min_words):
-            held += len(words[stop])
+            held += sizes[stop]
             stop += 1
         if stop - k < min_parts or held < min_words:
             break
         joined = " ".join([w for some in words[k:stop] for w in some])
         out.append((xxhash.xxh3_128_digest(joined), ends[k] - len(parts[k]), ends[stop - 1]))
-        held -= len(words[k])
+        held -= sizes[k]
     return out
 
 

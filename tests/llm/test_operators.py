@@ -172,3 +172,20 @@ def test_terms_are_taken_out_wherever_they_stand(spark):
     got = {r.doc_id: [texts[r.doc_id][t.start : t.end] for t in r.terms or []] for r in found.collect()}
     assert got == {k: ["Zebulon"] if k < 10 else ["Zebulon"] * 2 if k == 10 else [] for k in texts}
     assert {r.doc_id: r.text for r in pii.sanitise(docs, found).collect()}[10] == "Only  is named here, and  again"
+
+
+def test_repeats_in_text_without_ascii_stops_or_spaces():
+    rng = random.Random(6)
+    han = lambda n: "".join(chr(rng.randrange(0x4E00, 0x9000)) for _ in range(n))
+    thai = lambda n: "".join(chr(rng.randrange(0x0E01, 0x0E2F)) for _ in range(n))
+    tabbed = lambda n: "\t".join("".join(rng.choice("abcdefghij") for _ in range(5)) for _ in range(n)) + "\t"
+    stops = lambda n: "".join(han(15) + "。" for _ in range(n // 15))
+    for make, size in ((han, 400), (thai, 400), (stops, 400), (tabbed, 150)):
+        passage = make(size)
+        first, second = make(200) + passage + make(200), make(200) + passage + make(200)
+        assert "".join(spans.parts_of(first)) == first
+        known = {run for run, _, _ in spans.runs_of(first)}
+        cover = spans.merged([(a, b) for run, a, b in spans.runs_of(second) if run in known])
+        begin = second.index(passage)
+        assert 0.6 * len(passage) < sum(b - a for a, b in cover) <= len(passage)
+        assert all(begin <= a and b <= begin + len(passage) for a, b in cover)
