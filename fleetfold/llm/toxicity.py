@@ -47,7 +47,7 @@ MOST_SENT_LABELS = 1_000_000
 STEMS = (4, 5, 6)  # lengths of the word beginnings that are features
 CACHED_WORDS = 150_000
 BEAM = 24
-RUN = 32  # single letters that one lattice spans
+RUN = 32  # letters of the longest word that the language model counts
 
 # Signs and the letters they are read as.
 LEET = {
@@ -104,6 +104,14 @@ def sequences(word: str, order: int = ORDER) -> Iterator[str]:
             yield framed[k : k + n]
 
 
+def _unlinked(made: tuple | None) -> str:
+    out = []
+    while made:
+        made, piece = made
+        out.append(piece)
+    return "".join(reversed(out))
+
+
 class Reader:
     """Parts of a text: words that are read as they stand, and disguised strings."""
 
@@ -131,11 +139,11 @@ class Reader:
         return found
 
     def spaced(self, run: str) -> list[str]:
-        """Strings to decode of a run of single letters, in stretches of ``RUN`` letters."""
+        """String to decode of a run of single letters, none if it repeats one letter."""
         letters = run.split()
         if all(c == letters[0] for c in letters):
             return []
-        return [" ".join(letters[k : k + RUN]) for k in range(0, len(letters), RUN)]
+        return [" ".join(letters)]
 
     def parts(self, text: str | None) -> list[tuple[str, ...] | str]:
         """Words or disguised string of each token in order; those of runs of single letters follow."""
@@ -179,11 +187,11 @@ class Restorer(Reader):
         return moves or [("$", 0.0)]
 
     def decode(self, text: str) -> tuple[str, ...]:
-        """Viterbi search through the lattice of a word or a run of letters."""
+        """Viterbi search through the lattice of a word or a run of letters; paths are kept as links to the step before."""
         keep = self.model.order - 1
-        paths: dict[str, tuple[float, str]] = {"^": (0.0, "")}
+        paths: dict[str, tuple[float, tuple | None]] = {"^": (0.0, None)}
         for k in range(len(text)):
-            after: dict[str, tuple[float, str]] = {}
+            after: dict[str, tuple[float, tuple | None]] = {}
             for context, (cost, made) in paths.items():
                 for out, channel in self._moves(text, k):
                     if out == "":
@@ -192,17 +200,20 @@ class Restorer(Reader):
                         if context == "^":
                             state, total, text_so_far = context, cost + channel, made
                         else:
-                            state, total, text_so_far = "^", cost + channel + self.model.cost(context, "$"), made + " "
+                            state, total, text_so_far = "^", cost + channel + self.model.cost(context, "$"), (made, " ")
                     else:
                         total = cost + channel + self.model.cost(context, out)
-                        state, text_so_far = (context + out)[-keep:], made + out
+                        state, text_so_far = (context + out)[-keep:], (made, out)
                     if state not in after or total < after[state][0]:
                         after[state] = (total, text_so_far)
             if len(after) > BEAM:
                 after = dict(sorted(after.items(), key=lambda p: p[1][0])[:BEAM])
             paths = after
         ends = [(cost + (0 if context == "^" else self.model.cost(context, "$")), made) for context, (cost, made) in paths.items()]
-        return tuple(min(ends)[1].split()) if ends else ()
+        if not ends:
+            return ()
+        least = min(cost for cost, _ in ends)
+        return tuple(min(_unlinked(made) for cost, made in ends if cost == least).split())
 
     def sequences_of(self, text: str) -> set[str]:
         """Longest sequences that the lattice of a string can form: the model is asked for these and their ends only."""

@@ -189,3 +189,14 @@ def test_repeats_in_text_without_ascii_stops_or_spaces():
         begin = second.index(passage)
         assert 0.6 * len(passage) < sum(b - a for a, b in cover) <= len(passage)
         assert all(begin <= a and b <= begin + len(passage) for a, b in cover)
+
+
+def test_long_runs_of_single_letters_are_decoded_whole():
+    counts: dict = {}
+    for word, n in {"you": 50, "stupid": 40, "worthless": 40, "idiot": 30}.items():
+        for gram in toxicity.sequences(word):
+            counts[gram] = counts.get(gram, 0) + n
+    meant = ["you", "stupid", "worthless", "idiot"] * 50
+    run = " ".join("".join(meant))
+    assert toxicity.Reader().disguised(run) == [run]
+    assert toxicity.Restorer(counts).decode(run) == tuple(meant)
