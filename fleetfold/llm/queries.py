@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from fleetfold.llm import bpe, decontam, fingerprints, langid, linededup, pii, simhash, spans, tokenfiles, toxicity
+from fleetfold.llm import (
+    bpe, decontam, fingerprints, langid, linededup, manifest, neighbours, phrases, pii, simhash, spans, tokenfiles, toxicity,
+)
 
 QUERIES = {
     "op1_line_dedup": linededup.op1_line_dedup,
@@ -15,9 +17,15 @@ QUERIES = {
     "op8_language_id": langid.op8_language_id,
     "op9_toxicity": toxicity.op9_toxicity,
     "op10_decontamination": decontam.op10_decontamination,
+    "op11_nearest_neighbours": neighbours.op11_nearest_neighbours,
+    "op12_merkle_manifest": manifest.op12_merkle_manifest,
+    "op13_collocations": phrases.op13_collocations,
 }
 
 ORACLES = {
     "op1_line_dedup": linededup.OP1_SQL,
     "op10_decontamination": decontam.OP10_SQL,
+    "op11_nearest_neighbours": neighbours.OP11_SQL,
+    "op12_merkle_manifest": manifest.OP12_SQL,
+    "op13_collocations": phrases.OP13_SQL,
 }
