@@ -8,9 +8,10 @@ counts, and each extension has its own pair of intervals.
 
 Shards cannot tell by themselves what is frequent in the whole, so counting goes in two steps:
 
-1. Every shard is indexed once and stored, and counts its words and pairs under 64-bit hashes. The sums over all shards
-   are a sieve: a phrase below ``least`` cannot pass it, one above always does. Each shard gets back which of its own
-   passed; the table of the frequent ones is never sent whole.
+1. Every shard is indexed once and stored, and counts its words and pairs under hashes of ``HASH_BITS``. The sums over all
+   shards are a sieve: a phrase that reaches ``least`` always passes, and few others do. Hashes travel sorted, as differences,
+   in buckets of the hash range whose number follows the size of the texts, so a bucket fits a task. Each shard gets
+   back which of its own passed; the frequent ones are never sent whole.
 2. Every shard takes its index up again, extends frequent pairs to the right, then these to the left, as long as all
    pairs inside are in the sieve, and counts the phrases by name. Sums of these are exact.
 
@@ -30,6 +31,7 @@ result. Other columns are not read.
 from __future__ import annotations
 
 import json
+import math
 from collections import defaultdict
 from collections.abc import Iterator
 from functools import reduce
@@ -51,14 +53,18 @@ DEPTH = 4  # words of the longest phrase
 LEAST = 30
 TOP = 2000
 COVERED = 80  # percent of a phrase's occurrences inside a longer one that make it redundant
-SHARD_WORDS = 4_000_000
+SHARD_WORDS = 1_500_000  # below 2 ** (64 - HASH_BITS)
+SHARDS_PER_TASK = 8
+HASH_BITS = 40
+BUCKET_BYTES = 8 << 20  # text for each bucket of the sieve
 CHUNK = 1 << 16  # symbols of an index in one stored row
 _ROWS = 1 << 16  # rows of an Arrow batch of counts
+_PIECE = 1 << 18  # occurrences that are extended at once
 
 _STOPS = b".,;:!?\n\x0b\x0c\r"  # fixed value: where pieces end
 _PLAIN = bytes.maketrans(UPPER.encode() + _STOPS + b"\t", LOWER.encode() + b";" * len(_STOPS) + b" ")
-_LANGS, _VOCABULARY, _FORWARD, _BACKWARD, _GRAM, _TOTAL, _PASSED = range(7)
-_STORED = "shard long, kind int, part int, blob binary, hash long, n long"
+_LANGS, _VOCABULARY, _FORWARD, _BACKWARD, _PASSED, _GRAM, _TOTAL = range(7)
+_STORED = "shard long, kind int, part int, blob binary, n long"
 
 
 def tokens(text: bytes) -> list[bytes]:
@@ -70,23 +76,24 @@ def _ranks(keys: np.ndarray) -> np.ndarray:
     """Dense ranks from 1."""
     order = np.argsort(keys)
     ordered = keys[order]
-    ranks = np.empty(len(keys), np.int64)
-    ranks[order] = np.cumsum(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
-    return ranks
-
-
-def _behind(values: np.ndarray, by: int) -> np.ndarray:
-    out = np.zeros(len(values), np.int64)
-    out[: len(values) - by] = values[by:]
-    return out
+    new = np.concatenate([[True], ordered[1:] != ordered[:-1]])
+    ordered[order] = np.cumsum(new)
+    return ordered
 
 
 def transform(text: np.ndarray) -> np.ndarray:
     """The symbol before each suffix, suffixes in order of their first ``DEPTH`` symbols. ``text`` ends with 0."""
-    pairs = _ranks(text.astype(np.int64) * (int(text.max(initial=0)) + 1) + _behind(text, 1))
     assert DEPTH == 4  # twice two symbols
-    order = np.argsort(pairs * (len(text) + 2) + _behind(pairs, 2))
-    return text[order - 1]
+    keys = text.astype(np.int64)
+    keys *= int(text.max(initial=0)) + 1
+    keys[:-1] += text[1:]
+    pairs = _ranks(keys)
+    np.multiply(pairs, len(text) + 2, out=keys)
+    keys[:-2] += pairs[2:]
+    del pairs
+    order = np.argsort(keys)
+    order -= 1
+    return text[order]
 
 
 class Side:
@@ -111,9 +118,19 @@ class Phrases:
     def __init__(self, words: np.ndarray, forward: np.ndarray, backward: np.ndarray, counts: np.ndarray):
         self.words, self.forward, self.backward, self.counts = words, forward, backward, counts
 
-    def where(self, keep: np.ndarray) -> Phrases:
+    def where(self, keep: np.ndarray | slice) -> Phrases:
         return Phrases(self.words[keep], self.forward[keep], self.backward[keep], self.counts[keep])
 
+    def pieces(self, size: int = _PIECE) -> Iterator[Phrases]:
+        """Consecutive phrases with about ``size`` occurrences together."""
+        number = np.cumsum(self.counts) // size
+        cuts = [0, *(np.nonzero(np.diff(number))[0] + 1).tolist(), len(number)]
+        return (self.where(slice(a, b)) for a, b in zip(cuts, cuts[1:]))
+
+    @staticmethod
+    def joined(parts: list[Phrases]) -> Phrases:
+        return Phrases(*[np.concatenate([getattr(p, name) for p in parts]) for name in ("words", "forward", "backward", "counts")])
+
 
 class Index:
     """Both directions over one text of word ids, in which 0 ends a piece."""
@@ -130,8 +147,8 @@ class Index:
         first, counts = self.forward.first[1:-1], np.diff(self.forward.first)[1:]
         return Phrases(symbols[:, None], first, first, counts).where(counts > 0)
 
-    def extended(self, phrases: Phrases, right: bool) -> Phrases:
-        """All phrases with one word more on one side, with their counts and intervals."""
+    def extended(self, phrases: Phrases, right: bool, last: bool = False) -> Phrases:
+        """All phrases with one word more on one side, with their counts and, unless they are the last, intervals."""
         side = self.backward if right else self.forward
         start, other = (phrases.backward, phrases.forward) if right else (phrases.forward, phrases.backward)
         sizes = phrases.counts
@@ -144,13 +161,44 @@ class Index:
         inside = np.cumsum(counts) - counts - (ends - sizes)[owner]
         word = symbol > 0
         owner, symbol, counts, inside = owner[word], symbol[word], counts[word], inside[word]
-        here, there = side.first[symbol] + side.before(symbol, start[owner]), other[owner] + inside
+        there = other[owner] + inside
+        here = there if last else side.first[symbol] + side.before(symbol, start[owner])
         old, new = phrases.words[owner], symbol[:, None]
         if right:
             return Phrases(np.concatenate([old, new], axis=1), there, here, counts)
         return Phrases(np.concatenate([new, old], axis=1), here, there, counts)
 
 
+def _hashed(words: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Sieve hashes of words or pairs."""
+    full = hashes[words[:, 0]] if words.shape[1] == 1 else pair_hashes(hashes[words[:, 0]], hashes[words[:, 1]])
+    return full >> np.uint64(64 - HASH_BITS)
+
+
+def _planes(values: np.ndarray) -> bytes:
+    return np.ascontiguousarray(values.astype("<u8").view(np.uint8).reshape(-1, 8).T).tobytes()
+
+
+def pack_numbers(*columns: np.ndarray) -> bytes:
+    """Numbers of equal count byte by byte, lowest bytes first, compressed: small ones take little."""
+    return zstandard.compress(b"".join(_planes(c) for c in columns), 1)
+
+
+def unpack_numbers(blob: bytes, columns: int) -> list[np.ndarray]:
+    planes = np.frombuffer(zstandard.decompress(blob), np.uint8).reshape(columns, 8, -1)
+    return [np.ascontiguousarray(p.T).view("<u8").ravel() for p in planes]
+
+
+def pack_hashes(hashes: np.ndarray, *columns: np.ndarray) -> bytes:
+    """Ascending hashes as differences, with columns beside them."""
+    return pack_numbers(np.diff(hashes, prepend=np.uint64(0)), *columns)
+
+
+def unpack_hashes(blob: bytes, columns: int = 1) -> list[np.ndarray]:
+    first, *others = unpack_numbers(blob, columns)
+    return [np.cumsum(first, dtype=np.uint64), *others]
+
+
 def word_hashes(words: list[tuple[int, bytes]], langs: list[str]) -> np.ndarray:
     """One hash per word and language; the first place is for the end of a piece."""
     prefixes = [f"{lang}\t".encode() for lang in langs]
@@ -164,37 +212,55 @@ def pair_hashes(left: np.ndarray, right: np.ndarray) -> np.ndarray:
         return (mixed ^ (mixed >> np.uint64(32))) * np.uint64(0x94D049BB133111EB)
 
 
-def _batch(shard: int, kind: int, blobs: list[bytes | None], hashes: np.ndarray | None = None, counts: np.ndarray | None = None) -> pa.RecordBatch:
-    size = len(blobs) if hashes is None else len(hashes)
-    arrays = [pa.array(np.full(size, shard, np.int64)), pa.array(np.full(size, kind, np.int32)), pa.array(np.arange(size, dtype=np.int32))]
-    arrays.append(pa.nulls(size, pa.binary()) if hashes is not None else pa.array(blobs, pa.binary()))
-    arrays.append(pa.nulls(size, pa.int64()) if hashes is None else pa.array(hashes.view(np.int64)))
-    arrays.append(pa.nulls(size, pa.int64()) if counts is None else pa.array(counts.astype(np.int64)))
-    return pa.RecordBatch.from_arrays(arrays, names=["shard", "kind", "part", "blob", "hash", "n"])
+def _batch(shard: int, kind: int, blobs: list[bytes], parts: list[int] | None = None, n: list[int] | None = None) -> pa.RecordBatch:
+    size = len(blobs)
+    arrays = [pa.array([shard] * size, pa.int64()), pa.array([kind] * size, pa.int32()), pa.array(parts or range(size), pa.int32())]
+    arrays += [pa.array(blobs, pa.binary()), pa.array(n or [None] * size, pa.int64())]
+    return pa.RecordBatch.from_arrays(arrays, names=["shard", "kind", "part", "blob", "n"])
+
+
+def _counted(index: Index, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all words and pairs of a shard, ascending, and their counts, which share 64 bits while they are sorted."""
+    beside = np.uint64(64 - HASH_BITS)
+    parts = []
+    for piece in index.words().pieces():
+        for some in (piece, index.extended(piece, right=True, last=True)):
+            parts.append(_hashed(some.words, hashes) << beside | np.minimum(some.counts, (1 << int(beside)) - 1).astype(np.uint64))
+    both = np.concatenate(parts)
+    del parts
+    both.sort()
+    found = both >> beside
+    starts = np.nonzero(np.concatenate([[True], found[1:] != found[:-1]]))[0]
+    both &= np.uint64((1 << int(beside)) - 1)
+    return found[starts], np.add.reduceat(both, starts)
 
 
-def _stored(shard: int, text: np.ndarray, words: list[tuple[int, bytes]], langs: list[str]) -> Iterator[pa.RecordBatch]:
-    """A shard's index and its counts of words and pairs by hash."""
+def _summed(hashes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The order that sorts hashes, where each distinct one starts in it, and their sums."""
+    order = np.argsort(hashes)
+    ordered = hashes[order]
+    starts = np.nonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))[0]
+    return order, starts, np.add.reduceat(counts[order], starts)
+
+
+def _stored(shard: int, text: np.ndarray, words: list[tuple[int, bytes]], langs: list[str], buckets: int) -> Iterator[pa.RecordBatch]:
+    """A shard's index, and its counts of words and pairs by hash, a row per bucket of hashes."""
     width = len(words) + 1
     index = Index.of(text, width)
     pack = zstandard.ZstdCompressor(level=1).compress
     yield _batch(shard, _LANGS, [json.dumps(langs).encode()])
     yield _batch(shard, _VOCABULARY, [pack(b"\t".join(b"%d %s" % one for one in words[k : k + CHUNK])) for k in range(0, len(words), CHUNK)])
     for kind, side in ((_FORWARD, index.forward), (_BACKWARD, index.backward)):
-        chunks = [side.symbols[k : k + CHUNK].tobytes() for k in range(0, len(text), CHUNK)]
-        yield _batch(shard, kind, [pack(c) for c in chunks])
-    hashes = word_hashes(words, langs)
-    single = index.words()
-    pairs = index.extended(single, right=True)
-    found = np.concatenate([hashes[single.words[:, 0]], pair_hashes(hashes[pairs.words[:, 0]], hashes[pairs.words[:, 1]])])
-    counts = np.concatenate([single.counts, pairs.counts])
-    for k in range(0, len(found), _ROWS):
-        yield _batch(shard, _GRAM, [], found[k : k + _ROWS], counts[k : k + _ROWS])
-    of_lang = np.bincount(np.array([0, *[k for k, _ in words]])[single.words[:, 0]], weights=single.counts, minlength=len(langs)).astype(np.int64)
-    names = pa.array([lang.encode() for lang in langs], pa.binary())
-    totals = _batch(shard, _TOTAL, [None] * len(langs)).drop_columns(["blob", "n"])
-    totals = totals.append_column("blob", names).append_column("n", pa.array(of_lang)).select(["shard", "kind", "part", "blob", "hash", "n"])
-    yield totals
+        yield _batch(shard, kind, [pack(side.symbols[k : k + CHUNK].tobytes()) for k in range(0, len(text), CHUNK)])
+    found, counts = _counted(index, word_hashes(words, langs))
+    bucket = (found >> np.uint64(HASH_BITS - buckets.bit_length() + 1)).astype(np.int64)
+    cuts = [0, *(np.nonzero(np.diff(bucket))[0] + 1).tolist(), len(bucket)]
+    for k in range(0, len(cuts) - 1, 100):
+        ends = list(zip(cuts[k:], cuts[k + 1 : k + 101]))
+        yield _batch(shard, _GRAM, [pack_hashes(found[a:b], counts[a:b]) for a, b in ends], [int(bucket[a]) for a, _ in ends])
+    of_word = np.array([0, *[k for k, _ in words]])
+    of_lang = np.bincount(of_word, weights=np.diff(index.forward.first) * (np.arange(width) > 0), minlength=len(langs))
+    yield _batch(shard, _TOTAL, [lang.encode() for lang in langs], n=[int(x) for x in of_lang])
 
 
 def _cut(text: np.ndarray, size: int) -> Iterator[np.ndarray]:
@@ -202,7 +268,7 @@ def _cut(text: np.ndarray, size: int) -> Iterator[np.ndarray]:
     ends = np.nonzero(text == 0)[0] + 1
     at = 0
     while at < len(text):
-        if len(text) - at <= size:
+        if len(text) - at <= 1.25 * size:
             stop = len(text)
         else:
             fitting = np.searchsorted(ends, at + size, side="right")
@@ -211,7 +277,7 @@ def _cut(text: np.ndarray, size: int) -> Iterator[np.ndarray]:
         at = stop
 
 
-def _index_worker(shard_words: int):
+def _index_worker(shard_words: int, buckets: int):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         numbers = count(TaskContext.get().partitionId() << 32)
         ids: dict[str, defaultdict] = {}
@@ -226,12 +292,16 @@ def _index_worker(shard_words: int):
                 for word, number in own.items():
                     if number:
                         words[number - 1] = (k, word)
-            for text in _cut(np.concatenate(held), shard_words):
-                used, text = np.unique(text, return_inverse=True)
-                if used[-1] > 0:
-                    yield from _stored(next(numbers), text.astype(np.int32), [words[k - 1] for k in used.tolist() if k], langs)
+            whole = np.concatenate(held)
             ids.clear()
             held.clear()
+            for text in _cut(whole, shard_words):
+                own_words = words
+                if len(text) < len(whole):
+                    used, text = np.unique(text, return_inverse=True)
+                    text, own_words = text.astype(np.int32), [words[k - 1] for k in used.tolist() if k]
+                if own_words:
+                    yield from _stored(next(numbers), text, own_words, langs, buckets)
 
         next_id = count(1)
         for batch in batches:
@@ -261,25 +331,33 @@ def _contained(sorted_values: np.ndarray, values: np.ndarray) -> np.ndarray:
 
 
 def frequent_phrases(index: Index, hashes: np.ndarray, passed: np.ndarray) -> Iterator[Phrases]:
-    """Phrases of 1 to ``DEPTH`` words whose words and pairs are in the sieve."""
+    """Phrases of 1 to ``DEPTH`` words whose words and pairs are in the sieve, piece by piece."""
     width = index.width
     single = index.words()
-    single = single.where(_contained(passed, hashes[single.words[:, 0]]))
+    single = single.where(_contained(passed, _hashed(single.words, hashes)))
     yield single
     known = np.zeros(width, bool)
     known[single.words[:, 0]] = True
-    pairs = index.extended(single, right=True)
-    pairs = pairs.where(known[pairs.words[:, 1]])
-    pairs = pairs.where(_contained(passed, pair_hashes(hashes[pairs.words[:, 0]], hashes[pairs.words[:, 1]])))
+
+    def pair_passes(pairs: np.ndarray) -> np.ndarray:
+        keep = known[pairs[:, 1]]
+        keep[keep] = _contained(passed, _hashed(pairs[keep], hashes))
+        return keep
+
+    some = [index.extended(piece, right=True) for piece in single.pieces()]
+    some = [longer.where(pair_passes(longer.words)) for longer in some]
+    if not some:
+        return
+    pairs = Phrases.joined(some)
     yield pairs
     good = np.sort(pairs.words[:, 0] * width + pairs.words[:, 1])
-    longer = pairs
-    for size in range(3, DEPTH + 1):
-        right = size % 2 == 1
-        longer = index.extended(longer, right)
-        a, b = (-2, -1) if right else (0, 1)
-        longer = longer.where(_contained(good, longer.words[:, a] * width + longer.words[:, b]))
-        yield longer
+    for longer in pairs.pieces():
+        for size in range(3, DEPTH + 1):
+            right = size % 2 == 1
+            longer = index.extended(longer, right, last=size == DEPTH)
+            a, b = (-2, -1) if right else (0, 1)
+            longer = longer.where(_contained(good, longer.words[:, a] * width + longer.words[:, b]))
+            yield longer
 
 
 def _named(phrases: Phrases, words: pa.Array, langs: pa.Array) -> Iterator[pa.RecordBatch]:
@@ -307,7 +385,7 @@ def _count_worker(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         index = Index(*sides, len(words) + 1)
         names = pa.array([w for _, w in words], pa.binary()).cast(pa.string())
         of_word = pa.array(langs, pa.string()).take(pa.array([k for k, _ in words], pa.int32()))
-        sieve = np.sort(np.concatenate(passed).view(np.uint64))
+        sieve = np.sort(np.concatenate(passed))
         for phrases in frequent_phrases(index, word_hashes(words, langs), sieve):
             yield from _named(phrases, names, of_word)
 
@@ -324,25 +402,47 @@ def _count_worker(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
                 blobs.clear()
             part = batch.slice(a, b - a)
             if kind == _PASSED:
-                passed.append(np.asarray(part.column("hash")))
+                passed.extend(unpack_hashes(blob)[0] for blob in part.column("blob").to_pylist())
             else:
                 blobs[kind] += part.column("blob").to_pylist()
     yield from finish()
 
 
+def _sieve(least: int):
+    """Sums a bucket's counts over all shards and gives each shard those of its hashes that reach ``least``."""
+
+    def work(bucket: pa.Table) -> pa.Table:
+        shards = bucket.column("shard").to_pylist()
+        parts = [unpack_hashes(blob, 2) for blob in bucket.column("blob").to_pylist()]
+        order, starts, sums = _summed(np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts]))
+        passes = np.empty(len(order), bool)
+        passes[order] = np.repeat(sums >= least, np.diff(starts, append=len(order)))
+        ends = np.cumsum([len(p[0]) for p in parts])
+        own = [p[0][passes[e - len(p[0]) : e]] for p, e in zip(parts, ends)]
+        kept = [(shard, pack_hashes(h)) for shard, h in zip(shards, own) if len(h)]
+        number = bucket.column("part")[0].as_py()
+        arrays = [pa.array([s for s, _ in kept], pa.int64()), pa.array([_PASSED] * len(kept), pa.int32()), pa.array([number] * len(kept), pa.int32())]
+        return pa.Table.from_arrays([*arrays, pa.array([b for _, b in kept], pa.binary())], names=["shard", "kind", "part", "blob"])
+
+    return work
+
+
 def counted_phrases(
     docs: DataFrame, least: int = LEAST, lang: str = "lang", text: str = "text", shard_words: int = SHARD_WORDS
 ) -> tuple[DataFrame, DataFrame]:
     """``lang``, ``size``, ``phrase``, ``f`` of all phrases of up to ``DEPTH`` words with f >= least; and ``lang``, ``n`` words in all."""
     texts = docs.select(F.coalesce(F.col(lang), F.lit("und")).alias("lang"), F.coalesce(F.col(text), F.lit("")).cast("binary").alias("text"))
-    stored = pin(texts.mapInArrow(_index_worker(shard_words), _STORED), "word-indexes")
+    size = texts.agg(F.sum(F.length("text"))).first()[0] or 0
+    buckets = 1 << max(4, math.ceil(math.log2(max(1, size / BUCKET_BYTES))))
+    stored = pin(texts.mapInArrow(_index_worker(shard_words, buckets), _STORED), "word-indexes")
     totals = stored.where(F.col("kind") == _TOTAL).groupBy(F.decode("blob", "UTF-8").alias("lang")).agg(F.sum("n").alias("n"))
-    grams = stored.where(F.col("kind") == _GRAM).select("shard", "hash", "n")
-    passed = grams.withColumn("all", F.sum("n").over(Window.partitionBy("hash"))).where(F.col("all") >= least)
-    none = F.lit(None)
-    back = passed.select("shard", F.lit(_PASSED).alias("kind"), F.lit(0).alias("part"), none.cast("binary").alias("blob"), "hash")
-    index = stored.where(F.col("kind") <= _BACKWARD).select("shard", "kind", "part", "blob", "hash")
-    dealt = index.unionByName(back).repartition("shard").sortWithinPartitions("shard", "kind", "part")
+    grams = stored.where(F.col("kind") == _GRAM).select("part", "shard", "blob")
+    back = grams.groupBy("part").applyInArrow(_sieve(least), "shard long, kind int, part int, blob binary")
+    index = stored.where(F.col("kind") <= _BACKWARD).select("shard", "kind", "part", "blob")
+    # Several shards to a task, so that their counts are added up before they are shuffled.
+    shards = stored.where(F.col("kind") == _LANGS).count()
+    tasks = max(1, math.ceil(shards / SHARDS_PER_TASK), min(shards, docs.sparkSession.sparkContext.defaultParallelism))
+    dealt = index.unionByName(back).repartition(tasks, "shard").sortWithinPartitions("shard", "kind", "part")
     named = dealt.mapInArrow(_count_worker, "lang string, size int, phrase string, n long")
     counts = named.groupBy("lang", "size", "phrase").agg(F.sum("n").alias("f")).where(F.col("f") >= least)
     return pin(counts, "phrase-counts"), totals
