@@ -11,10 +11,11 @@ from fleetfold import schemas
 from fleetfold.operators import dims
 from fleetfold.operators.clean import enforce_types
 from fleetfold.operators.kpi import daily_kpi
-from fleetfold.operators.merge import COURIER_TRACKED, scd1_merge, scd2_merge
+from fleetfold.operators.merge import COURIER_TRACKED, SEEN_AT, scd1_merge, scd2_merge
 from fleetfold.session import scratch_scope
 from fleetfold.sources.files import read_csv
-from fleetfold.sources.tables import MAX_ROWS_PER_FILE, CompactedTable, VersionedTable, replace_partitions
+from fleetfold.sources.compaction import CompactedTable
+from fleetfold.sources.tables import MAX_ROWS_PER_FILE, VersionedTable, replace_partitions
 from fleetfold.storage import path_exists
 from fleetfold.streaming.ingest import silver_orders, silver_telemetry
 
@@ -46,19 +47,22 @@ GOLD_DIMENSIONS = (
 def load_dimension(spec: DimensionSpec, table: VersionedTable, staged: DataFrame, as_of=None) -> int:
     """Merge staged rows into the newest version of a dimension and write the next one."""
     typed = enforce_types(staged, schemas.GOLD_TYPES.get(spec.name, {}))
-    target = table.read()
+    base = table.newest()
+    target = table.at(base)
     if target is None:
         # An empty target with the staged columns, so that the first load is a merge like any other.
         target = typed.where(F.lit(False))
         if spec.surrogate is not None:
             target = target.withColumn(spec.surrogate, F.lit(None).cast("long"))
+        if spec.tracked is not None:
+            target = target.withColumn(SEEN_AT, F.array().cast("array<timestamp>"))
         if spec.referred_by is not None:
             target = dims.with_unknown_member(target, spec.referred_by)
     if spec.tracked is not None:
         merged = scd2_merge(target, typed, spec.key, list(spec.tracked), as_of, spec.surrogate)
     else:
         merged = scd1_merge(target, typed, spec.key, spec.surrogate)
-    return table.write(merged)
+    return table.write(merged, base=base)  # refuses to overwrite what another load has merged meanwhile
 
 
 def load_gold_dimensions(
@@ -142,7 +146,7 @@ def daily_figures(spark: SparkSession, lake: str, process_date: str, as_of=None)
 
     Compacted files are read where there are any, and small files only where they are not compacted yet.
     """
-    day = silver_table(spark, lake, "orders").read().where(F.col("order_date") == F.lit(process_date).cast("date"))
+    day = silver_table(spark, lake, "orders").read(F.col("order_date") == F.lit(process_date).cast("date"))
     replace_partitions(daily_kpi(day, as_of), f"{lake}/gold/daily_sales_fact", "order_date")
 
 

@@ -1,4 +1,4 @@
-"""Partitioned Parquet tables: writing, replacing partitions, compaction, retention.
+"""Partitioned Parquet tables: writing, replacing partitions, versions, batches, retention.
 
 A version or a batch is a directory of its own that counts once Spark has put its success marker
 there. So a run that dies leaves nothing half-read, and running it again writes the same
@@ -7,22 +7,24 @@ directory anew.
 
 from __future__ import annotations
 
+import contextlib
 import re
-from collections.abc import Callable
+import uuid
+from collections.abc import Callable, Iterator
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from fleetfold.functions.time import instant
-from fleetfold.session import pin
-from fleetfold.storage import drop_directory, folders, hadoop_setting, path_exists
+from fleetfold.storage import ages, create_file, drop_directory, folders, hadoop_setting, path_exists
 
 # Rows per file, and how long live tables keep an order.
 MAX_ROWS_PER_FILE = 100_000
 RETENTION_HOURS = 24
 FAN_IN = 8  # folds of one level that make one of the next
-MAX_NAMED_FILES = 10_000  # files that a read names one by one
+LEASE_HOURS = 24  # a lease that is older belongs to a reader that died
 
 
 def require_markers(spark: SparkSession) -> None:
@@ -54,103 +56,94 @@ def replace_partitions(df: DataFrame, path: str, by: str, max_rows: int = MAX_RO
     writer.option("partitionOverwriteMode", "dynamic").option("maxRecordsPerFile", max_rows).parquet(path)
 
 
+class ConcurrentChange(RuntimeError):
+    """Another writer has published a version meanwhile."""
+
+
 class VersionedTable:
-    """A table as directories ``v=<n>``; readers see the newest completed one. The last few stay."""
+    """A table as directories ``v=<n>``; readers see the newest completed one.
+
+    The last few stay, and older ones as long as a reader holds a lease on them. A writer claims its number by creating a
+    file, which only one can, so two writers never share a directory.
+    """
 
-    def __init__(self, spark: SparkSession, root: str, keep: int = 3):
+    def __init__(self, spark: SparkSession, root: str, keep: int = 3, lease_hours: float = LEASE_HOURS):
         require_markers(spark)
-        self.spark, self.root, self.keep = spark, root, keep
+        self.spark, self.root, self.keep, self.lease_hours = spark, root, keep, lease_hours
 
     def versions(self) -> dict[int, str]:
         return completed(self.spark, self.root, "v")
 
+    def newest(self) -> int:
+        return max(self.versions(), default=0)
+
     def read(self) -> DataFrame | None:
-        versions = self.versions()
-        return self.spark.read.parquet(versions[max(versions)]) if versions else None
-
-    def write(self, df: DataFrame, max_rows: int = MAX_ROWS_PER_FILE) -> int:
-        versions = self.versions()
-        number = max(versions, default=0) + 1
-        df.write.mode("overwrite").option("maxRecordsPerFile", max_rows).parquet(f"{self.root}/v={number}")
-        for old, path in versions.items():
-            if old <= number - self.keep:
+        return self.at(self.newest())
+
+    def at(self, number: int) -> DataFrame | None:
+        """A given version; none is numbered 0."""
+        return self.spark.read.parquet(f"{self.root}/v={number}") if number else None
+
+    @contextlib.contextmanager
+    def lease(self) -> Iterator[DataFrame | None]:
+        """The newest version, which no writer drops inside the block. A lease that outlives its hours no longer holds."""
+        while True:
+            versions = self.versions()
+            number = max(versions, default=0)
+            if not number:
+                yield None
+                return
+            held = f"{self.root}/leases/{number}-{uuid.uuid4().hex}"
+            create_file(self.spark, held)
+            if path_exists(self.spark, f"{versions[number]}/_SUCCESS"):
+                break
+            drop_directory(self.spark, held)  # dropped between the look and the lease
+        try:
+            yield self.spark.read.parquet(versions[number])
+        finally:
+            drop_directory(self.spark, held)
+
+    def leased(self) -> set[int]:
+        return {int(name.split("-")[0]) for name, age in ages(self.spark, f"{self.root}/leases").items() if age < 3600 * self.lease_hours}
+
+    def _claim(self) -> int:
+        """The next number that is free; a claim that has outlived a lease is that of a writer that died."""
+        claims = f"{self.root}/claims"
+        for name, age in ages(self.spark, claims).items():
+            if age > 3600 * self.lease_hours:
+                drop_directory(self.spark, f"{claims}/{name}")
+        number = self.newest()
+        while True:
+            number += 1
+            # Claims go when their write ends, so a number that is free may be complete by now.
+            if create_file(self.spark, f"{claims}/{number}"):
+                if number not in self.versions():
+                    return number
+                drop_directory(self.spark, f"{claims}/{number}")
+
+    def write(
+        self, df: DataFrame, max_rows: int = MAX_ROWS_PER_FILE, base: int | None = None, on_drop: Callable[[str], None] | None = None
+    ) -> int:
+        """Write the next version. With ``base`` it must still be the newest when the new one is published, else nothing is.
+
+        ``on_drop`` is called with the folder of each version that is about to go.
+        """
+        number = self._claim()
+        try:
+            if base is not None and (self.newest() != base or number != base + 1):
+                raise ConcurrentChange(f"{self.root} was at version {base}, now another writer is at work")
+            df.write.mode("overwrite").option("maxRecordsPerFile", max_rows).parquet(f"{self.root}/v={number}")
+        finally:
+            drop_directory(self.spark, f"{self.root}/claims/{number}")
+        leased = self.leased()
+        for old, path in self.versions().items():
+            if old <= number - self.keep and old not in leased:
+                if on_drop is not None:
+                    on_drop(path)
                 drop_directory(self.spark, path)
         return number
 
 
-def _files_of(df: DataFrame) -> DataFrame:
-    """The data files that a table scan takes in, found by a scan without columns."""
-    return df.select(F.col("_metadata.file_path").alias("_file")).distinct()
-
-
-class CompactedTable:
-    """A partitioned Parquet table of many small files, and the same rows in few large ones.
-
-    Each run of ``compact`` takes the source files that no run has covered yet, writes their rows below
-    ``data/run=<n>`` and then the list of these files below ``files/run=<n>``. A run counts once its list is
-    complete, so every source file is covered by exactly one run, whenever it was written and whatever
-    its time says. No clock is compared, and a run that dies is done again. The source itself is read through the
-    log of the stream that writes it and is never overwritten, so the stream may go on.
-    """
-
-    def __init__(self, spark: SparkSession, source: str, target: str, by: str):
-        require_markers(spark)
-        self.spark, self.source, self.target, self.by = spark, source, target, by
-
-    def _runs(self) -> dict[int, str]:
-        return completed(self.spark, f"{self.target}/files", "run")
-
-    def covered(self) -> DataFrame | None:
-        """Source files that completed runs have taken."""
-        runs = self._runs()
-        return self.spark.read.schema("_file string").parquet(*runs.values()) if runs else None
-
-    def uncovered(self) -> DataFrame:
-        files, covered = _files_of(self.spark.read.parquet(self.source)), self.covered()
-        return files if covered is None else files.join(covered, "_file", "left_anti")
-
-    def compact(self, max_rows: int = MAX_ROWS_PER_FILE) -> int:
-        """Take in all files that are not covered yet; returns their number."""
-        if not path_exists(self.spark, self.source):
-            return 0
-        new = pin(self.uncovered(), "new-files")
-        count = new.count()
-        if count:
-            run = f"run={max(self._runs(), default=0) + 1}"
-            rows = self._rows_of(new)
-            write_partitioned(rows, f"{self.target}/data/{run}", self.by, "overwrite", max_rows)
-            new.write.mode("overwrite").parquet(f"{self.target}/files/{run}")
-        return count
-
-    def _rows_of(self, files: DataFrame) -> DataFrame:
-        """Source rows of the given files. A few files are opened by name, many are found by a join."""
-        rows = self.spark.read.parquet(self.source)
-        names = [r[0] for r in files.limit(MAX_NAMED_FILES + 1).collect()]
-        # A name that is escaped in the listing would have to be unescaped to open it.
-        if len(names) <= MAX_NAMED_FILES and not any("%" in name for name in names):
-            return self.spark.read.schema(rows.schema).option("basePath", self.source).parquet(*names)
-        named = rows.withColumn("_file", F.col("_metadata.file_path"))
-        return named.join(files, "_file", "left_semi").drop("_file")
-
-    def read(self) -> DataFrame:
-        """All rows once: the compacted ones, and those of files that are not covered yet."""
-        runs = self._runs()
-        source = self.spark.read.parquet(self.source)
-        if not runs:
-            return source
-        paths = [f"{self.target}/data/run={n}" for n in runs]
-        kept = [self.spark.read.schema(source.schema).parquet(path) for path in paths]
-        new = pin(self.uncovered(), "new-files")
-        if not new.isEmpty():
-            kept.append(self._rows_of(new))
-        return reduce(DataFrame.unionByName, kept)
-
-
-def compact(spark: SparkSession, source: str, target: str, by: str, max_rows: int = MAX_ROWS_PER_FILE) -> int:
-    """Compact what has come since the last time; returns the number of files taken in."""
-    return CompactedTable(spark, source, target, by).compact(max_rows)
-
-
 def within_retention(ts: Column | str, as_of=None, hours: int = RETENTION_HOURS) -> Column:
     """Not older than the window. A row without a time stays, as its age is unknown."""
     ts = F.col(ts) if isinstance(ts, str) else ts
@@ -167,16 +160,17 @@ class BatchTable:
     once per level, and the levels grow as the logarithm of the number of batches.
 
     With ``at``, a timestamp expression, directories are partitioned by its ``period`` (a day, unless a feed spans
-    very many); retention then drops whole folders and rewrites nothing.
+    very many); retention then drops whole folders and rewrites nothing. With ``buckets``, a number from the key and a name
+    for it, folders are parted by it too, and a read may open a few of them.
     """
 
     def __init__(
         self, spark: SparkSession, root: str, combine: Callable[[DataFrame], DataFrame] = lambda df: df,
-        at: Column | None = None, period: str = "day", fan_in: int = FAN_IN,
+        at: Column | None = None, period: str = "day", fan_in: int = FAN_IN, buckets: tuple[Column, str] | None = None,
     ):
         require_markers(spark)
         self.spark, self.root, self.combine, self.fan_in = spark, root, combine, fan_in
-        self.at, self.period = at, period
+        self.at, self.period, self.buckets = at, period, buckets
 
     def _folds(self) -> list[tuple[int, int, int, str]]:
         """Completed folds as (level, first, last, path)."""
@@ -212,13 +206,21 @@ class BatchTable:
             rows.write.mode("overwrite").parquet(f"{self.root}/{name}")
         else:
             dated = rows.withColumn("_from", F.to_date(F.date_trunc(self.period, self.at)))
-            write_partitioned(dated, f"{self.root}/{name}", "_from", "overwrite")
-
-    def _read(self, paths: list[str]) -> DataFrame:
+            parts = ["_from"]
+            if self.buckets is not None:
+                parts.append(self.buckets[1])
+                dated = dated.withColumn(self.buckets[1], self.buckets[0])
+            even = dated.hint("rebalance", *[F.col(c) for c in parts])
+            even.write.mode("overwrite").partitionBy(*parts).option("maxRecordsPerFile", MAX_ROWS_PER_FILE).parquet(f"{self.root}/{name}")
+
+    def _read(self, paths: list[str], where: Column | None = None) -> DataFrame:
         schema = self.spark.read.parquet(f"{self.root}/schema").schema
         if self.at is None:
             return self.spark.read.schema(schema).parquet(*paths)
-        return reduce(DataFrame.unionByName, [self.spark.read.schema(schema).parquet(p).select(*schema.names) for p in paths])
+        stored = "" if self.buckets is None else f", {self.buckets[1]} int"
+        parts = StructType([*schema.fields, *StructType.fromDDL(f"_from date{stored}").fields])
+        frames = [self.spark.read.schema(parts).parquet(p) for p in paths]
+        return reduce(DataFrame.unionByName, [(df if where is None else df.where(where)).select(*schema.names) for df in frames])
 
     def put(self, rows: DataFrame, batch_id: int) -> bool:
         """Write a batch, or nothing if it is folded already; tells whether it was written."""
@@ -227,11 +229,11 @@ class BatchTable:
         self._write(rows, f"batch_id={batch_id}")
         return True
 
-    def read(self, upto: int | None = None) -> DataFrame | None:
-        """Current rows, one per key; ``upto`` leaves later batches out."""
+    def read(self, upto: int | None = None, where: Column | None = None) -> DataFrame | None:
+        """Current rows, one per key; ``upto`` leaves later batches out, ``where`` folders by their date ``_from`` and bucket."""
         folds, loose, _ = self._live()
         paths = [f[3] for f in folds] + [p for n, p in loose.items() if upto is None or n <= upto]
-        return self.combine(self._read(paths)) if paths else None
+        return self.combine(self._read(paths, where)) if paths else None
 
     def fold(self, batch_id: int) -> None:
         """Fold the loose batches up to ``batch_id``, and then folds of one level wherever there are enough."""

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import SparkSession
 
 
@@ -35,5 +37,20 @@ def make_directory(spark: SparkSession, path: str, until_exit: bool = False) ->
         fs.deleteOnExit(folder)
 
 
+def create_file(spark: SparkSession, path: str) -> bool:
+    """Make an empty file; tells whether it was not there before. Of several that try at once only one succeeds."""
+    fs, file = _on(spark, path)
+    fs.mkdirs(file.getParent())
+    return fs.createNewFile(file)
+
+
+def ages(spark: SparkSession, path: str) -> dict[str, float]:
+    """Seconds since the last change of what lies directly below a folder."""
+    fs, folder = _on(spark, path)
+    if not fs.exists(folder):
+        return {}
+    return {s.getPath().getName(): time.time() - s.getModificationTime() / 1000 for s in fs.listStatus(folder)}
+
+
 def hadoop_setting(spark: SparkSession, name: str, default: str) -> str:
     return spark.sparkContext._jsc.hadoopConfiguration().get(name, default)

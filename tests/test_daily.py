@@ -46,7 +46,7 @@ def test_daily_run_twice(spark, path):
     assert [(str(r.order_date), str(r.total_revenue), r.total_orders) for r in figures] == [("2026-01-06", "120.00", 2)]
     for name, rows in {"dim_courier": 3, "dim_pizzeria": 2, "dim_customer": 2, "dim_delivery_zone": 6, "dim_order_status": 8, "dim_date": 1096}.items():
         assert VersionedTable(spark, f"{lake}/gold/{name}").read().count() == rows, name
-    assert spark.read.parquet(f"{lake}/silver/telemetry_compacted/data/run=1").count() == 1
+    assert spark.read.parquet(f"{lake}/silver/telemetry_compacted/data").count() == 1
 
     # The next run: a courier changes vehicle, another order arrives; the day's figures are replaced.
     write_csv(f"{lake}/bronze/couriers", schemas.COURIER_FILE, {**COURIER, "vehicle_type": "car"}, {**COURIER, "courier_id": "C-WAW-02"})

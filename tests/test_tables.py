@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from fleetfold.operators.merge import latest_per_key
-from fleetfold.sources import files, jdbc, tables
+from fleetfold.sources import compaction, files, jdbc, tables
 
 
 def rows_of(df):
@@ -90,9 +90,9 @@ def test_compaction_keeps_the_rows_and_bounds_the_files(spark, path):
     source, target = path("source"), path("compacted")
     df = spark.range(5000).select(F.when(F.col("id") % 3 > 0, F.col("id") % 3).alias("p"), "id", F.lit("x").alias("v"))
     df.repartition(8).write.partitionBy("p").parquet(source)
-    assert tables.compact(spark, source, target, "p", max_rows=1000) == 24
-    assert tables.compact(spark, source, target, "p") == 0
-    before, after = spark.read.parquet(source), tables.CompactedTable(spark, source, target, "p").read()
+    assert compaction.compact(spark, source, target, "p", max_rows=1000) == 24
+    assert compaction.compact(spark, source, target, "p") == 0
+    before, after = spark.read.parquet(source), compaction.CompactedTable(spark, source, target, "p").read()
     assert len(before.inputFiles()) == 24
     assert len(after.inputFiles()) == 6  # 1667 rows a partition, 1000 a file
     assert _same_rows(before, after)
@@ -102,14 +102,14 @@ def test_compaction_keeps_the_rows_and_bounds_the_files(spark, path):
 
 def test_compaction_takes_files_of_any_age_once(spark, path):
     source, target = path("source"), path("compacted")
-    assert tables.compact(spark, source, target, "p") == 0  # nothing there yet
+    assert compaction.compact(spark, source, target, "p") == 0  # nothing there yet
     spark.range(9).select((F.col("id") % 3).alias("p"), "id").coalesce(1).write.partitionBy("p").parquet(source)
-    assert tables.compact(spark, source, target, "p") == 3
+    assert compaction.compact(spark, source, target, "p") == 3
     known = {f for f in spark.read.parquet(source).inputFiles()}
     spark.range(9, 12).select(F.lit(1).cast("long").alias("p"), "id").coalesce(1).write.mode("append").partitionBy("p").parquet(source)
     for file in set(spark.read.parquet(source).inputFiles()) - known:
         os.utime(file.removeprefix("file:").replace("///", "/"), (1, 1))  # older than anything
-    table = tables.CompactedTable(spark, source, target, "p")
+    table = compaction.CompactedTable(spark, source, target, "p")
     assert _same_rows(spark.read.parquet(source), table.read())  # not yet compacted, but read
     assert table.compact() == 1
     assert table.compact() == 0
@@ -120,13 +120,13 @@ def test_compaction_while_the_source_grows(spark, path):
     source, target = path("source"), path("compacted")
     spark.range(6).select((F.col("id") % 2).alias("p"), "id").write.partitionBy("p").parquet(source)
 
-    class Grows(tables.CompactedTable):
-        def _rows_of(self, files):
+    class Grows(compaction.CompactedTable):
+        def _rows_of(self, files, *others):
             self.spark.range(100, 103).select(F.lit(0).cast("long").alias("p"), "id").write.mode("append").partitionBy("p").parquet(source)
-            return super()._rows_of(files)
+            return super()._rows_of(files, *others)
 
     Grows(spark, source, target, "p").compact()
-    table = tables.CompactedTable(spark, source, target, "p")
+    table = compaction.CompactedTable(spark, source, target, "p")
     assert _same_rows(spark.read.parquet(source), table.read())
     assert table.compact() > 0
     assert _same_rows(spark.read.parquet(source), table.read())
@@ -136,12 +136,122 @@ def test_compaction_that_died_is_done_again(spark, path):
     source, target = path("source"), path("compacted")
     spark.range(6).select((F.col("id") % 2).alias("p"), "id").write.partitionBy("p").parquet(source)
     spark.range(3).write.parquet(f"{target}/data/run=1")  # rows without the list of their files
-    table = tables.CompactedTable(spark, source, target, "p")
+    table = compaction.CompactedTable(spark, source, target, "p")
     assert _same_rows(spark.read.parquet(source), table.read())
     assert table.compact() > 0
     assert _same_rows(spark.read.parquet(source), table.read())
 
 
+def _add(spark, source, first, last, by=2):
+    spark.range(first, last).select((F.col("id") % by).alias("p"), "id").coalesce(1).write.mode("append").partitionBy("p").parquet(source)
+
+
+def test_a_reader_that_meets_a_run_gets_every_row_once(spark, path):
+    """A run ends between the moment a reader takes the manifest and the one it lists the source, or the other way round."""
+    source, target = path("source"), path("compacted")
+    _add(spark, source, 0, 10)
+    plain = compaction.CompactedTable(spark, source, target, "p")
+    plain.compact()
+    for step in ("_source_files", "_not_covered", "_rows_of"):
+        first = spark.read.parquet(source).count()
+        _add(spark, source, first, first + 5)
+
+        class Meets(compaction.CompactedTable):
+            pass
+
+        def meet(self, *args, step=step):
+            assert plain.compact() > 0
+            return getattr(compaction.CompactedTable, step)(self, *args)
+
+        setattr(Meets, step, meet)
+        assert sorted(r.id for r in Meets(spark, source, target, "p").read().collect()) == list(range(first + 5)), step
+
+
+def test_many_runs_leave_the_files_that_the_rows_ask_for(spark, path):
+    source, target = path("source"), path("compacted")
+    table = compaction.CompactedTable(spark, source, target, "p")
+    for n in range(20):
+        _add(spark, source, 10 * n, 10 * n + 10)
+        assert table.compact(max_rows=30) == 2
+    data = table.manifest.read().where("kind = 'data'")
+    assert [(r.p, r["sum(rows)"]) for r in data.groupBy("p").sum("rows").orderBy("p").collect()] == [(0, 100), (1, 100)]
+    assert all(r["count"] <= 7 for r in data.groupBy("p").count().collect())  # 100 rows in files of 15 to 30
+    assert sorted(r.id for r in table.read().collect()) == list(range(200))
+    assert sorted(r.id for r in table.read(F.col("p") == 1).collect()) == list(range(1, 200, 2))
+    assert len(table.read(F.col("p") == 1).inputFiles()) <= 7
+    # Of what runs have merged again only the files of the last versions are left.
+    named = {r.file for v in table.manifest.versions().values() for r in spark.read.parquet(v).where("kind = 'data'").select("file").collect()}
+    stored = {r.path for r in spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").load(f"{target}/data").select("path").collect()}
+    assert named == stored
+
+
+def test_full_files_are_left_alone(spark, path):
+    source, target = path("source"), path("compacted")
+    table = compaction.CompactedTable(spark, source, target, "p")
+    _add(spark, source, 0, 40)
+    table.compact(max_rows=10)
+    before = {r.file for r in table.manifest.read().where("kind = 'data'").select("file").collect()}
+    _add(spark, source, 40, 44)
+    table.compact(max_rows=10)
+    assert before < {r.file for r in table.manifest.read().where("kind = 'data'").select("file").collect()}
+
+
+def test_the_join_finds_what_names_find(spark, path, monkeypatch):
+    source, target = path("source"), path("compacted")
+    rows = spark.createDataFrame([(k, p) for k, p in enumerate(["a b", "x=y", "50%", "{a,b}", "ü", None, "*"])], "id int, p string")
+    rows.write.partitionBy("p").parquet(source)
+    table = compaction.CompactedTable(spark, source, target, "p")
+    for most in (10_000, 0):
+        monkeypatch.setattr(compaction, "MAX_NAMED_FILES", most)
+        rows.write.mode("append").partitionBy("p").parquet(source)
+        assert _same_rows(spark.read.parquet(source), table.read())
+        assert table.compact() > 0
+        assert _same_rows(spark.read.parquet(source), table.read())
+
+
+def test_two_runs_at_once(spark, path):
+    source, target = path("source"), path("compacted")
+    _add(spark, source, 0, 10)
+
+    class Overtaken(compaction.CompactedTable):
+        def _written(self, *args):
+            compaction.CompactedTable(self.spark, source, target, "p").compact()
+            return super()._written(*args)
+
+    with pytest.raises(tables.ConcurrentChange):
+        Overtaken(spark, source, target, "p").compact()
+    table = compaction.CompactedTable(spark, source, target, "p")
+    assert sorted(r.id for r in table.read().collect()) == list(range(10)) and table.compact() == 0
+
+
+def test_writers_never_share_a_version(spark, path):
+    table = tables.VersionedTable(spark, path())
+    other = tables.VersionedTable(spark, table.root)
+    table.write(spark.range(1))
+    claimed = other._claim()  # at work on version 2
+    assert claimed == 2 and table.write(spark.range(3)) == 3
+    with pytest.raises(tables.ConcurrentChange):
+        table.write(spark.range(4), base=2)
+    assert table.write(spark.range(5), base=3) == 4 and table.read().count() == 5
+    with pytest.raises(tables.ConcurrentChange):
+        table.write(spark.range(6), base=3)
+    stale = tables.VersionedTable(spark, table.root, lease_hours=0)
+    assert stale._claim() == 5
+
+
+def test_a_version_in_use_is_not_dropped(spark, path):
+    table = tables.VersionedTable(spark, path(), keep=1)
+    with table.lease() as nothing:
+        assert nothing is None
+    table.write(spark.range(1))
+    with table.lease() as held:
+        for n in range(2, 6):
+            table.write(spark.range(n))
+        assert held.count() == 1 and list(table.versions()) == [1, 5]
+    table.write(spark.range(6))
+    assert list(table.versions()) == [6]
+
+
 def test_versions_that_are_long_gone_are_dropped(spark, path):
     table = tables.VersionedTable(spark, path(), keep=2)
     for n in range(4):
