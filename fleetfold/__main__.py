@@ -12,35 +12,40 @@ from fleetfold.plans.daily import CALENDAR
 from fleetfold.schemas import ORDER_EVENT, TELEMETRY_EVENT
 from fleetfold.session import tune
 from fleetfold.sources.files import stream_json, wait_for_path
-from fleetfold.sources.tables import MAX_ROWS_PER_FILE, VersionedTable
+from fleetfold.sources.tables import MAX_ROWS_PER_FILE, BatchTable
 from fleetfold.streaming import ingest, live
 
-FILES_PER_BATCH = {"live-fleet": 100, "live-orders": 100, "order-performance": 1000}
+FILES_PER_BATCH = {"live-fleet": 100, "live-orders": 100, "order-performance": 1000, "spaced-telemetry": 100}
 
 
-def _dimensions(spark: SparkSession, gold: str) -> live.Dimensions:
-    read = {n: VersionedTable(spark, f"{gold}/dim_{n}").read() for n in ("courier", "customer", "order_status", "pizzeria")}
-    missing = [n for n, df in read.items() if df is None]
-    if missing:
-        raise SystemExit(f"load the gold dimensions first: {missing}")
-    return live.Dimensions(read["courier"], read["customer"], read["order_status"], read["pizzeria"])
+def _dimensions(spark: SparkSession, gold: str) -> live.GoldDimensions:
+    dims = live.GoldDimensions(spark, gold)
+    if dims.missing():
+        raise SystemExit(f"load the gold dimensions first: {dims.missing()}")
+    return dims
 
 
-def _stream(spark: SparkSession, job: str, lake: str, once: bool, files: int | None) -> None:
+def _stream(spark: SparkSession, job: str, lake: str, once: bool, files: int | None, as_of_couriers: bool) -> None:
     orders = job == "live-orders"
     feed = f"{lake}/bronze/{'orders' if orders else 'telemetry'}"
     wait_for_path(spark, feed)
     source = stream_json(spark, feed, ORDER_EVENT if orders else TELEMETRY_EVENT, files or FILES_PER_BATCH[job])
     state, gold = f"{lake}/checkpoints/{job}", f"{lake}/gold"
     every = {"every": None} if once else {}
+    metrics = live.metrics_table(spark, f"{gold}/{job.replace('-', '_')}_batches")
     if job == "live-fleet":
         late = live.LateEvents(spark, f"{gold}/live_fleet_late", parse("timestamp"))
-        query = live.live_fleet(source, live.fleet_table(spark, f"{gold}/live_fleet_status"), state, late=late, **every)
+        query = live.live_fleet(source, live.fleet_table(spark, f"{gold}/live_fleet_status"), state, late=late, metrics=metrics, **every)
     elif orders:
-        query = live.live_orders(source, live.orders_table(spark, f"{gold}/live_orders_log"), state, **every)
+        query = live.live_orders(source, live.orders_table(spark, f"{gold}/live_orders_log"), state, metrics=metrics, **every)
+    elif job == "spaced-telemetry":
+        typed = source.withColumn("timestamp", parse("timestamp"))
+        last = live.LastSeen(spark, f"{gold}/spaced_telemetry_last", "order_id", "timestamp", "event_id")
+        query = live.spaced_events(typed, last, BatchTable(spark, f"{gold}/spaced_telemetry"), state, every=None if once else "1 second")
     else:
-        facts = live.performance_table(spark, f"{gold}/fact_order_performance")
-        query = live.order_performance(source, facts, _dimensions(spark, gold), state, **every)
+        facts = live.performance_table(spark, f"{gold}/fact_order_performance", live.AS_OF_PERFORMANCE if as_of_couriers else live.ORDER_PERFORMANCE)
+        policies = {"policies": live.AS_OF_PERFORMANCE, "courier_at": "order_timestamp"} if as_of_couriers else {}
+        query = live.order_performance(source, facts, _dimensions(spark, gold), state, metrics=metrics, **policies, **every)
     query.awaitTermination()
 
 
@@ -51,6 +56,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
     parser.add_argument("--lake", required=True, help="folder with bronze/, silver/, gold/ and checkpoints/")
     parser.add_argument("--process-date", help="yyyy-MM-dd, for daily and daily-kpi")
     parser.add_argument("--once", action="store_true", help="streams: take what is there, then stop")
+    parser.add_argument("--couriers-as-of-order", action="store_true", help="order-performance: the courier's version of the order's time")
     parser.add_argument("--files-per-batch", type=int, help="streams: files that one micro-batch takes")
     parser.add_argument("--max-rows-per-file", type=int, default=MAX_ROWS_PER_FILE, help="compact and drains: rows per file")
     parser.add_argument("--calendar", nargs=2, metavar=("FIRST", "LAST"), default=CALENDAR, help="dates that dim_date has at least")
@@ -78,7 +84,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
     elif args.job == "compact":
         daily.compact_silver(spark, lake, args.max_rows_per_file)
     else:
-        _stream(spark, args.job, lake, args.once, args.files_per_batch)
+        _stream(spark, args.job, lake, args.once, args.files_per_batch, args.couriers_as_of_order)
 
 
 if __name__ == "__main__":

@@ -276,6 +276,7 @@ def oracles() -> dict[str, str]:
     history = f"""WITH {HISTORY} SELECT * REPLACE (CAST(valid_from AS TIMESTAMP) AS valid_from) FROM h3"""
     q["scd2_merge"] = with_views(history, "couriers")
     q["scd2_idempotent"] = q["scd2_merge"]
+    q["scd2_out_of_order"] = with_views(history.replace("SELECT * REPLACE", "SELECT * EXCLUDE (courier_key) REPLACE"), "couriers")
     q["scd2_asof_join"] = with_views(
         f"""WITH {HISTORY} SELECT p.event_id, c.courier_id AS code, h.vehicle, CAST(h.valid_from AS TIMESTAMP) AS valid_from
         FROM pings p LEFT JOIN couriers c ON c.courier_no = p.courier_id
@@ -443,6 +444,12 @@ def oracles() -> dict[str, str]:
     q["live_orders_stream"] = with_views(
         log.format(ids=text_ids, at=NOW) + " WHERE order_timestamp >= TIMESTAMP '1995-06-17 12:00:00' - INTERVAL 24 HOUR", "ords")
     by = 'ORDER BY "timestamp", event_id'
+    q["order_perf_asof_stream"] = with_views(
+        f"""WITH {CODED}, {HISTORY}, facts AS (SELECT order_id, first(order_timestamp {by}) AS order_timestamp,
+            last(courier_id {by}) AS courier_id FROM coded WHERE {POSITION} GROUP BY order_id)
+        SELECT f.*, h.vehicle, CAST(h.valid_from AS TIMESTAMP) AS valid_from FROM facts f LEFT JOIN h3 h
+          ON h.courier_id = f.courier_id AND f.order_timestamp >= h.valid_from AND (h.valid_to IS NULL OR f.order_timestamp < h.valid_to)""",
+        "pings", "couriers")
     q["order_perf_stream"] = with_views(
         f"""WITH {STATUSES}, {CODED}, keyed AS (SELECT p.*, coalesce(p.courier_no + 1000, -1) AS courier_key,
             coalesce(b.base_no + 500, -1) AS pizzeria_key, coalesce(k.customer_id + 1, -1) AS customer_key,

@@ -22,7 +22,7 @@ from fleetfold.operators import clean, dims, kpi, merge, spatial, star, telemetr
 from fleetfold.plans.daily import GOLD_DIMENSIONS, load_gold_dimensions
 from fleetfold.plans.joins import lookup
 from fleetfold.session import pin, scratch, tune
-from fleetfold.sources import files, tables
+from fleetfold.sources import compaction, files, tables
 from fleetfold.streaming import ingest, live
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -157,7 +157,7 @@ def gold_dims_load(spark, sf):
     out = None
     for spec in GOLD_DIMENSIONS:
         versions = tables.VersionedTable(spark, f"{gold}/{spec.name}").versions()
-        first, second = (spark.read.parquet(versions[v]) for v in (1, 2))
+        first, second = (spark.read.parquet(versions[v]).drop(merge.SEEN_AT) for v in (1, 2))
         unchanged = first.intersectAll(second).agg(F.count(F.lit(1)).alias("rows_unchanged"))
         loaded = second.agg(F.count(F.lit(1)).alias("rows_loaded"))
         line = loaded.select(
@@ -322,11 +322,17 @@ def scd1_merge(spark, sf):
     return merge.scd1_merge(target, staged, "customer_id")
 
 
-def _courier_history(spark, sf, repeat_last: bool = False) -> DataFrame:
-    loads = views.courier_snapshots(spark, sf)
+def _courier_history(spark, sf, repeat_last: bool = False, order: tuple[int, ...] = (0, 1, 2)) -> DataFrame:
+    snapshots = views.courier_snapshots(spark, sf)
+    loads = [snapshots[k] for k in order]
     if repeat_last:
         loads = [*loads, ("2024-01-25 00:00:00", loads[-1][1])]
     versions = tables.VersionedTable(spark, scratch(spark, "courier_history"))
+    _load_couriers(versions, loads)
+    return versions.read().drop(merge.SEEN_AT)
+
+
+def _load_couriers(versions: tables.VersionedTable, loads: list[tuple[str, DataFrame]]) -> None:
     for at, snapshot in loads:
         staged = dims.shape_couriers(snapshot, ntz(at)).select(
             "courier_id", "vehicle_type", *merge.COURIER_TRACKED,
@@ -335,8 +341,8 @@ def _courier_history(spark, sf, repeat_last: bool = False) -> DataFrame:
         target = versions.read()
         if target is None:
             target = staged.where(F.lit(False)).withColumn("courier_key", F.lit(None).cast("long"))
+            target = target.withColumn(merge.SEEN_AT, F.array().cast("array<timestamp_ntz>"))
         versions.write(merge.scd2_merge(target, staged, "courier_id", merge.COURIER_TRACKED, ntz(at), "courier_key"))
-    return versions.read()
 
 
 @query
@@ -349,6 +355,12 @@ def scd2_idempotent(spark, sf):
     return _courier_history(spark, sf, repeat_last=True)
 
 
+@query
+def scd2_out_of_order(spark, sf):
+    """The history of the couriers from the same loads, the last first, each version named by when it began."""
+    return _courier_history(spark, sf, order=(2, 0, 1)).drop("courier_key")
+
+
 @query
 def scd2_asof_join(spark, sf):
     """Pings with the vehicle their courier drove then."""
@@ -694,7 +706,7 @@ def compact_partitions(spark, sf):
     and added to once more."""
     path = scratch(spark, "orders_small_files")
     cleaned = clean.clean_orders(views.orders(spark, sf), now()).withColumn("order_month", _month("order_timestamp"))
-    table = tables.CompactedTable(spark, path, f"{path}_compacted", "order_month")
+    table = compaction.CompactedTable(spark, path, f"{path}_compacted", "order_month")
     for part in reversed(range(3)):
         some = cleaned.where(F.pmod(F.hash("order_id"), F.lit(3)) == part)
         some.repartition(4, "order_id").write.mode("append").partitionBy("order_month").parquet(path)
@@ -797,6 +809,31 @@ def order_perf_stream(spark, sf):
     return live.read_performance(facts, as_of=as_of, keep_hours=24).drop("return_timestamp")
 
 
+@query
+def order_perf_asof_stream(spark, sf):
+    """Orders with their courier's vehicle of then. The stream reads versioned dimensions batch by batch; of the loads of the
+    couriers the second arrives after the stream has ended, and the facts in its span are restated."""
+    bronze, d, gold = _bronze_pings(spark, sf), _keyed_dims(spark, sf), scratch(spark, "gold")
+    customers = d["customer"].withColumn("customer_id", F.col("customer_id").cast("string"))
+    for name, dim in {"dim_customer": customers, "dim_order_status": d["status"], "dim_pizzeria": d["pizzeria"]}.items():
+        tables.VersionedTable(spark, f"{gold}/{name}").write(dim)
+    couriers, loads = tables.VersionedTable(spark, f"{gold}/dim_courier"), views.courier_snapshots(spark, sf)
+    _load_couriers(couriers, [loads[0], loads[2]])
+    source = files.stream_json(spark, bronze, schemas.TELEMETRY_EVENT, _files_per_batch(spark, bronze))
+    policies = live.AS_OF_PERFORMANCE
+    table = live.performance_table(spark, scratch(spark, "order_performance"), policies)
+    live.order_performance(
+        source, table, live.GoldDimensions(spark, gold), scratch(spark, "checkpoint"), every=None, policies=policies,
+        fold_every=2, keep_hours=None, courier_at="order_timestamp",
+    ).awaitTermination()
+    facts = pin(live.read_performance(table, policies), "facts")
+    _load_couriers(couriers, [loads[1]])
+    changed = pin(live.restated_couriers(facts, couriers.read()), "restated")
+    facts = facts.join(changed.select("order_id"), "order_id", "left_anti").unionByName(changed)
+    versions = couriers.read().select("courier_key", "vehicle", "valid_from")
+    return lookup(facts, versions, "courier_key").select("order_id", "order_timestamp", "courier_id", "vehicle", "valid_from")
+
+
 def _feed_in_order(spark, rows: DataFrame, part: Column, parts: list) -> str:
     """A ping feed that arrives part after part, two files each, so that a micro-batch of two files is one part."""
     path = scratch(spark, "feed_in_order")
@@ -813,11 +850,9 @@ def dedup_watermark_stream(spark, sf):
     path = _feed_in_order(spark, _ping_feed(spark, sf), F.floor((day - 1) / 8), [0, 1, 2, 3])
     source = files.stream_json(spark, path, schemas.TELEMETRY_EVENT, 2)
     typed = source.select("event_id", "order_id", F.try_to_timestamp("timestamp").alias("timestamp"))
-    last = live.last_seen_table(spark, scratch(spark, "last_seen"), "order_id", "timestamp", "event_id")
+    last = live.LastSeen(spark, scratch(spark, "last_seen"), "order_id", "timestamp", "event_id", buckets=16)
     out = tables.BatchTable(spark, scratch(spark, "spaced"))
-    live.spaced_events(
-        typed, last, out, scratch(spark, "checkpoint"), "order_id", "timestamp", "event_id", fold_every=2
-    ).awaitTermination()
+    live.spaced_events(typed, last, out, scratch(spark, "checkpoint"), fold_every=2).awaitTermination()
     return out.read().withColumn("event_id", F.col("event_id").cast("long"))
 
 

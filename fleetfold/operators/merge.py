@@ -10,7 +10,7 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fleetfold.functions.time import fixed_instant
@@ -118,17 +118,84 @@ def scd2_merge(
     0.02. Keys that are not staged stay open. A key staged twice counts once. The current slice
     and the staged rows meet in a single join; closed history is passed through unjoined. The clock
     is taken once per load, so a closed version ends exactly when its successor begins.
+
+    A load that is older than what a key was last seen with is spliced into the key's history. Where the target has the
+    column ``SEEN_AT``, the times of the loads that a version was seen in are kept there, and loads in any order give the
+    same history; without it a version counts as seen when it began.
     """
     now = fixed_instant(as_of)
-    versioning = ("valid_from", "valid_to", "is_current", surrogate)
+    versioning = ("valid_from", "valid_to", "is_current", SEEN_AT, surrogate)
     carried = [c for c in target.columns if c not in versioning and c in staged.columns]
     typed = staged.select(*[F.col(c).cast(target.schema[c].dataType).alias(c) for c in carried])
     typed = latest_per_key(typed.where(F.col(key).isNotNull()), [key], [c for c in carried if c != key])
+    known, at = SEEN_AT in target.columns, target.schema["valid_from"].dataType
+
+    tracked = [c for c in tracked if c in carried]
+    after = 0 if surrogate is None else highest(target, surrogate)
+    seen = F.coalesce(F.array_max(SEEN_AT), "valid_from") if known else F.col("valid_from")
+    newer = target.where(F.col(key).isNotNull() & (seen >= now.cast(at)))
+    spliced = None
+    if not newer.isEmpty():
+        late = pin(typed.select(key).join(newer.select(key).distinct(), key, "left_semi"), "late-keys")
+        spliced = _spliced(target.join(late, key, "left_semi"), typed.join(late, key, "left_semi"), key, tracked, carried, now.cast(at), surrogate)
+        target, typed = target.join(late, key, "left_anti"), typed.join(late, key, "left_anti")
+    merged, history = _scd2_in_order(target, typed, key, tracked, carried, now, known)
+    merged = merged if spliced is None else merged.unionByName(spliced)
+    if surrogate is not None:
+        merged = _number_new(merged, key, surrogate, after)
+    return merged.unionByName(history)
+
+
+SEEN_AT = "seen_at"
+
 
+def _spliced(
+    versions: DataFrame, staged: DataFrame, key: str, tracked: list[str], carried: list[str], now: Column, surrogate: str | None
+) -> DataFrame:
+    """Histories into which one more observation per key has been put, wherever its time falls.
+
+    A history is taken apart into what was seen when, one row per load; what is staged replaces what was seen at the same
+    time; neighbours that agree become one version again. A version keeps its surrogate as long as an observation that
+    began it is part of it. Closed ends without a successor stay.
+    """
+    names = versions.columns
+    seen = F.coalesce(F.col(SEEN_AT), F.array("valid_from")) if SEEN_AT in names else F.array("valid_from")
+    row = F.struct(*names)
+    old = versions.select(F.col(key).alias("_key"), F.explode(seen).alias("_at"), F.lit(0).alias("_new"), row.alias("_row"))
+    fields = [(F.col(c) if c in carried else F.lit(None)).cast(versions.schema[c].dataType).alias(c) for c in names]
+    new = staged.select(F.col(key).alias("_key"), now.alias("_at"), F.lit(1).alias("_new"), F.struct(*fields).alias("_row"))
+    once = old.unionByName(new).groupBy("_key", "_at").agg(
+        F.max_by("_row", "_new").alias("_row"), F.max("_new").alias("_new"),
+        *([F.max(F.when(F.col("_row.valid_from") == F.col("_at"), F.col(f"_row.{surrogate}"))).alias("_surrogate")] if surrogate else []),
+    )
+    # A key has one row per load; its order is no matter of size.
+    order = Window.partitionBy("_key").orderBy("_at")
+    values = F.struct(*[F.col(f"_row.{c}").alias(c) for c in tracked])
+    begins = F.lag("_at").over(order).isNull() | ~F.lag(values).over(order).eqNullSafe(values)
+    numbered = once.withColumn("_begins", begins.cast("int")).withColumn("_version", F.sum("_begins").over(order))
+    held = numbered.groupBy("_key", "_version").agg(
+        F.min_by("_row", "_at").alias("_row"), F.min("_at").alias("_from"), F.sort_array(F.collect_set("_at")).alias("_seen"),
+        F.max_by("_row.valid_to", "_at").alias("_end"), *([F.min("_surrogate").alias("_surrogate")] if surrogate else []),
+    )
+    ends = F.least(F.lead("_from").over(Window.partitionBy("_key").orderBy("_from")), "_end")
+    held = held.withColumn("_to", ends)
+    fixed = {"valid_from": F.col("_from"), "valid_to": F.col("_to"), "is_current": F.col("_to").isNull(), SEEN_AT: F.col("_seen")}
+    if surrogate:
+        fixed[surrogate] = F.col("_surrogate")
+    return held.select(*[fixed.get(c, F.col(f"_row.{c}")).cast(versions.schema[c].dataType).alias(c) for c in names])
+
+
+def _scd2_in_order(
+    target: DataFrame, typed: DataFrame, key: str, tracked: list[str], carried: list[str], now: Column, known: bool
+) -> tuple[DataFrame, DataFrame]:
+    """The merge of rows that are newer than all that their keys were seen with, and the closed history.
+
+    New versions have no surrogate yet.
+    """
     is_open = F.col("is_current") & F.col(key).isNotNull()
     current, history = target.where(is_open), target.where(~F.coalesce(is_open, F.lit(False)))
     both = _side_by_side(current, typed, key)
-    changed = F.col("t").isNotNull() & F.col("s").isNotNull() & differs("t", "s", [c for c in tracked if c in carried])
+    changed = F.col("t").isNotNull() & F.col("s").isNotNull() & differs("t", "s", tracked)
 
     def of_type(column: Column, name: str) -> Column:
         return column.cast(target.schema[name].dataType).alias(name)
@@ -139,15 +206,19 @@ def scd2_merge(
             return of_type(F.when(F.col("_changed"), now).otherwise(value), name)
         if name == "is_current":
             return of_type(F.when(F.col("_changed"), F.lit(False)).otherwise(value), name)
+        if name == SEEN_AT and known:
+            again = F.col("s").isNotNull() & ~F.col("_changed")
+            so_far = F.coalesce(value, F.array("t.valid_from"))
+            return of_type(F.when(again, F.array_append(so_far, now.cast(at))).otherwise(value), name)
         return value.alias(name)
 
     def new(name: str) -> Column:
         if name in carried:
             return F.col(f"s.{name}").alias(name)
-        fixed = {"valid_from": now, "is_current": F.lit(True)}
+        fixed = {"valid_from": now, "is_current": F.lit(True)} | ({SEEN_AT: F.array(now.cast(at))} if known else {})
         return of_type(fixed.get(name, F.lit(None)), name)
 
-    names = target.columns
+    names, at = target.columns, target.schema["valid_from"].dataType
     opens = F.col("s").isNotNull() & (F.col("t").isNull() | F.col("_changed"))
     rows = F.array(
         F.when(F.col("t").isNotNull(), F.struct(*[old(c) for c in names])),
@@ -158,9 +229,7 @@ def scd2_merge(
         .select(F.explode(F.array_compact(rows)).alias("_row"))
         .select(*[F.col(f"_row.{c}").alias(c) for c in names])
     )
-    if surrogate is not None:
-        merged = _number_new(merged, key, surrogate, highest(target, surrogate))
-    return merged.unionByName(history)
+    return merged, history
 
 
 def upsert_latest(target: DataFrame | None, batch: DataFrame, key: str, order: list[str]) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -32,19 +34,25 @@ def base_by_courier_code(rows: DataFrame, dim_pizzeria: DataFrame, courier_code:
 
 
 def fact_keys(
-    rows: DataFrame, dim_courier: DataFrame, dim_customer: DataFrame, dim_status: DataFrame, dim_pizzeria: DataFrame
-) -> DataFrame:
+    rows: DataFrame, dim_courier: DataFrame, dim_customer: DataFrame, dim_status: DataFrame, dim_pizzeria: DataFrame,
+    courier_at: str | None = None,
+) -> DataFrame:
     """Order progress with natural keys -> fact rows with surrogate keys, -1 for unknown members.
 
     Natural keys are unique in the (current) dimensions, so every fact row stays exactly once. Only
-    the literal status table of seven rows is broadcast outright, the others are joined by size.
+    the literal status table of seven rows is broadcast outright, the others are joined by size. With ``courier_at``,
+    a time column, the courier is the version of then and not the current one, and its code stays as ``courier_id``.
     """
     statuses = _key_of(dim_status.withColumnRenamed("status_key", "_status_key"), "status_name", "_status_key", "status_key")
     keyed = base_by_courier_code(rows, dim_pizzeria)
-    keyed = lookup(keyed, _key_of(dim_courier, "courier_id", "courier_key"), "courier_id", spread_by=["order_id"])
+    if courier_at is None:
+        keyed = lookup(keyed, _key_of(dim_courier, "courier_id", "courier_key"), "courier_id", spread_by=["order_id"])
+    else:
+        keyed = as_of_join(keyed, dim_courier, "courier_id", courier_at, ["courier_key"])
     keyed = lookup(keyed, _key_of(dim_customer, "customer_id", "customer_key"), "customer_id", spread_by=["order_id"])
     keyed = lookup(keyed, F.broadcast(statuses), "status_key")
-    own = [c for c in rows.columns if c not in ("courier_id", "customer_id", "status_key", "zone_key")]
+    replaced = {"customer_id", "status_key", "zone_key"} | ({"courier_id"} if courier_at is None else set())
+    own = [c for c in rows.columns if c not in replaced]
     return keyed.select(
         _known("courier_key"),
         _known("pizzeria_key"),
@@ -109,6 +117,24 @@ def as_of_join(
     return ordered.where("_kind = 1").withColumn("_last", known).select("_fact.*", *picked("_last", F.col("_at")))
 
 
+def restated(
+    facts: DataFrame, versions: DataFrame, key: str, at: str, columns: list[str], unknown: dict | None = None, changed: DataFrame | None = None
+) -> DataFrame:
+    """Facts whose ``columns`` differ from what the versions now say of their time, with the new values.
+
+    After a version has come late these are the facts in its span and no others. ``changed`` names the keys (one column)
+    whose history has changed, so that facts of other keys are not looked up. ``unknown`` gives values for facts
+    that meet no version.
+    """
+    if changed is not None:
+        facts = facts.join(changed.distinct(), key, "left_semi")
+    held = facts.withColumnsRenamed({c: f"_was_{c}" for c in columns})
+    now = as_of_join(held, versions, key, at, columns)
+    now = now.withColumns({c: F.coalesce(c, F.lit(v)) for c, v in (unknown or {}).items()})
+    differ = reduce(lambda a, b: a | b, [~F.col(c).eqNullSafe(F.col(f"_was_{c}")) for c in columns])
+    return now.where(differ).select(*facts.columns)
+
+
 def courier_with_base(couriers: DataFrame, bases: DataFrame, on: str = "pizzeria_id") -> DataFrame:
     """Couriers with their home base; columns both sides have get the prefix ``base_``."""
     shared = {c: f"base_{c}" for c in bases.columns if c in couriers.columns and c != on}

@@ -7,9 +7,10 @@ one scan more for the greatest event time.
 
 from __future__ import annotations
 
+import contextlib
 import logging
-from collections.abc import Callable
-from dataclasses import dataclass
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -17,11 +18,12 @@ from pyspark.sql.streaming import StreamingQuery
 
 from fleetfold.functions.time import instant, micros
 from fleetfold.operators.clean import live_fleet_project, live_orders_project, order_perf_project
+from fleetfold.operators.dims import UNKNOWN_KEY
 from fleetfold.operators.merge import ORDER_PERFORMANCE, Policies, fold_state, latest_per_key, merge_states, read_state
-from fleetfold.operators.star import fact_keys
+from fleetfold.operators.star import fact_keys, restated
 from fleetfold.operators.telemetry import dedup_window
 from fleetfold.session import scratch_scope
-from fleetfold.sources.tables import BatchTable, within_retention
+from fleetfold.sources.tables import BatchTable, VersionedTable, within_retention
 
 FLEET_ORDER = ["updated_at", "event_id"]
 LOG = logging.getLogger("fleetfold.live")
@@ -102,11 +104,11 @@ def orders_table(spark: SparkSession, root: str, period: str = "day") -> BatchTa
 
 def live_orders(
     orders: DataFrame, table: BatchTable, checkpoint: str, every: str | None = "2 seconds",
-    as_of=None, fold_every: int = 20, keep_hours: int | None = 24,
+    as_of=None, fold_every: int = 20, keep_hours: int | None = 24, metrics: BatchTable | None = None,
 ) -> StreamingQuery:
     def per_batch(batch: DataFrame, batch_id: int) -> None:
         batch, read = counted(batch, f"orders-{batch_id}")
-        put_counted(table, batch_id, read, first_of_each_order(live_orders_project(batch, as_of)), "orders", None)
+        put_counted(table, batch_id, read, first_of_each_order(live_orders_project(batch, as_of)), "orders", metrics)
         if batch_id and batch_id % fold_every == 0:
             table.fold(batch_id)
             forget(table, as_of, keep_hours)
@@ -136,20 +138,56 @@ class Dimensions:
     status: DataFrame
     pizzeria: DataFrame
 
+    @contextlib.contextmanager
+    def snapshot(self) -> Iterator[Dimensions]:
+        """The same rows for every batch."""
+        yield self
+
+
+class GoldDimensions:
+    """The gold dimensions as the last loads left them, for each batch anew.
+
+    A batch holds a lease on the versions it reads, so that loads that end meanwhile do not drop them under it; members
+    that came since the last batch are known to the next.
+    """
+
+    TABLES = {"courier": "dim_courier", "customer": "dim_customer", "status": "dim_order_status", "pizzeria": "dim_pizzeria"}
+
+    def __init__(self, spark: SparkSession, gold: str):
+        self.tables = {name: VersionedTable(spark, f"{gold}/{table}") for name, table in self.TABLES.items()}
+
+    def missing(self) -> list[str]:
+        return [table.root for table in self.tables.values() if not table.newest()]
+
+    @contextlib.contextmanager
+    def snapshot(self) -> Iterator[Dimensions]:
+        with contextlib.ExitStack() as leases:
+            held = {name: leases.enter_context(table.lease()) for name, table in self.tables.items()}
+            if any(rows is None for rows in held.values()):
+                raise LookupError(f"dimensions that were never loaded: {self.missing()}")
+            yield Dimensions(**held)
+
+
+# Facts that keep the courier's code beside the key of the version of their time, so that they can be restated.
+AS_OF_PERFORMANCE = replace(ORDER_PERFORMANCE, latest=(*ORDER_PERFORMANCE.latest, "courier_id"))
+
 
 def performance_table(spark: SparkSession, root: str, policies: Policies = ORDER_PERFORMANCE) -> BatchTable:
     return BatchTable(spark, root, lambda df: merge_states(df, policies), F.col("first.order_timestamp"))
 
 
 def order_performance(
-    pings: DataFrame, table: BatchTable, dims: Dimensions, checkpoint: str, every: str | None = "1 second",
+    pings: DataFrame, table: BatchTable, dims: Dimensions | GoldDimensions, checkpoint: str, every: str | None = "1 second",
     policies: Policies = ORDER_PERFORMANCE, as_of=None, fold_every: int = 50, keep_hours: int | None = 24,
+    courier_at: str | None = None, metrics: BatchTable | None = None,
 ) -> StreamingQuery:
+    """With ``courier_at`` (and ``AS_OF_PERFORMANCE``) a fact has the courier's version of that time, else the current one."""
+
     def per_batch(batch: DataFrame, batch_id: int) -> None:
-        batch, seen = counted(batch, f"pings-{batch_id}", without_order=F.count_if(F.col("order_id").isNull()))
-        facts = fact_keys(order_perf_project(batch), dims.courier, dims.customer, dims.status, dims.pizzeria)
-        if table.put(fold_state(facts, policies), batch_id):
-            LOG.info("batch %d: %d pings, %d without order", batch_id, seen.get["rows"], seen.get["without_order"])
+        batch, read = counted(batch, f"pings-{batch_id}")
+        with dims.snapshot() as now:
+            facts = fact_keys(order_perf_project(batch), now.courier, now.customer, now.status, now.pizzeria, courier_at)
+            put_counted(table, batch_id, read, fold_state(facts, policies), "facts", metrics)
         if batch_id and batch_id % fold_every == 0:
             table.fold(batch_id)
             forget(table, as_of, keep_hours)
@@ -157,6 +195,11 @@ def order_performance(
     return start(pings, per_batch, checkpoint, every)
 
 
+def restated_couriers(facts: DataFrame, couriers: DataFrame, at: str = "order_timestamp", changed: DataFrame | None = None) -> DataFrame:
+    """Facts read with ``AS_OF_PERFORMANCE`` whose courier version is another one by now, with its key."""
+    return restated(facts, couriers, "courier_id", at, ["courier_key"], {"courier_key": UNKNOWN_KEY}, changed)
+
+
 def read_performance(
     table: BatchTable, policies: Policies = ORDER_PERFORMANCE, as_of=None, keep_hours: int | None = None
 ) -> DataFrame | None:
@@ -211,36 +254,62 @@ def drop_copies(events: DataFrame, key: str, ts: str, minutes: int = 10) -> Data
     return events.withWatermark(ts, f"{minutes} minutes").dropDuplicatesWithinWatermark([key])
 
 
-def last_seen_table(spark: SparkSession, root: str, key: str, ts: str, tie: str) -> BatchTable:
-    return BatchTable(spark, root, lambda df: latest_per_key(df, [key], [ts, tie]), F.col(ts))
+class LastSeen:
+    """The last event per key, in buckets of the key's hash.
+
+    A batch writes and reads the buckets that its own keys fall into, and of those only files of the days within reach of
+    its events: what it opens depends on the batch, not on how many keys or days are stored.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, key: str, ts: str, tie: str, minutes: int = 10, buckets: int = 256):
+        self.key, self.ts, self.tie, self.minutes = key, ts, tie, minutes
+        self.buckets = buckets
+        self.table = BatchTable(spark, root, self._newest, F.col(ts), buckets=(self._bucket(F.col(key)), "_bucket"))
+
+    def _newest(self, df: DataFrame) -> DataFrame:
+        return latest_per_key(df.select(self.key, self.ts, self.tie), [self.key], [self.ts, self.tie])
+
+    def _bucket(self, key: Column) -> Column:
+        return F.pmod(F.xxhash64(key), F.lit(self.buckets)).cast("int")
+
+    def before(self, batch: DataFrame, batch_id: int) -> DataFrame | None:
+        """The last earlier events, within the window, of the keys of a batch."""
+        span = batch.agg(F.min(self.ts), F.max(self.ts), F.collect_set(self._bucket(F.col(self.key)))).first()
+        if span[0] is None:
+            return None
+        reach = F.lit(span[0]) - F.expr(f"INTERVAL {int(self.minutes)} MINUTES")
+        days = self.table.spark.range(1).select(F.to_date(reach), F.to_date(F.lit(span[1]))).first()
+        stored = self.table.read(batch_id - 1, F.col("_from").between(*map(F.lit, days)) & F.col("_bucket").isin(span[2]))
+        if stored is None:
+            return None
+        keys = batch.select(F.col(self.key).alias("_key")).distinct()
+        return stored.join(keys, F.col(self.key).eqNullSafe(F.col("_key")), "left_semi")
 
 
 def spaced_events(
-    events: DataFrame, last_seen: BatchTable, out: BatchTable, checkpoint: str, key: str, ts: str, tie: str,
-    minutes: int = 10, every: str | None = None, fold_every: int = 20,
-) -> StreamingQuery:
-    """Keep an event unless the previous one of its key is less than ``minutes`` before it, kept or not.
+    events: DataFrame, last_seen: LastSeen, out: BatchTable, checkpoint: str, every: str | None = None, fold_every: int = 20
+) -> StreamingQuery:
+    """Keep an event unless the previous one of its key is less than the window before it, kept or not.
 
     The state is the last event per key, a fold. For a feed in order of event time the result is that of ``dedup_window``,
     however the feed is cut into batches. State older than the newest event by a day and the window is dropped.
     """
+    key, ts, tie, minutes = last_seen.key, last_seen.ts, last_seen.tie, last_seen.minutes
 
     def per_batch(batch: DataFrame, batch_id: int) -> None:
-        if last_seen.contains(batch_id):
+        if last_seen.table.contains(batch_id):
             return
-        before = last_seen.read(batch_id - 1)
+        before = last_seen.before(batch, batch_id)
         both = batch.withColumn("_old", F.lit(False))
         if before is not None:
-            here = batch.select(F.col(key).alias("_key")).distinct()
-            old = before.join(here, F.col(key).eqNullSafe(F.col("_key")), "left_semi").withColumn("_old", F.lit(True))
-            both = both.unionByName(old, allowMissingColumns=True)
+            both = both.unionByName(before.withColumn("_old", F.lit(True)), allowMissingColumns=True)
         kept = dedup_window(both, key, ts, tie, minutes).where(~F.col("_old")).drop("_old")
         out.put(kept, batch_id)
-        last_seen.put(latest_per_key(batch.select(key, ts, tie), [key], [ts, tie]), batch_id)
+        last_seen.table.put(latest_per_key(batch.select(key, ts, tie), [key], [ts, tie]), batch_id)
         if batch_id and batch_id % fold_every == 0:
             newest = batch.agg(F.max(ts)).first()[0]
-            last_seen.fold(batch_id)
+            last_seen.table.fold(batch_id)
             if newest is not None:
-                last_seen.drop_before(F.lit(newest) - F.expr(f"INTERVAL {int(minutes)} MINUTES"))
+                last_seen.table.drop_before(F.lit(newest) - F.expr(f"INTERVAL {int(minutes)} MINUTES"))
 
     return start(events, per_batch, checkpoint, every)

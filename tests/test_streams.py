@@ -8,9 +8,9 @@ from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from fleetfold import schemas
-from fleetfold.operators import dims, telemetry
+from fleetfold.operators import dims, merge, telemetry
 from fleetfold.sources import files
-from fleetfold.sources.tables import BatchTable
+from fleetfold.sources.tables import BatchTable, VersionedTable
 from fleetfold.streaming import ingest, live
 
 
@@ -123,6 +123,114 @@ def test_order_facts_merge_column_by_column(spark, path):
     assert (got["p"].courier_key, got["p"].pizzeria_key, got["p"].status_key) == (-1, -1, -1)
 
 
+def moving(spark, gold):
+    """Versioned dimensions, and a load of couriers by day."""
+    for name, df in {
+        "dim_pizzeria": spark.createDataFrame([("PIZ-WAW-001", 4)], "pizzeria_id string, pizzeria_key long"),
+        "dim_customer": spark.createDataFrame([("K1", 11)], "customer_id string, customer_key long"),
+        "dim_order_status": dims.order_statuses(spark),
+    }.items():
+        VersionedTable(spark, f"{gold}/{name}").write(df)
+    table = VersionedTable(spark, f"{gold}/dim_courier", keep=1)
+    schema = "courier_id string, vehicle string, valid_from timestamp, valid_to timestamp, is_current boolean, courier_key long, seen_at array<timestamp>"
+
+    def load(day, **vehicles):
+        target = table.read()
+        target = spark.createDataFrame([], schema) if target is None else target
+        staged = spark.createDataFrame([(c.replace("_", "-"), v) for c, v in vehicles.items()], "courier_id string, vehicle string")
+        table.write(merge.scd2_merge(target, staged, "courier_id", ["vehicle"], day, "courier_key"))
+
+    return table, load
+
+
+def test_a_stream_sees_the_loads_that_end_while_it_runs(spark, path):
+    """Five loads, one before each batch, each dropping the version before; a courier is hired after the start."""
+    gold = path("gold")
+    table, load = moving(spark, gold)
+    feed = Feed(path("bronze"), schemas.TELEMETRY_EVENT)
+    load("2026-01-01", C_WAW_01="bike")
+    dims_now = live.GoldDimensions(spark, gold)
+    dims_now.tables["courier"] = table
+    facts, metrics, checkpoint = live.performance_table(spark, path("facts")), live.metrics_table(spark, path("metrics")), path("cp")
+    for n in range(5):
+        feed.add(ping("C-WAW-01", f"o{n}", n, "PREPARING"), ping("C-WAW-02", f"p{n}", n, "PREPARING"))
+        if n == 2:
+            load("2026-01-03", C_WAW_02="car")
+        elif n:
+            load(f"2026-01-0{n + 1}", C_WAW_01=f"bike {n}")
+        live.order_performance(
+            feed.stream(spark), facts, dims_now, checkpoint, every=None, keep_hours=None, metrics=metrics
+        ).awaitTermination()
+    keys = {r.order_id: r.courier_key for r in live.read_performance(facts).collect()}
+    assert keys["p0"] == keys["p1"] == -1 and keys["p2"] == keys["p4"] > 0
+    assert keys["o0"] == 1 and len({keys["o0"], keys["o1"], keys["o3"], keys["o4"]}) == 4
+    assert sorted((r.batch, r.rows_read, r.rows_written) for r in metrics.read().collect()) == [(n, 2, 2) for n in range(5)]
+    assert list(table.versions()) == [5] and not table.leased()
+
+
+def test_a_load_under_a_running_batch_does_not_drop_what_it_reads(spark, path):
+    gold = path("gold")
+    table, load = moving(spark, gold)
+    load("2026-01-01", C_WAW_01="bike")
+    dims_now = live.GoldDimensions(spark, gold)
+    dims_now.tables["courier"] = table
+    with dims_now.snapshot() as held:
+        for n in range(2, 5):
+            load(f"2026-01-0{n}", C_WAW_01=f"bike {n}")
+        assert [r.vehicle for r in held.courier.collect()] == ["bike"]
+    with dims_now.snapshot() as held:
+        assert held.courier.count() == 4
+    with pytest.raises(LookupError):
+        with live.GoldDimensions(spark, path("none")).snapshot():
+            pass
+
+
+def test_a_late_version_changes_the_facts_in_its_span(spark, path):
+    gold = path("gold")
+    table, load = moving(spark, gold)
+    load("2026-01-01", C_WAW_01="bike", C_WAW_02="car")
+    load("2026-01-06 10:01:00", C_WAW_01="van")
+    feed = Feed(path("bronze"), schemas.TELEMETRY_EVENT)
+    rows = [dict(ping(c, f"{c[-1]}{s}", s, "PREPARING"), order_timestamp=at(s)) for s in (10, 30, 50, 70) for c in ("C-WAW-01", "C-WAW-02")]
+    feed.add(*rows[:4]).add(*rows[4:])
+    policies = live.AS_OF_PERFORMANCE
+    facts = live.performance_table(spark, path("facts"), policies)
+    live.order_performance(
+        feed.stream(spark), facts, live.GoldDimensions(spark, gold), path("cp"), every=None, policies=policies, keep_hours=None,
+        courier_at="order_timestamp",
+    ).awaitTermination()
+    held = live.read_performance(facts, policies)
+    keys = {r.order_id: r.courier_key for r in held.collect()}
+    assert keys["110"] == keys["130"] == keys["150"] != keys["170"] and len({keys[f"2{s}0"] for s in (1, 3, 5, 7)}) == 1
+    assert live.restated_couriers(held, table.read()).count() == 0
+    load("2026-01-06 10:00:30", C_WAW_01="scooter", C_WAW_02="car")
+    changed = {r.order_id: r.courier_key for r in live.restated_couriers(held, table.read()).collect()}
+    assert set(changed) == {"130", "150"} and len(set(changed.values())) == 1
+    only = spark.createDataFrame([("C-WAW-02",)], "courier_id string")
+    assert live.restated_couriers(held, table.read(), changed=only).count() == 0
+
+
+def test_a_batch_opens_only_the_buckets_of_its_keys(spark, path):
+    """What a batch reads of the state stays the same while other keys and days fill it."""
+    last = live.LastSeen(spark, path("last"), "k", "ts", "id", buckets=64)
+    events = spark.range(2000).select(F.concat(F.lit("k"), F.col("id")).alias("k"), F.timestamp_seconds(F.col("id") * 600).alias("ts"), F.col("id").cast("string").alias("id"))
+    one = spark.createDataFrame([("k7", "1")], "k string, id string").withColumn("ts", F.timestamp_seconds(F.lit(7 * 600 + 60)))
+    opened, read = [], last.table._read
+
+    def counting(paths, where=None):
+        rows = read(paths, where)
+        opened.append(rows.select(F.input_file_name()).distinct().count())
+        return rows
+
+    last.table._read = counting
+    for n, (a, b) in enumerate([(0, 100), (100, 500), (500, 2000)]):
+        last.table.put(events.where(F.col("id").cast("int").between(a, b - 1)), n)
+        before = last.before(one, n + 1)
+        assert [r.k for r in before.collect()] == ["k7"]
+        last.table.fold(n)
+    assert opened[0] <= 2 and opened[::2] == [opened[0]] * 3  # every other read is that of the fold
+
+
 def test_a_failing_batch_stops_the_query_and_is_taken_again(spark, path):
     feed = Feed(path("bronze"), schemas.TELEMETRY_EVENT).add(ping("A", "o", 1, "IDLE")).add(ping("B", "o", 2, "IDLE"))
     checkpoint = path("cp")
@@ -206,8 +314,8 @@ def test_spaced_events_whatever_the_batches(spark, path):
         for k in range(0, len(events), size):
             feed.add(*events[k : k + size])
         stream = feed.stream(spark).select("event_id", "order_id", F.try_to_timestamp("timestamp").alias("ts"))
-        last, out = live.last_seen_table(spark, path("last"), "order_id", "ts", "event_id"), BatchTable(spark, path("out"))
-        live.spaced_events(stream, last, out, path("cp"), "order_id", "ts", "event_id", fold_every=3).awaitTermination()
+        last, out = live.LastSeen(spark, path("last"), "order_id", "ts", "event_id", buckets=4), BatchTable(spark, path("out"))
+        live.spaced_events(stream, last, out, path("cp"), fold_every=3).awaitTermination()
         assert {r.event_id for r in out.read().collect()} == expected, size
 
 
