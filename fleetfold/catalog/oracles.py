@@ -276,7 +276,7 @@ def oracles() -> dict[str, str]:
     history = f"""WITH {HISTORY} SELECT * REPLACE (CAST(valid_from AS TIMESTAMP) AS valid_from) FROM h3"""
     q["scd2_merge"] = with_views(history, "couriers")
     q["scd2_idempotent"] = q["scd2_merge"]
-    q["scd2_out_of_order"] = with_views(history.replace("SELECT * REPLACE", "SELECT * EXCLUDE (courier_key) REPLACE"), "couriers")
+    q["scd2_out_of_order"] = with_views(f"SELECT * EXCLUDE (courier_key) FROM ({history})", "couriers")
     q["scd2_asof_join"] = with_views(
         f"""WITH {HISTORY} SELECT p.event_id, c.courier_id AS code, h.vehicle, CAST(h.valid_from AS TIMESTAMP) AS valid_from
         FROM pings p LEFT JOIN couriers c ON c.courier_no = p.courier_id
