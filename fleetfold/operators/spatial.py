@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fleetfold.functions.geo import EARTH_RADIUS_KM, grid_cell, haversine_km, zone_of
+from fleetfold.functions.geo import grid_cell, haversine_km, zone_of
 from fleetfold.functions.time import col
 from fleetfold.session import pin
 
@@ -73,79 +73,113 @@ def sample_one_per_group(df: DataFrame, group: str, item: str, seed: str) -> Dat
     return picked.select(*[group if c == group else F.col(f"_row.{c}").alias(c) for c in df.columns])
 
 
-def _centre(cell: str, size: float) -> Column:
-    return (F.col(cell) + 0.5) * F.lit(size)
+GRID_BITS = 21  # cells per axis at the finest level: three numbers fit one key
+FIRST_LEVEL = 3
+FEW_PER_SPOT = 8  # pairs of a position and a site, on average, at which splitting ends
+SLACK = 1e-9  # chords on the unit sphere; far more than rounding, far less than the last digit of a distance
 
 
-def _cell_radius_km(size: float) -> float:
-    """No point of a cell is farther from its centre: half a side along the meridian plus half a
-    side along the parallel, and a margin for rounding."""
-    return EARTH_RADIUS_KM * size * 3.141592653589793 / 180 + 0.001
+def _on_sphere(df: DataFrame, lat: str, lon: str) -> DataFrame:
+    """Add the point on the unit sphere: chords order as distances do, with no seam at the date line and none at the poles."""
+    phi, lam = F.radians(lat), F.radians(lon)
+    return df.withColumns({"_x": F.cos(phi) * F.cos(lam), "_y": F.cos(phi) * F.sin(lam), "_z": F.sin(phi)})
 
 
-def _keep_possible(pairs: DataFrame, size: float) -> DataFrame:
-    """Drop sites that can be nearest to no point of the cell.
+def _in_cube(df: DataFrame, low: list[float], extent: float) -> DataFrame:
+    """Add the finest cell of each point, as three numbers."""
+    top = (1 << GRID_BITS) - 1
+    cell = lambda axis, least: F.least(F.floor((F.col(axis) - least) / extent * (top + 1)), F.lit(top)).cast("long")
+    return df.withColumns({f"_i{axis[1]}": cell(axis, least) for axis, least in zip(("_x", "_y", "_z"), low)})
+
+
+def _node(level: int) -> Column:
+    """Key of the cell of a level that holds a point."""
+    shift = GRID_BITS - level
+    part = lambda axis: F.shiftright(f"_i{axis}", shift)
+    return F.shiftleft(part("x"), 2 * GRID_BITS).bitwiseOR(F.shiftleft(part("y"), GRID_BITS)).bitwiseOR(part("z"))
+
+
+def _nodes(points: DataFrame, level: int, above: int, side: str) -> DataFrame:
+    """Occupied cells of a level: key, key of the cell above, the box of the points inside, and their number."""
+    parent = _node(above) if above else F.lit(0).cast("long")
+    bounds = [f(f"_{axis}").alias(f"{side}_{name}{axis}") for axis in "xyz" for name, f in (("lo", F.min), ("hi", F.max))]
+    return points.groupBy(_node(level).alias(f"{side}_key"), parent.alias(f"{side}_up")).agg(F.count(F.lit(1)).alias(f"{side}_n"), *bounds)
 
-    With r the cell's radius and m the distance from its centre to the nearest site, a site farther
-    than m + 2r from the centre loses to that site everywhere in the cell (triangle inequality).
-    """
-    reach = haversine_km(_centre("_cx", size), _centre("_cy", size), "_lat", "_lon")
-    reached = pin(pairs.withColumn("_reach", reach), "reach")
-    best = reached.groupBy("_cx", "_cy").agg(F.min("_reach").alias("_best"))
-    near = F.col("_reach") <= F.col("_best") + F.lit(2 * _cell_radius_km(size))
-    return pin(reached.join(best, ["_cx", "_cy"]).where(near).drop("_reach", "_best"), "possible")
 
+def _least_gap() -> Column:
+    gaps = [F.greatest(F.lit(0.0), F.col(f"s_lo{a}") - F.col(f"t_hi{a}"), F.col(f"t_lo{a}") - F.col(f"s_hi{a}")) for a in "xyz"]
+    return F.sqrt(sum(g * g for g in gaps))
 
-WORLD_CELL, FINER_CELLS = 10, (1.0, 0.1, 0.01, 0.001)
-FEW_PER_CELL = 3  # sites per cell at which refining ends
 
+def _greatest_gap() -> Column:
+    gaps = [F.greatest(F.col(f"s_hi{a}") - F.col(f"t_lo{a}"), F.col(f"t_hi{a}") - F.col(f"s_lo{a}")) for a in "xyz"]
+    return F.sqrt(sum(g * g for g in gaps))
 
-def candidates_per_spot(
-    spots: DataFrame, sites: DataFrame, finer_cells: tuple[float, ...] = FINER_CELLS, few: float = FEW_PER_CELL
-) -> DataFrame:
+
+def candidates_per_spot(spots: DataFrame, sites: DataFrame, few: float = FEW_PER_SPOT) -> DataFrame:
     """Positions (``lat``, ``lon``) with the sites (``_lat``, ``_lon``, ``_id``) that may be their nearest.
 
-    Only cells with positions in them are looked at. The first ones are at most 703, the cells of 10 degrees.
-    Each step splits the cells of the last and drops sites by the triangle inequality, until a cell has few sites
-    left or cells are as small as they get. Each finer size must divide the one above.
+    Two trees of cells on the sphere are walked down together, one over positions and one over sites, level by level. A
+    pair of cells is kept if its least distance is no more than the smallest greatest distance that any pair of the same
+    cell of positions has: all positions in there have a site at least that near. Both cells of a pair are split in the
+    next level. Distances are those of the boxes of the points inside, so a cell with one point is exact. Splitting ends
+    when few pairs of points are left; they are never formed before.
     """
-
-    def occupied(size: float) -> DataFrame:
-        return spots.select(grid_cell("lat", size).alias("_cx"), grid_cell("lon", size).alias("_cy")).distinct()
-
-    size = float(WORLD_CELL)
-    cells = F.array(*[F.struct(F.lit(r["_cx"]).alias("_cx"), F.lit(r["_cy"]).alias("_cy")) for r in occupied(size).collect()])
-    pairs = sites.withColumn("_cell", F.explode(cells.cast("array<struct<_cx:bigint,_cy:bigint>>"))).select("_cell.*", "_lat", "_lon", "_id")
-    candidates = _keep_possible(pairs, size)
-    for finer in finer_cells:
-        ratio = round(size / finer)
-        split = pin(occupied(finer), "cells").select(
-            F.col("_cx").alias("_fx"), F.col("_cy").alias("_fy"),
-            F.floor(F.col("_cx") / ratio).alias("_cx"), F.floor(F.col("_cy") / ratio).alias("_cy"),
-        )
-        narrowed = split.join(candidates, ["_cx", "_cy"]).select(
-            F.col("_fx").alias("_cx"), F.col("_fy").alias("_cy"), "_lat", "_lon", "_id"
-        )
-        size, candidates = finer, _keep_possible(narrowed, finer)
-        if candidates.count() <= few * split.count():
+    spots, sites = _on_sphere(spots, "lat", "lon"), _on_sphere(sites, "_lat", "_lon")
+    axes = ("_x", "_y", "_z")
+    every = spots.select(*axes).unionByName(sites.select(*axes))
+    found = every.agg(*[F.min(a) for a in axes], *[F.max(a) for a in axes]).first()
+    if found[0] is None:
+        return spots.join(sites, F.lit(False)).select("lat", "lon", "_lat", "_lon", "_id")
+    low, extent = list(found[:3]), max(max(b - a for a, b in zip(found[:3], found[3:])), 1e-12)
+    spots, sites = pin(_in_cube(spots, low, extent), "spots"), pin(_in_cube(sites, low, extent), "sites")
+    total = spots.count()
+
+    root = spots.sparkSession.range(1).select(F.lit(0).cast("long").alias("s_up"), F.lit(0).cast("long").alias("t_up"))
+    pairs, above, level = root, 0, FIRST_LEVEL
+    while True:
+        split = pairs.join(_nodes(spots, level, above, "s"), "s_up").join(_nodes(sites, level, above, "t"), "t_up")
+        gaps = pin(split.select("s_key", "t_key", "s_n", "t_n", _least_gap().alias("_least"), _greatest_gap().alias("_most")), "node-pairs")
+        reach = gaps.groupBy("s_key").agg(F.min("_most").alias("_reach"))
+        kept = gaps.join(reach, "s_key").where(F.col("_least") <= F.col("_reach") + SLACK)
+        pairs = pin(kept.select(F.col("s_key").alias("s_up"), F.col("t_key").alias("t_up"), (F.col("s_n") * F.col("t_n")).alias("_met")), "kept-pairs")
+        met = pairs.agg(F.sum("_met")).first()[0] or 0
+        pairs = pairs.drop("_met")
+        if met <= few * total or level == GRID_BITS:
             break
-    celled = spots.withColumn("_cx", grid_cell("lat", size)).withColumn("_cy", grid_cell("lon", size))
-    return celled.join(candidates, ["_cx", "_cy"]).drop("_cx", "_cy")
+        above, level = level, level + 1
+    here = spots.select("lat", "lon", _node(level).alias("s_up")).join(pairs, "s_up")
+    return here.join(sites.select("_lat", "_lon", "_id", _node(level).alias("t_up")), "t_up").select("lat", "lon", "_lat", "_lon", "_id")
+
+
+FEW_SITES = 64
 
 
-def nearest_base(points: DataFrame, bases: DataFrame, base_id: str, digits: int = 6) -> DataFrame:
+def nearest_base(points: DataFrame, bases: DataFrame, base_id: str, digits: int = 6, few_sites: int = FEW_SITES) -> DataFrame:
     """Points with the id and distance of their nearest base; equal rounded distance: lowest id.
 
-    The search runs once per position, so a position that a third of all points share costs one search, and bases on
-    one spot count once.
+    Bases on one spot count once. A few bases are compared with each point in place, without a join. Of more, the search
+    runs once per position, so a position that a third of all points share costs one search.
     """
-    sites = bases.groupBy(F.col("lat").alias("_lat"), F.col("lon").alias("_lon")).agg(F.min(base_id).alias("_id"))
-    spots = pin(points.where("lat is not null and lon is not null").select("lat", "lon").distinct(), "spots")
-    distance = F.round(haversine_km("lat", "lon", "_lat", "_lon"), digits)
+    sites = bases.where("lat is not null and lon is not null").groupBy(F.col("lat").alias("_lat"), F.col("lon").alias("_lon"))
+    sites = pin(sites.agg(F.min(base_id).alias("_id")), "sites")
+    known = F.col("lat").isNotNull() & F.col("lon").isNotNull()
+
+    def distance(lat, lon) -> Column:
+        return F.round(haversine_km("lat", "lon", lat, lon), digits)
+
+    few = sites.limit(few_sites + 1).collect()
+    if len(few) <= few_sites:
+        kind = sites.schema["_id"].dataType
+        each = [F.struct(distance(F.lit(r["_lat"]), F.lit(r["_lon"])).alias("km"), F.lit(r["_id"]).cast(kind).alias("id")) for r in few]
+        near = F.array_min(F.array(*each)) if each else F.lit(None).cast(f"struct<km:double,id:{kind.simpleString()}>")
+        found = points.withColumn("_near", F.when(known, near))
+        return found.withColumns({base_id: F.col("_near.id"), "distance_km": F.col("_near.km")}).drop("_near")
+    spots = points.where(known).select("lat", "lon").distinct()
     found = (
         candidates_per_spot(spots, sites)
         .groupBy("lat", "lon")
-        .agg(F.min(F.struct(distance.alias("km"), F.col("_id").alias("id"))).alias("_near"))
+        .agg(F.min(F.struct(distance("_lat", "_lon").alias("km"), F.col("_id").alias("id"))).alias("_near"))
         .select("lat", "lon", F.col("_near.id").alias(base_id), F.col("_near.km").alias("distance_km"))
     )
     return points.join(found, ["lat", "lon"], "left")

@@ -48,15 +48,16 @@ def world(rng, n):
     return out
 
 
+@pytest.mark.parametrize("few_sites", [0, 1000])
 @pytest.mark.parametrize("sites", [1, 60])
-def test_nearest_base_on_the_whole_globe(spark, sites):
+def test_nearest_base_on_the_whole_globe(spark, sites, few_sites):
     rng = random.Random(sites)
     points = world(rng, 60) + [(0.0, 0.0)] * 80  # a third of the points share one position
     bases = [(i, *p) for i, p in enumerate(world(rng, sites))][: sites * 2]
     bases += [(900, *bases[0][1:])]  # two bases on one spot: the lower id wins
     p = spark.createDataFrame([(i, *xy) for i, xy in enumerate(points)] + [(9999, None, 1.0)], "id int, lat double, lon double")
     b = spark.createDataFrame(bases, "base int, lat double, lon double")
-    got = {r.id: (r.base, r.distance_km) for r in spatial.nearest_base(p, b, "base").collect()}
+    got = {r.id: (r.base, r.distance_km) for r in spatial.nearest_base(p, b, "base", few_sites=few_sites).collect()}
     assert len(got) == len(points) + 1 and got[9999] == (None, None)
     for i, xy in enumerate(points):
         best, base = min((round(km(xy, q), 6), n) for n, *q in bases)
@@ -161,3 +162,28 @@ def test_few_pairs_meet_where_points_and_sites_are_dense(spark):
     pairs = spatial.candidates_per_spot(points, sites)
     assert pairs.select("lat", "lon").distinct().count() == 4000
     assert pairs.count() < 0.06 * 4000 * 100
+
+
+def test_a_hundred_thousand_spots_and_sites_meet_rarely(spark):
+    """Spread over the globe, and half of both in one town; checked against a plain search for some."""
+    rng = random.Random(11)
+    place = lambda k: (rng.uniform(-90, 90), rng.uniform(-180, 180)) if k % 2 else (52.2 + rng.gauss(0, 0.05), 21.0 + rng.gauss(0, 0.05))
+    spots = spark.createDataFrame([place(k) for k in range(100_000)], "lat double, lon double")
+    sites = spark.createDataFrame([(k, *place(k)) for k in range(100_000)], "base int, lat double, lon double")
+    named = sites.select(F.col("lat").alias("_lat"), F.col("lon").alias("_lon"), F.col("base").alias("_id"))
+    spots, named = spatial.pin(spots, "spots"), spatial.pin(named, "named")
+    pairs = spatial.pin(spatial.candidates_per_spot(spots, named), "pairs")
+    assert pairs.count() < 10 * 100_000
+    best = pairs.groupBy("lat", "lon").agg(F.min(haversine_km("lat", "lon", "_lat", "_lon")).alias("km"))
+    assert best.count() == 100_000
+    all_sites = [(r._lat, r._lon) for r in named.collect()]
+    for r in best.limit(20).collect():
+        assert r.km == pytest.approx(min(km((r.lat, r.lon), q) for q in all_sites), abs=1e-6)
+
+
+def test_nearest_base_of_nothing(spark):
+    points = spark.createDataFrame([(1, 1.0, 1.0)], "id int, lat double, lon double")
+    none = spark.createDataFrame([], "base int, lat double, lon double")
+    for few_sites in (-1, 64):
+        assert [(r.base, r.distance_km) for r in spatial.nearest_base(points, none, "base", few_sites=few_sites).collect()] == [(None, None)]
+        assert spatial.nearest_base(none.withColumnRenamed("base", "id"), points.withColumnRenamed("id", "base"), "base", few_sites=few_sites).count() == 0
