@@ -4,22 +4,28 @@ Patterns find e-mail addresses, IPv4 addresses, payment cards and phone numbers.
 protected entity. All words of a document with the entity are candidates. Over the distinct texts of the corpus
 
     information(entity)       = log(documents / documents with the entity)
-    disclosure(entity, term)  = pointwise mutual information / information(entity)
+    disclosure(entity, term)  = pointwise mutual information / information(entity) * n^2 / (n^2 + PRIOR)
 
 where the mutual information comes from the documents that have both, those that have the term, and those that
-have the entity. It is 1 for a term that only occurs with the entity: reading the
-term is as good as reading the entity. Terms at or above ``GENERALISE`` are spans of their own and are
-replaced by a class of words, at or above ``REMOVE`` they are taken out, wherever they stand, also in documents
-without the entity. A term needs ``MIN_CONTEXTS`` different contexts (``WINDOW`` characters on both sides) of the
-entity, so that copies of one passage are no evidence; equal texts count once.
+have the entity. The first factor is 1 for a term that only occurs with the entity: reading the
+term is as good as reading the entity. The second shrinks it by the evidence n, the number of texts with both that
+are told apart by what stands around the entity (``WINDOW`` characters on both sides). It grows with the square, as
+pairs of texts that agree do; one text alone, or copies of one passage, never disclose fully. Terms at or above
+``GENERALISE`` are spans of their own and are replaced by a class of words, at or above ``REMOVE`` they are taken out,
+wherever they stand, also in documents without the entity.
+
+As the first factor is at most 1, the second bounds the disclosure: entities, and pairs of entity and term, whose
+bound is below ``GENERALISE`` are left out before anything is counted for them, which changes no result. Terms
+are counted and scored first; places are looked up for those that disclose.
 
 All steps are DataFrame expressions. Positions come from the pieces that a pattern cuts a text into, summed up
 blockwise, so many matches in one long text stay cheap. Quantifiers are possessive and look back to the start
 of a run, which changes no match but keeps long runs linear.
 
-Defined cases: null text counts as empty and has no spans; a match that fails its test is dropped without a
-second try; overlapping spans of different kinds are all reported, and replaced as one; repeated rows get equal
-spans; a null id is kept; other columns are not read.
+Defined cases: null text counts as empty and has no spans; very long texts are searched whole; a match that fails its test
+is dropped without a second try; overlapping spans of different kinds are all reported, and replaced as one; repeated
+rows get equal spans; equal scores are treated alike; a null id is kept; an empty table gives an empty result; other
+columns are not read.
 """
 
 from __future__ import annotations
@@ -35,7 +41,7 @@ from fleetfold.llm.common import table
 from fleetfold.session import pin
 
 WINDOW = 80
-MIN_CONTEXTS = 3
+PRIOR = 0.3  # weight of what is not known against the square of the evidence
 GENERALISE, REMOVE = 0.8, 0.95
 TERM = "term"
 _BLOCK = 64
@@ -146,10 +152,17 @@ def base_spans(text: Column) -> Column:
     return F.coalesce(F.array_sort(F.concat(*kinds)), none)
 
 
-def detect(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
-    """``doc_id``, ``hash`` (of the text, tells rows with equal ids apart) and ``spans`` of every row."""
+def detect(docs: DataFrame, id_column: str = "doc_id", text: str = "text", keep_text: bool = False) -> DataFrame:
+    """``doc_id``, ``hash`` (of the text, tells rows with equal ids apart) and ``spans`` of every row.
+
+    With ``keep_text`` also ``text`` where there are spans, so that it need not be fetched again, and ``text_sha256``.
+    """
     filled = F.coalesce(F.col(text), F.lit(""))
-    return docs.select(F.col(id_column).alias("doc_id"), F.xxhash64(filled).alias("hash"), base_spans(filled).alias("spans"))
+    found = docs.select(F.col(id_column).alias("doc_id"), F.xxhash64(filled).alias("hash"), base_spans(filled).alias("spans"), filled.alias("text"))
+    if not keep_text:
+        return found.drop("text")
+    kept = F.when(F.size("spans") > 0, F.col("text"))
+    return found.withColumns({"text_sha256": F.sha2("text", 256), "text": kept})
 
 
 def _entities(found: DataFrame) -> DataFrame:
@@ -162,89 +175,133 @@ def _entities(found: DataFrame) -> DataFrame:
     ).distinct()
 
 
-def _outside(spans: str) -> Callable[[Column], Column]:
-    return lambda w: ~F.exists(spans, lambda s: (s["start"] < w["end"]) & (w["start"] < s["end"]))
-
+def _shrunk(n: Column | str) -> Column:
+    """What evidence of n texts leaves of a disclosure."""
+    n = F.col(n) if isinstance(n, str) else n
+    return n * n / (n * n + F.lit(PRIOR))
 
-def _words(texts: DataFrame, hashes: DataFrame) -> DataFrame:
-    """``hash`` and ``words`` (term, start, end) outside of spans, for the texts with these hashes, each once."""
 
-    def build(match: Column, start: Column, before: Column, behind: Column) -> Column:
-        return F.struct(F.lower(match).alias("term"), start.alias("start"), (start + F.length(match)).alias("end"))
+def _evidence() -> Column:
+    return F.least(F.count_distinct("context"), F.count_distinct("hash"))
 
-    some = texts.join(hashes, "hash", "left_semi").dropDuplicates(["hash"]).withColumn("spans", base_spans(F.col("text")))
-    return some.select("hash", F.filter(_cut(F.col("text"), _WORD, build), _outside("spans")).alias("words"))
 
+def _words(text: str) -> Column:
+    """All words with their places."""
 
-def disclosing_terms(texts: DataFrame, entities: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """``term`` and its greatest ``disclosure`` of an entity, at or above ``GENERALISE``; and ``hash`` and ``term`` of all places of candidates.
+    def build(match: Column, start: Column, before: Column, behind: Column) -> Column:
+        return F.struct(F.lower(match).alias("term"), start.alias("start"), (start + F.length(match)).alias("end"))
 
-    An entity with fewer contexts than a term needs has no terms, so its words are not paired with it.
-    """
-    enough = entities.groupBy("entity").agg(F.count_distinct("context").alias("contexts")).where(F.col("contexts") >= MIN_CONTEXTS)
-    kept = pin(entities.join(enough.select("entity"), "entity", "left_semi"), "entities")
-    words = _words(texts, kept.select("hash").distinct())
-    words = words.select("hash", F.explode(F.array_distinct(F.transform("words", lambda w: w["term"]))).alias("term"))
-    pairs = words.join(kept, "hash").groupBy("entity", "term")
-    varied = pairs.agg(F.count_distinct("context").alias("contexts"), F.count_distinct("hash").alias("n_both")).where(F.col("contexts") >= MIN_CONTEXTS)
-    varied = pin(varied, "entity-terms")
-    every = texts.select("hash", F.explode(F.array_distinct(F.split(F.lower(F.col("text")), r"[^\p{L}\p{N}]+"))).alias("term"))
-    places = pin(every.join(varied.select("term").distinct(), "term", "left_semi").distinct(), "term-places")
-    with_term = places.groupBy("term").agg(F.count(F.lit(1)).alias("n_term"))
-    counted = kept.groupBy("entity").agg(F.count_distinct("hash").alias("n_entity"))
+    return _cut(F.col(text), _WORD, build)
+
+
+def _outside(of: str) -> Column:
+    """The word is no part of a span; ``spans`` must be a stored column, or its patterns would run once per word."""
+    return ~F.exists("spans", lambda s: (s["start"] < F.col(f"{of}.end")) & (F.col(f"{of}.start") < s["end"]))
+
+
+def _some_texts(texts: DataFrame, found: DataFrame, hashes: DataFrame) -> DataFrame:
+    """``hash``, ``text`` and stored ``spans`` of the texts with these hashes, each once."""
+    once = texts.join(hashes, "hash", "left_semi").dropDuplicates(["hash"])
+    slim = F.transform("spans", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"))).alias("spans")
+    spans = found.join(hashes, "hash", "left_semi").dropDuplicates(["hash"]).select("hash", slim)
+    return pin(once.join(spans, "hash"), "texts-with-spans")
+
+
+def disclosing_terms(texts: DataFrame, found: DataFrame, entities: DataFrame) -> DataFrame:
+    """``term`` and its greatest ``disclosure`` of an entity, at or above ``GENERALISE``."""
+    telling = entities.groupBy("entity").agg(_evidence().alias("n"), F.count_distinct("hash").alias("n_entity"))
+    telling = pin(telling.where(_shrunk("n") >= GENERALISE).select("entity", "n_entity"), "telling-entities")
+    none = telling.select(F.lit("").alias("term"), F.lit(0.0).alias("disclosure")).where(F.lit(False))
+    if telling.isEmpty():
+        return none
+    kept = pin(entities.join(telling.select("entity"), "entity", "left_semi"), "entities")
+    words = _some_texts(texts, found, kept.select("hash").distinct()).select("hash", "spans", F.explode(_words("text")).alias("w"))
+    words = words.where(_outside("w")).select("hash", "w.term").distinct()
+    pairs = words.join(kept, "hash").groupBy("entity", "term").agg(_evidence().alias("n"), F.count_distinct("hash").alias("n_both"))
+    pairs = pin(pairs.where(_shrunk("n") >= GENERALISE), "entity-terms")
+    if pairs.isEmpty():
+        return none
+    # Words of all texts against the few candidates; counts are added up before they are shuffled.
+    every = texts.dropDuplicates(["hash"]).select(F.explode(F.array_distinct(F.split(F.lower(F.col("text")), r"[^\p{L}\p{N}]+"))).alias("term"))
+    with_term = every.join(pairs.select("term").distinct(), "term", "left_semi").groupBy("term").agg(F.count(F.lit(1)).alias("n_term"))
+    scored = pairs.join(telling, "entity").join(with_term, "term")
     total = F.lit(texts.select("hash").distinct().count()).cast("double")
-    scored = varied.join(counted, "entity").join(with_term, "term")
     information = F.log(total / F.col("n_entity"))
     mutual = F.log(total * F.least("n_both", "n_term") / (F.col("n_entity") * F.col("n_term")))
-    scored = scored.withColumn("disclosure", F.when(information > 0, mutual / information).otherwise(0.0))
-    return scored.where(F.col("disclosure") >= GENERALISE).groupBy("term").agg(F.max("disclosure").alias("disclosure")), places
+    scored = scored.withColumn("disclosure", F.when(information > 0, mutual / information * _shrunk("n")).otherwise(0.0))
+    return scored.where(F.col("disclosure") >= GENERALISE).groupBy("term").agg(F.max("disclosure").alias("disclosure"))
+
+
+_TERMS = "array<struct<start:int,kind_no:int,end:int,kind:string,disclosure:double>>"
 
 
-def find(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
-    """``doc_id``, ``hash``, ``spans`` (base) and ``terms`` (start, kind_no, end, kind, disclosure) of every row."""
-    found = pin(detect(docs, id_column, text), "spans")
+def find(docs: DataFrame, id_column: str = "doc_id", text: str = "text", keep_text: bool = False) -> DataFrame:
+    """``doc_id``, ``hash``, ``spans`` (base) and ``terms`` (start, kind_no, end, kind, disclosure) of every row.
+
+    With ``keep_text`` also ``text`` where there are spans or terms, and ``text_sha256``.
+    """
+    found = pin(detect(docs, id_column, text, keep_text), "spans")
     filled = F.coalesce(F.col(text), F.lit(""))
     texts = docs.select(F.xxhash64(filled).alias("hash"), filled.alias("text"))
-    giving, places = disclosing_terms(texts, pin(_entities(found), "entity-contexts"))
-    giving = pin(giving, "disclosing-terms")
-    held = pin(places.join(giving, "term", "left_semi").select("hash").distinct(), "disclosing-texts")
-    hits = _words(texts, held).select("hash", F.explode("words").alias("w")).select("hash", "w.*").join(giving, "term")
-    one = F.struct("start", F.lit(len(KINDS)).alias("kind_no"), "end", F.lit(TERM).alias("kind"), "disclosure")
+    giving = pin(disclosing_terms(texts, found, pin(_entities(found), "entity-contexts")), "disclosing-terms")
+    if giving.isEmpty():
+        return found.withColumn("terms", F.lit(None).cast(_TERMS))
+    every = texts.select("hash", F.explode(F.array_distinct(F.split(F.lower(F.col("text")), r"[^\p{L}\p{N}]+"))).alias("term"))
+    held = pin(every.join(giving, "term", "left_semi").select("hash").distinct(), "disclosing-texts")
+    some = _some_texts(texts, found, held)
+    words = some.select("hash", "spans", F.explode(_words("text")).alias("w"))
+    hits = words.withColumn("term", F.col("w.term")).join(giving, "term").where(_outside("w"))
+    one = F.struct("w.start", F.lit(len(KINDS)).alias("kind_no"), "w.end", F.lit(TERM).alias("kind"), "disclosure")
     hits = hits.groupBy("hash").agg(F.array_sort(F.collect_list(one)).alias("terms"))
-    return found.join(hits, "hash", "left").select(*found.columns, "terms")
-
-
-def sanitise(docs: DataFrame, found: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
-    """``docs`` with spans replaced in ``text``: base kinds by their class, disclosing terms by a class or by nothing."""
-    marks = F.concat(
-        F.transform("spans", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), _class_of(s["kind"]).alias("by"))),
-        F.coalesce(
-            F.transform(
-                "terms",
-                lambda t: F.struct(
-                    t["start"].alias("start"), t["end"].alias("end"), F.when(t["disclosure"] >= REMOVE, "").otherwise(REPLACED_BY[TERM]).alias("by")
+    if keep_text:
+        hits = hits.join(some.select("hash", F.col("text").alias("_text")), "hash")
+        found = found.join(hits, "hash", "left").withColumn("text", F.coalesce("text", "_text")).drop("_text")
+    else:
+        found = found.join(hits, "hash", "left")
+    return found.withColumn("terms", F.col("terms").cast(_TERMS))
+
+
+def _marks() -> Column:
+    """What to replace by what, in order, of ``spans`` and ``terms``."""
+    return F.array_sort(
+        F.concat(
+            F.transform("spans", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), _class_of(s["kind"]).alias("by"))),
+            F.coalesce(
+                F.transform(
+                    "terms",
+                    lambda t: F.struct(
+                        t["start"].alias("start"), t["end"].alias("end"), F.when(t["disclosure"] >= REMOVE, "").otherwise(REPLACED_BY[TERM]).alias("by")
+                    ),
                 ),
+                F.array().cast("array<struct<start:int,end:int,by:string>>"),
             ),
-            F.array().cast("array<struct<start:int,end:int,by:string>>"),
-        ),
+        )
     )
-    # Of repeated rows one set of spans is enough.
-    side = found.where((F.size("spans") > 0) | (F.size("terms") > 0)).select("doc_id", "hash", F.array_sort(marks).alias("__marks"))
-    side = side.withColumnsRenamed({"doc_id": "__id", "hash": "__hash"}).dropDuplicates(["__id", "__hash"])
-    same = F.col(id_column).eqNullSafe(F.col("__id")) & (F.xxhash64(F.coalesce(F.col(text), F.lit(""))) == F.col("__hash"))
-    joined = docs.join(side, same, "left")
+
+
+def _replaced(text: str, marks: str) -> Column:
+    """A text with its marks replaced; a span that overlaps the last one joins it."""
     start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("parts"))
 
     def step(acc: Column, m: Column) -> Column:
         between = F.col(text).substr(acc["at"] + 1, F.greatest(m["start"] - acc["at"], F.lit(0)))
-        by = F.when(m["start"] >= acc["at"], m["by"]).otherwise("")  # a span that overlaps the last one joins it
+        by = F.when(m["start"] >= acc["at"], m["by"]).otherwise("")
         return F.struct(F.greatest(acc["at"], m["end"]).alias("at"), F.concat(acc["parts"], F.array(between, by)).alias("parts"))
 
     def finish(acc: Column) -> Column:
         return F.concat(F.array_join(acc["parts"], ""), F.col(text).substr(acc["at"] + 1, F.length(text)))
 
-    clean = F.when(F.col("__marks").isNull(), F.col(text)).otherwise(F.aggregate("__marks", start, step, finish))
-    return joined.withColumn(text, clean).select(*docs.columns)
+    return F.aggregate(marks, start, step, finish)
+
+
+def sanitise(docs: DataFrame, found: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
+    """``docs`` with spans replaced in ``text``: base kinds by their class, disclosing terms by a class or by nothing."""
+    # Of repeated rows one set of spans is enough.
+    side = found.where((F.size("spans") > 0) | (F.size("terms") > 0)).select("doc_id", "hash", _marks().alias("__marks"))
+    side = side.withColumnsRenamed({"doc_id": "__id", "hash": "__hash"}).dropDuplicates(["__id", "__hash"])
+    same = F.col(id_column).eqNullSafe(F.col("__id")) & (F.xxhash64(F.coalesce(F.col(text), F.lit(""))) == F.col("__hash"))
+    clean = F.when(F.col("__marks").isNull(), F.col(text)).otherwise(_replaced(text, "__marks"))
+    return docs.join(side, same, "left").withColumn(text, clean).select(*docs.columns)
 
 
 def _class_of(kind: Column) -> Column:
@@ -260,12 +317,15 @@ def _of_kind(kind: str) -> Callable[[Column], Column]:
 
 
 def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Personal data of every document, and the terms that disclose it."""
-    found = find(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    """Personal data of every document, the terms that disclose it, and the digest of the sanitised text."""
+    found = find(table(spark, sf_dir, "documents").select("doc_id", "text"), keep_text=True)
     counts = [F.size(F.filter("spans", _of_kind(k))).cast("long").alias(f"n_{k}") for k in KINDS]
     slim = lambda s: F.struct(s["start"].alias("start"), s["kind_no"].alias("kind_no"), s["end"].alias("end"), s["kind"].alias("kind"))
     none = F.array().cast("array<struct<start:int,kind_no:int,end:int,kind:string>>")
     together = F.array_sort(F.concat(F.transform("spans", slim), F.coalesce(F.transform("terms", slim), none)))
-    return found.select(
-        "doc_id", *counts, F.sha2(_joined(F.col("spans")).cast("binary"), 256).alias("base_sha256"), _joined(together).alias("spans")
-    )
+    marked = pin(found.withColumn("marks", F.when(F.col("text").isNotNull(), _marks())), "marked")
+    clean = F.when(F.col("marks").isNull(), F.col("text_sha256")).otherwise(F.sha2(_replaced("text", "marks"), 256))
+    return marked.select(
+        "doc_id", *counts, F.sha2(_joined(F.col("spans")).cast("binary"), 256).alias("base_sha256"), _joined(together).alias("spans"),
+        clean.alias("sanitised_sha256"),
+    )
