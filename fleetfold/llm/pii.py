@@ -4,13 +4,13 @@ Patterns find e-mail addresses, IPv4 addresses, payment cards and phone numbers.
 protected entity. All words of a document with the entity are candidates. Over the distinct texts of the corpus
 
     information(entity)       = log(documents / documents with the entity)
-    disclosure(entity, term)  = pointwise mutual information / information(entity) * n^2 / (n^2 + PRIOR)
+    disclosure(entity, term)  = pointwise mutual information / information(entity) * n^3 / (n^3 + PRIOR)
 
 where the mutual information comes from the documents that have both, those that have the term, and those that
 have the entity. The first factor is 1 for a term that only occurs with the entity: reading the
 term is as good as reading the entity. The second shrinks it by the evidence n, the number of texts with both that
-are told apart by what stands around the entity (``WINDOW`` characters on both sides). It grows with the square, as
-pairs of texts that agree do; one text alone, or copies of one passage, never disclose fully. Terms at or above
+are told apart by what stands around the entity (``WINDOW`` characters on both sides). It grows with the cube: one
+text alone, or copies of one passage, disclose nothing, two texts only what stands nowhere else. Terms at or above
 ``GENERALISE`` are spans of their own and are replaced by a class of words, at or above ``REMOVE`` they are taken out,
 wherever they stand, also in documents without the entity.
 
@@ -41,9 +41,11 @@ from fleetfold.llm.common import table
 from fleetfold.session import pin
 
 WINDOW = 80
-PRIOR = 0.3  # weight of what is not known against the square of the evidence
+PRIOR = 1.9  # weight of what is not known against the cube of the evidence
 GENERALISE, REMOVE = 0.8, 0.95
 TERM = "term"
+MOST_SENT_BYTES = 16 << 20  # of a table that is sent to every task
+FIRST_PART = 16  # one of so many texts is counted first
 _BLOCK = 64
 _WORD = r"[\p{L}\p{N}]+"
 
@@ -178,7 +180,7 @@ def _entities(found: DataFrame) -> DataFrame:
 def _shrunk(n: Column | str) -> Column:
     """What evidence of n texts leaves of a disclosure."""
     n = F.col(n) if isinstance(n, str) else n
-    return n * n / (n * n + F.lit(PRIOR))
+    return n * n * n / (n * n * n + F.lit(PRIOR))
 
 
 def _evidence() -> Column:
@@ -194,17 +196,25 @@ def _words(text: str) -> Column:
     return _cut(F.col(text), _WORD, build)
 
 
-def _outside(of: str) -> Column:
+def _outside(word: Column) -> Column:
     """The word is no part of a span; ``spans`` must be a stored column, or its patterns would run once per word."""
-    return ~F.exists("spans", lambda s: (s["start"] < F.col(f"{of}.end")) & (F.col(f"{of}.start") < s["end"]))
+    return ~F.exists("spans", lambda s: (s["start"] < word["end"]) & (word["start"] < s["end"]))
 
 
-def _some_texts(texts: DataFrame, found: DataFrame, hashes: DataFrame) -> DataFrame:
-    """``hash``, ``text`` and stored ``spans`` of the texts with these hashes, each once."""
-    once = texts.join(hashes, "hash", "left_semi").dropDuplicates(["hash"])
-    slim = F.transform("spans", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"))).alias("spans")
-    spans = found.join(hashes, "hash", "left_semi").dropDuplicates(["hash"]).select("hash", slim)
-    return pin(once.join(spans, "hash"), "texts-with-spans")
+def _sent(df: DataFrame, name: str, column: str) -> DataFrame:
+    """A pinned one-column table, to be sent to every task while it is small in bytes, else joined by shuffle."""
+    copy = pin(df, name)
+    size = copy.agg(F.sum(F.octet_length(F.col(column).cast("string")) + 32)).first()[0] or 0
+    return F.broadcast(copy) if size <= MOST_SENT_BYTES else copy
+
+
+def _terms_of(texts: DataFrame) -> DataFrame:
+    """``hash`` and each different word of every row, spans included."""
+    return texts.select("hash", F.explode(F.array_distinct(F.split(F.lower(F.col("text")), r"[^\p{L}\p{N}]+"))).alias("term"))
+
+
+def _slim(found: DataFrame) -> DataFrame:
+    return found.select("hash", "text", F.transform("spans", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"))).alias("spans"))
 
 
 def disclosing_terms(texts: DataFrame, found: DataFrame, entities: DataFrame) -> DataFrame:
@@ -215,50 +225,73 @@ def disclosing_terms(texts: DataFrame, found: DataFrame, entities: DataFrame) ->
     if telling.isEmpty():
         return none
     kept = pin(entities.join(telling.select("entity"), "entity", "left_semi"), "entities")
-    words = _some_texts(texts, found, kept.select("hash").distinct()).select("hash", "spans", F.explode(_words("text")).alias("w"))
-    words = words.where(_outside("w")).select("hash", "w.term").distinct()
+    # Texts with entities have been kept with their spans.
+    own = _slim(found.where("text IS NOT NULL")).join(kept.select("hash").distinct(), "hash", "left_semi").dropDuplicates(["hash"])
+    outside = F.transform(F.filter(_words("text"), _outside), lambda w: w["term"])
+    words = pin(own, "texts-with-entities").select("hash", F.explode(F.array_distinct(outside)).alias("term"))
     pairs = words.join(kept, "hash").groupBy("entity", "term").agg(_evidence().alias("n"), F.count_distinct("hash").alias("n_both"))
-    pairs = pin(pairs.where(_shrunk("n") >= GENERALISE), "entity-terms")
+    pairs = pin(pairs.where(_shrunk("n") >= GENERALISE).join(telling, "entity"), "entity-terms")
     if pairs.isEmpty():
         return none
-    # Words of all texts against the few candidates; counts are added up before they are shuffled.
-    every = texts.dropDuplicates(["hash"]).select(F.explode(F.array_distinct(F.split(F.lower(F.col("text")), r"[^\p{L}\p{N}]+"))).alias("term"))
-    with_term = every.join(pairs.select("term").distinct(), "term", "left_semi").groupBy("term").agg(F.count(F.lit(1)).alias("n_term"))
-    scored = pairs.join(telling, "entity").join(with_term, "term")
-    total = F.lit(texts.select("hash").distinct().count()).cast("double")
+    total = F.lit(found.select("hash").distinct().count()).cast("double")
     information = F.log(total / F.col("n_entity"))
-    mutual = F.log(total * F.least("n_both", "n_term") / (F.col("n_entity") * F.col("n_term")))
-    scored = scored.withColumn("disclosure", F.when(information > 0, mutual / information * _shrunk("n")).otherwise(0.0))
+
+    def disclosure(n_term: Column) -> Column:
+        mutual = F.log(total * F.least(F.col("n_both"), n_term) / (F.col("n_entity") * n_term))
+        return F.when(information > 0, mutual / information * _shrunk("n")).otherwise(0.0)
+
+    # Of texts that repeat each word has to be told apart by text; those of all others are added up where they are read.
+    repeated = _sent(found.groupBy("hash").count().where("count > 1").select("hash"), "repeated", "hash")
+
+    def counted(some: DataFrame, name: str) -> DataFrame:
+        """In how many different texts each candidate stands."""
+        terms = _sent(candidates.select("term").distinct(), name, "term")
+        single, copies = some.join(repeated, "hash", "left_anti"), some.join(repeated, "hash", "left_semi")
+        parts = [_terms_of(rows).join(terms, "term", "left_semi") for rows in (single, copies)]
+        both = [rows.groupBy("term").agg(F.count(F.lit(1)).alias("n")) for rows in (parts[0], parts[1].distinct())]
+        return both[0].unionByName(both[1]).groupBy("term").agg(F.sum("n").alias("n_term"))
+
+    # A part of the texts bounds a term's count from below, and so its disclosure from above.
+    candidates = pairs
+    least = counted(texts.where(F.pmod("hash", F.lit(FIRST_PART)) == 0), "first-candidates")
+    at_least = F.greatest(F.coalesce("n_term", F.lit(0)), "n_both")
+    candidates = pin(pairs.join(least, "term", "left").where(disclosure(at_least) >= GENERALISE).drop("n_term"), "rare-candidates")
+    scored = candidates.join(counted(texts, "candidates"), "term").withColumn("disclosure", disclosure(F.col("n_term")))
     return scored.where(F.col("disclosure") >= GENERALISE).groupBy("term").agg(F.max("disclosure").alias("disclosure"))
 
 
 _TERMS = "array<struct<start:int,kind_no:int,end:int,kind:string,disclosure:double>>"
 
 
-def find(docs: DataFrame, id_column: str = "doc_id", text: str = "text", keep_text: bool = False) -> DataFrame:
-    """``doc_id``, ``hash``, ``spans`` (base) and ``terms`` (start, kind_no, end, kind, disclosure) of every row.
-
-    With ``keep_text`` also ``text`` where there are spans or terms, and ``text_sha256``.
-    """
-    found = pin(detect(docs, id_column, text, keep_text), "spans")
+def find(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
+    """``doc_id``, ``hash``, ``spans`` (base), ``terms`` (start, kind_no, end, kind, disclosure) and ``sanitised_sha256`` of every row."""
+    found = pin(detect(docs, id_column, text, keep_text=True), "spans")
+    base = found.withColumns({"terms": F.lit(None).cast(_TERMS), "marks": F.when(F.size("spans") > 0, _marks())})
+    clean = F.when(F.col("marks").isNull(), F.col("text_sha256")).otherwise(F.sha2(_replaced("text", "marks"), 256))
+    columns = ["doc_id", "hash", "spans", "terms", "sanitised_sha256"]
+    base = base.withColumn("sanitised_sha256", clean).select(*columns)
     filled = F.coalesce(F.col(text), F.lit(""))
     texts = docs.select(F.xxhash64(filled).alias("hash"), filled.alias("text"))
     giving = pin(disclosing_terms(texts, found, pin(_entities(found), "entity-contexts")), "disclosing-terms")
     if giving.isEmpty():
-        return found.withColumn("terms", F.lit(None).cast(_TERMS))
-    every = texts.select("hash", F.explode(F.array_distinct(F.split(F.lower(F.col("text")), r"[^\p{L}\p{N}]+"))).alias("term"))
-    held = pin(every.join(giving, "term", "left_semi").select("hash").distinct(), "disclosing-texts")
-    some = _some_texts(texts, found, held)
-    words = some.select("hash", "spans", F.explode(_words("text")).alias("w"))
-    hits = words.withColumn("term", F.col("w.term")).join(giving, "term").where(_outside("w"))
-    one = F.struct("w.start", F.lit(len(KINDS)).alias("kind_no"), "w.end", F.lit(TERM).alias("kind"), "disclosure")
-    hits = hits.groupBy("hash").agg(F.array_sort(F.collect_list(one)).alias("terms"))
-    if keep_text:
-        hits = hits.join(some.select("hash", F.col("text").alias("_text")), "hash")
-        found = found.join(hits, "hash", "left").withColumn("text", F.coalesce("text", "_text")).drop("_text")
-    else:
-        found = found.join(hits, "hash", "left")
-    return found.withColumn("terms", F.col("terms").cast(_TERMS))
+        return base
+    # Which of them each text has, then their places; texts stay where they are read but for those to be marked.
+    held = _terms_of(texts).join(_sent(giving, "giving", "term"), "term").distinct()
+    held = _sent(held.groupBy("hash").agg(F.map_from_entries(F.collect_list(F.struct("term", "disclosure"))).alias("own")), "texts-to-mark", "own")
+    places = F.filter(_words("text"), lambda w: F.map_contains_key("own", w["term"]))
+
+    def one(w: Column) -> Column:
+        values = {"start": w["start"], "kind_no": F.lit(len(KINDS)), "end": w["end"], "kind": F.lit(TERM), "disclosure": F.try_element_at("own", w["term"])}
+        return F.struct(*[v.alias(n) for n, v in values.items()])
+
+    spans = F.transform(base_spans(F.col("text")), lambda s: F.struct(*[s[c].alias(c) for c in ("start", "end", "kind")]))
+    some = pin(texts.join(held, "hash").select("hash", "text", spans.alias("spans"), F.transform(places, one).alias("places")), "places")
+    some = some.withColumn("terms", F.filter("places", _outside).cast(_TERMS)).where(F.size("terms") > 0)
+    some = some.withColumn("marks", _marks()).select("hash", "terms", F.sha2(_replaced("text", "marks"), 256).alias("sanitised_sha256"))
+    # One set of terms for equal texts; the texts themselves go no further.
+    more = pin(some, "terms").dropDuplicates(["hash"]).withColumnsRenamed({"terms": "_terms", "sanitised_sha256": "_clean"})
+    marked = base.drop("terms").join(more, "hash", "left").withColumnRenamed("_terms", "terms")
+    return marked.withColumn("sanitised_sha256", F.coalesce("_clean", "sanitised_sha256")).select(*columns)
 
 
 def _marks() -> Column:
@@ -318,14 +351,11 @@ def _of_kind(kind: str) -> Callable[[Column], Column]:
 
 def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data of every document, the terms that disclose it, and the digest of the sanitised text."""
-    found = find(table(spark, sf_dir, "documents").select("doc_id", "text"), keep_text=True)
+    found = find(table(spark, sf_dir, "documents").select("doc_id", "text"))
     counts = [F.size(F.filter("spans", _of_kind(k))).cast("long").alias(f"n_{k}") for k in KINDS]
     slim = lambda s: F.struct(s["start"].alias("start"), s["kind_no"].alias("kind_no"), s["end"].alias("end"), s["kind"].alias("kind"))
     none = F.array().cast("array<struct<start:int,kind_no:int,end:int,kind:string>>")
     together = F.array_sort(F.concat(F.transform("spans", slim), F.coalesce(F.transform("terms", slim), none)))
-    marked = pin(found.withColumn("marks", F.when(F.col("text").isNotNull(), _marks())), "marked")
-    clean = F.when(F.col("marks").isNull(), F.col("text_sha256")).otherwise(F.sha2(_replaced("text", "marks"), 256))
-    return marked.select(
-        "doc_id", *counts, F.sha2(_joined(F.col("spans")).cast("binary"), 256).alias("base_sha256"), _joined(together).alias("spans"),
-        clean.alias("sanitised_sha256"),
-    )
+    return found.select(
+        "doc_id", *counts, F.sha2(_joined(F.col("spans")).cast("binary"), 256).alias("base_sha256"), _joined(together).alias("spans"), "sanitised_sha256"
+    )

@@ -48,7 +48,7 @@ def plain_terms(texts):
             evidence = min(len(set().union(*(own[t] for t in both))), len(both))
             n_term = sum(term in w for w in whole.values())
             mutual = math.log(len(distinct) * min(len(both), n_term) / (len(own) * n_term))
-            disclosure = mutual / information * evidence**2 / (evidence**2 + pii.PRIOR) if information > 0 else 0.0
+            disclosure = mutual / information * evidence**3 / (evidence**3 + pii.PRIOR) if information > 0 else 0.0
             if disclosure >= pii.GENERALISE:
                 out[term] = max(out.get(term, 0), disclosure)
     return out
