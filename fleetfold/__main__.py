@@ -15,7 +15,7 @@ from fleetfold.sources.files import stream_json, wait_for_path
 from fleetfold.sources.tables import MAX_ROWS_PER_FILE, BatchTable
 from fleetfold.streaming import ingest, live
 
-FILES_PER_BATCH = {"live-fleet": 100, "live-orders": 100, "order-performance": 1000, "spaced-telemetry": 100}
+FILES_PER_BATCH = {"live-fleet": 100, "live-orders": 100, "order-performance": 1000, "spaced-telemetry": 100, "odometer": 100}
 
 
 def _dimensions(spark: SparkSession, gold: str) -> live.GoldDimensions:
@@ -38,6 +38,9 @@ def _stream(spark: SparkSession, job: str, lake: str, once: bool, files: int | N
         query = live.live_fleet(source, live.fleet_table(spark, f"{gold}/live_fleet_status"), state, late=late, metrics=metrics, **every)
     elif orders:
         query = live.live_orders(source, live.orders_table(spark, f"{gold}/live_orders_log"), state, metrics=metrics, **every)
+    elif job == "odometer":
+        typed = source.withColumn("timestamp", parse("timestamp"))
+        query = live.odometer(typed, live.odometer_table(spark, f"{gold}/live_odometer"), state, metrics=metrics, **every)
     elif job == "spaced-telemetry":
         typed = source.withColumn("timestamp", parse("timestamp"))
         last = live.LastSeen(spark, f"{gold}/spaced_telemetry_last", "order_id", "timestamp", "event_id")

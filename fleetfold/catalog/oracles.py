@@ -321,6 +321,7 @@ def oracles() -> dict[str, str]:
         quantile_disc(lag, 0.95) AS p95_lag_sec
         FROM (SELECT "timestamp", (arrival_us - epoch_us("timestamp")) // 1000000 AS lag FROM pings_batched)
         GROUP BY ALL""", "pings_batched")
+    q["ingestion_lag_folds"] = q["ingestion_lag"]
     q["batch_metrics"] = with_views(
         f"WITH {SPANS} SELECT span AS batch, count(*) AS pings, count(DISTINCT courier_id) AS couriers FROM spans GROUP BY span",
         "pings_batched")
@@ -372,6 +373,9 @@ def oracles() -> dict[str, str]:
     q["trip_odometer"] = with_views(
         f"""WITH {HOPS} SELECT courier_id, order_id, count(*) AS pings, CAST(sum(hop) AS DOUBLE) AS trip_km
         FROM hops GROUP BY ALL""", "pings")
+    q["trip_odometer_stream"] = with_views(
+        f"""WITH {CODED}, {HOPS.replace('FROM pings', 'FROM coded')} SELECT courier_id, order_id, count(*) AS pings,
+        CAST(sum(hop) AS DOUBLE) AS trip_km FROM hops GROUP BY ALL""", "pings", "couriers")
     q["trip_odometer_running"] = with_views(
         f"""WITH {HOPS}, moving AS (SELECT * REPLACE (CASE WHEN status_key IN ('IN_REALIZATION', 'RETURNING') THEN hop
             ELSE 0 END AS hop) FROM hops)

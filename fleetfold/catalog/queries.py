@@ -476,6 +476,19 @@ def ingestion_lag(spark, sf):
     return kpi.ingestion_lag(p, hour, "timestamp", F.col("arrival_us"))
 
 
+@query
+def ingestion_lag_folds(spark, sf):
+    """The same from states of four arrival rounds, folded as they are stored."""
+    p = views.pings_batched(spark, sf)
+    hour = F.date_trunc("hour", F.col("timestamp")).cast("timestamp_ntz").alias("event_hour")
+    stored = live.lag_table(spark, scratch(spark, "lags"))
+    for n, part in enumerate(_in_parts(p, "batch")):
+        stored.put(kpi.lag_state(part, hour, "timestamp", F.col("arrival_us")), n)
+        if n == 2:
+            stored.fold(n)
+    return kpi.read_lags(stored.read())
+
+
 @query
 def demand_by_hour(spark, sf):
     return kpi.demand_by_hour(views.orders(spark, sf), "order_timestamp")
@@ -809,6 +822,16 @@ def order_perf_stream(spark, sf):
     return live.read_performance(facts, as_of=as_of, keep_hours=24).drop("return_timestamp")
 
 
+@query
+def trip_odometer_stream(spark, sf):
+    """Pings and kilometres per trip over a feed whose micro-batches cut through the trips out of order."""
+    path = _feed_in_order(spark, _ping_feed(spark, sf), F.pmod(F.xxhash64("event_id"), F.lit(3)), [0, 1, 2])
+    source = files.stream_json(spark, path, schemas.TELEMETRY_EVENT, 2).withColumn("timestamp", F.try_to_timestamp("timestamp"))
+    table = live.odometer_table(spark, scratch(spark, "odometer"))
+    live.odometer(source, table, scratch(spark, "checkpoint"), every=None, fold_every=1).awaitTermination()
+    return telemetry.segment_totals(table.read())
+
+
 @query
 def order_perf_asof_stream(spark, sf):
     """Orders with their courier's vehicle of then. The stream reads versioned dimensions batch by batch; of the loads of the

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from fleetfold.functions.geo import haversine_km, step_towards
@@ -89,6 +89,45 @@ def trip_totals(pings: DataFrame, ts: str, tie: str = "event_id", max_group_rows
     )
 
 
+# Track segments: the pings of a trip within a span of time, in order. Segments of a trip merge in any order and any
+# number of times to what all pings at once would give, so they are the state of an odometer over a stream.
+
+SEGMENT_SECONDS = 3600
+SEGMENT = ["courier_id", "order_id", "segment"]
+KM = "decimal(28,6)"
+
+
+def track_segments(pings: DataFrame, ts: str, tie: str = "event_id", seconds: int = SEGMENT_SECONDS) -> DataFrame:
+    """``courier_id``, ``order_id``, ``segment`` (its begin) and ``points`` in order. A segment holds what one courier
+    sends in its span; pings without a courier or time belong to no track."""
+    known = pings.where(F.col("courier_id").isNotNull() & F.col(ts).isNotNull())
+    begin = F.timestamp_seconds(F.floor(micros(ts) / (seconds * 1_000_000)) * seconds).alias("segment")
+    point = F.struct(micros(ts).alias("at"), F.col(tie).alias("tie"), "lat", "lon")
+    return merge_segments(known.select("courier_id", "order_id", begin, F.array(point).alias("points")))
+
+
+def merge_segments(segments: DataFrame) -> DataFrame:
+    """Segments of the same span as one; a ping that came late takes its place, one that came twice counts once."""
+    points = F.array_sort(F.array_distinct(F.flatten(F.collect_list("points"))))
+    return segments.groupBy(*SEGMENT).agg(points.alias("points"))
+
+
+def segment_totals(segments: DataFrame) -> DataFrame:
+    """Pings and kilometres per trip: those within its segments, and the hops from one segment to the next."""
+
+    def hop(a: Column, b: Column) -> Column:
+        return F.round(haversine_km(a["lat"], a["lon"], b["lat"], b["lon"]), 6).cast("decimal(18,6)")
+
+    points, n = F.col("points"), F.size("points")
+    inside = F.transform(F.sequence(F.lit(1), n - 1), lambda i: hop(points[i - 1], points[i]))
+    inside = F.when(n > 1, F.aggregate(inside, F.lit(0).cast(KM), lambda a, h: (a + h).cast(KM))).otherwise(F.lit(0).cast(KM))
+    slim = segments.select(*SEGMENT, n.alias("n"), inside.alias("km"), points[0].alias("first"), points[n - 1].alias("last"))
+    # A trip has few segments, whatever the number of its pings.
+    before = F.lag("last").over(Window.partitionBy("courier_id", "order_id").orderBy("segment"))
+    linked = slim.withColumn("_before", before).withColumn("km", F.col("km") + F.coalesce(hop(F.col("_before"), F.col("first")), F.lit(0).cast(KM)))
+    return linked.groupBy("courier_id", "order_id").agg(F.sum("n").alias("pings"), F.sum("km").cast(KM).alias("trip_km"))
+
+
 def interpolate_position(pings: DataFrame, to_lat, to_lon, step_km: Column) -> DataFrame:
     """Add the position after the next step towards a target, and whether it is reached."""
     lat, lon = step_towards("lat", "lon", to_lat, to_lon, step_km)

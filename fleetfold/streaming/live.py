@@ -17,11 +17,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from fleetfold.functions.time import instant, micros
-from fleetfold.operators.clean import live_fleet_project, live_orders_project, order_perf_project
+from fleetfold.operators.clean import has_position, live_fleet_project, live_orders_project, order_perf_project
 from fleetfold.operators.dims import UNKNOWN_KEY
+from fleetfold.operators.kpi import merge_lags
 from fleetfold.operators.merge import ORDER_PERFORMANCE, Policies, fold_state, latest_per_key, merge_states, read_state
 from fleetfold.operators.star import fact_keys, restated
-from fleetfold.operators.telemetry import dedup_window
+from fleetfold.operators.telemetry import dedup_window, merge_segments, track_segments
 from fleetfold.session import scratch_scope
 from fleetfold.sources.tables import BatchTable, VersionedTable, within_retention
 
@@ -211,6 +212,35 @@ def read_performance(
     return rows if keep_hours is None else rows.where(within_retention("order_timestamp", as_of, keep_hours))
 
 
+# Odometer: track segments per trip.
+
+
+def odometer_table(spark: SparkSession, root: str) -> BatchTable:
+    return BatchTable(spark, root, merge_segments, F.col("segment"))
+
+
+def odometer(
+    pings: DataFrame, table: BatchTable, checkpoint: str, every: str | None = "1 second", ts: str = "timestamp", tie: str = "event_id",
+    fold_every: int = 20, metrics: BatchTable | None = None,
+) -> StreamingQuery:
+    """Kilometres per trip, whatever the order in which pings arrive; read with ``segment_totals(table.read())``."""
+
+    def per_batch(batch: DataFrame, batch_id: int) -> None:
+        batch, read = counted(batch, f"pings-{batch_id}")
+        put_counted(table, batch_id, read, track_segments(batch.where(has_position()), ts, tie), "segments", metrics)
+        if batch_id and batch_id % fold_every == 0:
+            table.fold(batch_id)
+
+    return start(pings, per_batch, checkpoint, every)
+
+
+# Lag from event to arrival: folds of counts and quantile sketches.
+
+
+def lag_table(spark: SparkSession, root: str) -> BatchTable:
+    return BatchTable(spark, root, merge_lags)
+
+
 # Events that come too late for the live view are set aside for the batch layer.
 
 

@@ -1,5 +1,7 @@
 """Trips, life cycles, lateness and copies on small hand-made feeds."""
 
+import random
+
 from pyspark.sql import functions as F
 
 from fleetfold.operators import dims, kpi, star, telemetry
@@ -181,3 +183,35 @@ def test_odometer_cuts_its_rows_once(spark, monkeypatch):
     assert pinned == ["ranges"]
     plain = telemetry.trip_odometer(pings, "ts")
     assert sorted(map(tuple, cut.collect())) == sorted(map(tuple, plain.collect()))
+
+
+def test_odometer_segments_in_any_split_give_the_batch_totals(spark):
+    """Late pings inside stored segments, repeats, segments apart, and a trip over several spans."""
+    rng = random.Random(9)
+    rows = [(c, o, float(rng.randrange(0, 20_000)), f"e{c}{o}{k}", 52 + rng.random() / 10, 21 + rng.random() / 10) for c in "AB" for o in ("x", None) for k in range(30)]
+    rows.append((None, "x", 5.0, "none", 52.0, 21.0))
+    schema = "courier_id string, order_id string, s double, event_id string, lat double, lon double"
+    pings = spark.createDataFrame(rows, schema).withColumn("ts", F.timestamp_seconds("s"))
+    expected = {(r.courier_id, r.order_id): (r.pings, r.trip_km) for r in telemetry.trip_totals(pings.where("courier_id is not null"), "ts").collect()}
+    for split in (1, 4):
+        states = None
+        for part in [*range(split), 0]:  # the first part twice
+            some = pings.where(F.pmod(F.xxhash64("event_id"), F.lit(split)) == part)
+            state = telemetry.track_segments(some, "ts")
+            states = state if states is None else telemetry.merge_segments(states.unionByName(state))
+        got = {(r.courier_id, r.order_id): (r.pings, r.trip_km) for r in telemetry.segment_totals(states).collect()}
+        assert got == expected
+
+
+def test_lag_folds_equal_the_exact_figures_and_stay_near_beyond(spark):
+    from fleetfold.operators import kpi
+
+    events = spark.range(20_000).select((F.col("id") % 2).alias("g"), F.timestamp_seconds(F.lit(0)).alias("ts"), (F.pow(F.col("id") % 997, F.lit(2)) * 1000).cast("long").alias("arrival"))
+    few = events.limit(700)
+    exact = lambda df: {r.g: r for r in kpi.ingestion_lag(df, F.col("g"), "ts", F.col("arrival")).collect()}
+    for df, near in ((few, 0), (events, 0.02)):
+        parts = [kpi.lag_state(df.where(F.pmod("arrival", F.lit(3)) == k), F.col("g"), "ts", F.col("arrival")) for k in range(3)]
+        got = {r.g: r for r in kpi.read_lags(kpi.merge_lags(parts[0].unionByName(parts[1]).unionByName(parts[2]))).collect()}
+        for g, row in exact(df).items():
+            assert (got[g].events, got[g].avg_lag_sec, got[g].max_lag_sec) == (row.events, row.avg_lag_sec, row.max_lag_sec)
+            assert abs(got[g].p95_lag_sec - row.p95_lag_sec) <= near * row.max_lag_sec
