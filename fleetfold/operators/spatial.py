@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -52,14 +54,63 @@ def pairs_in_box(bases: DataFrame, base_id: str, points: DataFrame, radius: floa
     return _box_join(centres, points, radius).drop("_lat", "_lon")
 
 
-def count_in_box(bases: DataFrame, base_id: str, points: DataFrame, radius: float = SEARCH_RADIUS_DEG) -> DataFrame:
+CELL_BITS = 20  # how often a cell can be halved
+FEW_IN_CELL = 64  # spots that are met one by one
+
+
+def _halved(axis: str, cell: float, level: int = CELL_BITS) -> Column:
+    """Index of a coordinate in the grid whose cells are ``cell`` halved ``level`` times; parents are exact."""
+    finest = F.floor(F.col(axis) / F.lit(cell / (1 << CELL_BITS))).cast("long")
+    return F.shiftright(finest, CELL_BITS - level)
+
+
+def _cells(spots: DataFrame, cell: float, level: int) -> DataFrame:
+    """Occupied cells of a level with the cell above, the box and number of their spots, and their points."""
+    up = max(level - 1, 0)
+    keys = {"_cx": _halved("lat", cell, level), "_cy": _halved("lon", cell, level), "_ux": _halved("lat", cell, up), "_uy": _halved("lon", cell, up)}
+    return spots.groupBy(*[c.alias(n) for n, c in keys.items()]).agg(
+        F.min("lat").alias("_lat0"), F.max("lat").alias("_lat1"), F.min("lon").alias("_lon0"), F.max("lon").alias("_lon1"),
+        F.sum("_n").alias("_points"), F.count(F.lit(1)).alias("_spots"),
+    )
+
+
+def _edge(axis: str, sign: int, radius: float) -> Column:
+    return F.col(f"_{axis}") + F.lit(sign * radius)
+
+
+def count_in_box(
+    bases: DataFrame, base_id: str, points: DataFrame, radius: float = SEARCH_RADIUS_DEG, few: int = FEW_IN_CELL
+) -> DataFrame:
     """Number of points in the box of each base that has any.
 
-    Points and bases on one spot are counted before the join, so copies do not multiply.
+    Points and bases on one spot are counted before the join, so copies do not multiply. A cell whose spots all lie in
+    the box is added as a whole. One that lies in part is halved, where it has more than a few spots, and otherwise met
+    spot by spot; so a box meets the cells along its edge and not the spots inside, however many a cell has.
     """
-    spots = points.groupBy("lat", "lon").agg(F.count(F.lit(1)).alias("_n"))
-    centres = bases.select(F.col("lat").alias("_lat"), F.col("lon").alias("_lon"))
-    counted = _box_join(centres.distinct(), spots, radius).groupBy("_lat", "_lon").agg(F.sum("_n").alias("points"))
+    cell = radius * 1.001  # a hair wider than the radius, so that a box reaches the neighbouring cells at most
+    spots = pin(points.where("lat is not null and lon is not null").groupBy("lat", "lon").agg(F.count(F.lit(1)).alias("_n")), "spots")
+    centres = bases.where("lat is not null and lon is not null").select(F.col("lat").alias("_lat"), F.col("lon").alias("_lon")).distinct()
+    around = F.array(*[F.lit(i) for i in (-1, 0, 1)])
+    spread = centres.withColumn("_dx", F.explode(around)).withColumn("_dy", F.explode(around)).select(
+        "_lat", "_lon", (_halved("_lat", cell, 0) + F.col("_dx")).alias("_ux"), (_halved("_lon", cell, 0) + F.col("_dy")).alias("_uy")
+    )
+    counts = []
+    for level in range(CELL_BITS + 1):
+        met = spread.join(_cells(spots, cell, level), ["_ux", "_uy"])
+        low, high = {a: _edge(a, -1, radius) for a in ("lat", "lon")}, {a: _edge(a, 1, radius) for a in ("lat", "lon")}
+        apart = [(F.col(f"_{a}1") < low[a]) | (F.col(f"_{a}0") > high[a]) for a in ("lat", "lon")]
+        within = [(F.col(f"_{a}0") >= low[a]) & (F.col(f"_{a}1") <= high[a]) for a in ("lat", "lon")]
+        met = met.where(~(apart[0] | apart[1])).withColumn("_whole", within[0] & within[1])
+        met = pin(met.select("_lat", "_lon", "_cx", "_cy", "_points", "_spots", "_whole"), "boxes-and-cells")
+        counts.append(met.where("_whole").select("_lat", "_lon", F.col("_points").alias("_n")))
+        split = ~F.col("_whole") & (F.col("_spots") > few) & F.lit(level < CELL_BITS)
+        last = met.where(~F.col("_whole") & ~split).select("_lat", "_lon", "_cx", "_cy")
+        celled = spots.withColumns({"_cx": _halved("lat", cell, level), "_cy": _halved("lon", cell, level)})
+        counts.append(celled.join(last, ["_cx", "_cy"]).where(_in_box(radius)).select("_lat", "_lon", "_n"))
+        spread = met.where(split).select("_lat", "_lon", F.col("_cx").alias("_ux"), F.col("_cy").alias("_uy"))
+        if spread.isEmpty():
+            break
+    counted = reduce(DataFrame.unionByName, counts).groupBy("_lat", "_lon").agg(F.sum("_n").alias("points"))
     named = bases.select(base_id, F.col("lat").alias("_lat"), F.col("lon").alias("_lon"))
     return named.join(counted, ["_lat", "_lon"]).drop("_lat", "_lon")
 

@@ -84,7 +84,8 @@ def test_box_search_with_edges_and_negative_coordinates(spark):
     }
     assert {(x.base, x.id) for x in spatial.pairs_in_box(b, "base", p, r).collect()} == expected
     counts = {n: sum(1 for m, _ in expected if m == n) for n, *_ in centres}
-    assert {x.base: x.points for x in spatial.count_in_box(b, "base", p, r).collect()} == counts
+    for few in (0, 5, 1000):
+        assert {x.base: x.points for x in spatial.count_in_box(b, "base", p, r, few).collect()} == counts
 
 
 def test_sample_is_one_per_group_and_repeatable(spark):
@@ -187,3 +188,28 @@ def test_nearest_base_of_nothing(spark):
     for few_sites in (-1, 64):
         assert [(r.base, r.distance_km) for r in spatial.nearest_base(points, none, "base", few_sites=few_sites).collect()] == [(None, None)]
         assert spatial.nearest_base(none.withColumnRenamed("base", "id"), points.withColumnRenamed("id", "base"), "base", few_sites=few_sites).count() == 0
+
+
+def test_a_cell_with_most_spots_is_not_met_spot_by_spot(spark, monkeypatch):
+    """Nine of ten spots in one cell, and boxes of fifty bases that reach into it."""
+    rng = random.Random(12)
+    spots = [(52.2 + rng.random() * 0.02, 21.0 + rng.random() * 0.02) if k % 10 else (50 + rng.random() * 4, 20 + rng.random() * 4) for k in range(20_000)]
+    bases = [(k, 52.2 + rng.uniform(-0.03, 0.05), 21.0 + rng.uniform(-0.03, 0.05)) for k in range(50)]
+    p = spark.createDataFrame(spots, "lat double, lon double")
+    b = spark.createDataFrame(bases, "base int, lat double, lon double")
+    met = []
+    pinned = spatial.pin
+
+    def watching(df, name):
+        out = pinned(df, name)
+        if name == "boxes-and-cells":
+            met.append((out.count(), out.where("not _whole and _spots <= 64").agg(F.sum("_spots")).first()[0] or 0))
+        return out
+
+    monkeypatch.setattr(spatial, "pin", watching)
+    got = {x.base: x.points for x in spatial.count_in_box(b, "base", p).collect()}
+    r = spatial.SEARCH_RADIUS_DEG
+    expected = {n: sum(1 for x, y in spots if lat - r <= x <= lat + r and lon - r <= y <= lon + r) for n, lat, lon in bases}
+    assert got == {n: c for n, c in expected.items() if c}
+    pairs = sum(expected.values())
+    assert sum(cells + spots for cells, spots in met) < 0.25 * pairs and pairs > 100_000
