@@ -5,9 +5,10 @@ compared by its own most frequent n-grams: each adds the number of places by whi
 the profile, or the whole profile length if it is not there. The language with the least sum wins, ties go
 to the name that sorts first.
 
-Defined cases: text that is null, empty or without a letter gives ``und`` and score 0. Rows without a
-language label train nothing. With no labelled text at all everything is ``und``. Repeated rows count as
-often as they come. Extra columns are neither read nor changed.
+Defined cases: text that is null, empty or without a letter gives ``und`` and score 0; number signs such as fractions
+are no letters. Very long texts are read whole. Rows without a language label train nothing. With no labelled text at
+all everything is ``und``. Repeated rows count as often as they come; n-grams of equal count keep the order in which
+they first appear. An empty table gives an empty result. Extra columns are neither read nor changed.
 """
 
 from __future__ import annotations
@@ -29,12 +30,18 @@ MAX_LANGUAGES = 1_000
 UNDETERMINED = "und"
 MIN_SIMILARITY = 0.02
 
-_LETTERS = re.compile(r"[^\W\d_]+")
+_LETTERS = re.compile(r"[^\W\d_]+")  # letters, and signs that count as numbers
+
+
+def _letters_of(word: str) -> list[str]:
+    return "".join(c if c.isalpha() else " " for c in word).split()
 
 
 def _spaced(text: str | None) -> str:
     """The letters of a text in lower case, each word between single underscores; empty without letters."""
-    words = _LETTERS.findall(text.lower()) if text else ()
+    words = _LETTERS.findall(text.lower()) if text else []
+    if not "".join(words).isalpha():
+        words = [part for word in words for part in _letters_of(word)]
     return "_" + "_".join(words) + "_" if words else ""
 
 

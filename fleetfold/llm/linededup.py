@@ -5,7 +5,8 @@ A line is boilerplate on a site if it stands on more than ``ratio`` of the site'
 always stay. A line that a page repeats counts once for that page, and all its copies go.
 
 Defined cases: null text stays null with no lines; empty text stays empty; rows without a site form one
-site; repeated rows count as pages of their own; a page may lose all its lines and then has empty text.
+site; repeated rows count as pages of their own; a page may lose all its lines and then has empty text. A share that
+equals the ratio does not exceed it. Very long texts are read whole; an empty table gives an empty result.
 Extra columns are kept unread.
 """
 
@@ -18,7 +19,7 @@ from fleetfold.llm.common import table
 from fleetfold.session import pin
 
 RATIO = 0.1
-MIN_PAGES = 5
+MIN_PAGES = 2  # a line on one page is no repeat
 _BLANKS = " \t\r"
 
 
