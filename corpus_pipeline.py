@@ -62,7 +62,7 @@ STAGES = [
     ("bpe", tokenize),
 ]
 
-# Fingerprints by XXH64 and token ids are beyond SQL; tests compare with a brute-force version.
+# Fingerprints by XXH64 and token ids are beyond SQL; tests/llm/test_pipeline.py compares with a plain version.
 ORACLE_SQL = None
 
 
