@@ -12,6 +12,7 @@ rewrites less than one full file of a partition beside what is new. Files are li
 
 from __future__ import annotations
 
+import re
 import uuid
 from functools import reduce
 
@@ -24,7 +25,7 @@ from fleetfold.storage import drop_directory, path_exists
 
 MAX_NAMED_FILES = 10_000  # files that a read names one by one
 FULL_BYTES = 64 << 20  # a file of this size is full, whatever its rows
-_GLOB = r"[*?\[\]{}\\,]"  # signs that would not be taken as they are in a path
+_GLOB = re.compile(r"[*?\[\]{}\\,]")  # signs that would not be taken as they are in a path
 
 
 class CompactedTable:
@@ -62,7 +63,7 @@ class CompactedTable:
         if not few:
             return None
         reader = self.spark.read.schema(schema)
-        if len(few) <= MAX_NAMED_FILES and not files.where(F.col("file").rlike(_GLOB)).limit(1).count():
+        if len(few) <= MAX_NAMED_FILES and not any(_GLOB.search(r.file) for r in few):
             return reader.option("basePath", base).parquet(*[r.file for r in few])
         rows = reader.parquet(base)
         rows = rows if where is None else rows.where(where)
