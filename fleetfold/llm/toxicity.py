@@ -1,12 +1,15 @@
 """Toxicity behind disguised spelling: noisy-channel restoring, then scoring of the restored words.
 
-Restoring: a word in leetspeak, with stretched letters or with signs between its letters, and a run of single
-letters, become a lattice: each sign may stand for the letters it resembles, a repeated letter may be
-one letter, a separator may be nothing or a word's end. A character language model and the costs of these
-channels pick the best path by Viterbi search over the last letters. Plain words have one path, themselves.
-
-The language model counts letter sequences of all words of the corpus: the vocabulary and the disguised strings
-are counted by a shuffle, the sequences by another, and all of them stay in a pinned table. Each distinct
+Restoring: a word in leetspeak, of signs alone, with stretched letters or with signs between its letters or at its
+ends, and a run of single letters, become a lattice: each sign may stand for the letters it resembles, a repeated
+letter may be one letter, a separator or a sign at an end may be nothing or a word's end. A character language model
+and the costs of these channels pick the best path by Viterbi search; its states are the last letters, of which a
+place has few, and all of them are kept. A plain word with a doubled letter becomes a lattice too if another word of
+the corpus differs from it in doubled letters only and is ``RARER`` times as frequent; it is read both as it stands and
+as restored. Other plain words have one path, themselves.
+
+The language model counts letter sequences of all words of the corpus: the tokens are counted by a shuffle and
+told apart once each, the sequences are counted by another, and all of them stay in a pinned table. Each distinct
 disguised string is decoded once: the strings are dealt into groups, the sequences that a group's lattices can
 form are joined with that table, and the group is decoded with these counts, which gives the same as all counts
 would. The restored strings are joined back to the texts that have them.
@@ -16,7 +19,9 @@ toxic texts is beyond chance get a log-odds weight, unless they always follow th
 words of a copied text do; a text's score is the logistic of the prior odds and the
 weights of its different words. Weights are fitted on at most about ``MAX_LABELLED`` labelled rows.
 
-Defined cases: null, empty and wordless texts score the prior alone. Labels of unknown documents and null
+Defined cases: null, empty and wordless texts score the prior alone; an empty table gives an empty result. Texts and
+tokens of any length are read whole; counts of long ones are handed on in parts. Of paths of equal cost the one that
+comes first in order of its text wins, so ties give the same words everywhere. Labels of unknown documents and null
 labels train nothing; of several labels of a document the greatest holds. Without any label, or of one
 kind only, every score is the smoothed prior. Repeated rows score alike. Other columns are not read.
 """
@@ -42,12 +47,12 @@ MIN_CONTEXTS = 4  # different words before a feature in toxic texts,
 FREE_SHARE, FREE_CONTEXTS = 0.4, 100  # and at least this share of its uses, or this many
 MIN_WEIGHT = 3.0
 MIN_EVIDENCE = 16.0  # texts times divergence (in nats) of their toxic share from the prior share: chance is below 1e-6
-MAX_FEATURES = 50_000
 MOST_SENT_LABELS = 1_000_000
 STEMS = (4, 5, 6)  # lengths of the word beginnings that are features
+RARER = 8  # a word with doubled letters this many times rarer than its like is taken for a disguise
 CACHED_WORDS = 150_000
-BEAM = 24
-RUN = 32  # letters of the longest word that the language model counts
+CACHED_DULL = 400_000  # words without weight that a worker remembers
+HELD_COUNTS = 200_000  # distinct strings whose counts a worker holds before it hands them on
 
 # Signs and the letters they are read as.
 LEET = {
@@ -56,10 +61,14 @@ LEET = {
 }
 SEPARATORS = " .-_*'~·,"
 COST_LEET, COST_DROP, COST_REPEAT = 1.0, 0.7, 0.4
+COST_STANDS = 3.3  # of each sign of a string without letters that is no word: one of ten digits, and not leetspeak
 
 _EDGES_LEFT, _EDGES_RIGHT = "\"'*#([{<&%.,;:?-_~|", "\"'*#)]}>&%.,;:?!$-_~|"
-_SINGLES = re.compile(r"(?<!\S)\S(?:[^\S\n]\S){2,}(?!\S)")
+# The same ends without signs that may stand for letters.
+_PLAIN_LEFT, _PLAIN_RIGHT = ("".join(c for c in edges if c not in LEET) for edges in (_EDGES_LEFT, _EDGES_RIGHT))
 _STRETCHED = re.compile(r"(.)\1\1")
+_DOUBLED = re.compile(r"(.)\1")
+_LETTERS = re.compile(r"[^\W\d_]+")
 _FORGETS = 0.4  # factor for each letter of context that the model has to give up
 
 
@@ -91,9 +100,20 @@ class LetterModel:
         return lost - math.log((self.counts.get(letter, 0) + 0.5) / (self.total + 1000))
 
 
-def single_runs(lowered: str, tokens: list[str]) -> list[str]:
-    """Runs of single letters; texts without three such tokens are not searched."""
-    return _SINGLES.findall(lowered) if list(map(len, tokens)).count(1) > 2 else []
+def single_runs(tokens: list[str]) -> list[str]:
+    """Runs of three or more tokens of one letter, joined by blanks."""
+    lengths = list(map(len, tokens))
+    if lengths.count(1) < 3:
+        return []
+    runs: list[list[str]] = []
+    last = -2
+    for k, length in enumerate(lengths):
+        if length == 1:
+            if k > last + 1:
+                runs.append([])
+            runs[-1].append(tokens[k])
+            last = k
+    return [" ".join(run) for run in runs if len(run) > 2]
 
 
 def sequences(word: str, order: int = ORDER) -> Iterator[str]:
@@ -119,13 +139,13 @@ class Reader:
         self.read: dict[str, tuple[str, ...] | str] = {}
 
     def _reading(self, token: str) -> tuple[str, ...] | str:
-        word = token.lstrip(_EDGES_LEFT).rstrip(_EDGES_RIGHT)
+        word = token.lstrip(_PLAIN_LEFT).rstrip(_PLAIN_RIGHT)
         if word.isalpha() and not _STRETCHED.search(word):
             return (word,)
         letters = sum(map(str.isalpha, word))
         signs = sum(c in LEET for c in word)
-        if not letters or letters + signs < 3 or len(word) > 3 * RUN or ("@" in word and "." in word):
-            return tuple(re.findall(r"[^\W\d_]+", word))
+        if letters + signs < 3:
+            return tuple(_LETTERS.findall(word))
         return word
 
     def reading(self, token: str) -> tuple[str, ...] | str:
@@ -140,28 +160,38 @@ class Reader:
 
     def spaced(self, run: str) -> list[str]:
         """String to decode of a run of single letters, none if it repeats one letter."""
-        letters = run.split()
-        if all(c == letters[0] for c in letters):
-            return []
-        return [" ".join(letters)]
+        return [] if run == run[:2] * (len(run) // 2) + run[0] else [run]
 
     def parts(self, text: str | None) -> list[tuple[str, ...] | str]:
         """Words or disguised string of each token in order; those of runs of single letters follow."""
         if not text:
             return []
-        lowered = text.lower()
-        tokens = lowered.split()
+        tokens = text.lower().split()
         out = [self.reading(token) for token in tokens]
-        for run in single_runs(lowered, tokens):
+        for run in single_runs(tokens):
             out += self.spaced(run)
         return out
 
     def disguised(self, text: str | None) -> list[str]:
+        """Strings that have to be decoded."""
         return list(dict.fromkeys(p for p in self.parts(text) if isinstance(p, str)))
 
+    def in_doubt(self, text: str | None) -> list[str]:
+        """Strings that have to be decoded, and words with doubled letters, which may have to be."""
+        parts = dict.fromkeys(p if isinstance(p, str) else p[0] if len(p) == 1 and _DOUBLED.search(p[0]) else None for p in self.parts(text))
+        return [p for p in parts if p is not None]
+
     def words_with(self, text: str | None, meant: dict[str, list[str]]) -> list[str]:
-        """Words in order, with what each disguised string stands for."""
-        return [w for part in self.parts(text) for w in (meant.get(part, ()) if isinstance(part, str) else part)]
+        """Words in order, with what each disguised string stands for; a restored word with doubled letters follows itself."""
+        out: list[str] = []
+        for part in self.parts(text):
+            if isinstance(part, str):
+                out += meant.get(part, ())
+            else:
+                out += part
+                if len(part) == 1 and part[0] in meant:
+                    out += (w for w in meant[part[0]] if w != part[0])
+        return out
 
 
 class Restorer(Reader):
@@ -171,7 +201,15 @@ class Restorer(Reader):
         super().__init__()
         self.model = LetterModel(counts, total=total)
 
-    def _moves(self, text: str, k: int) -> list[tuple[str, float]]:
+    @staticmethod
+    def _inner(text: str) -> tuple[int, int]:
+        """Places of the first and last letter or digit: signs outside may be nothing. The whole string if it has no letter."""
+        if not any(map(str.isalpha, text)):
+            return 0, len(text)
+        places = [k for k, c in enumerate(text) if c.isalnum()]
+        return places[0], places[-1]
+
+    def _moves(self, text: str, k: int, first: int, last: int) -> list[tuple[str, float]]:
         """What the sign at ``k`` may stand for: letters, nothing, or ``$`` for a word's end; with channel costs."""
         sign = text[k]
         if sign.isalpha():
@@ -182,18 +220,24 @@ class Restorer(Reader):
         moves = [(letter, COST_LEET) for letter in LEET.get(sign, "")]
         if sign in SEPARATORS:
             moves += [("", COST_DROP if sign != " " else COST_DROP / 2), ("$", 0.0)]
-        if sign in "!|+(":
+        elif moves and not first <= k <= last:
+            moves.append(("$", COST_DROP))
+        elif sign in "!|+(":
             moves.append(("$", COST_LEET))
         return moves or [("$", 0.0)]
 
     def decode(self, text: str) -> tuple[str, ...]:
-        """Viterbi search through the lattice of a word or a run of letters; paths are kept as links to the step before."""
+        """Viterbi search through the lattice of a word or a run of letters; paths are kept as links to the step before.
+
+        A string without letters is a number or the like, and no word, unless a path costs less than that.
+        """
         keep = self.model.order - 1
+        first, last = self._inner(text)
         paths: dict[str, tuple[float, tuple | None]] = {"^": (0.0, None)}
         for k in range(len(text)):
             after: dict[str, tuple[float, tuple | None]] = {}
             for context, (cost, made) in paths.items():
-                for out, channel in self._moves(text, k):
+                for out, channel in self._moves(text, k, first, last):
                     if out == "":
                         state, total, text_so_far = context, cost + channel, made
                     elif out == "$":
@@ -206,21 +250,20 @@ class Restorer(Reader):
                         state, text_so_far = (context + out)[-keep:], (made, out)
                     if state not in after or total < after[state][0]:
                         after[state] = (total, text_so_far)
-            if len(after) > BEAM:
-                after = dict(sorted(after.items(), key=lambda p: p[1][0])[:BEAM])
             paths = after
         ends = [(cost + (0 if context == "^" else self.model.cost(context, "$")), made) for context, (cost, made) in paths.items()]
-        if not ends:
-            return ()
         least = min(cost for cost, _ in ends)
+        if not any(map(str.isalpha, text)) and least >= COST_STANDS * sum(c in LEET for c in text):
+            return ()
         return tuple(min(_unlinked(made) for cost, made in ends if cost == least).split())
 
     def sequences_of(self, text: str) -> set[str]:
         """Longest sequences that the lattice of a string can form: the model is asked for these and their ends only."""
         keep = self.model.order - 1
+        first, last = self._inner(text)
         states, out = {"^"}, {"^"}
         for k in range(len(text)):
-            moves = {out for out, _ in self._moves(text, k)}
+            moves = {out for out, _ in self._moves(text, k, first, last)}
             after = set()
             for context in states:
                 for move in moves:
@@ -237,25 +280,48 @@ class Restorer(Reader):
         return [w for part in self.parts(text) for w in (self.decode(part) if isinstance(part, str) else part)]
 
 
-def _count_words(batches: Iterator) -> Iterator:
-    """Words of plain letters with their counts, and disguised strings, summed per batch."""
+def _tallied(counts: Counter):
     import pyarrow as pa
 
+    columns = [pa.array([t for t, _ in counts], pa.string()), pa.array([r for _, r in counts], pa.bool_()), pa.array(list(counts.values()), pa.int64())]
+    return pa.RecordBatch.from_arrays(columns, names=["token", "run", "n"])
+
+
+def _count_tokens(batches: Iterator) -> Iterator:
+    """Tokens and runs of single letters with their counts, summed over many texts."""
     reader = Reader()
+    tokens: Counter = Counter()
+    runs: Counter = Counter()
     for batch in batches:
-        tokens: Counter = Counter()
-        words: Counter = Counter()
         for text in batch.column(0).to_pylist():
             if text:
-                lowered = text.lower()
-                split = lowered.split()
+                split = text.lower().split()
                 tokens.update(split)
-                words.update((part, False) for run in single_runs(lowered, split) for part in reader.spaced(run))
-        for token, n in tokens.items():
+                runs.update(part for run in single_runs(split) for part in reader.spaced(run))
+                if len(tokens) + len(runs) >= HELD_COUNTS:
+                    yield _tallied(Counter({**{(t, False): n for t, n in tokens.items()}, **{(r, True): n for r, n in runs.items()}}))
+                    tokens.clear()
+                    runs.clear()
+    yield _tallied(Counter({**{(t, False): n for t, n in tokens.items()}, **{(r, True): n for r, n in runs.items()}}))
+
+
+def _words_of_tokens(batches: Iterator) -> Iterator:
+    """Words of plain letters and disguised strings of distinct tokens, with the tokens' counts."""
+    import pyarrow as pa
+
+    reader = Reader()
+    for batch in batches:
+        words: Counter = Counter()
+        for token, run, n in zip(*(batch.column(k).to_pylist() for k in range(3))):
+            if run:
+                words[token, False] += n
+                continue
             word = token.strip(_EDGES_RIGHT)
-            if word.isalpha() and len(word) <= RUN:
+            if word.isalpha():
                 words[word, True] += n
-            part = reader.reading(token)
+                if word == token and not _STRETCHED.search(word):
+                    continue
+            part = reader._reading(token)
             if isinstance(part, str):
                 words[part, False] += n
         columns = [pa.array([w for w, _ in words], pa.string()), pa.array([p for _, p in words], pa.bool_()), pa.array(list(words.values()), pa.int64())]
@@ -263,22 +329,45 @@ def _count_words(batches: Iterator) -> Iterator:
 
 
 def _count_sequences(batches: Iterator) -> Iterator:
+    """Letter sequences with their counts: at each place the longest is counted, and its beginnings when counts are handed on."""
     import pyarrow as pa
 
+    def handed_on():
+        every: Counter = Counter()
+        for longest, n in counts.items():
+            for end in range(1, len(longest) + 1):
+                every[longest[:end]] += n
+        counts.clear()
+        return pa.RecordBatch.from_arrays([pa.array(list(every), pa.string()), pa.array(list(every.values()), pa.int64())], names=["gram", "n"])
+
+    counts: Counter = Counter()
     for batch in batches:
-        counts: Counter = Counter()
         for word, n in zip(*(batch.column(k).to_pylist() for k in range(2))):
-            for gram in sequences(word):
-                counts[gram] += n
-        yield pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())], names=["gram", "n"])
+            framed = "^" + word + "$"
+            for k in range(len(framed)):
+                counts[framed[k : k + ORDER]] += n
+                if len(counts) >= HELD_COUNTS:
+                    yield handed_on()
+    yield handed_on()
 
 
 def corpus_words(docs: DataFrame, text: str = "text") -> DataFrame:
     """``word``, ``plain`` (else a disguised string) and ``n`` over all texts."""
-    words = docs.select(F.col(text).alias("text")).mapInArrow(_count_words, "word string, plain boolean, n long")
+    tokens = docs.select(F.col(text).alias("text")).mapInArrow(_count_tokens, "token string, run boolean, n long")
+    tokens = tokens.groupBy("token", "run").agg(F.sum("n").alias("n"))
+    words = tokens.mapInArrow(_words_of_tokens, "word string, plain boolean, n long")
     return pin(words.groupBy("word", "plain").agg(F.sum("n").alias("n")), "words")
 
 
+def doubled_words(words: DataFrame, rarer: int = RARER) -> DataFrame:
+    """Plain words with a doubled letter whose like, doubled letters aside, is at least ``rarer`` times as frequent."""
+    plain = words.where("plain").select("word", "n", F.regexp_replace("word", r"(.)\1+", "$1").alias("single"))
+    likes = plain.groupBy("single").agg(F.max("n").alias("most"), F.count(F.lit(1)).alias("words")).where("words > 1")
+    doubled = plain.where(F.length("word") > F.length("single")).join(likes, "single")
+    # Letters stretched threefold are disguised strings already.
+    return doubled.where((F.col("n") * rarer <= F.col("most")) & ~F.col("word").rlike(r"(.)\1\1")).select("word")
+
+
 def letter_counts(words: DataFrame) -> DataFrame:
     """``gram`` and ``n``: counts of all letter sequences over plain words."""
     grams = words.where("plain").select("word", "n").mapInArrow(_count_sequences, "gram string, n long")
@@ -318,7 +407,8 @@ def restored(docs: DataFrame, text: str = "text") -> DataFrame:
     words = corpus_words(docs, text)
     grams = letter_counts(words)
     total = grams.where(F.length("gram") == 1).agg(F.sum("n")).first()[0] or 1
-    parts = words.where(~F.col("plain")).select(F.col("word").alias("part"))
+    parts = words.where(~F.col("plain")).select("word").unionByName(doubled_words(words)).select(F.col("word").alias("part"))
+    parts = pin(parts, "parts")
     letters = parts.agg(F.sum(F.length("part"))).first()[0] or 0
     groups = -(-letters // GROUP_LETTERS) or 1
     parts = parts.withColumn("group", F.pmod(F.xxhash64("part"), F.lit(groups)))
@@ -341,7 +431,7 @@ def with_restored(rows: DataFrame, known: DataFrame) -> DataFrame:
     def disguised(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         reader = Reader()
         for texts in parts:
-            yield pd.Series([reader.disguised(t) for t in texts], dtype="object")
+            yield pd.Series([reader.in_doubt(t) for t in texts], dtype="object")
 
     keyed = rows.withColumn("key", _text_key("text"))
     held = keyed.select("key", F.explode(disguised("text")).alias("part")).distinct()
@@ -421,7 +511,8 @@ def fit(labelled: DataFrame) -> tuple[float, dict[str, float]]:
     rest = F.when(F.col("clean") > 0, (1 - share) * F.log((1 - share) / (1 - base))).otherwise(0.0)
     evidence = n * (share * F.log(share / base) + rest)
     strong = seen.withColumn("weight", odds).where((F.col("weight") >= MIN_WEIGHT) & (evidence >= MIN_EVIDENCE))
-    weights = {r.feature: r.weight for r in strong.orderBy(F.desc(F.col("weight") * F.col("toxic")), "feature").limit(MAX_FEATURES).collect()}
+    # Their number is bounded by the labelled rows: each takes several toxic texts.
+    weights = {r.feature: r.weight for r in strong.collect()}
     # A word of a copied passage comes behind the same word again and again; a word in free use does not.
     pairs = labelled.mapInArrow(_feature_contexts(set(weights)), "feature string, before string, n long")
     pairs = pairs.groupBy("feature", "before").agg(F.sum("n").alias("n"))
@@ -457,36 +548,50 @@ class Scorer:
     def __init__(self, weights: dict[str, float]):
         self.reader = Reader()
         self.weights = weights
-        self.known: dict[str, tuple[tuple[str, float], ...]] = {}
+        self.starts = {f[1 : min(STEMS) + 1] for f in weights if f[0] == "^"}
+        self.known: dict[str, tuple[tuple[tuple[str, float], ...], str | None]] = {}
+        self.dull: set[str] = set()  # tokens without weight that hide nothing
 
     def word(self, word: str) -> tuple[tuple[str, float], ...]:
         """The heaviest feature of a word, if any."""
+        if word not in self.weights and word[: min(STEMS)] not in self.starts:
+            return ()
         best = max(((self.weights[f], f) for f in features(word) if f in self.weights), default=None)
         return ((best[1], best[0]),) if best else ()
 
-    def _token(self, token: str) -> tuple[tuple[str, float], ...] | str:
-        found = self.known.get(token)
-        if found is None:
-            part = self.reader.reading(token)
-            found = part if isinstance(part, str) else tuple(p for w in part for p in self.word(w))
-            if len(self.known) >= CACHED_WORDS:
-                self.known.clear()
-            self.known[token] = found
-        return found
+    def _token(self, token: str) -> tuple[tuple[tuple[str, float], ...], str | None]:
+        """Weighted features of a token, and the string that has to be looked up among the restored ones, if any."""
+        if token.isalpha() and not _DOUBLED.search(token):
+            return self.word(token), None
+        part = self.reader._reading(token)
+        if isinstance(part, str):
+            return (), part
+        hits = tuple(p for w in part for p in self.word(w))
+        return hits, part[0] if len(part) == 1 and _DOUBLED.search(part[0]) else None
 
     def hits(self, text: str | None) -> tuple[dict[str, float], list[str]]:
-        """Weighted features of the words that are read as they stand, and the disguised strings."""
+        """Weighted features of the words that are read as they stand, and the strings that may be disguised."""
         hits: dict[str, float] = {}
         hidden: dict[str, None] = {}
         if text:
-            lowered = text.lower()
-            tokens = lowered.split()
-            for found in map(self._token, set(tokens)):
-                if isinstance(found, str):
-                    hidden[found] = None
-                elif found:
-                    hits.update(found)
-            for run in single_runs(lowered, tokens):
+            tokens = text.lower().split()
+            for token in set(tokens) - self.dull:
+                found = self.known.get(token)
+                if found is None:
+                    found = self._token(token)
+                    if found == ((), None):
+                        if len(self.dull) >= CACHED_DULL:
+                            self.dull.clear()
+                        self.dull.add(token)
+                        continue
+                    if len(self.known) >= CACHED_WORDS:
+                        self.known.clear()
+                    self.known[token] = found
+                weighted, part = found
+                hits.update(weighted)
+                if part is not None:
+                    hidden[part] = None
+            for run in single_runs(tokens):
                 hidden.update(dict.fromkeys(self.reader.spaced(run)))
         return hits, list(hidden)
 

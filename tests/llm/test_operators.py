@@ -200,3 +200,80 @@ def test_long_runs_of_single_letters_are_decoded_whole():
     run = " ".join("".join(meant))
     assert toxicity.Reader().disguised(run) == [run]
     assert toxicity.Restorer(counts).decode(run) == tuple(meant)
+
+
+def letter_table(words):
+    counts: dict = {}
+    for word, n in words.items():
+        for gram in toxicity.sequences(word):
+            counts[gram] = counts.get(gram, 0) + n
+    return counts
+
+
+def cheapest(model, text):
+    """Least cost over all paths of a string, and the words of the paths that have it; every path is built as a whole."""
+    alpha = any(c.isalpha() for c in text)
+    solid = [k for k, c in enumerate(text) if c.isalnum()]
+    inner = (solid[0], solid[-1]) if alpha else (0, len(text))
+    paths = {("", 0.0)}
+    for k, sign in enumerate(text):
+        if sign.isalpha():
+            moves = [(sign, 0.0)] + ([("", toxicity.COST_REPEAT)] if k and text[k - 1] == sign else [])
+        else:
+            moves = [(c, toxicity.COST_LEET) for c in toxicity.LEET.get(sign, "")]
+            if sign in toxicity.SEPARATORS:
+                moves += [("", toxicity.COST_DROP / (2 if sign == " " else 1)), (" ", 0.0)]
+            elif moves and not inner[0] <= k <= inner[1]:
+                moves.append((" ", toxicity.COST_DROP))
+            elif sign in "!|+(":
+                moves.append((" ", toxicity.COST_LEET))
+        paths = {(made + out, cost + more) for made, cost in paths for out, more in moves or [(" ", 0.0)]}
+    costs: dict = {}
+    for made, cost in paths:
+        words = tuple(made.split())
+        for word in words:
+            framed = "^" + word + "$"
+            cost += sum(model.cost(framed[max(0, k - model.order + 1) : k], framed[k]) for k in range(1, len(framed)))
+        costs[words] = min(cost, costs.get(words, cost))
+    least = min(costs.values())
+    stands = not alpha and least >= toxicity.COST_STANDS * sum(c in toxicity.LEET for c in text)
+    return [()] if stands else [w for w, c in costs.items() if c < least + 1e-9]
+
+
+DISGUISED = {
+    "a$$": "ass", "|oser": "loser", "(lown": "clown", "455": "ass", "@$$": "ass", "4$$": "ass", "1d10t.@u": "idiot", "sstuupid": "stupid", "iddiot": "idiot",
+    "1d10t": "idiot", "(lown!!": "clown", "id|ot,": "idiot", "$tup!d$": "stupid", "l0$er": "loser", "s t u p i d": "stupid", "s  t\tu\np i d": "stupid",
+}
+
+
+def test_disguises_reach_the_lattice_and_its_best_path_is_found():
+    often = {"ass": 400, "loser": 300, "clown": 200, "idiot": 300, "stupid": 300, "the": 900, "au": 30, "is": 500, "said": 100, "and": 500}
+    words = toxicity.Restorer(letter_table(often))
+    for hidden, plain in DISGUISED.items():
+        parts = words.in_doubt(hidden)
+        assert any(plain in words.decode(part) for part in parts), (hidden, parts)
+    rng = random.Random(8)
+    strings = [part for hidden in DISGUISED for part in words.in_doubt(hidden)]
+    strings += ["".join(rng.choice("1dio0t5a$@!|.(-s") for _ in range(rng.randrange(3, 9))) for _ in range(300)]
+    strings += ["1999", "$100", "2000", "!!!", "the!!", "the$$$", "(said)", "555-1234", "|".join("aid"), "i1" * 5, "saaaiiidd"]
+    for text in strings:
+        assert words.decode(text) in cheapest(words.model, text), text
+    assert words.all_words("the! (said) is$ 1999 $100") == ["the", "said", "is"]
+    long = "i-d-1-0-t-" * 40  # beyond any limit on the length of a word
+    assert "".join(words.decode(long)).count("idiot") == 40
+
+
+def test_doubled_letters_are_restored_if_another_word_is_more_frequent(spark):
+    often = ["the idiot said that he is stupid and a clown"] * 30 + ["letter", "an iddiot", "sstuupid"] + ["coffee cofee"] * 3
+    docs = spark.createDataFrame([(t,) for t in often], "text string")
+    got = {r.part: tuple(r.words) for r in toxicity.restored(docs).collect()}
+    assert got == {"iddiot": ("idiot",), "sstuupid": ("stupid",)}
+    assert toxicity.Reader().words_with("an iddiot letter", {"iddiot": ["idiot"]}) == ["an", "iddiot", "idiot", "letter"]
+
+
+def test_long_words_are_counted_by_the_letter_model(spark):
+    rng = random.Random(9)
+    long = "".join(rng.choice("abcdefghij") for _ in range(5_000))
+    docs = spark.createDataFrame([(long + " short",)], "text string")
+    got = {r.gram: r.n for r in toxicity.letter_counts(toxicity.corpus_words(docs)).collect()}
+    assert got == letter_table({long: 1, "short": 1})
