@@ -20,6 +20,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import math
+from collections import Counter
 from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
@@ -30,6 +31,7 @@ from fleetfold.session import pin
 
 TABLES = 3
 PIECE = 64  # characters of a paragraph that one digest covers at most
+ROOMY = 8  # cells of a sub-table per digest beyond which a table that does not peel never will
 CELLS = 8  # cells per sub-table of the fingerprint itself
 LEAST_RANGES, MOST_RANGES = 1_024, 20_000  # ranges of ids that are worked on apart: four to a shuffle partition between these
 _SCHEMA = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
@@ -148,7 +150,9 @@ def _flat(lists: list):
 def differences(left: list, right: list, cells: int = CELLS) -> list[tuple[list[int], list[int]]]:
     """Per pair of digest lists the digests that only the left and only the right one has.
 
-    All pairs are tried with small tables; those that do not peel out are tried again with twice the cells.
+    All pairs are tried with small tables; those that do not peel out are tried again with twice the cells. A digest
+    that one side has twice never peels out: tables that have far more cells than digests are given up, and the
+    digests are compared as they are.
     """
     import numpy as np
 
@@ -167,6 +171,11 @@ def differences(left: list, right: list, cells: int = CELLS) -> list[tuple[list[
                 span = slice(ends[n], ends[n + 1])
                 out[k] = (keys[span][side[span] > 0], keys[span][side[span] < 0])
         open_pairs = [k for n, k in enumerate(open_pairs) if not done[n]]
+        for k in open_pairs:
+            if cells > ROOMY * (len(left[k]) + len(right[k])):
+                a, b = (Counter(map(int, side[k])) for side in (left, right))
+                out[k] = tuple(np.array(sorted((x - y).elements()), dtype=np.uint64) for x, y in ((a, b), (b, a)))
+        open_pairs = [k for k in open_pairs if out[k] is None]
         cells *= 2
     return out
 

@@ -1,6 +1,7 @@
 """The operators' own parts on small rows, against plain Python."""
 
 import random
+from collections import Counter
 
 import numpy as np
 import public_tokenizers
@@ -277,3 +278,12 @@ def test_long_words_are_counted_by_the_letter_model(spark):
     docs = spark.createDataFrame([(long + " short",)], "text string")
     got = {r.gram: r.n for r in toxicity.letter_counts(toxicity.corpus_words(docs)).collect()}
     assert got == letter_table({long: 1, "short": 1})
+
+
+def test_digests_that_stand_twice_on_one_side_are_compared_as_they_are():
+    pairs = [([5, 5, 7], [7, 9]), ([3, 3], []), ([1, 2], [2, 1]), (list(range(1, 400)), list(range(200, 700))), ([4, 4, 4, 8], [4, 6, 6])]
+    found = fingerprints.differences([a for a, _ in pairs], [b for _, b in pairs])
+    for (a, b), (only_a, only_b) in zip(pairs, found):
+        left, right = Counter(a), Counter(b)
+        assert sorted(map(int, only_a)) == sorted((left - right).elements())
+        assert sorted(map(int, only_b)) == sorted((right - left).elements())
