@@ -435,6 +435,7 @@ def oracles() -> dict[str, str]:
     q["stream_json_ingest"] = with_views(
         f"""SELECT 'order_created' AS event_type, {text_ids}, {ISO.format(t='order_timestamp')} AS order_timestamp,
         gross_revenue, delivery_charge, pizzeria_lat, pizzeria_lon FROM ords""", "ords")
+    q["guarded_feeds"] = q["stream_json_ingest"]
     q["silver_orders_stream"] = with_views(
         f"""SELECT 'order_created' AS event_type, {text_ids}, order_timestamp, gross_revenue, delivery_charge,
         pizzeria_lat, pizzeria_lon, order_date, {NOW} AS ingestion_timestamp, {month} AS order_month
