@@ -427,11 +427,15 @@ def order_perf_upsert(spark, sf):
 
 @query
 def order_perf_reference_batching(spark, sf):
-    """The same fold when each batch first keeps the newest row per order only."""
+    """The same fold when each batch first keeps the newest row per order only.
+
+    The state is stored between rounds, so a task sorts one round and the state so far, not all rounds at once.
+    """
     batched = pin(views.pings_batched(spark, sf), "batched")
     state = None
     for part in _in_parts(batched, "batch"):
-        state = merge.merge_with_policy(state, clean.order_perf_project(part), PING_POLICIES, reference_batching=True)
+        stored = None if state is None else pin(state, "state")
+        state = merge.merge_with_policy(stored, clean.order_perf_project(part), PING_POLICIES, reference_batching=True)
     return merge.read_state(state, PING_POLICIES)
 
 

@@ -48,6 +48,13 @@ def test_a_fold_of_many_rounds_shuffles_each_round_once(spark, sf_dir):
     assert plan.count("Exchange hashpartitioning") == 5
 
 
+def test_rounds_of_reference_batching_do_not_share_a_stage(spark, sf_dir):
+    """The last round and the stored state are shuffled; earlier rounds are not sorted again in the same task."""
+    plan = plan_of(spark, sf_dir, "order_perf_reference_batching")
+    assert plan.count("Exchange hashpartitioning") == 2
+    assert len(re.findall(r"\bSort \[order_id", plan)) <= 4
+
+
 def test_lookup_above_the_threshold_is_not_broadcast(spark, sf_dir):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
