@@ -775,8 +775,8 @@ def guarded_feeds(spark, sf):
     bronze = _bronze_orders(spark, sf)
     feeds = [bronze, f"{bronze}-of-another-city"]
     read = [files.read_json(spark, f, schemas.ORDER_EVENT) for f in feeds if files.wait_for_path(spark, f, 0.1, 0.2)]
-    none = spark.createDataFrame([], schemas.ORDER_EVENT)
-    return functools.reduce(DataFrame.unionByName, [rows for rows in read if not rows.isEmpty()], none)
+    held = [rows for rows in read if not rows.isEmpty()]
+    return functools.reduce(DataFrame.unionByName, held) if held else spark.createDataFrame([], schemas.ORDER_EVENT)
 
 
 @query
