@@ -58,18 +58,95 @@ def ranked_grams(text: str | None, most: int) -> list[str]:
     return sorted(counts, key=counts.__getitem__, reverse=True)[:most]
 
 
+class _Spaced:
+    """``_spaced`` as arrays. Letters are numbered in the order in which they are first seen: 1 is the mark between words,
+    0 whatever is no letter. The numbers are short, so that several fit one integer."""
+
+    def __init__(self):
+        import numpy as np
+
+        self.numbers = np.full(0x110000, -1, dtype=np.int64)
+        self.numbers[[0, ord("_")]] = 0, 1
+        self.letters = 1
+
+    def __call__(self, text: str | None):
+        """Code points, and the numbers of the letters; both empty without letters."""
+        import numpy as np
+
+        # The sign in front and the one behind are no letters; of the signs behind a word one stays.
+        codes = np.frombuffer(f"\0{text.lower() if text else ''}\0".encode("utf-32-le"), dtype="<u4").astype(np.int64)
+        codes[codes == ord("_")] = 0
+        numbers = self.numbers[codes]
+        if numbers.min() < 0:
+            for code in sorted(set(codes[numbers < 0].tolist())):
+                if chr(code).isalpha():
+                    self.letters += 1
+                self.numbers[code] = self.letters if chr(code).isalpha() else 0
+            numbers = self.numbers[codes]
+        letter = numbers > 0
+        keep = letter.copy()
+        keep[1:] |= letter[:-1]
+        keep[0] = letter.any()
+        codes, letter = codes[keep], letter[keep]
+        codes[~letter] = ord("_")
+        return codes, self.numbers[codes]
+
+
+def _packed(gram: str) -> int:
+    """An n-gram of up to three characters as one integer."""
+    return sum(ord(c) << 21 * (2 - i) for i, c in enumerate(gram))
+
+
+def _ranked_codes(codes, numbers, letters: int, most: int):
+    """What ``ranked_grams`` gives, as packed integers: each n-gram goes with its place through one sort.
+
+    None where the integers are too short for that, with very many letters in a very long text.
+    """
+    import numpy as np
+
+    length = len(codes)
+    bits, place_bits = letters.bit_length(), length.bit_length()
+    if 3 * bits + place_bits > 63 or 2 * place_bits + 2 > 63:
+        return None
+    place, mark = np.arange(length), 1 << 2 * bits
+    packed = numbers << 2 * bits
+    grams = [packed]
+    for n in (1, 2):
+        packed = packed[:-1] | (numbers[n:] << (2 - n) * bits)
+        grams.append(packed)
+    keys = np.concatenate([(g << place_bits) | place[: len(g)] for g in grams])
+    keys.sort()
+    grams = keys >> place_bits
+    starts = np.concatenate([[0], np.flatnonzero(grams[1:] != grams[:-1]) + 1])
+    counts = np.diff(starts, append=len(keys))
+    grams, first = grams[starts], keys[starts] & ((1 << place_bits) - 1)
+    size = 1 + ((grams & (mark - 1)) > 0) + ((grams & ((1 << bits) - 1)) > 0)
+    order = ((length - counts) << place_bits + 2) | (size << place_bits) | first
+    order = order[grams != mark]
+    if len(order) > most:
+        order.partition(most - 1)
+        order = order[:most]
+    order.sort()
+    first, size = order & ((1 << place_bits) - 1), (order >> place_bits) & 3
+    padded = np.concatenate([codes, [0, 0]])
+    whole = (padded[first] << 42) | (padded[first + 1] << 21) | padded[first + 2]
+    return (whole >> 21 * (3 - size)) << 21 * (3 - size)
+
+
 def _count_grams(batches: Iterator) -> Iterator:
     """Counts of n-grams per language, summed per batch with sorted integer codes (21 bits a character)."""
     import numpy as np
     import pyarrow as pa
 
+    spaced, end = _Spaced(), np.array([ord("\n")])
     for batch in batches:
-        texts: dict[str, list[str]] = {}
+        texts: dict[str, list] = {}
         for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            if spaced := _spaced(text):
-                texts.setdefault(lang, []).append(spaced)
+            codes, _ = spaced(text)
+            if len(codes):
+                texts.setdefault(lang, []).extend((codes, end))
         for lang, parts in texts.items():
-            codes = np.frombuffer("\n".join(parts).encode("utf-32-le"), dtype="<u4").astype(np.int64)
+            codes = np.concatenate(parts)
             grams, counts = [], []
             packed = codes
             for n in (1, 2, 3):
@@ -114,23 +191,36 @@ class RankOrder:
         self.names = sorted(profiles)
         self.grams = grams
         self.worst = max((len(p) for p in profiles.values()), default=1)
-        known = sorted({g for p in profiles.values() for g in p})
-        self.index = {g: i for i, g in enumerate(known)}
+        known = sorted({_packed(g) for p in profiles.values() for g in p})
+        self.known = np.array([*known, 2**63 - 1], dtype=np.int64)  # an end that is no n-gram
+        index = {g: i for i, g in enumerate(known)}
         # The last line of the table stands for n-grams that no profile has.
         self.places = np.full((len(known) + 1, len(self.names)), -1, dtype=np.int32)
         for k, name in enumerate(self.names):
             for place, gram in enumerate(profiles[name]):
-                self.places[self.index[gram], k] = place
+                self.places[index[_packed(gram)], k] = place
+        self.spaced = _Spaced()
+
+    def _ranked(self, text: str | None):
+        """The n-grams of a text in the order of ``ranked_grams``, packed."""
+        import numpy as np
+
+        codes, numbers = self.spaced(text)
+        if not len(codes):
+            return codes
+        ranked = _ranked_codes(codes, numbers, self.spaced.letters, self.grams)
+        return np.array([_packed(g) for g in ranked_grams(text, self.grams)], dtype=np.int64) if ranked is None else ranked
 
     def predict(self, text: str | None) -> tuple[str, float, float]:
         """Language; confidence (lead over the second best); similarity to the winner. All scores from 0 to 1."""
         import numpy as np
 
-        ranked = ranked_grams(text, self.grams)
-        if not ranked or not self.names:
+        ranked = self._ranked(text)
+        if not len(ranked) or not self.names:
             return UNDETERMINED, 0.0, 0.0
-        unknown = len(self.index)
-        places = self.places[[self.index.get(g, unknown) for g in ranked]]
+        at = np.searchsorted(self.known, ranked)
+        at[self.known[at] != ranked] = -1
+        places = self.places[at]
         out = np.abs(places - np.arange(len(ranked), dtype=np.int32)[:, None])
         distance = np.where(places < 0, self.worst, np.minimum(out, self.worst)).sum(axis=0)
         order = np.argsort(distance, kind="stable")

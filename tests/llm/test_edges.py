@@ -1,5 +1,8 @@
 """Nulls, empty and very long texts, ties, repeated rows, empty tables, and extra columns with clashing names."""
 
+import random
+import time
+
 import cases
 import corpus_pipeline
 import public_tokenizers
@@ -172,6 +175,38 @@ def test_number_signs_are_no_letters(spark, docs):
     assert got[1] == "und" and langid._spaced("a½b Ⅷc") == "_a_b_c_"
 
 
+def test_grams_are_ranked_by_one_sort_as_by_plain_counting(monkeypatch):
+    pool = random.Random(3)
+    signs = [chr(c) for c in range(1, 0x3000)] + list("_½Ⅷİß\n\0") + list("abé ") * 3000
+    texts = [None, "", "_", "a", "__a__", "\0a\0", *["".join(pool.choices(signs, k=k)) for k in (1, 2, 5, 50, 3000) * 40]]
+    wide = "a".join(chr(c) for c in range(0x4E00, 0x9FFF)) * 10  # too many letters, too long for one integer
+    model = langid.RankOrder({"x": ["a", "_a", "_a_"], "y": ["é", "b", "ab"]})
+    for text in [*texts, wide]:
+        plain = [langid._packed(g) for g in langid.ranked_grams(text, model.grams)]
+        assert list(model._ranked(text)) == plain, text
+        codes, _ = langid._Spaced()(text)
+        assert "".join(map(chr, codes)) == langid._spaced(text), text
+    assert langid._ranked_codes(*model.spaced(wide), model.spaced.letters, model.grams) is None
+    monkeypatch.setattr(langid, "ranked_grams", None)  # the usual text does without
+    assert model.predict("a b a")[0] == "x"
+
+
+def test_a_language_costs_less_than_counting_the_grams_one_by_one():
+    words = random.Random(4)
+    text = " ".join("".join(words.choices("abcdefghijklmnopqrstuvwxyzäöü", k=6)) for _ in range(2000))
+    model = langid.RankOrder({"x": langid.ranked_grams(text, 400), "y": list("abc")})
+
+    def least(call):
+        times = []
+        for _ in range(7):
+            start = time.process_time()
+            call()
+            times.append(time.process_time() - start)
+        return min(times)
+
+    assert least(lambda: model.predict(text)) < 0.8 * least(lambda: langid.ranked_grams(text, model.grams))
+
+
 def test_toxicity(spark, docs, empty):
     labels = spark.createDataFrame([(4, 1), (4, None), (5, 0), (99, 1), (None, 1)], "doc_id long, toxic int")
     got = docs.withColumn("own_score", toxicity.toxicity(docs, labels, F.col("text"))).select("doc_id", "own_score").collect()
